@@ -42,7 +42,7 @@ def _body_bytes(payload: str = "payload") -> Column:
 
 def _record_positions() -> Column:
     # sequence(0, -1) counts down, so a frame without records needs its own branch.
-    records = F.floor(_body_bytes() / RECORD_BYTES).cast("int")
+    records = F.expr(f"int((length(payload) - {HEADER_BYTES}) div {RECORD_BYTES})")
     return F.when(records > 0, F.sequence(F.lit(0), records - 1)).otherwise(
         F.array().cast("array<int>")
     )
@@ -85,16 +85,25 @@ def decode_frames(
         packed_word("record", 1).alias("head"),
         unsigned_word("record", 9, 5).alias("tail"),
     )
-    seconds = swap32(F.shiftright("tail", 8))
-    return words.select(
+    fields = words.select(
         *kept,
-        "record_seq",
         "collect_time",
-        signed32(swap32(F.shiftright("head", 32))).cast("int").alias("id"),
-        float32_of_bits(swap32(F.col("head"))).alias("point_value"),
+        "record_seq",
+        swap32(F.shiftright("head", 32)).alias("id_bits"),
+        swap32(F.col("head")).alias("value_bits"),
+        swap32(F.shiftright("tail", 8)).alias("time_bits"),
+        F.col("tail").bitwiseAND(0xFF).alias("status_bits"),
+    )
+    seconds = F.col("time_bits")
+    record = F.struct(
+        signed32(F.col("id_bits")).cast("int").alias("id"),
+        float32_of_bits(F.col("value_bits")).alias("point_value"),
         local_time(seconds if unsigned_time else signed32(seconds), zone).alias("real_time"),
-        F.col("tail").bitwiseAND(0xFF).cast("int").alias("status"),
+        F.col("status_bits").cast("int").alias("status"),
     )
+    # A filter on a decoded column would be pushed below the projections above,
+    # decoding each record once more per mention. The one-row inline stops that.
+    return fields.select(*kept, "record_seq", "collect_time", F.inline(F.array(record)))
 
 
 def frame_rejects(frames: DataFrame) -> DataFrame:

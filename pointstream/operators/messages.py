@@ -71,14 +71,10 @@ def _parsed(messages: DataFrame, mode: str) -> DataFrame:
         schema = StructType([*MESSAGE.fields, StructField(_RAW, StringType())])
         options["columnNameOfCorruptRecord"] = _RAW
     kept = [c for c in messages.columns if c != "value"]
-    # explode of a one-element array keeps the optimizer from copying the
-    # parser call into every filter and field above it: each text is parsed once.
+    # A one-element explode keeps the optimizer from copying the parser call into
+    # every filter and field above it: each text is parsed once.
     parsed = F.explode(F.array(F.from_json("value", schema, options))).alias("_message")
-    return (
-        messages.filter(F.col("value").isNotNull())
-        .select(*kept, "value", parsed)
-        .select(*kept, "value", F.col("_message").isNull().alias("_empty"), "_message.*")
-    )
+    return messages.select(*kept, "value", parsed)
 
 
 def parse_messages(messages: DataFrame, on_error: str = FAIL) -> DataFrame:
@@ -89,18 +85,18 @@ def parse_messages(messages: DataFrame, on_error: str = FAIL) -> DataFrame:
     it is left out here and returned by :func:`message_rejects`.
     """
     kept = [c for c in messages.columns if c != "value"]
+    message = F.col("_message")
     if on_error == QUARANTINE:
-        parsed = _parsed(messages, "PERMISSIVE").filter(
-            ~F.col("_empty") & F.col(_RAW).isNull()
-        )
+        good = message.isNotNull() & message[_RAW].isNull()
+        parsed = _parsed(messages, "PERMISSIVE").filter(good)
     elif on_error == FAIL:
-        parsed = _parsed(messages, "FAILFAST")
-        # FAILFAST passes blank text as an empty row.
-        blank = F.raise_error(F.concat(F.lit("malformed message: "), "value"))
-        parsed = parsed.withColumn("id", F.when(F.col("_empty"), blank.cast("int")).otherwise(F.col("id")))
+        # FAILFAST itself passes blank text, as a NULL message.
+        blank = F.raise_error(F.lit("blank message")).cast("boolean")
+        good = F.when(message.isNotNull(), True).when(F.col("value").isNull(), False)
+        parsed = _parsed(messages, "FAILFAST").filter(good.otherwise(blank))
     else:
         raise ValueError(f"on_error must be {FAIL!r} or {QUARANTINE!r}, not {on_error!r}")
-    return parsed.select(*kept, *MESSAGE.names)
+    return parsed.select(*kept, *[message[name].alias(name) for name in MESSAGE.names])
 
 
 def message_rejects(messages: DataFrame) -> DataFrame:
@@ -108,7 +104,10 @@ def message_rejects(messages: DataFrame) -> DataFrame:
     kept = [c for c in messages.columns if c != "value"]
     return (
         _parsed(messages, "PERMISSIVE")
-        .filter(F.col("_empty") | F.col(_RAW).isNotNull())
+        .filter(
+            F.col("value").isNotNull()
+            & (F.col("_message").isNull() | F.col("_message")[_RAW].isNotNull())
+        )
         .select(*kept, F.lit(BAD_MESSAGE).alias("reason"), "value")
     )
 

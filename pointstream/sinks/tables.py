@@ -1,7 +1,7 @@
 """Table writers that a repeated batch or a repeated day does not duplicate."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 LABEL = "load_label"
 
@@ -54,7 +54,7 @@ class LabelledWriter:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The table written so far, with its label column last."""
-        labelled = StructType(self.schema.fields).add(LABEL, "string")
+        labelled = StructType([*self.schema.fields, StructField(LABEL, StringType())])
         return spark.read.format(self.format).schema(labelled).load(self.path)
 
 
