@@ -15,6 +15,7 @@ from pointstream.functions.binary import (
     swap32,
     unsigned_word,
 )
+from pointstream.functions.once import once
 from pointstream.functions.times import local_arrival, local_time
 from pointstream.schemas import BUFFER_BYTES, DEVICE_ZONE, HEADER_BYTES, RECORD_BYTES
 
@@ -95,15 +96,13 @@ def decode_frames(
         F.col("tail").bitwiseAND(0xFF).alias("status_bits"),
     )
     seconds = F.col("time_bits")
-    record = F.struct(
-        signed32(F.col("id_bits")).cast("int").alias("id"),
-        float32_of_bits(F.col("value_bits")).alias("point_value"),
-        local_time(seconds if unsigned_time else signed32(seconds), zone).alias("real_time"),
-        F.col("status_bits").cast("int").alias("status"),
+    record = once(
+        id=signed32(F.col("id_bits")).cast("int"),
+        point_value=float32_of_bits(F.col("value_bits")),
+        real_time=local_time(seconds if unsigned_time else signed32(seconds), zone),
+        status=F.col("status_bits").cast("int"),
     )
-    # A filter on a decoded column would be pushed below the projections above,
-    # decoding each record once more per mention. The one-row inline stops that.
-    return fields.select(*kept, "record_seq", "collect_time", F.inline(F.array(record)))
+    return fields.select(*kept, "record_seq", "collect_time", record)
 
 
 def frame_rejects(frames: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pointstream.functions.once import once
 from pointstream.functions.times import pull_day, pull_day_of
 
 NO_RESULT = "no_result"
@@ -13,8 +14,7 @@ def _result_elements() -> Column:
 
 
 def _with_elements(responses: DataFrame) -> DataFrame:
-    # One-element explode: parse each response once, whatever is built above.
-    return responses.withColumn("_elements", F.explode(F.array(_result_elements())))
+    return responses.select("*", once(_elements=_result_elements()))
 
 
 def load_ledger(responses: DataFrame, run_date: str | Column) -> DataFrame:

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import FloatType, StringType, StructField, StructType
 
+from pointstream.functions.once import once
 from pointstream.functions.times import outside_day, second_text
 from pointstream.schemas import MESSAGE, SENTINEL_DAY
 
@@ -71,10 +72,8 @@ def _parsed(messages: DataFrame, mode: str) -> DataFrame:
         schema = StructType([*MESSAGE.fields, StructField(_RAW, StringType())])
         options["columnNameOfCorruptRecord"] = _RAW
     kept = [c for c in messages.columns if c != "value"]
-    # A one-element explode keeps the optimizer from copying the parser call into
-    # every filter and field above it: each text is parsed once.
-    parsed = F.explode(F.array(F.from_json("value", schema, options))).alias("_message")
-    return messages.select(*kept, "value", parsed)
+    message = once(_message=F.from_json("value", schema, options))
+    return messages.select(*kept, "value", message)
 
 
 def parse_messages(messages: DataFrame, on_error: str = FAIL) -> DataFrame:

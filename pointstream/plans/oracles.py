@@ -51,7 +51,7 @@ def _records(ts: str = "ts") -> str:
   SELECT event_id AS frame_id, CAST(i AS INTEGER) AS record_seq, event_id % 8 + 1 AS n,
          ts + INTERVAL 8 HOUR AS collect_time,
          CAST(CASE WHEN i % 4 = 3 THEN -user_id - 1 ELSE user_id + i END AS INTEGER) AS id,
-         CAST(value + i AS FLOAT) AS v,
+         CAST(CASE WHEN i % 2 = 0 THEN value ELSE -value END AS FLOAT) AS v,
          CASE WHEN i % 3 = 2 THEN 0
               ELSE CAST(floor(epoch({ts})) AS BIGINT) + i * 3600 END AS seconds,
          CAST(({_STATUS} + 37 * i) % 256 AS INTEGER) AS status

@@ -6,6 +6,9 @@ or one response, so no view needs a shuffle or gathers a group.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pointstream.functions.binary import swap32
+from pointstream.functions.once import once
+
 # A day that the events cover, used in place of the sentinel day.
 TRIAL_SENTINEL = "2024-01-01"
 # Run date of the trial pull window.
@@ -81,36 +84,45 @@ def priority_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-def _le_hex(number: Column) -> Column:
-    text = F.lpad(F.hex(number.cast("bigint").bitwiseAND(0xFFFFFFFF)), 8, "0")
-    return F.concat(*[F.substring(text, at, 2) for at in (7, 5, 3, 1)])
-
-
-def _float_bits(value: Column) -> Column:
-    # Java's %a text holds the significand and exponent exactly. Covers zero and
-    # positive normal singles, which is what the events hold.
-    text = F.format_string("%a", value.cast("float").cast("double"))
-    fraction = F.rpad(F.regexp_extract(text, r"\.([0-9a-f]+)p", 1), 6, "0")
-    exponent = F.regexp_extract(text, r"p(-?[0-9]+)$", 1).cast("bigint")
-    bits = (exponent + 127) * (1 << 23) + F.shiftright(F.conv(fraction, 16, 10).cast("bigint"), 1)
-    return F.when(value.cast("float") == 0, F.lit(0).cast("bigint")).otherwise(bits)
-
-
 def _epoch_seconds(local: Column) -> Column:
     return F.unix_seconds(F.concat(local.cast("string"), F.lit("+00:00")).cast("timestamp"))
 
 
+def _le_hex(number: Column) -> Column:
+    return F.lpad(F.hex(swap32(number)), 8, "0")
+
+
 def record_count() -> Column:
     """Records in an event's frame: 1 to 8."""
     return (F.col("event_id") % 8 + 1).cast("int")
 
 
+def _with_float_bits(events: DataFrame) -> DataFrame:
+    """The value's single-precision bits, for zero and positive normal values.
+
+    The logarithm may be off by one beside a power of two, which the next step
+    puts right; everything else is exact.
+    """
+    single, near, exponent = F.col("single"), F.col("near"), F.col("exponent")
+    scale = F.pow(F.lit(2.0), near)
+    step = F.when(single < scale, -1).when(single >= scale * 2, 1).otherwise(0)
+    fraction = (single / F.pow(F.lit(2.0), exponent) - 1) * (1 << 23)
+    bits = (exponent + 127) * (1 << 23) + fraction.cast("bigint")
+    return (
+        events.withColumn("single", F.col("value").cast("float").cast("double"))
+        .withColumn("near", F.floor(F.log2(F.when(single > 0, single).otherwise(1.0))))
+        .withColumn("exponent", near + step)
+        .withColumn("bits", F.when(single == 0, F.lit(0).cast("bigint")).otherwise(bits))
+    )
+
+
 def as_frames(events: DataFrame) -> DataFrame:
     """One datagram per event, with 1 to 8 records made from the event's fields.
 
-    Record ``i`` has id ``user_id + i`` (every fourth one a negative id), value
-    ``value + i`` as a single, time ``ts + i`` hours (every third one time 0, as
-    an unset clock sends) and status ``code + 37 i`` modulo 256.
+    Record ``i`` has id ``user_id + i`` (every fourth one a negative id), the
+    value as a single (every second one negated), time ``ts + i`` hours (every
+    third one time 0, as an unset clock sends) and status ``code + 37 i`` modulo
+    256.
     """
 
     def record(i: Column) -> Column:
@@ -118,20 +130,31 @@ def as_frames(events: DataFrame) -> DataFrame:
         seconds = F.when(i % 3 == 2, F.lit(0).cast("bigint")).otherwise(
             F.col("seconds") + i * 3600
         )
-        status = F.lpad(F.hex(((F.col("code") + i * 37) % 256).cast("bigint")), 2, "0")
         return F.concat(
-            _le_hex(point), _le_hex(_float_bits(F.col("value") + i)), _le_hex(seconds), status
+            _le_hex(point),
+            F.when(i % 2 == 0, F.col("plus")).otherwise(F.col("minus")),
+            _le_hex(seconds),
+            F.lpad(F.hex(((F.col("code") + i * 37) % 256).cast("bigint")), 2, "0"),
         )
 
     header = F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 20)
     body = F.array_join(F.transform(F.sequence(F.lit(0), record_count() - 1), record), "")
+    arrival = F.concat(F.col("ts").cast("string"), F.lit("+00:00")).cast("timestamp")
     return (
-        events.withColumn("seconds", _epoch_seconds(F.col("ts")))
-        .withColumn("code", status_code())
+        _with_float_bits(events)
+        .select(
+            "event_id",
+            "user_id",
+            arrival.alias("recv_time"),
+            _epoch_seconds(F.col("ts")).alias("seconds"),
+            status_code().alias("code"),
+            _le_hex(F.col("bits")).alias("plus"),
+            _le_hex(F.col("bits") + (1 << 31)).alias("minus"),
+        )
         .select(
             F.col("event_id").alias("frame_id"),
-            F.concat(F.col("ts").cast("string"), F.lit("+00:00")).cast("timestamp").alias("recv_time"),
-            F.unhex(F.concat(header, body)).alias("payload"),
+            "recv_time",
+            once(payload=F.unhex(F.concat(header, body))),
         )
     )
 
@@ -144,14 +167,13 @@ def cut_frames(events: DataFrame) -> DataFrame:
     """
     frame = F.col("frame_id")
     size = F.length("payload")
-    length = (
+    kept_bytes = (
         F.when(frame % 10 == 3, frame % 9 + 1)
         .when(frame % 10 == 7, size - (frame % 12 + 1))
         .otherwise(size)
     )
-    return as_frames(events).withColumn(
-        "payload", F.col("payload").substr(F.lit(1), length.cast("int"))
-    )
+    cut = F.col("payload").substr(F.lit(1), kept_bytes.cast("int"))
+    return as_frames(events).select("frame_id", "recv_time", once(payload=cut))
 
 
 def spoiled_messages(messages: DataFrame) -> DataFrame:
@@ -193,5 +215,5 @@ def as_responses(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         F.date_add(F.to_date(F.substring(F.col("ts").cast("string"), 1, 10)), 1).alias("run_date"),
-        envelope.alias("value"),
+        once(value=envelope),
     )
