@@ -1,0 +1,95 @@
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from pointstream.operators.lookup import enriched, lookup_join, measure, total_count
+from pointstream.schemas import ENRICHED, MESSAGE, POINT_DIM
+from pointstream.sinks.tables import bind_by_position
+from pointstream.sources.dimension import read_dimension
+
+T = dt.datetime(2024, 1, 2, 3, 4, 5, 678_901)
+
+
+def facts(spark, *ids):
+    return spark.createDataFrame([(T, i, 1.5, T, 0) for i in ids], MESSAGE)
+
+
+def points(spark, *ids):
+    return spark.createDataFrame(
+        [(n, i, f"p{n}", "x", 1, "s", 2) for n, i in enumerate(ids)], POINT_DIM
+    )
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_inner_multi_and_null_keys(spark, limit):
+    joined = lookup_join(facts(spark, 1, 2, 3, None, 2), points(spark, 1, 2, 2, None, 9), broadcast_bytes=limit)
+    assert sorted(r.point_id for r in enriched(joined).collect()) == [1, 2, 2, 2, 2]
+    assert total_count(joined).first().total == 5
+
+
+def test_result_schema_and_times(spark):
+    rows = bind_by_position(enriched(lookup_join(facts(spark, 1), points(spark, 1))), ENRICHED)
+    assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in ENRICHED]
+    assert rows.first().real_time == "2024-01-02 03:04:05.678"
+
+
+def test_measured_size_grows_with_text(spark):
+    small, large = measure(points(spark, 1)), measure(points(spark, *range(100)))
+    assert (small.rows, large.rows) == (1, 100)
+    assert large.size_bytes > 90 * small.size_bytes
+    wide = points(spark, 1).withColumn("point_name", F.repeat(F.lit("x"), 100_000))
+    assert measure(wide).size_bytes > 100_000
+    assert measure(points(spark)).size_bytes == 0
+
+
+def test_size_decides_the_strategy(spark, session_conf, plan_text):
+    session_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    dim = measure(points(spark, *range(50)))
+    near = plan_text(lookup_join(facts(spark, 1), dim))
+    assert "BroadcastHashJoin" in near and "SortMergeJoin" not in near
+    far = plan_text(lookup_join(facts(spark, 1), dim, broadcast_bytes=dim.size_bytes - 1))
+    assert "SortMergeJoin" in far and "Broadcast" not in far
+
+
+def test_hot_key_is_split_beyond_the_broadcast_limit(spark, session_conf, plan_text, tmp_path):
+    session_conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    path = str(tmp_path / "facts")
+    # A third of the readings belong to one point.
+    ids = F.when(F.col("n") % 3 == 0, 7).otherwise(F.col("n") % 5000).cast("int")
+    spark.range(0, 120_000, 1, 16).toDF("n").select(
+        F.lit(T).alias("collect_time"),
+        ids.alias("id"),
+        F.rand(1).alias("point_value"),
+        F.lit(T).cast("timestamp_ntz").alias("real_time"),
+        F.lit(0).alias("status"),
+    ).write.parquet(path)
+    readings = spark.read.parquet(path)
+    rows = enriched(lookup_join(readings, points(spark, *range(5000)), broadcast_bytes=0))
+    assert len(rows.collect()) == 120_000
+    assert re.search(r"SortMergeJoin\(skew=true\)", plan_text(rows, "simple"))
+
+
+def test_filter_and_columns_reach_the_fact_scan(spark, plan_text):
+    from pointstream.plans.queries import lookup_enrich
+
+    plan = plan_text(lookup_enrich(spark, "/root/testdata/sf0.001"))
+    assert "Or(LessThan(ts," in plan
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_dimension_from_csv_in_declared_types(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    points(spark, 5, 6).write.option("header", True).csv(path)
+    dim = read_dimension(spark, "csv", path=path, header="true")
+    assert dim.schema.names == POINT_DIM.names
+    assert [f.dataType for f in dim.schema] == [f.dataType for f in POINT_DIM]
+    assert sorted(r.point_id for r in dim.collect()) == [5, 6]
