@@ -1,0 +1,86 @@
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from pointstream.functions.times import in_pull_window, pull_day, pull_window, window_text
+from pointstream.operators.ledger import ledger_rejects, load_ledger
+from pointstream.sinks.tables import write_day
+from pointstream.sources.ledgers import read_responses
+
+NESTED = '{"b":1,"a":{"z":[1,2.50],"y":"\\u6c34"},"n":null}'
+
+
+def responses(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def test_elements_keep_their_text(spark):
+    rows = load_ledger(responses(spark, '{"code":200,"result":[%s, {"k":2}]}' % NESTED), "2024-11-20")
+    got = [tuple(r) for r in rows.collect()]
+    assert [cm for cm, _ in got] == ["2024-11-19"] * 2
+    assert json.loads(got[0][1]) == json.loads(NESTED)
+    assert list(json.loads(got[0][1])) == ["b", "a", "n"]
+    assert got[1][1] == '{"k":2}'
+
+
+def test_result_given_as_text(spark):
+    wrapped = json.dumps({"result": json.dumps([{"k": 1}, {"k": 2}])})
+    assert load_ledger(responses(spark, wrapped), "2024-11-20").count() == 2
+
+
+def test_empty_and_missing_results(spark):
+    source = responses(spark, '{"result":[]}', '{"code":500}', "{broken", '{"result":"no list"}', None)
+    assert load_ledger(source, "2024-11-20").count() == 0
+    rejects = ledger_rejects(source).collect()
+    assert len(rejects) == 4 and {r.reason for r in rejects} == {"no_result"}
+
+
+def test_run_dates_as_a_column(spark):
+    source = responses(spark, '{"result":[1]}', '{"result":[2]}').select(
+        "value", F.expr("case when value like '%1%' then date'2024-03-01' else date'2024-01-01' end").alias("d")
+    )
+    got = {(r.cm, r.content) for r in load_ledger(source, F.col("d")).collect()}
+    assert got == {("2024-02-29", "1"), ("2023-12-31", "2")}
+
+
+def test_each_response_is_parsed_once(spark, tmp_path, plan_text):
+    (tmp_path / "r.json").write_text('{"result":[1]}')
+    plan = plan_text(load_ledger(read_responses(spark, str(tmp_path)), "2024-01-02"), "simple")
+    assert plan.count("from_json(") == 1
+
+
+def test_landed_files_whole_and_by_line(spark, tmp_path):
+    whole = tmp_path / "entrance"
+    whole.mkdir()
+    (whole / "a.json").write_text('{\n "result": [\n {"k": 1},\n {"k": 2}\n ]\n}\n')
+    by_line = tmp_path / "furnace"
+    by_line.mkdir()
+    (by_line / "a.jsonl").write_text('{"result":[{"k":3}]}\n{"result":[{"k":4}]}\n')
+    first = read_responses(spark, str(tmp_path), "entrance")
+    second = read_responses(spark, str(tmp_path), "furnace", whole_file=False)
+    assert load_ledger(first, "2024-11-20").count() == 2
+    assert load_ledger(second, "2024-11-20").count() == 2
+    assert first.first().ledger == "entrance"
+
+
+def test_same_day_loaded_twice(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = load_ledger(responses(spark, '{"result":[1,2]}'), "2024-11-20")
+    for _ in range(2):
+        write_day(rows, path, pull_day("2024-11-20"))
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_window_is_half_open(spark):
+    assert pull_day("2024-03-01") == "2024-02-29"
+    assert pull_window(dt.date(2024, 1, 1)) == (dt.datetime(2023, 12, 31), dt.datetime(2024, 1, 1))
+    assert window_text("2024-11-20") == {
+        "startTime": "2024-11-19 00:00:00",
+        "endTime": "2024-11-20 00:00:00",
+    }
+    times = responses(
+        spark, "2024-11-18 23:59:59.999999", "2024-11-19 00:00:00", "2024-11-19 23:59:59.999999", "2024-11-20 00:00:00"
+    ).select(F.col("value").cast("timestamp_ntz").alias("t"))
+    kept = times.filter(in_pull_window("t", "2024-11-20")).select(F.col("t").cast("string"))
+    assert [r[0] for r in kept.collect()] == ["2024-11-19 00:00:00", "2024-11-19 23:59:59.999999"]

@@ -1,0 +1,36 @@
+import pytest
+
+import __spark_entry__ as driver
+from compare import compare, oracle_connection
+from conftest import SF_DIR
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_connection(SF_DIR)
+
+
+def test_every_query_has_an_oracle():
+    assert driver.queries().keys() == driver.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", driver.queries())
+def test_query_matches_its_oracle(spark, oracle, name):
+    rows, problems = compare(
+        spark, oracle, driver.queries()[name], driver.oracle_sql()[name], SF_DIR
+    )
+    assert rows > 0 and not problems
+
+
+def test_entry(spark):
+    rows = driver.entry(spark)
+    assert rows.columns[0] == "point_id" and rows.count() == 967
+
+
+def test_no_query_uses_python_workers_or_a_cross_join(spark, plan_text):
+    for name, query in driver.queries().items():
+        if name.startswith(("stream_", "sink_")) or name == "ledger_replay":
+            continue
+        plan = plan_text(query(spark, SF_DIR), "simple")
+        for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+            assert operator not in plan, (name, operator)
