@@ -48,15 +48,15 @@ _NOT_SENTINEL = f"strftime(f.real_time, '%Y-%m-%d') <> '{TRIAL_SENTINEL}'"
 # Records of the frames made from events: see plans/tables.py for the rule.
 def _records(ts: str = "ts") -> str:
     return f"""records AS (
-  SELECT event_id AS frame_id, CAST(i AS INTEGER) AS record_seq, event_id % 8 + 1 AS n,
+  SELECT event_id AS frame_id, CAST(i AS INTEGER) AS record_seq, event_id % 4 + 1 AS n,
          ts + INTERVAL 8 HOUR AS collect_time,
          CAST(CASE WHEN i % 4 = 3 THEN -user_id - 1 ELSE user_id + i END AS INTEGER) AS id,
          CAST(CASE WHEN i % 2 = 0 THEN value ELSE -value END AS FLOAT) AS v,
          CASE WHEN i % 3 = 2 THEN 0
               ELSE CAST(floor(epoch({ts})) AS BIGINT) + i * 3600 END AS seconds,
          CAST(({_STATUS} + 37 * i) % 256 AS INTEGER) AS status
-  FROM events, range(8) r(i)
-  WHERE i <= event_id % 8)"""
+  FROM events, range(4) r(i)
+  WHERE i <= event_id % 4)"""
 
 
 def _local(seconds: str) -> str:
@@ -129,7 +129,7 @@ FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_
 WHERE c_custkey % 2 = 0""",
     "frame_hex": """SELECT event_id AS frame_id,
        upper(substr(md5(CAST(event_id AS VARCHAR)), 1, 20)) AS header_hex,
-       CAST(26 * (event_id % 8 + 1) AS INTEGER) AS body_chars, TRUE AS same_bytes
+       CAST(26 * (event_id % 4 + 1) AS INTEGER) AS body_chars, TRUE AS same_bytes
 FROM events""",
     "frame_fields": f"""WITH {_records()}
 SELECT frame_id, id, CAST(v AS DOUBLE) AS point_value_bits,

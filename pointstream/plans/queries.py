@@ -78,8 +78,11 @@ def lookup_unmatched_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_multi_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The dimension is itself a shuffle of the orders: write it once, then measure
+    # and join the written table.
+    dim = DimSnapshot(lambda session: t.priority_dim(session, sf_dir)).current(spark)
     readings = t.as_readings(_events(spark, sf_dir), "event_id")
-    return lookup_join(readings, t.priority_dim(spark, sf_dir)).select(
+    return lookup_join(readings, dim).select(
         "f.event_id", "d.point_id", "d.point_index_name", "f.point_value"
     )
 

@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pointstream.functions.binary import swap32
 from pointstream.functions.once import once
+from pointstream.schemas import RECORD_BYTES
 
 # A day that the events cover, used in place of the sentinel day.
 TRIAL_SENTINEL = "2024-01-01"
 # Run date of the trial pull window.
 TRIAL_RUN_DATE = "2024-01-16"
 
+# Largest frame made from an event.
+MAX_RECORDS = 4
+
 # One status code per event type.
 STATUS_CODES = {"view": 0, "click": 1, "signup": 2, "purchase": 3, "error": 255}
 
@@ -93,8 +97,8 @@ def _le_hex(number: Column) -> Column:
 
 
 def record_count() -> Column:
-    """Records in an event's frame: 1 to 8."""
-    return (F.col("event_id") % 8 + 1).cast("int")
+    """Records in an event's frame: 1 to 4."""
+    return (F.col("event_id") % MAX_RECORDS + 1).cast("int")
 
 
 def _with_float_bits(events: DataFrame) -> DataFrame:
@@ -117,28 +121,32 @@ def _with_float_bits(events: DataFrame) -> DataFrame:
 
 
 def as_frames(events: DataFrame) -> DataFrame:
-    """One datagram per event, with 1 to 8 records made from the event's fields.
+    """One datagram per event, with 1 to 4 records made from the event's fields.
 
-    Record ``i`` has id ``user_id + i`` (every fourth one a negative id), the
-    value as a single (every second one negated), time ``ts + i`` hours (every
+    Record ``i`` has id ``user_id + i`` (the fourth one a negative id), the
+    value as a single (every second one negated), time ``ts + i`` hours (the
     third one time 0, as an unset clock sends) and status ``code + 37 i`` modulo
     256.
     """
-
-    def record(i: Column) -> Column:
-        point = F.when(i % 4 == 3, -F.col("user_id") - 1).otherwise(F.col("user_id") + i)
-        seconds = F.when(i % 3 == 2, F.lit(0).cast("bigint")).otherwise(
-            F.col("seconds") + i * 3600
+    # The records are written out one by one: a lambda over an array of
+    # positions would not be compiled.
+    count = range(MAX_RECORDS)
+    point = ["-user_id - 1" if i % 4 == 3 else f"user_id + {i}" for i in count]
+    seconds = ["0L" if i % 3 == 2 else f"seconds + {i * 3600}" for i in count]
+    numbers = [f"{point[i]} AS id{i}" for i in count]
+    numbers += [f"{seconds[i]} AS seconds{i}" for i in count]
+    numbers += [f"(code + {i * 37}) % 256 AS status{i}" for i in count]
+    records = [
+        F.concat(
+            _le_hex(F.col(f"id{i}")),
+            F.col("plus" if i % 2 == 0 else "minus"),
+            _le_hex(F.col(f"seconds{i}")),
+            F.lpad(F.hex(f"status{i}"), 2, "0"),
         )
-        return F.concat(
-            _le_hex(point),
-            F.when(i % 2 == 0, F.col("plus")).otherwise(F.col("minus")),
-            _le_hex(seconds),
-            F.lpad(F.hex(((F.col("code") + i * 37) % 256).cast("bigint")), 2, "0"),
-        )
-
+        for i in count
+    ]
+    body = F.concat(*records).substr(F.lit(1), 2 * RECORD_BYTES * record_count())
     header = F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 20)
-    body = F.array_join(F.transform(F.sequence(F.lit(0), record_count() - 1), record), "")
     arrival = F.concat(F.col("ts").cast("string"), F.lit("+00:00")).cast("timestamp")
     return (
         _with_float_bits(events)
@@ -151,6 +159,7 @@ def as_frames(events: DataFrame) -> DataFrame:
             _le_hex(F.col("bits")).alias("plus"),
             _le_hex(F.col("bits") + (1 << 31)).alias("minus"),
         )
+        .selectExpr("event_id", "recv_time", "plus", "minus", *numbers)
         .select(
             F.col("event_id").alias("frame_id"),
             "recv_time",
@@ -199,16 +208,16 @@ def as_responses(events: DataFrame) -> DataFrame:
     The ``result`` array has 0 to 2 elements; every fifth response has none.
     """
 
-    def element(i: Column) -> Column:
+    def element(i: int) -> Column:
         return F.struct(
             F.col("event_id").alias("no"),
-            i.alias("part"),
+            F.lit(i).alias("part"),
             F.col("event_type").alias("kind"),
             F.struct(F.col("user_id").alias("user")).alias("by"),
         )
 
     parts = (F.col("event_id") % 3).cast("int")
-    elements = F.slice(F.transform(F.array(F.lit(0), F.lit(1)), element), 1, parts)
+    elements = F.slice(F.array(element(0), element(1)), 1, parts)
     envelope = F.when(F.col("event_id") % 5 == 4, F.lit('{"code":500}')).otherwise(
         F.to_json(F.struct(F.lit(200).alias("code"), elements.alias("result")))
     )
