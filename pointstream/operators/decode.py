@@ -64,27 +64,33 @@ def decode_frames(
     ``unsigned_time`` reads the seconds as unsigned, for times from 2038 on.
     """
     kept = [c for c in frames.columns if c not in ("payload", "recv_time")]
+    arrived = F.length("payload").alias("arrived")
     records = (
-        _framed(frames, padding)
-        .select(*kept, "payload", local_arrival("recv_time", zone).alias("collect_time"))
-        .select(
-            *kept, "collect_time", "payload", F.explode(_record_positions()).alias("record_seq")
-        )
+        _framed(frames.select("*", arrived), padding)
+        .select(*kept, "arrived", "payload", local_arrival("recv_time", zone).alias("collect_time"))
+        .select("*", F.explode(_record_positions()).alias("record_seq"))
     )
     start = F.col("record_seq") * RECORD_BYTES + HEADER_BYTES + 1
+    # Records that are padding alone are zero without a look at their bytes.
+    padding_only = start > F.col("arrived")
+
+    def word(value: Column) -> Column:
+        return value if padding == STRICT else F.when(padding_only, 0).otherwise(value)
+
     # Two number conversions per record: id and value in one 8-byte word, time
     # and status in one 5-byte word. The fields are then integer arithmetic.
     words = records.select(
         *kept,
         "collect_time",
         "record_seq",
+        "arrived",
         F.col("payload").substr(start, F.lit(RECORD_BYTES)).alias("record"),
     ).select(
         *kept,
         "collect_time",
         "record_seq",
-        packed_word("record", 1).alias("head"),
-        unsigned_word("record", 9, 5).alias("tail"),
+        word(packed_word("record", 1)).alias("head"),
+        word(unsigned_word("record", 9, 5)).alias("tail"),
     )
     fields = words.select(
         *kept,

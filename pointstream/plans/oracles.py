@@ -74,13 +74,17 @@ FROM records WHERE {where}"""
 _FRAMES_ENRICHED = f"""WITH {_records()}, {_POINTS}
 SELECT d.point_id, d.point_name, CAST(CAST(f.v AS VARCHAR) AS DOUBLE) AS point_value,
        f.status AS point_status, d.point_index_name, d.heat_station_code,
-       d.heat_station_name, d.area_code, {_second('f.collect_time')} || '.000' AS collect_time,
-       {_second(_local('f.seconds'))} || '.000' AS real_time
+       d.heat_station_name, d.area_code, {_whole_second('f.collect_time')} AS collect_time,
+       {_whole_second(_local('f.seconds'))} AS real_time
 FROM records f JOIN points d ON f.id = d.point_id
 WHERE f.seconds <> 0"""
 
 _FLOAT_VALUE = "CAST(CAST(CAST(value AS FLOAT) AS VARCHAR) AS DOUBLE)"
 
+_TYPED = f"""CAST(user_id AS INTEGER) AS id, {_FLOAT_VALUE} AS point_value,
+       CAST({_STATUS} AS INTEGER) AS status,
+       {_whole_second('ts')} AS collect_time, {_whole_second('ts')} AS real_time"""
+
 # Which messages the spoiling rule leaves, in the order the rule is applied.
 _BROKEN = "(event_id % 7 = 0 OR event_id % 11 = 0 OR (event_id % 13 <> 0 AND event_id % 17 = 0))"
 _BARE = "(event_id % 13 = 0)"
@@ -162,16 +166,14 @@ FROM events WHERE event_id % 10 < 3""",
        CAST(user_id AS VARCHAR) AS id, CAST(CAST(value AS FLOAT) AS VARCHAR) AS point_value,
        {_second('ts')} AS real_time, CAST({_STATUS} AS VARCHAR) AS status
 FROM events""",
-    "message_roundtrip": f"""SELECT event_id, CAST(user_id AS INTEGER) AS id,
-       {_FLOAT_VALUE} AS point_value, CAST({_STATUS} AS INTEGER) AS status,
-       {_second('ts')} || '.000' AS collect_time, {_second('ts')} || '.000' AS real_time
-FROM events""",
+    "message_roundtrip": f"SELECT event_id, {_TYPED} FROM events",
+    "message_sink": f"SELECT {_TYPED} FROM events",
     "message_quarantined": f"""SELECT event_id,
        CAST(CASE WHEN {_BARE} THEN event_id ELSE user_id END AS INTEGER) AS id,
        CASE WHEN {_BARE} THEN NULL ELSE {_FLOAT_VALUE} END AS point_value,
        CAST(CASE WHEN {_BARE} THEN NULL ELSE {_STATUS} END AS INTEGER) AS status,
-       CASE WHEN {_BARE} THEN NULL ELSE {_second('ts')} || '.000' END AS collect_time,
-       CASE WHEN {_BARE} THEN NULL ELSE {_second('ts')} || '.000' END AS real_time
+       CASE WHEN {_BARE} THEN NULL ELSE {_whole_second('ts')} END AS collect_time,
+       CASE WHEN {_BARE} THEN NULL ELSE {_whole_second('ts')} END AS real_time
 FROM events WHERE NOT {_BROKEN}""",
     "message_rejects": _MESSAGE_REJECTS,
     "frames_to_enriched": _FRAMES_ENRICHED,
@@ -188,6 +190,7 @@ WHERE ts >= TIMESTAMP '{TRIAL_RUN_DATE}' - INTERVAL 1 DAY AND ts < TIMESTAMP '{T
     # Messages carry whole seconds.
     "stream_enrich": _enriched(_NOT_SENTINEL, _whole_second),
     "stream_enrich_uncached": _enriched(_NOT_SENTINEL, _whole_second),
+    "stream_frames": _FRAMES_ENRICHED,
     "stream_quarantine": _MESSAGE_REJECTS,
     "stream_count": """SELECT count(*) AS total
 FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey

@@ -34,9 +34,11 @@ from pointstream.operators.messages import (
 )
 from pointstream.plans import tables as t
 from pointstream.schemas import ENRICHED, GENERATED, MESSAGE
+from pointstream.sinks.messages import write_messages
 from pointstream.sinks.tables import LabelledWriter, bind_by_position, write_day, write_days
 from pointstream.sources.dimension import DimSnapshot
 from pointstream.sources.generated import generated_ids
+from pointstream.sources.messages import read_messages
 from pointstream.storage import shared_folder
 from pointstream.streaming.jobs import start_count, start_enrich, start_lookup, start_quarantine
 from pointstream.streaming.settings import JobSettings
@@ -213,9 +215,9 @@ def message_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select("event_id", fields)
 
 
-def _typed_text(readings: DataFrame) -> DataFrame:
+def _typed_text(readings: DataFrame, *keep: str) -> DataFrame:
     return readings.select(
-        "event_id",
+        *keep,
         "id",
         "point_value",
         "status",
@@ -226,7 +228,7 @@ def _typed_text(readings: DataFrame) -> DataFrame:
 
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = to_messages(t.as_records(_events(spark, sf_dir), "event_id"), ["event_id"])
-    return _typed_text(parse_messages(messages))
+    return _typed_text(parse_messages(messages), "event_id")
 
 
 def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +238,7 @@ def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages that are left once malformed ones are set aside."""
-    return _typed_text(parse_messages(_spoiled(spark, sf_dir), QUARANTINE))
+    return _typed_text(parse_messages(_spoiled(spark, sf_dir), QUARANTINE), "event_id")
 
 
 def message_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,6 +246,14 @@ def message_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("event_id", "reason", F.length("value").alias("value_chars"))
 
 
+def message_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages written out as text lines and read back."""
+    path = shared_folder(spark, "messages")
+    write_messages(to_messages(t.as_records(_events(spark, sf_dir))), "text", path=path)
+    messages = read_messages(spark, "text", stream=False, path=path)
+    return _typed_text(parse_messages(messages))
+
+
 def frames_to_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Datagrams to result rows by way of JSON messages."""
     messages = to_messages(decode_frames(t.as_frames(_events(spark, sf_dir))))
@@ -354,6 +364,21 @@ def stream_enrich_uncached(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_enrich(spark, sf_dir, "stream_enrich_uncached", ttl=0)
 
 
+def stream_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of datagrams decoded, enriched and written, without messages."""
+    frames = t.as_frames(_event_stream(spark, sf_dir))
+    writer = LabelledWriter(shared_folder(spark, "frames"), "frames", ENRICHED)
+    query = start_lookup(
+        drop_sentinel(to_readings(decode_frames(frames))),
+        DimSnapshot(lambda session: t.point_dim(session, sf_dir)),
+        enriched,
+        writer,
+        _settings(spark, "stream_frames"),
+    )
+    query.awaitTermination()
+    return writer.read(spark).select(*ENRICHED.names)
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed messages of a stream, set aside in a table of their own."""
     events = _event_stream(spark, sf_dir)
@@ -418,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "message_roundtrip": message_roundtrip,
     "message_quarantined": message_quarantined,
     "message_rejects": message_reject_rows,
+    "message_sink": message_sink,
     "frames_to_enriched": frames_to_enriched,
     "frames_to_enriched_fused": frames_to_enriched_fused,
     "datagen_lookup": datagen_lookup,
@@ -428,6 +454,7 @@ QUERIES: dict[str, Query] = {
     "ledger_replay": ledger_replay,
     "stream_enrich": stream_enrich,
     "stream_enrich_uncached": stream_enrich_uncached,
+    "stream_frames": stream_frames,
     "stream_quarantine": stream_quarantine,
     "stream_count": stream_count,
     "stream_datagen": stream_datagen,
