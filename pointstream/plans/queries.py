@@ -165,18 +165,17 @@ def frame_decode_unsigned_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = t.as_frames(events).drop("recv_time").withColumn(
         "recv_time", F.lit("2024-01-01 00:00:00+00:00").cast("timestamp")
     )
-    signed = decode_frames(frames).select("frame_id", "record_seq", "real_time")
-    unsigned = decode_frames(frames, unsigned_time=True)
-    return signed.select(
-        "frame_id", "record_seq", F.lit("signed").alias("reading"), second_text("real_time").alias("real_time")
-    ).unionAll(
-        unsigned.select(
+
+    def times(reading: str) -> DataFrame:
+        records = decode_frames(frames, unsigned_time=reading == "unsigned")
+        return records.select(
             "frame_id",
             "record_seq",
-            F.lit("unsigned").alias("reading"),
+            F.lit(reading).alias("reading"),
             second_text("real_time").alias("real_time"),
         )
-    )
+
+    return times("signed").unionAll(times("unsigned"))
 
 
 def frame_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
