@@ -37,10 +37,6 @@ def _framed(frames: DataFrame, padding: str) -> DataFrame:
     raise ValueError(f"padding must be {STRICT!r} or {BUFFER!r}, not {padding!r}")
 
 
-def _body_bytes(payload: str = "payload") -> Column:
-    return F.length(payload) - HEADER_BYTES
-
-
 def _record_positions() -> Column:
     # sequence(0, -1) counts down, so a frame without records needs its own branch.
     records = F.expr(f"int((length(payload) - {HEADER_BYTES}) div {RECORD_BYTES})")
@@ -64,15 +60,15 @@ def decode_frames(
     ``unsigned_time`` reads the seconds as unsigned, for times from 2038 on.
     """
     kept = [c for c in frames.columns if c not in ("payload", "recv_time")]
-    arrived = F.length("payload").alias("arrived")
+    arrived = F.length("payload").alias("_arrived")
     records = (
         _framed(frames.select("*", arrived), padding)
-        .select(*kept, "arrived", "payload", local_arrival("recv_time", zone).alias("collect_time"))
+        .select(*kept, "_arrived", "payload", local_arrival("recv_time", zone).alias("collect_time"))
         .select("*", F.explode(_record_positions()).alias("record_seq"))
     )
     start = F.col("record_seq") * RECORD_BYTES + HEADER_BYTES + 1
     # Records that are padding alone are zero without a look at their bytes.
-    padding_only = start > F.col("arrived")
+    padding_only = start > F.col("_arrived")
 
     def word(value: Column) -> Column:
         return value if padding == STRICT else F.when(padding_only, 0).otherwise(value)
@@ -83,30 +79,30 @@ def decode_frames(
         *kept,
         "collect_time",
         "record_seq",
-        "arrived",
-        F.col("payload").substr(start, F.lit(RECORD_BYTES)).alias("record"),
+        "_arrived",
+        F.col("payload").substr(start, F.lit(RECORD_BYTES)).alias("_record"),
     ).select(
         *kept,
         "collect_time",
         "record_seq",
-        word(packed_word("record", 1)).alias("head"),
-        word(unsigned_word("record", 9, 5)).alias("tail"),
+        word(packed_word("_record", 1)).alias("_head"),
+        word(unsigned_word("_record", 9, 5)).alias("_tail"),
     )
     fields = words.select(
         *kept,
         "collect_time",
         "record_seq",
-        swap32(F.shiftright("head", 32)).alias("id_bits"),
-        swap32(F.col("head")).alias("value_bits"),
-        swap32(F.shiftright("tail", 8)).alias("time_bits"),
-        F.col("tail").bitwiseAND(0xFF).alias("status_bits"),
+        swap32(F.shiftright("_head", 32)).alias("_id_bits"),
+        swap32(F.col("_head")).alias("_value_bits"),
+        swap32(F.shiftright("_tail", 8)).alias("_time_bits"),
+        F.col("_tail").bitwiseAND(0xFF).alias("_status_bits"),
     )
-    seconds = F.col("time_bits")
+    seconds = F.col("_time_bits")
     record = once(
-        id=signed32(F.col("id_bits")).cast("int"),
-        point_value=float32_of_bits(F.col("value_bits")),
+        id=signed32(F.col("_id_bits")).cast("int"),
+        point_value=float32_of_bits(F.col("_value_bits")),
         real_time=local_time(seconds if unsigned_time else signed32(seconds), zone),
-        status=F.col("status_bits").cast("int"),
+        status=F.col("_status_bits").cast("int"),
     )
     return fields.select(*kept, "record_seq", "collect_time", record)
 
@@ -114,12 +110,12 @@ def decode_frames(
 def frame_rejects(frames: DataFrame) -> DataFrame:
     """Frames, or ends of frames, that hold no whole record, with a reason.
 
-    ``short_header``: fewer bytes than a header; ``rest`` is all of them.
+    ``short_header``: no payload, or fewer bytes than a header; ``rest`` is all.
     ``ragged_body``: bytes left after the last whole record; ``rest`` is those
     bytes, while the whole records of that frame are still decoded.
     """
-    size = F.length("payload")
-    rest = F.pmod(_body_bytes(), F.lit(RECORD_BYTES))
+    size = F.coalesce(F.length("payload"), F.lit(0))
+    rest = F.pmod(size - HEADER_BYTES, F.lit(RECORD_BYTES))
     reason = F.when(size < HEADER_BYTES, SHORT_HEADER).when(rest != 0, RAGGED_BODY)
     left = F.when(size < HEADER_BYTES, size).otherwise(rest)
     kept = [c for c in frames.columns if c != "payload"]

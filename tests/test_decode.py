@@ -48,7 +48,8 @@ def test_fields_bit_for_bit(spark):
 
 def test_infinite_and_nan(spark):
     payload = pack(*[(1, v, 0, 0) for v in (math.inf, -math.inf, math.nan)])
-    got = [r.point_value for r in decode_frames(frames_of(spark, payload)).orderBy("record_seq").collect()]
+    records = decode_frames(frames_of(spark, payload)).orderBy("record_seq")
+    got = [r.point_value for r in records.collect()]
     assert got[0] == math.inf and got[1] == -math.inf and math.isnan(got[2])
 
 
@@ -85,7 +86,8 @@ def test_times_do_not_depend_on_the_session_zone(spark, session_conf, zone):
     session_conf(spark__sql__session__timeZone=zone)
     seconds = [0, 1710052200, 1710054000, -2147483648, 2147483647]
     frames = frames_of(spark, pack(*[(1, 1.0, s, 0) for s in seconds]))
-    got = decode_frames(frames).select(F.col("real_time").cast("string"), F.col("collect_time").cast("string"))
+    texts = [F.col(name).cast("string") for name in ("real_time", "collect_time")]
+    got = decode_frames(frames).select(*texts)
     assert [tuple(r) for r in got.collect()] == [
         (text, "2024-12-18 21:41:28")
         for text in (
@@ -113,6 +115,7 @@ CASES = {
     "short": (b"\x01\x02\x03\x04", 0, 78, [("short_header", 4)]),
     "nothing": (b"", 0, 78, [("short_header", 0)]),
     "over": (pack(*[ONE] * 79), 79, 78, []),
+    "long and ragged": (pack(*[ONE] * 79) + bytes(12), 79, 78, [("ragged_body", 12)]),
 }
 
 
@@ -126,6 +129,18 @@ def test_frame_cases(spark, case):
     assert [tuple(r) for r in found] == rejects
 
 
+def test_missing_payload_is_rejected(spark):
+    frames = spark.createDataFrame([(1, ARRIVAL, None)], FRAME)
+    assert decode_frames(frames).count() == 0
+    assert [r.reason for r in frame_rejects(frames).collect()] == ["short_header"]
+
+
+def test_other_columns_are_carried(spark):
+    frames = frames_of(spark, pack(ONE)).withColumn("record", F.lit("r")).withColumn("tail", F.lit(1))
+    row = decode_frames(frames).first()
+    assert (row.frame_id, row.record, row.tail, row.id) == (0, "r", 1, 17)
+
+
 def test_rejected_rest_holds_the_bytes(spark):
     row = frame_rejects(frames_of(spark, pack(ONE) + b"\x09\x08\x07")).first()
     assert bytes(row.rest) == b"\x09\x08\x07"

@@ -4,7 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from pointstream.operators.lookup import described, enriched, lookup_join
+from pointstream.operators.lookup import described, enriched, lookup_join, total_count
 from pointstream.operators.messages import drop_sentinel, parse_messages, to_messages
 from pointstream.plans import tables as t
 from pointstream.schemas import ENRICHED, GENERATED
@@ -13,7 +13,13 @@ from pointstream.sinks.tables import LABEL, LabelledWriter
 from pointstream.sources.dimension import DimSnapshot
 from pointstream.sources.generated import generate_batch, generate_stream, generated_id
 from pointstream.sources.messages import batch_limit, read_messages
-from pointstream.streaming.jobs import start_count, start_enrich, start_quarantine, start_trial
+from pointstream.streaming.jobs import (
+    start_count,
+    start_enrich,
+    start_lookup,
+    start_quarantine,
+    start_trial,
+)
 from pointstream.streaming.settings import JobSettings, small_batches
 from conftest import SF_DIR
 
@@ -118,8 +124,6 @@ def test_dimension_changed_while_running(spark, tmp_path, ttl, later):
     put_message()
     writer = LabelledWriter(str(tmp_path / "out"), "dim", GENERATED)
     ids = read_messages(spark, "text", path=source).select(F.col("value").cast("int").alias("id"))
-    from pointstream.streaming.jobs import start_lookup
-
     query = start_lookup(
         ids,
         DimSnapshot(lambda session: session.read.parquet(dim_path), ttl),
@@ -164,8 +168,6 @@ def test_running_count_gives_each_new_total(spark, landed, tmp_path):
     job = settings(tmp_path, "totals")
     totals = []
 
-    from pointstream.operators.lookup import total_count
-
     writer = total_count(joined).writeStream.outputMode("update").foreachBatch(
         lambda batch, _: totals.extend(r.total for r in batch.collect())
     )
@@ -182,13 +184,17 @@ def test_trial_writes_and_counts(spark, tmp_path):
     rows, count = start_trial(
         ids, lambda session: t.described_dim(session, SF_DIR), writer, job, count_sink="memory"
     )
+
+    def written_rows():
+        done = [p.numInputRows for p in rows.recentProgress]
+        return sum(done[:-1])
+
     try:
         deadline = time.time() + 60
         total = 0
-        while time.time() < deadline and (total == 0 or not rows.lastProgress):
+        while time.time() < deadline and (total == 0 or written_rows() == 0):
             time.sleep(0.5)
             total = sum(r.total for r in spark.table("trial_count").collect())
-            rows.processAllAvailable() if rows.exception() else None
     finally:
         rows.stop()
         count.stop()
