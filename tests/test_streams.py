@@ -143,6 +143,27 @@ def test_dimension_changed_while_running(spark, tmp_path, ttl, later):
     assert [r.description for r in rows] == ["old", later]
 
 
+def test_large_dimension_is_shuffled_and_planned_adaptively(
+    spark, landed, tmp_path, session_conf, plan_text
+):
+    session_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    inner = LabelledWriter(str(tmp_path / "out"), "wide", ENRICHED)
+    plans = []
+
+    def keep_plan(batch, batch_id):
+        plans.append(plan_text(batch, "simple"))
+        inner(batch, batch_id)
+
+    start_enrich(
+        stream(spark, landed), points(spark), keep_plan, settings(tmp_path, "wide"),
+        t.TRIAL_SENTINEL, broadcast_bytes=0,
+    ).awaitTermination()
+    assert as_set(inner.read(spark)) == batch_rows(spark, landed)
+    assert all("AdaptiveSparkPlan" in plan and "SortMergeJoin" in plan for plan in plans)
+    # The parse is in the stream's own plan, so nothing before the join shuffles.
+    assert all(plan.count("Exchange hashpartitioning") == 2 for plan in plans)
+
+
 def test_malformed_message_fails_or_goes_aside(spark, landed, tmp_path):
     spark.createDataFrame([("{bad",)], "value string").write.mode("append").text(landed)
     good = LabelledWriter(str(tmp_path / "good"), "good", ENRICHED)
