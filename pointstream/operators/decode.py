@@ -61,9 +61,10 @@ def decode_frames(
     """
     kept = [c for c in frames.columns if c not in ("payload", "recv_time")]
     arrived = F.length("payload").alias("_arrived")
+    collect_time = local_arrival("recv_time", zone).alias("collect_time")
     records = (
         _framed(frames.select("*", arrived), padding)
-        .select(*kept, "_arrived", "payload", local_arrival("recv_time", zone).alias("collect_time"))
+        .select(*kept, "_arrived", "payload", collect_time)
         .select("*", F.explode(_record_positions()).alias("record_seq"))
     )
     start = F.col("record_seq") * RECORD_BYTES + HEADER_BYTES + 1

@@ -59,6 +59,9 @@ def _records(ts: str = "ts") -> str:
   WHERE i <= event_id % 4)"""
 
 
+_SIGNED = "CASE WHEN seconds >= 2147483648 THEN seconds - 4294967296 ELSE seconds END"
+
+
 def _local(seconds: str) -> str:
     return f"(TIMESTAMP '1970-01-01 08:00:00' + to_seconds({seconds}))"
 
@@ -143,8 +146,7 @@ FROM records WHERE record_seq = 0""",
     "frame_decode_padded_filtered": _decoded("seconds <> 0"),
     "frame_decode_unsigned_time": f"""WITH {_records("(ts + INTERVAL 177 MONTH)")}
 SELECT frame_id, record_seq, 'signed' AS reading,
-       {_second(_local('CASE WHEN seconds >= 2147483648 THEN seconds - 4294967296 ELSE seconds END'))}
-         AS real_time
+       {_second(_local(_SIGNED))} AS real_time
 FROM records
 UNION ALL
 SELECT frame_id, record_seq, 'unsigned' AS reading, {_second(_local('seconds'))} AS real_time

@@ -136,7 +136,8 @@ def test_missing_payload_is_rejected(spark):
 
 
 def test_other_columns_are_carried(spark):
-    frames = frames_of(spark, pack(ONE)).withColumn("record", F.lit("r")).withColumn("tail", F.lit(1))
+    marks = {"record": F.lit("r"), "tail": F.lit(1)}
+    frames = frames_of(spark, pack(ONE)).withColumns(marks)
     row = decode_frames(frames).first()
     assert (row.frame_id, row.record, row.tail, row.id) == (0, "r", 1, 17)
 

@@ -16,7 +16,8 @@ def responses(spark, *values):
 
 
 def test_elements_keep_their_text(spark):
-    rows = load_ledger(responses(spark, '{"code":200,"result":[%s, {"k":2}]}' % NESTED), "2024-11-20")
+    response = '{"code":200,"result":[%s, {"k":2}]}' % NESTED
+    rows = load_ledger(responses(spark, response), "2024-11-20")
     got = [tuple(r) for r in rows.collect()]
     assert [cm for cm, _ in got] == ["2024-11-19"] * 2
     assert json.loads(got[0][1]) == json.loads(NESTED)
@@ -30,7 +31,9 @@ def test_result_given_as_text(spark):
 
 
 def test_empty_and_missing_results(spark):
-    source = responses(spark, '{"result":[]}', '{"code":500}', "{broken", '{"result":"no list"}', None)
+    source = responses(
+        spark, '{"result":[]}', '{"code":500}', "{broken", '{"result":"no list"}', None
+    )
     assert load_ledger(source, "2024-11-20").count() == 0
     rejects = ledger_rejects(source).collect()
     assert len(rejects) == 4 and {r.reason for r in rejects} == {"no_result"}
@@ -38,7 +41,11 @@ def test_empty_and_missing_results(spark):
 
 def test_run_dates_as_a_column(spark):
     source = responses(spark, '{"result":[1]}', '{"result":[2]}').select(
-        "value", F.expr("case when value like '%1%' then date'2024-03-01' else date'2024-01-01' end").alias("d")
+        "value",
+        F.when(F.col("value").contains("1"), F.lit("2024-03-01"))
+        .otherwise("2024-01-01")
+        .cast("date")
+        .alias("d"),
     )
     got = {(r.cm, r.content) for r in load_ledger(source, F.col("d")).collect()}
     assert got == {("2024-02-29", "1"), ("2023-12-31", "2")}
@@ -80,7 +87,11 @@ def test_window_is_half_open(spark):
         "endTime": "2024-11-20 00:00:00",
     }
     times = responses(
-        spark, "2024-11-18 23:59:59.999999", "2024-11-19 00:00:00", "2024-11-19 23:59:59.999999", "2024-11-20 00:00:00"
+        spark,
+        "2024-11-18 23:59:59.999999",
+        "2024-11-19 00:00:00",
+        "2024-11-19 23:59:59.999999",
+        "2024-11-20 00:00:00",
     ).select(F.col("value").cast("timestamp_ntz").alias("t"))
     kept = times.filter(in_pull_window("t", "2024-11-20")).select(F.col("t").cast("string"))
     assert [r[0] for r in kept.collect()] == ["2024-11-19 00:00:00", "2024-11-19 23:59:59.999999"]

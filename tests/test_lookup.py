@@ -24,7 +24,8 @@ def points(spark, *ids):
 
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_inner_multi_and_null_keys(spark, limit):
-    joined = lookup_join(facts(spark, 1, 2, 3, None, 2), points(spark, 1, 2, 2, None, 9), broadcast_bytes=limit)
+    readings, dim = facts(spark, 1, 2, 3, None, 2), points(spark, 1, 2, 2, None, 9)
+    joined = lookup_join(readings, dim, broadcast_bytes=limit)
     assert sorted(r.point_id for r in enriched(joined).collect()) == [1, 2, 2, 2, 2]
     assert total_count(joined).first().total == 5
 
@@ -82,7 +83,8 @@ def test_filter_and_columns_reach_the_fact_scan(spark, plan_text):
 
     plan = plan_text(lookup_enrich(spark, "/root/testdata/sf0.001"))
     assert "Or(LessThan(ts," in plan
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+    columns = "ts:timestamp_ntz,user_id:bigint,event_type:string,value:double"
+    assert f"ReadSchema: struct<{columns}>" in plan
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
 
 

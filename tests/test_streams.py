@@ -70,16 +70,16 @@ def test_restart_goes_on_where_it_stopped(spark, landed, tmp_path):
 
     def run():
         start_enrich(
-            stream(spark, landed), points(spark), writer, settings(tmp_path, "again"), t.TRIAL_SENTINEL
+            stream(spark, landed), points(spark), writer, settings(tmp_path, "again"),
+            t.TRIAL_SENTINEL,
         ).awaitTermination()
 
     run()
     before = as_set(writer.read(spark))
     run()
     assert as_set(writer.read(spark)) == before
-    more = spark.createDataFrame(
-        [('{"id":3,"point_value":1.5,"real_time":"2024-02-01 00:00:00","status":1}',)], "value string"
-    )
+    text = '{"id":3,"point_value":1.5,"real_time":"2024-02-01 00:00:00","status":1}'
+    more = spark.createDataFrame([(text,)], "value string")
     more.write.mode("append").text(landed)
     run()
     assert len(as_set(writer.read(spark))) == len(before) + 1
@@ -256,11 +256,13 @@ def test_batch_limits():
 def test_settings(tmp_path):
     path = tmp_path / "job.properties"
     path.write_text(
-        "# trial\nname=enrich\ncheckpoint = /shared/ck\ninterval=10 seconds\nbatch_size=500\navailable_now=true\n"
+        "# trial\nname=enrich\ncheckpoint = /shared/ck\ninterval=10 seconds\n"
+        "batch_size=500\navailable_now=true\n"
     )
     job = JobSettings.from_properties(str(path))
     assert job == JobSettings("enrich", "/shared/ck", "10 seconds", True, 500)
-    assert job.beside("count") == JobSettings("enrich_count", "/shared/ck_count", "10 seconds", True, 500)
+    beside = JobSettings("enrich_count", "/shared/ck_count", "10 seconds", True, 500)
+    assert job.beside("count") == beside
     path.write_text("name=a\ncheckpoint=b\ntopic=c\n")
     with pytest.raises(ValueError):
         JobSettings.from_properties(str(path))
