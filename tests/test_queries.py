@@ -3,6 +3,8 @@ import pytest
 import __spark_entry__ as driver
 from compare import compare, oracle_connection
 from conftest import SF_DIR
+from pointstream.plans.oracles import ORACLES
+from pointstream.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,13 +13,19 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", driver.queries())
+def test_every_query_is_registered():
+    assert QUERIES.items() <= driver.queries().items()
+    assert ORACLES.items() <= driver.oracle_sql().items()
+    assert driver.oracle_sql().keys() <= driver.queries().keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_its_oracle(spark, oracle, name):
     rows, problems = compare(
-        spark, oracle, driver.queries()[name], driver.oracle_sql()[name], SF_DIR
+        spark, oracle, QUERIES[name], ORACLES[name], SF_DIR
     )
     assert rows > 0 and not problems
 
@@ -28,7 +36,7 @@ def test_entry(spark):
 
 
 def test_no_query_uses_python_workers_or_a_cross_join(spark, plan_text):
-    for name, query in driver.queries().items():
+    for name, query in QUERIES.items():
         if name.startswith(("stream_", "sink_")) or name in ("ledger_replay", "message_sink"):
             continue
         plan = plan_text(query(spark, SF_DIR), "simple")
