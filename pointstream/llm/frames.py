@@ -1,5 +1,7 @@
 """Small helpers on DataFrames that the operators share."""
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pointstream.storage import shared_folder
@@ -20,3 +22,15 @@ def kept(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(spark, purpose)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from the path that the driver has it in.
+
+    A cluster whose machines do not have that path gets the package by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        environment["PYTHONPATH"] = f"{root}:{known}" if known else root

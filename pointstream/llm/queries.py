@@ -4,15 +4,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pointstream.llm import chat, pii
+from pointstream.llm import chat, decontaminate, language, license_scan, pii, quality
+from pointstream.llm.frames import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit().alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licence_scan(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -45,7 +64,34 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "quality",
+    )
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = language.train(docs.filter(~held_out))
+    found = language.identified(docs, model, keep=["doc_id"])
+    return found.withColumn("held_out", held_out)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_license_scan": op2_license_scan,
     "op7_pii": op7_pii,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
