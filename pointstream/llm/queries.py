@@ -4,7 +4,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pointstream.llm import chat, decontaminate, language, license_scan, pii, quality
+from pointstream.llm import (
+    chat,
+    decontaminate,
+    jaccard_join,
+    language,
+    license_scan,
+    pii,
+    quality,
+)
 from pointstream.llm.frames import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +40,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licence_scan(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -90,6 +102,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
+    "op3_jaccard_join": op3_jaccard_join,
     "op7_pii": op7_pii,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
