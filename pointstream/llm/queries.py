@@ -9,9 +9,12 @@ from pointstream.llm import (
     decontaminate,
     jaccard_join,
     language,
+    lexical_packing,
     license_scan,
     pii,
     quality,
+    token_counts,
+    token_files,
 )
 from pointstream.llm.frames import importable
 
@@ -44,6 +47,29 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lexical_packing.packed(docs, _vocabulary("word_bpe_49k.json"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, _vocabulary("piece_bpe_32k.model"), keep=["doc_id"])
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    files = token_files.write_token_files(docs, _vocabulary("byte_bpe_50k.json"))
+    return token_files.read_documents(files)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -103,6 +129,9 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_lexical_packing": op4_lexical_packing,
+    "op5_token_counts": op5_token_counts,
+    "op6_token_files": op6_token_files,
     "op7_pii": op7_pii,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
