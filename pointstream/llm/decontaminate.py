@@ -12,7 +12,8 @@ table being written in between. No shuffle of documents, whatever the sizes.
 A null or empty text has no words and no hits; a benchmark item without words has no
 windows, and an empty benchmark hits nothing. Items are told apart by id, so repeated
 rows count once; a null id reads as an empty text. Document rows are independent of each
-other and repeated rows give repeated results.
+other and repeated rows give repeated results. Other columns stay; one named like a result
+gives way to it in ``contamination`` and stays in the two operators that remove.
 """
 
 from collections import defaultdict
@@ -24,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from pointstream.llm.frames import kept, require_free
+from pointstream.llm.frames import kept, set_aside, without
 from pointstream.llm.words import ALNUM_WORDS, Part, Tokens, lowered, parts
 
 WINDOW = 10
@@ -159,7 +160,7 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", block: int = BLOCK_WINDOWS
 ) -> DataFrame:
     """Adds ``n_words``, ``hits`` (ranges of hit words, end exclusive) and ``items``."""
-    require_free(docs, *_FOUND.names)
+    docs = docs.select(*(f"`{c}`" for c in without(docs.columns, _FOUND.names)))
     spark = docs.sparkSession
     windows = kept(spark, benchmark_windows(benchmark), "benchmark-windows")
     blocks = max(1, -(-windows.count() // block))
@@ -180,13 +181,14 @@ def n_hit() -> F.Column:
 
 def without_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents without a hit, columns unchanged."""
-    found = contamination(docs, benchmark, text)
-    return found.filter(F.size("hits") == 0).select(*docs.columns)
+    aside, back = set_aside(docs, _FOUND.names)
+    return back(contamination(aside, benchmark, text).filter(F.size("hits") == 0))
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """All documents, the hit words and what stands between them cut out of the texts."""
-    found = contamination(docs, benchmark, text)
+    aside, back = set_aside(docs, _FOUND.names)
+    found = contamination(aside, benchmark, text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,8 +210,9 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
                     texts[part.row + r] = b"".join(out).decode()
             columns = [
                 pa.array(texts, given.type) if name == text else batch.column(name)
-                for name in docs.columns
+                for name in names
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return found.mapInArrow(cut, docs.schema)
+    names = aside.columns
+    return back(found.mapInArrow(cut, aside.schema))

@@ -1,17 +1,60 @@
 """Small helpers on DataFrames that the operators share."""
 
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pointstream.storage import shared_folder
 
 
-def require_free(frame: DataFrame, *names: str) -> None:
-    """Refuse an input whose columns have the names that a result needs."""
-    taken = {name.lower() for name in frame.columns} & {name.lower() for name in names}
-    if taken:
-        raise ValueError(f"columns already in use: {sorted(taken)}")
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column has it."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def without(columns: list[str], made: list[str]) -> list[str]:
+    """Columns that stay: one with the name of a result gives way to it."""
+    results = {name.lower() for name in made}
+    return [column for column in columns if column.lower() not in results]
+
+
+def set_aside(frame: DataFrame, made: list[str]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """Columns with these names renamed, and the way back to the frame's own columns.
+
+    The way back takes a frame and the names of columns to add to the frame's own.
+    """
+    results = {name.lower() for name in made}
+    clash = [column for column in frame.columns if column.lower() in results]
+    names, aside = {}, frame
+    for column in clash:
+        names[column] = free_name(aside, f"_given_{column}")
+        aside = aside.withColumnRenamed(column, names[column])
+
+    def back(result: DataFrame, *added: str) -> DataFrame:
+        stay = [F.col(f"`{names.get(c, c)}`").alias(c) for c in frame.columns]
+        return result.select(*stay, *added)
+
+    return aside, back
+
+
+def given_and_text(
+    docs: DataFrame, text: str, keep: list[str] | None, made: list[str], inner: list[str]
+) -> tuple[DataFrame, str, list[str], Callable[..., DataFrame]]:
+    """What an operator that annotates rows starts from.
+
+    The columns to keep (all unless given), without those that give way to the results
+    ``made``, and those with an ``inner`` name set aside; and the text under a free name.
+    Returns the frame, that name, the other columns and the way back to kept columns.
+    """
+    stay = [f"`{c}`" for c in without(docs.columns if keep is None else keep, made)]
+    aside, back = set_aside(docs.select(*stay), inner)
+    name = free_name(aside, "_text")
+    both = docs.select(*stay, F.col(f"`{text}`").alias(name))
+    return both.toDF(*aside.columns, name), name, aside.columns, back
 
 
 def kept(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pointstream.llm.components import components
-from pointstream.llm.frames import kept
+from pointstream.llm.frames import free_name, kept
 from pointstream.llm.words import LOWER_WORDS, Part, constants, mixed, parts
 
 SHINGLE = 5
@@ -390,15 +390,17 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     found = kept(spark, found, "near-duplicates")
     ids = F.col(id_column).cast("bigint")
     gone = found.filter(F.col(id_column) != F.col("component_id"))
-    gone = gone.select(F.col(id_column).alias("_gone")).distinct()
-    stay = docs.join(_only_if_small(gone), ids == F.col("_gone"), "left_anti")
+    gone_id, again_id = free_name(docs, "_gone"), free_name(docs, "_again")
+    gone = gone.select(F.col(id_column).alias(gone_id)).distinct()
+    stay = docs.join(_only_if_small(gone), ids == F.col(gone_id), "left_anti")
     again = found.filter(F.col(id_column).isNotNull()).groupBy(id_column).count().filter("count > 1")
-    again = kept(spark, again.select(F.col(id_column).alias("_again")), "repeated-ids")
+    again = kept(spark, again.select(F.col(id_column).alias(again_id)), "repeated-ids")
     if again.isEmpty():
         return stay
     again = _only_if_small(again)
-    once = stay.join(again, ids == F.col("_again"), "left_anti")
-    several = stay.join(again, ids == F.col("_again"), "left_semi")
+    once = stay.join(again, ids == F.col(again_id), "left_anti")
+    several = stay.join(again, ids == F.col(again_id), "left_semi")
     number = F.row_number().over(Window.partitionBy(id_column).orderBy(text))
-    several = several.withColumn("_number", number).filter("_number = 1").drop("_number")
+    place = free_name(docs, "_place")
+    several = several.withColumn(place, number).filter(F.col(place) == 1).drop(place)
     return once.unionByName(several)

@@ -13,7 +13,8 @@ Prediction reads the whole text and nothing else.
 
 A text that is null or has no letter is ``und`` with score 0. With no training rows every
 text is ``und``. Equal cosines go to the language first in order of name. Rows are
-independent; repeated rows give repeated results.
+independent; repeated rows give repeated results. Other columns stay; one named like a
+result gives way to it.
 """
 
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from pointstream.llm.frames import kept, require_free
+from pointstream.llm.frames import given_and_text, kept
 from pointstream.llm.words import Part, parts
 
 UNDETERMINED = "und"
@@ -110,14 +111,15 @@ class Model:
     farthest: np.ndarray
 
 
-def _sample(labelled: DataFrame, id_column: str, lang: str) -> DataFrame:
-    counts = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES)
-    rows = [(r[0], min(1.0, SAMPLE_PER_LANGUAGE / r[1])) for r in counts.collect()]
+def _sample(labelled: DataFrame) -> DataFrame:
+    """Rows (_id, _text, _lang) of the sample."""
+    counts = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang")
+    counts = counts.limit(MAX_LANGUAGES).collect()
+    rows = [(r["_lang"], min(1.0, SAMPLE_PER_LANGUAGE / r["count"])) for r in counts]
     shares = labelled.sparkSession.createDataFrame(rows, "_lang string, _share double")
-    draw = F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(1_000_000)) / 1e6
+    draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1e6
     # At most MAX_LANGUAGES rows.
-    joined = labelled.join(F.broadcast(shares), F.col(lang) == F.col("_lang"))
-    return joined.filter(draw < F.col("_share"))
+    return labelled.join(F.broadcast(shares), "_lang").filter(draw < F.col("_share"))
 
 
 def train(
@@ -125,8 +127,12 @@ def train(
 ) -> Model:
     """Fits a model on rows whose language is known; rows without one are not used."""
     spark = labelled.sparkSession
-    given = labelled.select(F.col(id_column), F.col(text).alias("_text"), F.col(lang))
-    given = given.filter(F.col(lang).isNotNull() & F.col("_text").isNotNull())
+    given = labelled.select(
+        F.col(id_column).cast("string").alias("_id"),
+        F.col(text).alias("_text"),
+        F.col(lang).cast("string").alias("_lang"),
+    )
+    given = given.filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull())
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,7 +141,7 @@ def train(
                 langs = batch.column("_lang").slice(part.row, len(part))
                 yield pa.RecordBatch.from_arrays([langs, pa.array(rows)], ["lang", "counts"])
 
-    sample = _sample(given, id_column, lang)
+    sample = _sample(given)
     rows = kept(spark, sample.mapInArrow(vectors, "lang string, counts binary"), "language-sample")
 
     def matrix(column: pa.Array) -> np.ndarray:
@@ -203,16 +209,15 @@ def identified(
 
     ``rejected`` marks texts without a letter and those too far from every centroid.
     """
-    keep = docs.columns if keep is None else keep
     made = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
-    require_free(docs.select(*keep), *made.names)
+    given, text, keep, back = given_and_text(docs, text, keep, made.names, [])
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = known.value
         for batch in batches:
             names, scores, rejected = [], [], []
-            for part in parts(batch.column("_text"), ROWS):
+            for part in parts(batch.column(text), ROWS):
                 counts = _counts(part)
                 valid = _has_letter(part)
                 if not model.languages:
@@ -237,5 +242,6 @@ def identified(
                 names=keep + made.names,
             )
 
-    schema = T.StructType(docs.select(*keep).schema.fields + made.fields)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(predict, schema)
+    fields = [f for f in given.schema.fields if f.name in keep]
+    found = given.mapInArrow(predict, T.StructType(fields + made.fields))
+    return back(found, *made.names)

@@ -12,7 +12,8 @@ A word is a run of ASCII letters (lower-cased), digits and non-ASCII characters.
 phrase counts at every place where its words stand consecutively.
 
 A null or empty text has no words, no labels and score 0. Rows are independent; repeated
-rows give repeated results. An empty table gives an empty one.
+rows give repeated results. An empty table gives an empty one. Other columns stay;
+one named like a result gives way to it.
 """
 
 import math
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from pointstream.llm.frames import kept, require_free
+from pointstream.llm.frames import given_and_text, kept
 from pointstream.llm.words import ALNUM_WORDS, lowered, parts, tokens
 
 # Phrases whose every place counts, and their labels.
@@ -94,21 +95,19 @@ def _vocabulary_hashes() -> tuple[np.ndarray, np.ndarray]:
 _PLACES = "n_words bigint, at array<int>, word array<int>"
 
 
-def licence_words(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns to keep (all unless given), the number of words, and the vocabulary words.
+def _licence_words(given: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """The columns to keep, the number of words, and the vocabulary words.
 
     ``at`` are word positions from 0, ``word`` numbers in ``vocabulary()``.
     """
-    keep = docs.columns if keep is None else keep
     made = T.StructType.fromDDL(_PLACES)
-    require_free(docs.select(*keep), *made.names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, numbers = _vocabulary_hashes()
         words = [w.encode() for w in vocabulary()]
         for batch in batches:
             counts, places, which = [], [], []
-            for part in parts(batch.column("_text")):
+            for part in parts(batch.column(text)):
                 found = part.tokens(ALNUM_WORDS)
                 near = np.minimum(np.searchsorted(hashes, found.hash), len(hashes) - 1)
                 hit = np.flatnonzero(hashes[near] == found.hash)
@@ -131,8 +130,8 @@ def licence_words(docs: DataFrame, text: str = "text", keep: list[str] | None =
                 names=keep + made.names,
             )
 
-    schema = T.StructType(docs.select(*keep).schema.fields + made.fields)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(scan, schema)
+    fields = [f for f in given.schema.fields if f.name in keep]
+    return given.mapInArrow(scan, T.StructType(fields + made.fields))
 
 
 class Index:
@@ -188,11 +187,12 @@ _RESULT = "n_base bigint, first_word bigint, last_word bigint, base_labels strin
 
 def licence_scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns to keep, ``n_words``, base places and all labels with the best score."""
-    keep = docs.columns if keep is None else keep
     made = T.StructType.fromDDL(_RESULT)
-    require_free(docs.select(*keep), *made.names)
+    given, text, keep, back = given_and_text(
+        docs, text, keep, ["n_words", *made.names], ["at", "word"]
+    )
     spark = docs.sparkSession
-    rows = kept(spark, licence_words(docs, text, keep), "licence-words")
+    rows = kept(spark, _licence_words(given, text, keep), "licence-words")
     files = rows.count()
     seen = rows.select(F.explode(F.array_distinct("word")).alias("word")).groupBy("word").count()
     df = {r["word"]: r["count"] for r in seen.collect()}  # one row per vocabulary word at most
@@ -239,5 +239,6 @@ def licence_scan(docs: DataFrame, text: str = "text", keep: list[str] | None = N
             ("score", pa.float64()),
         ]
     )
-    fields = docs.select(*keep).schema.fields + [T.StructField("n_words", T.LongType())]
-    return rows.mapInArrow(look_up, T.StructType(fields + made.fields))
+    fields = [f for f in rows.schema.fields if f.name in [*keep, "n_words"]]
+    found = rows.mapInArrow(look_up, T.StructType(fields + made.fields))
+    return back(found, "n_words", *made.names)

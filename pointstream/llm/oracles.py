@@ -1,3 +1,98 @@
-"""DuckDB SQL for the training-data queries that SQL can express."""
+"""DuckDB SQL for the training-data queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+Without an oracle: licence scan, quality, language, packing, tokens and files need an
+index, a model or a tokenizer; personal data needs lookarounds, which DuckDB's patterns
+lack. Tests hold these against brute force.
+"""
+
+from pointstream.llm.chat import BEGIN, CONTROL, END
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+_DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_ALNUM} AS w FROM benchmark),
+bn AS (SELECT item, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+bi AS (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM bn),
+bw AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM bi),
+sizes AS (SELECT DISTINCT n FROM bw),
+di AS (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM d CROSS JOIN sizes WHERE len(w) >= n),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM di),
+h AS (SELECT dw.doc_id, dw.n, dw.i, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win),
+places AS (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM places GROUP BY doc_id),
+named AS (SELECT DISTINCT doc_id, item FROM h),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM named GROUP BY doc_id)
+SELECT
+    d.doc_id,
+    CAST(len(d.w) AS BIGINT) AS n_words,
+    CAST(coalesce(hit.n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(items.n_items, 0) AS BIGINT) AS n_items,
+    sha256(coalesce(items.items, '')) AS items_sha256,
+    hit.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
+
+_JACCARD_JOIN = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dn AS (SELECT doc_id, w, least(len(w), 5) AS n FROM d WHERE len(w) > 0),
+di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dn),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + n - 1], ' ') AS shingle FROM di),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+    SELECT one.doc_id AS a, two.doc_id AS b, count(*) AS n
+    FROM s AS one JOIN s AS two ON one.shingle = two.shingle AND one.doc_id != two.doc_id
+    GROUP BY one.doc_id, two.doc_id),
+links AS (
+    SELECT c.a, c.b FROM common AS c
+    JOIN sizes AS x ON x.doc_id = c.a JOIN sizes AS y ON y.doc_id = c.b
+    WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM d
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least_of AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles, least_of.component_id
+FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id JOIN least_of ON least_of.a = d.doc_id
+"""
+
+
+def _control() -> str:
+    """Pattern of the control strings, with any number of backslashes behind the first character."""
+    rest = "|".join(c[1:].replace("|", r"\|").replace("]", r"\]") for c in CONTROL)
+    return rf"[<\[]\\*(?:{rest})"
+
+
+_CHAT = f"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT
+    conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(
+        r || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, r, x)) AS turns_sha256,
+    CAST(sum(CASE WHEN r = 'assistant' THEN length(x) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(
+        CASE WHEN r = 'assistant' THEN x ELSE '' END, '' ORDER BY turn NULLS FIRST, r, x
+    ), '')) AS loss_sha256,
+    CAST(sum(
+        {len(BEGIN)} + length(r) + len(regexp_extract_all(r, '[\\\\\\n]'))
+        + len(regexp_extract_all(r, '{_control()}')) + 1
+        + length(x) + len(regexp_extract_all(x, '{_control()}')) + {len(END)}
+    ) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": _DECONTAMINATION,
+    "op3_jaccard_join": _JACCARD_JOIN,
+    "op8_chat_formatting": _CHAT,
+}

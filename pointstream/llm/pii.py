@@ -3,15 +3,15 @@
 Everything is a DataFrame expression. Offsets are code points, ends exclusive.
 
 A null text counts as empty and has no spans. Rows are independent of each other, so
-repeated rows give repeated results, and an empty table gives an empty one. Any column
-of the input may be kept; names that the result needs are refused.
+repeated rows give repeated results, and an empty table gives an empty one. Other columns
+stay; one named ``pii`` gives way to the result of ``pii_spans``, and stays in ``redact``.
 """
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pointstream.llm.frames import require_free
+from pointstream.llm.frames import set_aside, without
 
 
 @dataclass(frozen=True)
@@ -146,13 +146,14 @@ def _spans(text: str, found: str, rank: int, kind: Kind) -> str:
 
 def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``pii``: spans (start, rank of the kind, end, kind, score) by start, then kind."""
+    given = docs.select(*(f"`{c}`" for c in without(docs.columns, ["pii"])))
     made = [f"_found_{kind.name}" for kind in KINDS]
-    require_free(docs, "pii", "_pii_text", *made)
-    plain = docs.withColumn("_pii_text", F.coalesce(F.col(text), F.lit("")))
+    aside, back = set_aside(given, ["_pii_text", *made])
+    plain = aside.withColumn("_pii_text", F.coalesce(F.col(text), F.lit("")))
     found = plain.select("*", *(F.expr(_matches("_pii_text", k)).alias(c) for k, c in zip(KINDS, made)))
     each = [_spans("_pii_text", c, rank, k) for rank, (k, c) in enumerate(zip(KINDS, made))]
     spans = F.expr(f"array_sort(concat({', '.join(each)}))")
-    return found.withColumn("pii", spans).drop("_pii_text", *made)
+    return back(found.withColumn("pii", spans), "pii")
 
 
 def span_text(kinds: tuple[str, ...] | None = None) -> Column:
@@ -190,7 +191,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     The columns stay the same. Texts without spans, null ones too, stay as they are.
     """
-    require_free(docs, "_chunks", "_merged")
+    aside, back = set_aside(docs, ["pii", "_chunks", "_merged"])
     merged = """aggregate(pii, CAST(array() AS array<struct<start:int,end:int,kind:string>>),
         (a, x) -> IF(size(a) > 0 AND x.start < element_at(a, -1).end,
             concat(slice(a, 1, size(a) - 1), array(named_struct(
@@ -204,11 +205,11 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         array_join(transform(_merged, (s, i) -> concat(
             {_piece("_chunks", until, "s.start")}, '[', upper(s.kind), ']')), ''),
         {_piece("_chunks", rest, "length(`" + text + "`)")})"""
-    found = pii_spans(docs, text).select(
+    found = pii_spans(aside, text).select(
         "*",
         F.expr(merged).alias("_merged"),
         F.when(F.size("pii") > 0, F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _CHUNK), F.lit(0)))
         .alias("_chunks"),
     )
     changed = F.when(F.size("pii") > 0, F.expr(cut)).otherwise(F.col(text))
-    return found.withColumn(text, changed).select(*docs.columns)
+    return back(found.withColumn(text, changed))

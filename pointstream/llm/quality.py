@@ -8,7 +8,8 @@ good follows from its pattern.
 
 A null or empty text has no words: all measures are 0 and it fails the base rule. Measures
 of a document do not depend on other rows, so repeated rows give repeated results; an
-empty table gives an empty one. Columns named like a result are refused.
+empty table gives an empty one. Other columns stay; one named like a result gives way to
+it.
 """
 
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from pointstream.llm.frames import kept, require_free
+from pointstream.llm.frames import given_and_text, kept, set_aside, without
 from pointstream.llm.words import LINES, PLAIN_WORDS, Part, Tokens, parts
 
 SYMBOLS = b"#*$%&|<>"
@@ -82,13 +83,12 @@ def _lines(part: Part, word_start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns to keep (all unless given) with ``MEASURES``, counted over whole texts."""
-    keep = docs.columns if keep is None else keep
-    require_free(docs.select(*keep), *MEASURES)
+    given, text, keep, back = given_and_text(docs, text, keep, MEASURES, [])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for part in parts(batch.column("_text")):
+            for part in parts(batch.column(text)):
                 words, repeats, found = _repeats(part)
                 lines, dups = _lines(part, found.start)
                 sums = [part.count(t) for t in (_WORD_CHARS, _SYMBOL, _LETTERS, _UPPER, _STOPS)]
@@ -101,10 +101,9 @@ def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
                 [batch.column(n) for n in keep] + made, names=keep + MEASURES
             )
 
-    fields = [f for f in docs.select(*keep).schema.fields]
+    fields = [f for f in given.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField(n, T.LongType()) for n in MEASURES])
-    given = docs.select(*keep, F.col(text).alias("_text"))
-    return given.mapInArrow(measure, schema)
+    return back(given.mapInArrow(measure, schema), *MEASURES)
 
 
 def _rule(measure: str, bad: str, good: str | None = None) -> str:
@@ -200,9 +199,11 @@ def judged(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
     The measures are written once to the shared folder; counting patterns and judging
     read that table.
     """
-    require_free(docs.select(*(keep or docs.columns)), "pattern", "quality", "base_failed", "kept")
     spark = docs.sparkSession
-    rows = kept(spark, measured(docs, text, keep).withColumn("pattern", votes()), "quality")
+    verdict = ["quality", "base_failed", "kept"]
+    keep = without(docs.columns if keep is None else keep, [*MEASURES, *verdict])
+    aside, back = set_aside(measured(docs, text, keep), ["pattern"])
+    rows = kept(spark, aside.withColumn("pattern", votes()), "quality")
     counted = rows.groupBy("pattern").count().collect()
     pattern = np.array([r["pattern"] for r in counted], dtype=np.int64)
     prior, chance = estimate(pattern, np.array([r["count"] for r in counted], dtype=float))
@@ -211,7 +212,6 @@ def judged(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
         list(zip(pattern.tolist(), share.tolist())), "pattern int, quality double"
     )
     # At most PATTERNS rows.
-    joined = rows.join(F.broadcast(known), "pattern").drop("pattern")
-    return joined.withColumn("base_failed", base_failed()).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("quality") >= 0.5)
-    )
+    joined = rows.join(F.broadcast(known), "pattern").withColumn("base_failed", base_failed())
+    good = ~F.col("base_failed") & (F.col("quality") >= 0.5)
+    return back(joined.withColumn("kept", good), *verdict)

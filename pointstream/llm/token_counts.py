@@ -14,7 +14,8 @@ No piece goes over the start of a run of ``▁`` or holds a line feed, so a text
 of its parts between those; counts of parts are cached, in a cache of bounded size.
 
 A null or empty text has no tokens and score 0. Rows are independent; repeated rows give
-repeated results; an empty table gives an empty one.
+repeated results; an empty table gives an empty one. Other columns stay; one named like a
+result gives way to it.
 """
 
 import re
@@ -22,11 +23,10 @@ from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, types as T
 
 from pointstream.llm.cached_tokens import CACHED_CHARS, Generations
-from pointstream.llm.frames import require_free
+from pointstream.llm.frames import given_and_text
 from pointstream.llm.words import parts
 
 SPACE = "▁"
@@ -124,17 +124,16 @@ def token_counts(
     docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
     """The columns to keep (all unless given), ``n_tokens`` and ``token_score``."""
-    keep = docs.columns if keep is None else keep
     made = T.StructType.fromDDL("n_tokens bigint, token_score double")
-    require_free(docs.select(*keep), *made.names)
+    given, text, keep, back = given_and_text(docs, text, keep, made.names, [])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counter(path)
         for batch in batches:
             found = []
-            given = batch.column("_text")
-            for part in parts(given):
-                texts = given.slice(part.row, len(part)).to_pylist()
+            column = batch.column(text)
+            for part in parts(column):
+                texts = column.slice(part.row, len(part)).to_pylist()
                 found += known.count([t or "" for t in texts])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in keep]
@@ -143,5 +142,6 @@ def token_counts(
                 names=keep + made.names,
             )
 
-    schema = T.StructType(docs.select(*keep).schema.fields + made.fields)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(count, schema)
+    fields = [f for f in given.schema.fields if f.name in keep]
+    found = given.mapInArrow(count, T.StructType(fields + made.fields))
+    return back(found, *made.names)
