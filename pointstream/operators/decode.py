@@ -17,13 +17,14 @@ from pointstream.functions.binary import (
 )
 from pointstream.functions.once import once
 from pointstream.functions.times import local_arrival, local_time
-from pointstream.schemas import BUFFER_BYTES, DEVICE_ZONE, HEADER_BYTES, RECORD_BYTES
+from pointstream.schemas import BUFFER_BYTES, DEVICE_ZONE, HEADER_BYTES, RECORD, RECORD_BYTES
 
 STRICT = "strict"
 BUFFER = "buffer"
 
 SHORT_HEADER = "short_header"
 RAGGED_BODY = "ragged_body"
+OVER_LENGTH = "over_length"
 
 
 def _framed(frames: DataFrame, padding: str) -> DataFrame:
@@ -59,6 +60,10 @@ def decode_frames(
     are cut, shorter ones end in zero records dated 1970-01-01 in the zone.
     ``unsigned_time`` reads the seconds as unsigned, for times from 2038 on.
     """
+    made = {name.lower() for name in RECORD.names}
+    clash = [c for c in frames.columns if c.lower() in made]
+    if clash:
+        raise ValueError(f"frames carry columns that the decode makes: {clash}")
     kept = [c for c in frames.columns if c not in ("payload", "recv_time")]
     arrived = F.length("payload").alias("_arrived")
     collect_time = local_arrival("recv_time", zone).alias("collect_time")
@@ -108,18 +113,24 @@ def decode_frames(
     return fields.select(*kept, "record_seq", "collect_time", record)
 
 
-def frame_rejects(frames: DataFrame) -> DataFrame:
-    """Frames, or ends of frames, that hold no whole record, with a reason.
+def frame_rejects(frames: DataFrame, padding: str = STRICT) -> DataFrame:
+    """Frames, or ends of frames, that the decode leaves out, with a reason.
 
     ``short_header``: no payload, or fewer bytes than a header; ``rest`` is all.
     ``ragged_body``: bytes left after the last whole record; ``rest`` is those
     bytes, while the whole records of that frame are still decoded.
+    ``over_length``, with ``padding="buffer"``: ``rest`` is the bytes past the
+    receive buffer. There, short and ragged frames end in zeros and are decoded.
     """
     size = F.coalesce(F.length("payload"), F.lit(0))
+    kept = [c for c in frames.columns if c != "payload"]
+    if padding == BUFFER:
+        cut = F.col("payload").substr(F.lit(BUFFER_BYTES + 1), size - BUFFER_BYTES)
+        over = frames.filter(size > BUFFER_BYTES)
+        return over.select(*kept, F.lit(OVER_LENGTH).alias("reason"), cut.alias("rest"))
     rest = F.pmod(size - HEADER_BYTES, F.lit(RECORD_BYTES))
     reason = F.when(size < HEADER_BYTES, SHORT_HEADER).when(rest != 0, RAGGED_BODY)
     left = F.when(size < HEADER_BYTES, size).otherwise(rest)
-    kept = [c for c in frames.columns if c != "payload"]
     return frames.filter((size < HEADER_BYTES) | (rest != 0)).select(
         *kept,
         reason.alias("reason"),

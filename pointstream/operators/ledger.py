@@ -8,13 +8,17 @@ from pointstream.functions.times import pull_day, pull_day_of
 NO_RESULT = "no_result"
 
 
-def _result_elements() -> Column:
-    # The elements stay the text they arrived as; their fields are not known here.
-    return F.from_json(F.get_json_object("value", "$.result"), "array<string>")
-
-
 def _with_elements(responses: DataFrame) -> DataFrame:
-    return responses.select("*", once(_elements=_result_elements()))
+    # Parsed as variants, numbers keep all their digits: decimals of up to 38, whole
+    # numbers as such. Text and nesting stay; key order and the way a number is
+    # written (1.10 or 1.1) may not. A text that is no JSON has no elements. A result
+    # may also be the text of an array.
+    parsed = responses.select("*", once(_parsed=F.expr("try_parse_json(value)")))
+    elements = """coalesce(
+        try_variant_get(_parsed, '$.result', 'array<variant>'),
+        try_variant_get(
+            try_parse_json(try_variant_get(_parsed, '$.result', 'string')), '$', 'array<variant>'))"""
+    return parsed.select(*responses.columns, once(_elements=F.expr(elements)))
 
 
 def load_ledger(responses: DataFrame, run_date: str | Column) -> DataFrame:
@@ -22,12 +26,16 @@ def load_ledger(responses: DataFrame, run_date: str | Column) -> DataFrame:
 
     ``responses`` has one response per ``value``; ``run_date`` is the day of the
     pull (ISO text) or a DATE column, and the rows get the day before as ``cm``.
+    ``content`` is the element as JSON text with the same values. A ``ledger``
+    column, if there is one, is kept, so that several ledgers stay apart.
     """
     day = F.lit(pull_day(run_date)) if isinstance(run_date, str) else pull_day_of(run_date)
+    names = [name for name in ("ledger",) if name in responses.columns]
     return (
         _with_elements(responses)
         .withColumn("cm", day)
-        .select("cm", F.explode("_elements").alias("content"))
+        .select(*names, "cm", F.explode("_elements").alias("_element"))
+        .select(*names, "cm", F.to_json("_element").alias("content"))
     )
 
 

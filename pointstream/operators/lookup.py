@@ -44,26 +44,36 @@ def measure(frame: DataFrame) -> Dimension:
     return Dimension(frame, found["rows"], found["size_bytes"])
 
 
+def _broadcast_allowed(frame: DataFrame) -> bool:
+    """Whether the session allows broadcasts (a threshold of -1 forbids them)."""
+    threshold = frame.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return not threshold.strip().startswith("-")
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame | Dimension,
     fact_key: str = "id",
     dim_key: str = "point_id",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Inner equi-join of a fact ``f`` to a dimension ``d``, aliased by these names.
 
     Facts without a match and NULL keys are dropped; a key with several
-    dimension rows gives several results. A plain DataFrame is measured first.
-    Up to ``broadcast_bytes`` the dimension is broadcast, so the fact is not
-    shuffled and a hot key stays spread over all scan tasks. A larger one is
-    left to Catalyst: both sides are shuffled on the key and adaptive execution
-    splits a skewed partition.
+    dimension rows gives several results. A plain DataFrame is read once, by the
+    join itself: Catalyst and adaptive execution choose by its size. A measured
+    dimension of up to ``broadcast_bytes`` (``BROADCAST_BYTES`` unless given) is
+    broadcast where the session allows it, so the fact is not shuffled and a hot
+    key stays spread over all scan tasks. A larger one is merged: both sides are
+    shuffled on the key and adaptive execution splits a skewed partition.
+    ``broadcast_bytes=0`` merges any dimension. The rows are the same either way.
     """
-    dimension = dim if isinstance(dim, Dimension) else measure(dim)
-    side = dimension.frame.alias("d")
-    if dimension.size_bytes <= broadcast_bytes:
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    side = (dim.frame if isinstance(dim, Dimension) else dim).alias("d")
+    if isinstance(dim, Dimension) and dim.size_bytes <= limit and _broadcast_allowed(side):
         side = F.broadcast(side)
+    elif limit == 0 or isinstance(dim, Dimension):
+        side = side.hint("merge")
     return fact.alias("f").join(side, F.col(f"f.{fact_key}") == F.col(f"d.{dim_key}"), "inner")
 
 

@@ -98,17 +98,36 @@ def parse_messages(messages: DataFrame, on_error: str = FAIL) -> DataFrame:
     return parsed.select(*kept, *[message[name].alias(name) for name in MESSAGE.names])
 
 
+def mark_messages(messages: DataFrame) -> DataFrame:
+    """Messages parsed once, for :func:`marked_readings` and :func:`marked_rejects`."""
+    return _parsed(messages, "PERMISSIVE")
+
+
+def _malformed() -> Column:
+    broken = F.col("_message").isNull() | F.col("_message")[_RAW].isNotNull()
+    return F.col("value").isNotNull() & broken
+
+
+def _carried(marked: DataFrame) -> list[str]:
+    return [c for c in marked.columns if c not in ("value", "_message")]
+
+
+def marked_readings(marked: DataFrame) -> DataFrame:
+    """Typed readings of the messages that are well formed."""
+    fields = [F.col("_message")[name].alias(name) for name in MESSAGE.names]
+    good = F.col("_message").isNotNull() & F.col("_message")[_RAW].isNull()
+    return marked.filter(good).select(*_carried(marked), *fields)
+
+
+def marked_rejects(marked: DataFrame) -> DataFrame:
+    """The malformed ones: carried columns, ``reason`` and the raw ``value``."""
+    rejects = marked.filter(_malformed())
+    return rejects.select(*_carried(marked), F.lit(BAD_MESSAGE).alias("reason"), "value")
+
+
 def message_rejects(messages: DataFrame) -> DataFrame:
     """Malformed messages: carried columns, ``reason`` and the raw ``value``."""
-    kept = [c for c in messages.columns if c != "value"]
-    return (
-        _parsed(messages, "PERMISSIVE")
-        .filter(
-            F.col("value").isNotNull()
-            & (F.col("_message").isNull() | F.col("_message")[_RAW].isNotNull())
-        )
-        .select(*kept, F.lit(BAD_MESSAGE).alias("reason"), "value")
-    )
+    return marked_rejects(mark_messages(messages))
 
 
 def drop_sentinel(readings: DataFrame, day: str | dt.date | None = SENTINEL_DAY) -> DataFrame:

@@ -45,18 +45,49 @@ WHERE {where}"""
 _NOT_SENTINEL = f"strftime(f.real_time, '%Y-%m-%d') <> '{TRIAL_SENTINEL}'"
 
 
+_COUNT = """CASE event_id % 50 WHEN 10 THEN 0 WHEN 21 THEN 78 WHEN 32 THEN 79
+            ELSE event_id % 4 + 1 END"""
+
+
 # Records of the frames made from events: see plans/tables.py for the rule.
 def _records(ts: str = "ts") -> str:
     return f"""records AS (
-  SELECT event_id AS frame_id, CAST(i AS INTEGER) AS record_seq, event_id % 4 + 1 AS n,
+  SELECT event_id AS frame_id, CAST(i AS INTEGER) AS record_seq, {_COUNT} AS n,
          ts + INTERVAL 8 HOUR AS collect_time,
          CAST(CASE WHEN i % 4 = 3 THEN -user_id - 1 ELSE user_id + i END AS INTEGER) AS id,
          CAST(CASE WHEN i % 2 = 0 THEN value ELSE -value END AS FLOAT) AS v,
          CASE WHEN i % 3 = 2 THEN 0
               ELSE CAST(floor(epoch({ts})) AS BIGINT) + i * 3600 END AS seconds,
          CAST(({_STATUS} + 37 * i) % 256 AS INTEGER) AS status
-  FROM events, range(4) r(i)
-  WHERE i <= event_id % 4)"""
+  FROM events, range(79) r(i)
+  WHERE i < {_COUNT})"""
+
+
+# Text of a number's four bytes, lowest first, and of the bits of a single.
+def _le_hex(number: str) -> str:
+    text = f"printf('%08X', ({number}) & 4294967295)"
+    return " || ".join(f"substr({text}, {at}, 2)" for at in (7, 5, 3, 1))
+
+
+_SINGLE = "CAST(CAST(value AS FLOAT) AS DOUBLE)"
+_NEAR = f"floor(log2(CASE WHEN {_SINGLE} > 0 THEN {_SINGLE} ELSE 1 END))"
+_BITS = f"""bits AS (
+  SELECT event_id, near + CASE WHEN single < pow(2, near) THEN -1
+                               WHEN single >= pow(2, near + 1) THEN 1 ELSE 0 END AS e, single
+  FROM (SELECT event_id, {_SINGLE} AS single, {_NEAR} AS near FROM events) s),
+singles AS (
+  SELECT event_id, CASE WHEN single = 0 THEN 0 ELSE CAST((e + 127) * 8388608
+           + (single / pow(2, e) - 1) * 8388608 AS BIGINT) END AS bits
+  FROM bits),
+texts AS (
+  SELECT frame_id, record_seq, n,
+         {_le_hex('id')} || {_le_hex('CASE WHEN record_seq % 2 = 0 THEN bits ELSE bits + 2147483648 END')}
+         || {_le_hex('seconds')} || printf('%02X', status) AS text
+  FROM records JOIN singles ON event_id = frame_id),
+bodies AS (
+  SELECT frame_id, string_agg(text, '' ORDER BY record_seq) AS body FROM texts GROUP BY frame_id)"""
+
+_HEADER = "upper(substr(md5(CAST(event_id AS VARCHAR)), 1, 20))"
 
 
 _SIGNED = "CASE WHEN seconds >= 2147483648 THEN seconds - 4294967296 ELSE seconds END"
@@ -92,17 +123,13 @@ _TYPED = f"""CAST(user_id AS INTEGER) AS id, {_FLOAT_VALUE} AS point_value,
 _BROKEN = "(event_id % 7 = 0 OR event_id % 11 = 0 OR (event_id % 13 <> 0 AND event_id % 17 = 0))"
 _BARE = "(event_id % 13 = 0)"
 
-_MESSAGE_LENGTH = f"""
-  length('{{"collect_time":"2024-01-01 00:00:00","id":')
-  + length(CAST(user_id AS VARCHAR)) + length(',"point_value":')
-  + length(CAST(CAST(value AS FLOAT) AS VARCHAR))
-  + length(',"real_time":"2024-01-01 00:00:00","status":')
-  + length(CAST({_STATUS} AS VARCHAR)) + 1"""
+_MESSAGE = f"""'{{"collect_time":"' || {_second('ts')} || '","id":' || CAST(user_id AS VARCHAR)
+  || ',"point_value":' || CAST(CAST(value AS FLOAT) AS VARCHAR) || ',"real_time":"'
+  || {_second('ts')} || '","status":' || CAST({_STATUS} AS VARCHAR) || '}}'"""
 
 _MESSAGE_REJECTS = f"""SELECT event_id, 'bad_message' AS reason,
-  CAST(CASE WHEN event_id % 7 = 0 THEN length('{{bad ') + {_MESSAGE_LENGTH}
-       WHEN event_id % 11 = 0 THEN length('{{"id":"x","status":1}}')
-       ELSE 0 END AS INTEGER) AS value_chars
+  CASE WHEN event_id % 7 = 0 THEN '{{bad ' || {_MESSAGE}
+       WHEN event_id % 11 = 0 THEN '{{"id":"x","status":1}}' ELSE '' END AS value
 FROM events WHERE {_BROKEN}"""
 
 _GENERATED = """generated AS (
@@ -125,7 +152,7 @@ ORACLES: dict[str, str] = {
     "lookup_unmatched_dropped": _enriched("d.point_id % 2 = 0"),
     "lookup_multi_match": """SELECT event_id, d.point_id, d.point_index_name, value AS point_value
 FROM events JOIN (
-  SELECT DISTINCT CAST(o_custkey AS INTEGER) AS point_id, o_orderpriority AS point_index_name
+  SELECT CAST(o_custkey AS INTEGER) AS point_id, o_orderpriority AS point_index_name
   FROM orders) d ON user_id = d.point_id""",
     "sentinel_filter": f"""WITH {_READINGS}
 SELECT event_id, id, point_value, status, strftime(real_time, '%Y-%m-%d') AS real_day,
@@ -134,16 +161,28 @@ FROM readings f WHERE {_NOT_SENTINEL}""",
     "count_enriched": """SELECT count(*) AS total
 FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
 WHERE c_custkey % 2 = 0""",
-    "frame_hex": """SELECT event_id AS frame_id,
-       upper(substr(md5(CAST(event_id AS VARCHAR)), 1, 20)) AS header_hex,
-       CAST(26 * (event_id % 4 + 1) AS INTEGER) AS body_chars, TRUE AS same_bytes
-FROM events""",
+    "frame_hex": f"""WITH {_records()}, {_BITS}
+SELECT event_id AS frame_id, {_HEADER} AS header_hex, coalesce(body, '') AS body_hex,
+       TRUE AS same_bytes
+FROM events LEFT JOIN bodies ON event_id = frame_id""",
     "frame_fields": f"""WITH {_records()}
-SELECT frame_id, id, CAST(v AS DOUBLE) AS point_value_bits,
+SELECT frame_id, record_seq, id, CAST(v AS DOUBLE) AS point_value_bits,
        CAST(seconds AS INTEGER) AS seconds, status
-FROM records WHERE record_seq = 0""",
+FROM records""",
     "frame_decode": _decoded(),
-    "frame_decode_padded_filtered": _decoded("seconds <> 0"),
+    "captures_decode": _decoded(),
+    "frame_decode_padded": f"""WITH {_records()}
+SELECT event_id AS frame_id, CAST(i AS INTEGER) AS record_seq,
+       {_second('ts + INTERVAL 8 HOUR')} AS collect_time, coalesce(id, 0) AS id,
+       CAST(CAST(coalesce(v, CAST(0 AS FLOAT)) AS VARCHAR) AS DOUBLE) AS point_value,
+       CAST(coalesce(v, CAST(0 AS FLOAT)) AS DOUBLE) AS point_value_bits,
+       {_second(_local('coalesce(seconds, 0)'))} AS real_time, coalesce(status, 0) AS status
+FROM events CROSS JOIN range(78) r(i)
+LEFT JOIN records ON frame_id = event_id AND record_seq = i""",
+    "frame_over_length": f"""WITH {_records()}, {_BITS}
+SELECT frame_id, 'over_length' AS reason, text AS rest_hex FROM texts
+WHERE n = 79 AND record_seq = 78""",
+    "frame_decode_padded_filtered": _decoded("seconds <> 0 AND record_seq < 78"),
     "frame_decode_unsigned_time": f"""WITH {_records("(ts + INTERVAL 177 MONTH)")}
 SELECT frame_id, record_seq, 'signed' AS reading,
        {_second(_local(_SIGNED))} AS real_time
@@ -151,12 +190,13 @@ FROM records
 UNION ALL
 SELECT frame_id, record_seq, 'unsigned' AS reading, {_second(_local('seconds'))} AS real_time
 FROM records""",
-    "frame_rejects": """SELECT event_id AS frame_id, 'short_header' AS reason,
-       CAST(event_id % 9 + 1 AS INTEGER) AS rest_bytes
+    "frame_rejects": f"""WITH {_records()}, {_BITS}
+SELECT event_id AS frame_id, 'short_header' AS reason,
+       substr({_HEADER}, 1, CAST(2 * (event_id % 9 + 1) AS INTEGER)) AS rest_hex
 FROM events WHERE event_id % 10 = 3
 UNION ALL
-SELECT event_id, 'ragged_body', CAST(13 - (event_id % 12 + 1) AS INTEGER)
-FROM events WHERE event_id % 10 = 7""",
+SELECT frame_id, 'ragged_body', substr(text, 1, CAST(2 * (13 - (frame_id % 12 + 1)) AS INTEGER))
+FROM texts WHERE frame_id % 10 = 7 AND record_seq = n - 1""",
     "frame_whole_records": f"""WITH {_records()}
 SELECT frame_id, record_seq, id, status FROM records
 WHERE frame_id % 10 <> 3 AND NOT (frame_id % 10 = 7 AND record_seq = n - 1)""",
@@ -189,7 +229,41 @@ FROM events WHERE NOT {_BROKEN}""",
 FROM events
 WHERE ts >= TIMESTAMP '{TRIAL_RUN_DATE}' - INTERVAL 1 DAY AND ts < TIMESTAMP '{TRIAL_RUN_DATE}'""",
     "ledger_replay": _LEDGER,
+    "ledger_numbers": """SELECT strftime(ts, '%Y-%m-%d') AS cm,
+       CAST(CAST('12345678901234567890' AS HUGEINT) + event_id AS VARCHAR) || '.'
+         || lpad(CAST(event_id % 1000000000 AS VARCHAR), 9, '0') AS long,
+       CAST(CAST('98765432109876543210' AS HUGEINT) + event_id AS VARCHAR) AS whole,
+       CAST((event_id % 9 + 1) * 1000 AS DOUBLE) AS power, 'a"b\\cé' AS text,
+       '1.10' AS deep_number, event_id AS deep_x
+FROM events""",
+    "ledgers_two": f"""SELECT CASE WHEN no % 2 = 0 THEN 'entrance' ELSE 'furnace' END AS ledger,
+       strftime(TIMESTAMP '{TRIAL_RUN_DATE}' - INTERVAL 1 DAY, '%Y-%m-%d') AS cm,
+       no, part, kind, user
+FROM ({_LEDGER}) rows_found""",
     # Messages carry whole seconds.
+    "stream_small_batches": _enriched(_NOT_SENTINEL, _whole_second),
+    "stream_dimension_kept": _enriched(_NOT_SENTINEL, _whole_second),
+    "stream_dimension_reloaded": _enriched(_NOT_SENTINEL, _whole_second).replace(
+        "d.point_name,", "d.point_name || CASE f.event_id % 2 WHEN 1 THEN '#2' ELSE '' END AS point_name,"
+    ),
+    "dimension_read": f"""WITH {_POINTS}
+SELECT point_id AS id, point_id, point_name, point_index_name, heat_station_code,
+       heat_station_name, area_code
+FROM points""",
+    "stream_quarantine_good": f"""WITH {_POINTS}, good AS (
+  SELECT CAST(user_id AS INTEGER) AS id, {_FLOAT_VALUE} AS point_value,
+         CAST({_STATUS} AS INTEGER) AS status, {_whole_second('ts')} AS at
+  FROM events WHERE NOT {_BROKEN} AND NOT {_BARE}
+  UNION ALL SELECT CAST(event_id AS INTEGER), NULL, NULL, NULL
+  FROM events WHERE NOT {_BROKEN} AND {_BARE})
+SELECT d.point_id, d.point_name, f.point_value, f.status AS point_status,
+       d.point_index_name, d.heat_station_code, d.heat_station_name, d.area_code,
+       f.at AS collect_time, f.at AS real_time
+FROM good f JOIN points d ON f.id = d.point_id""",
+    "trial_two_outputs": f"""SELECT 'rows' AS output, count(*) AS total FROM ({_DATAGEN}) one
+UNION ALL SELECT 'counted', count(*) FROM ({_DATAGEN}) two""",
+    "sink_new_checkpoint": f"""{_enriched(_NOT_SENTINEL, _whole_second)}
+UNION ALL SELECT * FROM ({_enriched(_NOT_SENTINEL, _whole_second)}) again""",
     "stream_enrich": _enriched(_NOT_SENTINEL, _whole_second),
     "stream_enrich_uncached": _enriched(_NOT_SENTINEL, _whole_second),
     "stream_frames": _FRAMES_ENRICHED,

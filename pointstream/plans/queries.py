@@ -1,5 +1,6 @@
 """The registered queries: each takes a session and a data folder."""
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,6 +13,7 @@ from pointstream.functions.binary import (
     strip_header_text,
     unsigned_byte,
 )
+from pointstream.functions.once import once
 from pointstream.functions.times import (
     day_text,
     in_pull_window,
@@ -33,18 +35,32 @@ from pointstream.operators.messages import (
     to_readings,
 )
 from pointstream.plans import tables as t
-from pointstream.schemas import ENRICHED, GENERATED, MESSAGE
+from pointstream.schemas import COUNT, ENRICHED, GENERATED, HEADER_BYTES, MESSAGE, RECORD_BYTES
 from pointstream.sinks.messages import write_messages
 from pointstream.sinks.tables import LabelledWriter, bind_by_position, write_day, write_days
-from pointstream.sources.dimension import DimSnapshot
+from pointstream.sources.captures import read_captures
+from pointstream.sources.dimension import DimSnapshot, read_dimension
 from pointstream.sources.generated import generated_ids
+from pointstream.sources.ledgers import read_responses
 from pointstream.sources.messages import read_messages
 from pointstream.storage import shared_folder
-from pointstream.streaming.jobs import start_count, start_enrich, start_lookup, start_quarantine
-from pointstream.streaming.settings import JobSettings
+from pointstream.streaming.jobs import (
+    running_total,
+    start_count,
+    start_enrich,
+    start_lookup,
+    start_trial,
+)
+from pointstream.streaming.settings import JobSettings, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Files that trial inputs are landed in, one to a micro-batch.
+FILES = 3
+# What a changed dimension has behind its names.
+CHANGED = "#2"
+LEDGERS = ("entrance", "furnace")
+
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.table(spark, sf_dir, "events")
@@ -80,9 +96,8 @@ def lookup_unmatched_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_multi_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The dimension is itself a shuffle of the orders: write it once, then measure
-    # and join the written table.
-    dim = DimSnapshot(lambda session: t.priority_dim(session, sf_dir)).current(spark)
+    """A dimension with several rows per key: every order of a reading's customer."""
+    dim = t.priority_dim(spark, sf_dir)
     readings = t.as_readings(_events(spark, sf_dir), "event_id")
     return lookup_join(readings, dim).select(
         "f.event_id", "d.point_id", "d.point_index_name", "f.point_value"
@@ -127,24 +142,31 @@ def _record_text(records: DataFrame) -> DataFrame:
 def frame_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = t.as_frames(_events(spark, sf_dir))
     text = hex_text("payload")
-    body = strip_header_text(text)
     return frames.select(
         "frame_id",
-        F.substring(text, 1, 20).alias("header_hex"),
-        F.length(body).alias("body_chars"),
+        F.substring(text, 1, 2 * HEADER_BYTES).alias("header_hex"),
+        strip_header_text(text).alias("body_hex"),
         (hex_bytes(text) == F.col("payload")).alias("same_bytes"),
     )
 
 
 def frame_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first record of each frame, field by field."""
+    """Every record of each frame, field by field."""
     frames = t.as_frames(_events(spark, sf_dir))
-    return frames.select(
+    records = F.expr(f"int((length(payload) - {HEADER_BYTES}) div {RECORD_BYTES})")
+    several = frames.filter(records > 0)
+    each = several.select(
+        "frame_id", "payload", F.explode(F.sequence(F.lit(0), records - 1)).alias("record_seq")
+    )
+    start = F.col("record_seq") * RECORD_BYTES + HEADER_BYTES + 1
+    record = F.col("payload").substr(start, F.lit(RECORD_BYTES))
+    return each.select("frame_id", "record_seq", once(record=record)).select(
         "frame_id",
-        le_int32("payload", 11).alias("id"),
-        le_float32("payload", 15).cast("double").alias("point_value_bits"),
-        le_int32("payload", 19).alias("seconds"),
-        unsigned_byte("payload", 23).alias("status"),
+        "record_seq",
+        le_int32("record", 1).alias("id"),
+        le_float32("record", 5).cast("double").alias("point_value_bits"),
+        le_int32("record", 9).alias("seconds"),
+        unsigned_byte("record", 13).alias("status"),
     )
 
 
@@ -152,6 +174,11 @@ def frame_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _record_text(decode_frames(t.as_frames(_events(spark, sf_dir))))
 
 
+def frame_decode_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records of the receive buffer, those that are padding too."""
+    return _record_text(decode_frames(t.as_frames(_events(spark, sf_dir)), padding=BUFFER))
+
+
 def frame_decode_padded_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = decode_frames(t.as_frames(_events(spark, sf_dir)), padding=BUFFER)
     return _record_text(drop_sentinel(records))
@@ -180,7 +207,20 @@ def frame_decode_unsigned_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frame_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejects = frame_rejects(t.cut_frames(_events(spark, sf_dir)))
-    return rejects.select("frame_id", "reason", F.length("rest").alias("rest_bytes"))
+    return rejects.select("frame_id", "reason", hex_text("rest").alias("rest_hex"))
+
+
+def frame_over_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lies past the receive buffer."""
+    rejects = frame_rejects(t.as_frames(_events(spark, sf_dir)), padding=BUFFER)
+    return rejects.select("frame_id", "reason", hex_text("rest").alias("rest_hex"))
+
+
+def captures_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datagrams landed as capture files and decoded from there."""
+    path = shared_folder(spark, "captures")
+    t.as_frames(_events(spark, sf_dir)).repartition(FILES).write.parquet(path)
+    return _record_text(decode_frames(read_captures(spark, path)))
 
 
 def frame_whole_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +282,7 @@ def message_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejects = message_rejects(_spoiled(spark, sf_dir))
-    return rejects.select("event_id", "reason", F.length("value").alias("value_chars"))
+    return rejects.select("event_id", "reason", "value")
 
 
 def message_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,9 +322,10 @@ def datagen_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Ledgers
 
 
-def _content_fields(rows: DataFrame) -> DataFrame:
+def _content_fields(rows: DataFrame, *keep: str) -> DataFrame:
     """The fields of the element texts, which engines may space differently."""
     return rows.select(
+        *keep,
         "cm",
         F.get_json_object("content", "$.no").cast("bigint").alias("no"),
         F.get_json_object("content", "$.part").cast("int").alias("part"),
@@ -311,15 +352,48 @@ def ledger_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ledger_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days loaded, then all loaded again, then one day once more."""
+def ledger_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of ledger elements that a double would change."""
+    rows = load_ledger(t.number_responses(_events(spark, sf_dir)), F.col("run_date"))
+    value = F.parse_json("content")
+    field = lambda path, kind: F.variant_get(value, path, kind)
+    return rows.select(
+        "cm",
+        field("$.long", "decimal(38,9)").cast("string").alias("long"),
+        field("$.whole", "decimal(38,0)").cast("string").alias("whole"),
+        field("$.power", "double").alias("power"),
+        field("$.text", "string").alias("text"),
+        field("$.deep.list[0]", "decimal(4,2)").cast("string").alias("deep_number"),
+        field("$.deep.list[1].x", "bigint").alias("deep_x"),
+    )
+
+
+def ledgers_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ledgers landed as response lines, read by name and kept apart."""
+    path = shared_folder(spark, "responses")
     responses = t.as_responses(_events(spark, sf_dir))
-    rows = load_ledger(responses, F.col("run_date"))
-    path = shared_folder(spark, "ledger")
-    day = pull_day(t.TRIAL_RUN_DATE)
+    for number, ledger in enumerate(LEDGERS):
+        own = responses.filter(F.col("event_id") % 2 == number).select("value")
+        own.write.text(f"{path}/{ledger}")
+    landed = [read_responses(spark, path, ledger, whole_file=False) for ledger in LEDGERS]
+    rows = load_ledger(landed[0].unionAll(landed[1]), t.TRIAL_RUN_DATE)
+    return _content_fields(rows, "ledger")
+
+
+def ledger_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days loaded, then all loaded again, then one day once more.
+
+    Responses are landed by run date, so that loading one day reads that day.
+    """
+    landed, path = shared_folder(spark, "responses"), shared_folder(spark, "ledger")
+    responses = t.as_responses(_events(spark, sf_dir)).select("run_date", "value")
+    responses.hint("rebalance", F.col("run_date")).write.partitionBy("run_date").parquet(landed)
+    found = spark.read.schema("value string, run_date date").parquet(landed)
+    rows = load_ledger(found, F.col("run_date"))
     write_days(rows, path)
     write_days(rows, path)
-    write_day(rows, path, day)
+    one = found.filter(F.col("run_date") == F.lit(t.TRIAL_RUN_DATE).cast("date"))
+    write_day(load_ledger(one, F.col("run_date")), path, pull_day(t.TRIAL_RUN_DATE))
     return _content_fields(spark.read.schema("content string, cm string").parquet(path))
 
 
@@ -332,35 +406,92 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(_events(spark, sf_dir).schema).parquet(source)
 
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_messages(t.as_records(_event_stream(spark, sf_dir)))
+def _settings(spark: SparkSession, name: str, **how) -> JobSettings:
+    """Settings of a trial: what is there, a file at a time."""
+    checkpoint = shared_folder(spark, f"checkpoint-{name}")
+    return JobSettings(name, checkpoint, available_now=True, **{"batch_files": 1, **how})
 
 
-def _settings(spark: SparkSession, name: str) -> JobSettings:
-    return JobSettings(name, shared_folder(spark, f"checkpoint-{name}"), available_now=True)
+def _land_messages(spark: SparkSession, sf_dir: str, path: str, where: str = "TRUE") -> None:
+    """Messages of the events as text files, several of them."""
+    events = _events(spark, sf_dir).filter(where)
+    messages = to_messages(t.as_records(events))
+    messages.repartition(FILES).write.mode("append").text(path)
 
 
-def _stream_enrich(spark: SparkSession, sf_dir: str, name: str, ttl: float, **how) -> DataFrame:
-    writer = LabelledWriter(shared_folder(spark, name), name, ENRICHED)
-    snapshot = DimSnapshot(lambda session: t.point_dim(session, sf_dir), ttl)
-    query = start_enrich(
-        _message_stream(spark, sf_dir),
-        snapshot,
-        writer,
-        _settings(spark, name),
-        sentinel=t.TRIAL_SENTINEL,
-        **how,
-    )
+def _landed_stream(spark: SparkSession, path: str, settings: JobSettings) -> DataFrame:
+    return read_messages(spark, "text", settings=settings, path=path)
+
+
+def _enrich_landed(
+    spark: SparkSession, path: str, snapshot: DimSnapshot, writer, settings: JobSettings, **how
+) -> None:
+    stream = _landed_stream(spark, path, settings)
+    query = start_enrich(stream, snapshot, writer, settings, sentinel=t.TRIAL_SENTINEL, **how)
     query.awaitTermination()
+
+
+def _stream_enrich(
+    spark: SparkSession, sf_dir: str, settings: JobSettings, ttl: float = 24 * 3600, **how
+) -> DataFrame:
+    path = shared_folder(spark, "messages")
+    _land_messages(spark, sf_dir, path)
+    writer = LabelledWriter(shared_folder(spark, settings.name), settings.name, ENRICHED)
+    snapshot = DimSnapshot(lambda session: t.point_dim(session, sf_dir), ttl)
+    _enrich_landed(spark, path, snapshot, writer, settings, **how)
     return writer.read(spark).select(*ENRICHED.names)
 
 
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream_enrich(spark, sf_dir, "stream_enrich", ttl=24 * 3600)
+    """JSON lines of several files, a micro-batch for each."""
+    return _stream_enrich(spark, sf_dir, _settings(spark, "stream_enrich"))
 
 
 def stream_enrich_uncached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream_enrich(spark, sf_dir, "stream_enrich_uncached", ttl=0)
+    return _stream_enrich(spark, sf_dir, _settings(spark, "stream_enrich_uncached"), ttl=0)
+
+
+def stream_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flush profile of small batches, and a number of tasks of its own."""
+    small = small_batches("stream_small_batches", shared_folder(spark, "checkpoint-small"))
+    return _stream_enrich(
+        spark, sf_dir, dataclasses.replace(small, available_now=True, parallelism=3)
+    )
+
+
+def _stream_changed_dimension(spark: SparkSession, sf_dir: str, name: str, ttl: float) -> DataFrame:
+    """Half of the messages, then a changed dimension, then the other half."""
+    path, settings = shared_folder(spark, "messages"), _settings(spark, name)
+    writer = LabelledWriter(shared_folder(spark, name), name, ENRICHED)
+    suffix = [""]
+
+    def loader(session: SparkSession) -> DataFrame:
+        points = t.point_dim(session, sf_dir)
+        return points.withColumn("point_name", F.concat("point_name", F.lit(suffix[0])))
+
+    snapshot = DimSnapshot(loader, ttl)
+    for half, suffix[0] in enumerate(("", CHANGED)):
+        _land_messages(spark, sf_dir, path, f"event_id % 2 = {half}")
+        _enrich_landed(spark, path, snapshot, writer, settings)
+    return writer.read(spark).select(*ENRICHED.names)
+
+
+def stream_dimension_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a cache, each micro-batch sees the dimension of its time."""
+    return _stream_changed_dimension(spark, sf_dir, "stream_dimension_reloaded", ttl=0)
+
+
+def stream_dimension_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache, the dimension stays until its time is over."""
+    return _stream_changed_dimension(spark, sf_dir, "stream_dimension_kept", ttl=24 * 3600)
+
+
+def dimension_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed dimension table read in declared columns and types."""
+    path = shared_folder(spark, "points")
+    wide = t.point_dim(spark, sf_dir).withColumn("id", F.col("id").cast("bigint"))
+    wide.withColumn("more", F.lit(1)).write.parquet(path)
+    return read_dimension(spark, "parquet", path=path)
 
 
 def stream_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,24 +509,69 @@ def stream_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writer.read(spark).select(*ENRICHED.names)
 
 
+def _stream_quarantine(spark: SparkSession, sf_dir: str) -> tuple[LabelledWriter, LabelledWriter]:
+    """Good and malformed messages of one stream, split in the same micro-batches."""
+    path, settings = shared_folder(spark, "spoiled"), _settings(spark, "stream_quarantine")
+    spoiled = _spoiled(spark, sf_dir)
+    spoiled.repartition(FILES).write.parquet(path)
+    reader = spark.readStream.schema(spoiled.schema).option("maxFilesPerTrigger", 1)
+    stream = reader.parquet(path)
+    rejects = LabelledWriter(
+        shared_folder(spark, "quarantine"), "quarantine", message_rejects(spoiled).schema
+    )
+    writer = LabelledWriter(shared_folder(spark, "good"), "good", ENRICHED)
+    snapshot = DimSnapshot(lambda session: t.point_dim(session, sf_dir))
+    query = start_enrich(stream, snapshot, writer, settings, None, rejects=rejects)
+    query.awaitTermination()
+    return writer, rejects
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed messages of a stream, set aside in a table of their own."""
-    events = _event_stream(spark, sf_dir)
-    messages = t.spoiled_messages(to_messages(t.as_records(events, "event_id"), ["event_id"]))
-    path = shared_folder(spark, "quarantine")
-    schema = message_rejects(_spoiled(spark, sf_dir)).schema
-    writer = LabelledWriter(path, "quarantine", schema)
-    start_quarantine(messages, writer, _settings(spark, "stream_quarantine")).awaitTermination()
-    return writer.read(spark).select("event_id", "reason", F.length("value").alias("value_chars"))
+    _, rejects = _stream_quarantine(spark, sf_dir)
+    return rejects.read(spark).select("event_id", "reason", "value")
+
+
+def stream_quarantine_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the other messages of that stream."""
+    writer, _ = _stream_quarantine(spark, sf_dir)
+    return writer.read(spark).select(*ENRICHED.names)
 
 
 def stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = parse_messages(_message_stream(spark, sf_dir))
-    snapshot = DimSnapshot(lambda session: _even_points(t.point_dim(session, sf_dir)))
-    joined = lookup_join(readings, snapshot.current(spark))
-    settings = _settings(spark, "stream_count")
-    start_count(joined, settings, sink="memory").awaitTermination()
-    return spark.table(settings.name)
+    """A running count over several micro-batches, with a dimension too large to broadcast."""
+    path, settings = shared_folder(spark, "messages"), _settings(spark, "stream_count")
+    _land_messages(spark, sf_dir, path)
+    counts = LabelledWriter(shared_folder(spark, "counts"), "count", COUNT)
+    start_count(
+        parse_messages(_landed_stream(spark, path, settings)),
+        DimSnapshot(lambda session: _even_points(t.point_dim(session, sf_dir))),
+        counts,
+        settings,
+        broadcast_bytes=0,
+    ).awaitTermination()
+    return running_total(counts.read(spark))
+
+
+def trial_two_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Looked-up ids and their count from one stream: both numbers of rows."""
+    path, settings = shared_folder(spark, "events"), _settings(spark, "trial")
+    events = _events(spark, sf_dir)
+    events.repartition(FILES).write.parquet(path)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    rows = LabelledWriter(shared_folder(spark, "trial"), "trial", GENERATED)
+    counts = LabelledWriter(shared_folder(spark, "trial-counts"), "count", COUNT)
+    start_trial(
+        generated_ids(reader.parquet(path), "event_id"),
+        lambda session: t.described_dim(session, sf_dir),
+        rows,
+        counts,
+        settings,
+    ).awaitTermination()
+    written = rows.read(spark).agg(F.count("*").alias("total"))
+    outputs = {"rows": written, "counted": running_total(counts.read(spark))}
+    one, two = (frame.select(F.lit(name).alias("output"), "total") for name, frame in outputs.items())
+    return one.unionAll(two)
 
 
 def stream_datagen(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,6 +598,17 @@ def sink_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writer.read(spark).select(*ENRICHED.names)
 
 
+def sink_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs under one label prefix, the second from a new checkpoint: both stay."""
+    path = shared_folder(spark, "messages")
+    _land_messages(spark, sf_dir, path)
+    writer = LabelledWriter(shared_folder(spark, "runs"), "job", ENRICHED, part_batches=2)
+    snapshot = DimSnapshot(lambda session: t.point_dim(session, sf_dir))
+    for _ in range(2):
+        _enrich_landed(spark, path, snapshot, writer, _settings(spark, "sink_new_checkpoint"))
+    return writer.read(spark).select(*ENRICHED.names)
+
+
 QUERIES: dict[str, Query] = {
     "lookup_enrich": lookup_enrich,
     "lookup_enrich_unfiltered": lookup_enrich_unfiltered,
@@ -433,9 +620,12 @@ QUERIES: dict[str, Query] = {
     "frame_hex": frame_hex,
     "frame_fields": frame_fields,
     "frame_decode": frame_decode,
+    "frame_decode_padded": frame_decode_padded,
     "frame_decode_padded_filtered": frame_decode_padded_filtered,
     "frame_decode_unsigned_time": frame_decode_unsigned_time,
     "frame_rejects": frame_reject_rows,
+    "frame_over_length": frame_over_length,
+    "captures_decode": captures_decode,
     "frame_whole_records": frame_whole_records,
     "non_finite_rejects": non_finite_rows,
     "message_fields": message_fields,
@@ -450,12 +640,21 @@ QUERIES: dict[str, Query] = {
     "ledger_daily": ledger_daily,
     "ledger_rejects": ledger_reject_rows,
     "ledger_window": ledger_window,
+    "ledger_numbers": ledger_numbers,
+    "ledgers_two": ledgers_two,
     "ledger_replay": ledger_replay,
     "stream_enrich": stream_enrich,
     "stream_enrich_uncached": stream_enrich_uncached,
+    "stream_small_batches": stream_small_batches,
+    "stream_dimension_reloaded": stream_dimension_reloaded,
+    "stream_dimension_kept": stream_dimension_kept,
+    "dimension_read": dimension_read,
     "stream_frames": stream_frames,
     "stream_quarantine": stream_quarantine,
+    "stream_quarantine_good": stream_quarantine_good,
     "stream_count": stream_count,
+    "trial_two_outputs": trial_two_outputs,
     "stream_datagen": stream_datagen,
     "sink_replay": sink_replay,
+    "sink_new_checkpoint": sink_new_checkpoint,
 }

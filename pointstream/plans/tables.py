@@ -15,8 +15,10 @@ TRIAL_SENTINEL = "2024-01-01"
 # Run date of the trial pull window.
 TRIAL_RUN_DATE = "2024-01-16"
 
-# Largest frame made from an event.
-MAX_RECORDS = 4
+# Most records of a usual frame; of fifty events, one has an empty frame, one a full
+# receive buffer and one a record more than that.
+USUAL_RECORDS = 4
+FULL_RECORDS = 78
 
 # One status code per event type.
 STATUS_CODES = {"view": 0, "click": 1, "signup": 2, "purchase": 3, "error": 255}
@@ -76,16 +78,11 @@ def described_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def priority_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points with one row per order priority they have: several rows per key.
-
-    Reduced to distinct pairs first, so a key has at most one row per priority
-    however many orders it holds, and a lookup cannot multiply without bound.
-    """
-    orders = table(spark, sf_dir, "orders")
-    return orders.select(
+    """Points with one row for every order they have: several rows per key, equal ones too."""
+    return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("int").alias("point_id"),
         F.col("o_orderpriority").alias("point_index_name"),
-    ).distinct()
+    )
 
 
 def _epoch_seconds(local: Column) -> Column:
@@ -97,8 +94,15 @@ def _le_hex(number: Column) -> Column:
 
 
 def record_count() -> Column:
-    """Records in an event's frame: 1 to 4."""
-    return (F.col("event_id") % MAX_RECORDS + 1).cast("int")
+    """Records in an event's frame: 1 to 4, or 0, 78 or 79."""
+    event = F.col("event_id")
+    return (
+        F.when(event % 50 == 10, 0)
+        .when(event % 50 == 21, FULL_RECORDS)
+        .when(event % 50 == 32, FULL_RECORDS + 1)
+        .otherwise(event % USUAL_RECORDS + 1)
+        .cast("int")
+    )
 
 
 def _with_float_bits(events: DataFrame) -> DataFrame:
@@ -121,31 +125,31 @@ def _with_float_bits(events: DataFrame) -> DataFrame:
 
 
 def as_frames(events: DataFrame) -> DataFrame:
-    """One datagram per event, with 1 to 4 records made from the event's fields.
+    """One datagram per event, with records made from the event's fields.
 
-    Record ``i`` has id ``user_id + i`` (the fourth one a negative id), the
-    value as a single (every second one negated), time ``ts + i`` hours (the
+    Record ``i`` has id ``user_id + i`` (every fourth one a negative id), the
+    value as a single (every second one negated), time ``ts + i`` hours (every
     third one time 0, as an unset clock sends) and status ``code + 37 i`` modulo
     256.
     """
-    # The records are written out one by one: a lambda over an array of
-    # positions would not be compiled.
-    count = range(MAX_RECORDS)
-    point = ["-user_id - 1" if i % 4 == 3 else f"user_id + {i}" for i in count]
-    seconds = ["0L" if i % 3 == 2 else f"seconds + {i * 3600}" for i in count]
-    numbers = [f"{point[i]} AS id{i}" for i in count]
-    numbers += [f"{seconds[i]} AS seconds{i}" for i in count]
-    numbers += [f"(code + {i * 37}) % 256 AS status{i}" for i in count]
-    records = [
-        F.concat(
-            _le_hex(F.col(f"id{i}")),
-            F.col("plus" if i % 2 == 0 else "minus"),
-            _le_hex(F.col(f"seconds{i}")),
-            F.lpad(F.hex(f"status{i}"), 2, "0"),
+
+    def record(i: Column) -> Column:
+        point = F.when(i % 4 == 3, -F.col("user_id") - 1).otherwise(F.col("user_id") + i)
+        seconds = F.when(i % 3 == 2, F.lit(0).cast("bigint")).otherwise(
+            F.col("seconds") + i * 3600
+        )
+        return F.concat(
+            _le_hex(point),
+            F.when(i % 2 == 0, F.col("plus")).otherwise(F.col("minus")),
+            _le_hex(seconds),
+            F.lpad(F.hex((F.col("code") + i * 37) % 256), 2, "0"),
         )
-        for i in count
-    ]
-    body = F.concat(*records).substr(F.lit(1), 2 * RECORD_BYTES * record_count())
+
+    # The usual records are written out one by one, as a lambda is not compiled.
+    usual = F.concat(*(record(F.lit(i)) for i in range(USUAL_RECORDS)))
+    short = usual.substr(F.lit(1), 2 * RECORD_BYTES * F.col("records"))
+    every = F.array_join(F.transform(F.sequence(F.lit(0), F.col("records") - 1), record), "")
+    body = F.when(F.col("records") <= USUAL_RECORDS, short).otherwise(every)
     header = F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 20)
     arrival = F.concat(F.col("ts").cast("string"), F.lit("+00:00")).cast("timestamp")
     return (
@@ -156,10 +160,10 @@ def as_frames(events: DataFrame) -> DataFrame:
             arrival.alias("recv_time"),
             _epoch_seconds(F.col("ts")).alias("seconds"),
             status_code().alias("code"),
+            record_count().alias("records"),
             _le_hex(F.col("bits")).alias("plus"),
             _le_hex(F.col("bits") + (1 << 31)).alias("minus"),
         )
-        .selectExpr("event_id", "recv_time", "plus", "minus", *numbers)
         .select(
             F.col("event_id").alias("frame_id"),
             "recv_time",
@@ -172,7 +176,7 @@ def cut_frames(events: DataFrame) -> DataFrame:
     """Frames with some cut short by a rule on the event's number.
 
     Of ten frames, one keeps 1 to 9 bytes of its header and one loses 1 to 12
-    bytes of its last record.
+    bytes of its last record. Neither is one without records.
     """
     frame = F.col("frame_id")
     size = F.length("payload")
@@ -199,7 +203,9 @@ def spoiled_messages(messages: DataFrame) -> DataFrame:
         .when(event % 17 == 0, F.lit(""))
         .otherwise(F.col("value"))
     )
-    return messages.withColumn("value", value)
+    # Made once: the parser below would else write each message several times.
+    kept = [c for c in messages.columns if c != "value"]
+    return messages.select(*kept, once(value=value))
 
 
 def as_responses(events: DataFrame) -> DataFrame:
@@ -226,3 +232,29 @@ def as_responses(events: DataFrame) -> DataFrame:
         F.date_add(F.to_date(F.substring(F.col("ts").cast("string"), 1, 10)), 1).alias("run_date"),
         once(value=envelope),
     )
+
+
+def number_responses(events: DataFrame) -> DataFrame:
+    """One response per event with figures that a double cannot hold.
+
+    Long decimals, long whole numbers, exponents, escapes and nesting.
+    """
+    event = F.col("event_id")
+    text = F.concat(
+        F.lit('{"code":200,"result":[{"long":'),
+        (F.lit("12345678901234567890").cast("decimal(28,0)") + event).cast("string"),
+        F.lit("."),
+        F.lpad((event % 1_000_000_000).cast("string"), 9, "0"),
+        F.lit(',"whole":'),
+        (F.lit("98765432109876543210").cast("decimal(28,0)") + event).cast("string"),
+        F.lit(',"power":'),
+        (event % 9 + 1).cast("string"),
+        F.lit('e3,"text":"a\\"b\\\\c\\u00e9","deep":{"list":[1.10,{"x":'),
+        event.cast("string"),
+        F.lit("}]}}]}"),
+    )
+    return events.select(
+        "event_id",
+        F.date_add(F.to_date(F.substring(F.col("ts").cast("string"), 1, 10)), 1).alias("run_date"),
+        once(value=text),
+    )

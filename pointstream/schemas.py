@@ -75,3 +75,5 @@ ENRICHED = _struct(
 GENERATED = _struct(id=IntegerType, description=StringType)
 
 LEDGER = _struct(cm=StringType, content=StringType)
+
+COUNT = _struct(total=LongType)

@@ -19,6 +19,24 @@ def stream_messages(
     return settings.start(writer)
 
 
-def print_rows(rows: DataFrame, settings: JobSettings, mode: str = "append") -> StreamingQuery:
-    """Print each micro-batch's first rows on the driver's console."""
-    return settings.start(rows.writeStream.outputMode(mode).format("console"))
+def print_rows(
+    rows: DataFrame,
+    settings: JobSettings,
+    mode: str = "append",
+    limit: int | None = None,
+    width: int | None = None,
+) -> StreamingQuery:
+    """Print each micro-batch on the driver's console.
+
+    All rows and whole cells, unless ``limit`` and ``width`` bound them. Rows are
+    fetched a partition at a time.
+    """
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}: {', '.join(batch.columns)}")
+        shown = batch if limit is None else batch.limit(limit)
+        for row in shown.toLocalIterator():
+            cells = (str(cell) for cell in row)
+            print(" | ".join(cell if width is None else cell[:width] for cell in cells))
+
+    return settings.start(rows.writeStream.outputMode(mode).foreachBatch(show))

@@ -1,9 +1,17 @@
 """Table writers that a repeated batch or a repeated day does not duplicate."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-LABEL = "load_label"
+from pointstream.storage import shared_folder
+
+RUN, PART, LABEL = "load_run", "load_part", "load_label"
+
+# Batches whose labels share a folder.
+PART_BATCHES = 1000
+# The run of batches that do not come from a streaming query.
+NO_QUERY = "batch"
 
 
 def bind_by_position(rows: DataFrame, schema: StructType) -> DataFrame:
@@ -22,13 +30,21 @@ def bind_by_position(rows: DataFrame, schema: StructType) -> DataFrame:
     return rows.toDF(*schema.names)
 
 
+def query_id(spark: SparkSession) -> str:
+    """Identity of the checkpoint of the streaming query that runs here."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or NO_QUERY
+
+
 class LabelledWriter:
-    """Appends micro-batches under the label ``{prefix}_{batch id}``.
+    """Appends micro-batches under the label ``{prefix}_{run}_{batch id}``.
 
     A label is a partition folder that its batch replaces as a whole, so a
-    replay adds no rows, and a replay that has become empty leaves none. A query
-    that starts from a new checkpoint counts its batches from 0 again and needs
-    a prefix of its own. ``files`` bounds the files per batch without a shuffle.
+    replay adds no rows, and a replay that has become empty leaves none. The run
+    is the identity that a query keeps with its checkpoint: a query that starts
+    from a new checkpoint counts its batches from 0 again under other labels, and
+    the rows of earlier runs stay. Labels lie below their run and below a folder
+    for every ``part_batches`` batches. ``files`` is the number of files per batch;
+    the rows are dealt out anew for it, so that scan, parse and join keep their tasks.
     """
 
     def __init__(
@@ -38,24 +54,62 @@ class LabelledWriter:
         schema: StructType,
         format: str = "parquet",
         files: int | None = None,
+        run: str | None = None,
+        part_batches: int = PART_BATCHES,
     ):
         self.path = path
         self.prefix = prefix
         self.schema = schema
         self.format = format
         self.files = files
+        self.run = run
+        self.part_batches = part_batches
+
+    def _part(self, run: str, part: int) -> str:
+        return f"{self.path}/{RUN}={run}/{PART}={part}"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = bind_by_position(batch, self.schema)
         if self.files is not None:
-            rows = rows.coalesce(self.files)
-        folder = f"{self.path}/{LABEL}={self.prefix}_{batch_id}"
+            rows = rows.repartition(self.files)
+        run = self.run or query_id(batch.sparkSession)
+        part = self._part(run, batch_id // self.part_batches)
+        folder = f"{part}/{LABEL}={self.prefix}_{run}_{batch_id}"
         rows.write.format(self.format).mode("overwrite").save(folder)
 
+    def _labelled(self, spark: SparkSession, path: str, *names: str) -> DataFrame:
+        below = {RUN: StringType(), PART: IntegerType(), LABEL: StringType()}
+        fields = [StructField(name, below[name]) for name in names]
+        schema = StructType([*self.schema.fields, *fields])
+        try:
+            return spark.read.format(self.format).schema(schema).load(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
     def read(self, spark: SparkSession) -> DataFrame:
-        """The table written so far, with its label column last."""
-        labelled = StructType([*self.schema.fields, StructField(LABEL, StringType())])
-        return spark.read.format(self.format).schema(labelled).load(self.path)
+        """The table written so far, with its label column last; empty before the first batch."""
+        return self._labelled(spark, self.path, RUN, PART, LABEL).drop(RUN, PART)
+
+    def compact(self, spark: SparkSession, run: str, part: int) -> None:
+        """Put the rows of a part into one label.
+
+        For parts that the run has gone beyond: only the last batch of a query can
+        come again, and a replay into a compacted part would double its rows. The
+        rows are copied to the shared folder first; readers wait meanwhile.
+        """
+        parts = self._labelled(spark, f"{self.path}/{RUN}={run}", PART, LABEL)
+        newest = parts.agg(F.max(PART)).first()[0]
+        if newest is None or part >= newest:
+            raise ValueError(f"part {part} of run {run} is not finished")
+        copy = shared_folder(spark, "compacted")
+        folder = self._part(run, part)
+        self._labelled(spark, folder, LABEL).drop(LABEL).write.parquet(copy)
+        rows = spark.read.schema(self.schema).parquet(copy)
+        label = F.lit(f"{self.prefix}_{run}_part{part}")
+        compacted = rows.hint("rebalance").withColumn(LABEL, label)
+        compacted.write.format(self.format).mode("overwrite").partitionBy(LABEL).save(folder)
 
 
 def append_batches(format: str, **options: str):

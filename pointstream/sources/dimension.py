@@ -28,7 +28,7 @@ class DimSnapshot:
     so changes of the original neither show through nor break a running batch,
     and lost executors cost nothing. It is loaded again once it is ``ttl``
     seconds old. Two folders take turns, so storage stays at two copies.
-    ``ttl=0`` keeps no copy: each batch reads the original table.
+    ``ttl=0`` loads it for each batch. What is measured is the copy that is joined.
     """
 
     def __init__(
@@ -47,8 +47,6 @@ class DimSnapshot:
 
     def current(self, spark: SparkSession) -> Dimension:
         """The dimension to join the next batch with, not older than ``ttl``."""
-        if self._ttl <= 0:
-            return measure(self._loader(spark))
         if self._current is None or self._clock() - self._loaded_at >= self._ttl:
             loaded_at = self._clock()
             self._current = self._load(spark)

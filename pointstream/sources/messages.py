@@ -2,27 +2,32 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pointstream.streaming.settings import JobSettings
 
-def batch_limit(format: str, size: int | None) -> dict[str, str]:
-    """Source option that bounds one micro-batch: rows for a topic, files else."""
-    if size is None:
-        return {}
-    name = "maxOffsetsPerTrigger" if format == "kafka" else "maxFilesPerTrigger"
-    return {name: str(size)}
+
+def batch_limit(format: str, settings: JobSettings | None) -> dict[str, str]:
+    """Source option that bounds one micro-batch: rows of a topic, files of a folder."""
+    name, size = "maxFilesPerTrigger", settings and settings.batch_files
+    if format == "kafka":
+        name, size = "maxOffsetsPerTrigger", settings and settings.batch_rows
+    return {} if size is None else {name: str(size)}
 
 
 def read_messages(
     spark: SparkSession,
     format: str = "kafka",
     stream: bool = True,
-    batch_size: int | None = None,
+    settings: JobSettings | None = None,
     **options: str,
 ) -> DataFrame:
-    """Message stream; a topic is read from its latest offset unless told else."""
+    """Message stream; a topic is read from its latest offset unless told else.
+
+    The settings of the job that reads the stream bound its micro-batches.
+    """
     if stream and format == "kafka":
         options = {"startingOffsets": "latest", **options}
     reader = spark.readStream if stream else spark.read
     if stream:
-        options = {**options, **batch_limit(format, batch_size)}
+        options = {**options, **batch_limit(format, settings)}
     rows = reader.format(format).options(**options).load()
     return rows.withColumn("value", F.col("value").cast("string"))

@@ -2,19 +2,16 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pointstream.operators.lookup import (
-    BROADCAST_BYTES,
-    described,
-    enriched,
-    lookup_join,
-    total_count,
-)
+from pointstream.operators.lookup import described, enriched, lookup_join, total_count
 from pointstream.operators.messages import (
     FAIL,
     drop_sentinel,
+    mark_messages,
+    marked_readings,
+    marked_rejects,
     message_rejects,
     parse_messages,
 )
@@ -33,17 +30,19 @@ def start_lookup(
     settings: JobSettings,
     fact_key: str = "id",
     dim_key: str = "point_id",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> StreamingQuery:
     """Join each micro-batch to the snapshot of its time and write the result.
 
     The join runs inside ``foreachBatch`` so that a reload of the snapshot is
-    seen by the next batch; results already written are not revised.
+    seen by the next batch, and so that adaptive execution plans it; results
+    already written are not revised.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         dim = snapshot.current(batch.sparkSession)
-        writer(project(lookup_join(batch, dim, fact_key, dim_key, broadcast_bytes)), batch_id)
+        rows = settings.dealt(batch)
+        writer(project(lookup_join(rows, dim, fact_key, dim_key, broadcast_bytes)), batch_id)
 
     return settings.start(facts.writeStream.foreachBatch(handle))
 
@@ -55,45 +54,88 @@ def start_enrich(
     settings: JobSettings,
     sentinel: str | None = SENTINEL_DAY,
     on_error: str = FAIL,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
+    rejects: BatchWriter | None = None,
 ) -> StreamingQuery:
-    """JSON messages to enriched rows: parse, drop sentinel days, look up, write."""
-    readings = drop_sentinel(parse_messages(messages, on_error), sentinel)
-    return start_lookup(
-        readings, snapshot, enriched, writer, settings, broadcast_bytes=broadcast_bytes
-    )
+    """JSON messages to enriched rows: parse, drop sentinel days, look up, write.
+
+    With ``rejects``, malformed messages go to that writer, from the same
+    micro-batch that the good ones are in, so none is lost between the two;
+    the parsed batch is kept while both are written.
+    """
+    if rejects is None:
+        readings = drop_sentinel(parse_messages(messages, on_error), sentinel)
+        return start_lookup(
+            readings, snapshot, enriched, writer, settings, broadcast_bytes=broadcast_bytes
+        )
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        marked = mark_messages(batch).persist()
+        try:
+            rejects(marked_rejects(marked), batch_id)
+            readings = settings.dealt(drop_sentinel(marked_readings(marked), sentinel))
+            dim = snapshot.current(batch.sparkSession)
+            joined = lookup_join(readings, dim, broadcast_bytes=broadcast_bytes)
+            writer(enriched(joined), batch_id)
+        finally:
+            marked.unpersist()
+
+    return settings.start(messages.writeStream.foreachBatch(handle))
 
 
 def start_quarantine(
     messages: DataFrame, writer: BatchWriter, settings: JobSettings
 ) -> StreamingQuery:
-    """Malformed messages to a table of their own, as a query beside the job's."""
+    """Malformed messages alone; ``start_enrich`` sets them aside beside the good ones."""
     return settings.start(message_rejects(messages).writeStream.foreachBatch(writer))
 
 
-def start_count(rows: DataFrame, settings: JobSettings, sink: str = "console") -> StreamingQuery:
-    """Running total of a stream; each micro-batch gives the new total."""
-    writer = total_count(rows).writeStream.outputMode("complete").format(sink)
-    return settings.start(writer)
+def start_count(
+    facts: DataFrame,
+    snapshot: DimSnapshot,
+    writer: BatchWriter,
+    settings: JobSettings,
+    fact_key: str = "id",
+    dim_key: str = "point_id",
+    broadcast_bytes: int | None = None,
+) -> StreamingQuery:
+    """Number of looked-up rows of each micro-batch, a row ``total`` under its label.
+
+    The running total is the sum over the labels (:func:`running_total`). A replayed
+    batch replaces its count, and a reload of the dimension is seen by the next one.
+    """
+    return start_lookup(
+        facts, snapshot, total_count, writer, settings, fact_key, dim_key, broadcast_bytes
+    )
+
+
+def running_total(counts: DataFrame) -> DataFrame:
+    """Total of the counts written so far."""
+    return counts.agg(F.coalesce(F.sum("total"), F.lit(0)).cast("bigint").alias("total"))
 
 
 def start_trial(
     ids: DataFrame,
     loader: Loader,
     writer: BatchWriter,
+    counts: BatchWriter,
     settings: JobSettings,
     ttl: float = LOOKUP_TTL_SECONDS,
-    count_sink: str = "console",
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Two queries on one stream of ids: write the lookups, and count them.
+) -> StreamingQuery:
+    """Write the lookups of a stream of ids, and their number beside them.
 
-    Each reads the source itself and has its own checkpoint and its own copy of
-    the dimension. The count keeps the copy it starts with until it is started
-    again; its total so far is in its checkpoint.
+    Both outputs come from the same looked-up batch, kept while they are written,
+    so the count is always that of the rows.
     """
-    rows = start_lookup(
-        ids, DimSnapshot(loader, ttl), described, writer, settings, dim_key="id"
-    )
-    dim = DimSnapshot(loader).current(ids.sparkSession)
-    joined = described(lookup_join(ids, dim, dim_key="id"))
-    return rows, start_count(joined, settings.beside("count"), count_sink)
+    snapshot = DimSnapshot(loader, ttl)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        dim = snapshot.current(batch.sparkSession)
+        rows = described(lookup_join(settings.dealt(batch), dim, dim_key="id")).persist()
+        try:
+            writer(rows, batch_id)
+            counts(total_count(rows), batch_id)
+        finally:
+            rows.unpersist()
+
+    return settings.start(ids.writeStream.foreachBatch(handle))

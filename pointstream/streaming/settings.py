@@ -4,6 +4,7 @@ import dataclasses
 from dataclasses import dataclass
 from pathlib import Path
 
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -12,15 +13,19 @@ class JobSettings:
     """Query name, checkpoint folder and trigger.
 
     ``interval`` is the time between micro-batches, and so between checkpoints
-    and flushes. ``available_now`` handles what is there and stops. ``batch_size``
-    bounds a micro-batch at the source (rows of a topic, else files).
+    and flushes. ``available_now`` handles what is there and stops. ``batch_rows``
+    bounds a micro-batch of a topic, ``batch_files`` one of a folder;
+    ``read_messages`` applies them at the source. ``parallelism`` is the number of
+    tasks that look up and write a micro-batch; without it, those that read it do.
     """
 
     name: str
     checkpoint: str
     interval: str = "5 seconds"
     available_now: bool = False
-    batch_size: int | None = None
+    batch_rows: int | None = None
+    batch_files: int | None = None
+    parallelism: int | None = None
 
     @classmethod
     def from_properties(cls, path: str) -> "JobSettings":
@@ -38,8 +43,9 @@ class JobSettings:
         values: dict = dict(pairs)
         if "available_now" in values:
             values["available_now"] = values["available_now"].lower() == "true"
-        if "batch_size" in values:
-            values["batch_size"] = int(values["batch_size"])
+        for name in ("batch_rows", "batch_files", "parallelism"):
+            if name in values:
+                values[name] = int(values[name])
         return cls(**values)
 
     def beside(self, suffix: str) -> "JobSettings":
@@ -48,6 +54,10 @@ class JobSettings:
             self, name=f"{self.name}_{suffix}", checkpoint=f"{self.checkpoint}_{suffix}"
         )
 
+    def dealt(self, batch: DataFrame) -> DataFrame:
+        """A micro-batch in as many partitions as the settings ask for."""
+        return batch if self.parallelism is None else batch.repartition(self.parallelism)
+
     def start(self, writer: DataStreamWriter) -> StreamingQuery:
         """Start a prepared writer under these settings."""
         writer = writer.queryName(self.name).option("checkpointLocation", self.checkpoint)
@@ -63,5 +73,7 @@ SMALL_BATCH_ROWS = 10_000
 
 
 def small_batches(name: str, checkpoint: str) -> JobSettings:
-    """Flush after 2 seconds or about 10000 rows."""
-    return JobSettings(name, checkpoint, SMALL_BATCH_INTERVAL, batch_size=SMALL_BATCH_ROWS)
+    """Flush after 2 seconds or 10000 rows of a topic; a folder gives a file at a time."""
+    return JobSettings(
+        name, checkpoint, SMALL_BATCH_INTERVAL, batch_rows=SMALL_BATCH_ROWS, batch_files=1
+    )

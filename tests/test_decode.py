@@ -221,3 +221,15 @@ def test_datagram_files(spark, tmp_path):
     assert records.count() == 3
     assert records.columns[0] == "path"
     assert records.filter("collect_time is null").count() == 0
+
+
+def test_bytes_past_the_buffer_are_rejects(spark):
+    over = frames_of(spark, HEADER + b"\x01" * (13 * 79))
+    (row,) = frame_rejects(over, BUFFER).collect()
+    assert row.reason == "over_length" and len(row.rest) == 13
+    assert frame_rejects(frames_of(spark, HEADER, b"ab"), BUFFER).count() == 0
+
+
+def test_carried_columns_may_not_have_the_names_that_are_made(spark):
+    with pytest.raises(ValueError):
+        decode_frames(frames_of(spark, HEADER).withColumn("Status", F.lit(1)))

@@ -46,12 +46,22 @@ def test_measured_size_grows_with_text(spark):
 
 
 def test_size_decides_the_strategy(spark, session_conf, plan_text):
-    session_conf(spark__sql__autoBroadcastJoinThreshold="-1")
     dim = measure(points(spark, *range(50)))
     near = plan_text(lookup_join(facts(spark, 1), dim))
     assert "BroadcastHashJoin" in near and "SortMergeJoin" not in near
     far = plan_text(lookup_join(facts(spark, 1), dim, broadcast_bytes=dim.size_bytes - 1))
     assert "SortMergeJoin" in far and "Broadcast" not in far
+    session_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert "SortMergeJoin" in plan_text(lookup_join(facts(spark, 1), dim))
+
+
+def test_a_plain_dimension_is_not_read_before_the_join(spark, plan_text):
+    read = []
+    dim = points(spark, 1, 2)
+    dim.agg = lambda *columns: read.append(columns)
+    assert lookup_join(facts(spark, 1), dim).count() == 1 and not read
+    shuffled = plan_text(lookup_join(facts(spark, 1), dim, broadcast_bytes=0))
+    assert "SortMergeJoin" in shuffled and "Broadcast" not in shuffled
 
 
 def test_hot_key_is_split_beyond_the_broadcast_limit(spark, session_conf, plan_text, tmp_path):

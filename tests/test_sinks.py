@@ -31,7 +31,44 @@ def test_replayed_batch_adds_no_rows(spark, tmp_path):
     writer(pairs(spark, 3), 1)
     writer(pairs(spark, 3), 1)
     got = sorted((r.id, r.load_label) for r in writer.read(spark).collect())
-    assert got == [(1, "job_0"), (2, "job_0"), (3, "job_1")]
+    assert got == [(1, "job_batch_0"), (2, "job_batch_0"), (3, "job_batch_1")]
+
+
+def test_table_is_empty_before_the_first_batch(spark, tmp_path):
+    writer = LabelledWriter(str(tmp_path / "t"), "job", GENERATED)
+    assert writer.read(spark).count() == 0
+    assert writer.read(spark).columns == [*GENERATED.names, "load_label"]
+
+
+def test_runs_do_not_replace_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    LabelledWriter(path, "job", GENERATED, run="one")(pairs(spark, 1), 0)
+    other = LabelledWriter(path, "job", GENERATED, run="two")
+    other(pairs(spark, 2), 0)
+    assert sorted(r.id for r in other.read(spark).collect()) == [1, 2]
+
+
+def test_replay_after_compaction_adds_no_rows(spark, tmp_path):
+    writer = LabelledWriter(str(tmp_path / "t"), "job", GENERATED, run="a", part_batches=3)
+    for batch in range(8):
+        writer(pairs(spark, batch), batch)
+    with pytest.raises(ValueError):
+        writer.compact(spark, "a", 2)
+    for part in (0, 1, 0):
+        writer.compact(spark, "a", part)
+    writer(pairs(spark, 7), 7)
+    rows = writer.read(spark).collect()
+    assert sorted(r.id for r in rows) == list(range(8))
+    assert {r.load_label for r in rows if r.id < 6} == {"job_a_part0", "job_a_part1"}
+
+
+def test_number_of_files_leaves_the_join_its_tasks(spark, tmp_path, plan_text, monkeypatch):
+    rows = spark.range(0, 1000, 1, 6).selectExpr("CAST(id AS INT) AS a", "CAST(id AS STRING) AS b")
+    writer = LabelledWriter(str(tmp_path / "t"), "job", GENERATED, files=2)
+    assert "RoundRobinPartitioning(2)" in plan_text(rows.repartition(2), "simple")
+    writer(rows, 0)
+    files = list((tmp_path / "t").glob("*/*/*/*.parquet"))
+    assert len(files) == 2 and writer.read(spark).count() == 1000
 
 
 def test_replay_that_became_empty_leaves_no_rows(spark, tmp_path):

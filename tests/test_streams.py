@@ -4,16 +4,17 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from pointstream.operators.lookup import described, enriched, lookup_join, total_count
+from pointstream.operators.lookup import described, enriched, lookup_join
 from pointstream.operators.messages import drop_sentinel, parse_messages, to_messages
 from pointstream.plans import tables as t
-from pointstream.schemas import ENRICHED, GENERATED
+from pointstream.schemas import COUNT, ENRICHED, GENERATED
 from pointstream.sinks.messages import print_rows, stream_messages
-from pointstream.sinks.tables import LABEL, LabelledWriter
+from pointstream.sinks.tables import LABEL, NO_QUERY, LabelledWriter
 from pointstream.sources.dimension import DimSnapshot
 from pointstream.sources.generated import generate_batch, generate_stream, generated_id
 from pointstream.sources.messages import batch_limit, read_messages
 from pointstream.streaming.jobs import (
+    running_total,
     start_count,
     start_enrich,
     start_lookup,
@@ -37,8 +38,11 @@ def settings(tmp_path, name, **how):
     return JobSettings(name, str(tmp_path / f"ck-{name}"), available_now=True, **how)
 
 
-def stream(spark, path):
-    return read_messages(spark, "text", batch_size=1, path=path)
+ONE_FILE = JobSettings("one", "unused", batch_files=1)
+
+
+def stream(spark, path, settings=ONE_FILE):
+    return read_messages(spark, "text", settings=settings, path=path)
 
 
 def points(spark):
@@ -62,7 +66,32 @@ def test_stream_equals_batch_over_several_micro_batches(spark, landed, tmp_path)
     rows = writer.read(spark)
     assert as_set(rows) == batch_rows(spark, landed)
     labels = {r[0] for r in rows.select(LABEL).distinct().collect()}
-    assert labels == {f"enrich_{n}" for n in range(4)}
+    runs = {label.split("_")[1] for label in labels}
+    assert len(runs) == 1 and runs != {NO_QUERY}
+    assert {label.split("_")[2] for label in labels} == {"0", "1", "2", "3"}
+
+
+def test_new_checkpoint_keeps_earlier_rows(spark, landed, tmp_path):
+    writer = LabelledWriter(str(tmp_path / "out"), "job", ENRICHED)
+    for n in range(2):
+        start_enrich(
+            stream(spark, landed), points(spark), writer, settings(tmp_path, f"run{n}"),
+            t.TRIAL_SENTINEL,
+        ).awaitTermination()
+    assert as_set(writer.read(spark)) == sorted(2 * batch_rows(spark, landed))
+
+
+@pytest.mark.parametrize("files, batches", [(1, 4), (2, 2), (None, 1)])
+def test_settings_bound_the_micro_batches(spark, landed, tmp_path, files, batches):
+    job = settings(tmp_path, f"bound{files}", batch_files=files, parallelism=3)
+    seen = []
+    snapshot = points(spark)
+
+    def writer(batch, batch_id):
+        seen.append(batch.rdd.getNumPartitions())
+
+    start_enrich(stream(spark, landed, job), snapshot, writer, job).awaitTermination()
+    assert seen == [3] * batches
 
 
 def test_restart_goes_on_where_it_stopped(spark, landed, tmp_path):
@@ -171,58 +200,88 @@ def test_malformed_message_fails_or_goes_aside(spark, landed, tmp_path):
         start_enrich(
             stream(spark, landed), points(spark), good, settings(tmp_path, "strict")
         ).awaitTermination()
-    split = settings(tmp_path, "split")
-    kept = LabelledWriter(str(tmp_path / "kept"), "kept", ENRICHED)
-    start_enrich(
-        stream(spark, landed), points(spark), kept, split, None, "quarantine"
-    ).awaitTermination()
-    assert kept.read(spark).count() == 1000
     schema = spark.createDataFrame([], "reason string, value string").schema
-    aside = LabelledWriter(str(tmp_path / "aside"), "aside", schema)
-    start_quarantine(stream(spark, landed), aside, split.beside("rejects")).awaitTermination()
-    assert [r.value for r in aside.read(spark).collect()] == ["{bad"]
+    alone = LabelledWriter(str(tmp_path / "alone"), "alone", schema)
+    job = settings(tmp_path, "alone")
+    start_quarantine(stream(spark, landed), alone, job).awaitTermination()
+    assert [r.value for r in alone.read(spark).collect()] == ["{bad"]
+
 
+def test_no_message_is_lost_between_good_and_malformed(spark, tmp_path):
+    """Messages that arrive once the job has started end up on one side or the other."""
+    path = str(tmp_path / "in")
 
-def test_running_count_gives_each_new_total(spark, landed, tmp_path):
-    dim = points(spark).current(spark)
-    joined = lookup_join(parse_messages(stream(spark, landed)), dim)
-    job = settings(tmp_path, "totals")
-    totals = []
+    def put(n):
+        texts = [f'{{"id":{n},"point_value":1.5,"real_time":"2024-02-01 00:00:00","status":1}}', f"{{bad {n}"]
+        spark.createDataFrame([(x,) for x in texts], "value string").write.mode("append").text(path)
 
-    writer = total_count(joined).writeStream.outputMode("update").foreachBatch(
-        lambda batch, _: totals.extend(r.total for r in batch.collect())
+    put(1)
+    schema = spark.createDataFrame([], "reason string, value string").schema
+    kept = LabelledWriter(str(tmp_path / "kept"), "kept", ENRICHED)
+    aside = LabelledWriter(str(tmp_path / "aside"), "aside", schema)
+    job = JobSettings("split", str(tmp_path / "ck"), interval="100 milliseconds")
+    query = start_enrich(
+        stream(spark, path), points(spark), kept, job, None, rejects=aside
     )
-    job.start(writer).awaitTermination()
-    assert len(totals) == 4 and totals == sorted(totals) and totals[-1] == 1000
-    start_count(joined, settings(tmp_path, "total_now"), "memory").awaitTermination()
-    assert [r.total for r in spark.table("total_now").collect()] == [1000]
+    try:
+        put(2)
+        query.processAllAvailable()
+        put(3)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.point_id for r in kept.read(spark).collect()) == [1, 2, 3]
+    assert sorted(r.value for r in aside.read(spark).collect()) == ["{bad 1", "{bad 2", "{bad 3"]
+
+
+def test_running_count_with_a_shuffled_dimension(spark, landed, tmp_path, plan_text):
+    inner = LabelledWriter(str(tmp_path / "counts"), "count", COUNT)
+    plans, failures = [], []
+
+    def fails_after_writing(batch, batch_id):
+        plans.append(plan_text(batch, "simple"))
+        inner(batch, batch_id)
+        if batch_id == 2 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    def run():
+        start_count(
+            parse_messages(stream(spark, landed)), points(spark), fails_after_writing,
+            settings(tmp_path, "totals"), broadcast_bytes=0,
+        ).awaitTermination()
 
+    with pytest.raises(Exception):
+        run()
+    run()
+    assert failures == [2] and inner.read(spark).count() == 4
+    assert [r.total for r in running_total(inner.read(spark)).collect()] == [1000]
+    assert all("AdaptiveSparkPlan" in plan and "SortMergeJoin" in plan for plan in plans)
 
-def test_trial_writes_and_counts(spark, tmp_path):
+
+def test_trial_writes_and_counts_the_same_rows(spark, tmp_path):
     writer = LabelledWriter(str(tmp_path / "out"), "trial", GENERATED)
+    counts = LabelledWriter(str(tmp_path / "counts"), "count", COUNT)
     job = JobSettings("trial", str(tmp_path / "ck"), interval="200 milliseconds")
     ids = generate_stream(spark, rows_per_second=200)
-    rows, count = start_trial(
-        ids, lambda session: t.described_dim(session, SF_DIR), writer, job, count_sink="memory"
+    query = start_trial(
+        ids, lambda session: t.described_dim(session, SF_DIR), writer, counts, job
     )
-
-    def written_rows():
-        done = [p.numInputRows for p in rows.recentProgress]
-        return sum(done[:-1])
-
     try:
         deadline = time.time() + 60
-        total = 0
-        while time.time() < deadline and (total == 0 or written_rows() == 0):
+        while time.time() < deadline and not running_total(counts.read(spark)).first().total:
             time.sleep(0.5)
-            total = sum(r.total for r in spark.table("trial_count").collect())
     finally:
-        rows.stop()
-        count.stop()
-    assert total > 0
-    written = writer.read(spark)
-    assert written.count() > 0
-    assert written.filter("id not between 1 and 10 or description is null").count() == 0
+        query.stop()
+    rows = writer.read(spark)
+    assert rows.filter("id not between 1 and 10 or description is null").count() == 0
+    by_batch = lambda frame: {
+        r[LABEL].split("_")[2]: r.n for r in frame.groupBy(LABEL).agg(F.expr("sum(n)").alias("n")).collect()
+    }
+    counted = by_batch(counts.read(spark).withColumnRenamed("total", "n"))
+    written = by_batch(rows.withColumn("n", F.lit(1)))
+    assert sum(counted.values()) > 0
+    assert all(written.get(batch, 0) == n for batch, n in counted.items())
 
 
 def test_generated_ids_repeat_and_stay_in_range(spark):
@@ -241,30 +300,37 @@ def test_messages_streamed_to_text(spark, landed, tmp_path):
     assert sorted(spark.read.text(out).collect()) == sorted(spark.read.text(landed).collect())
 
 
-def test_console(spark, landed, tmp_path):
-    query = print_rows(stream(spark, landed).limit(1), settings(tmp_path, "console"))
-    query.awaitTermination()
-    assert query.exception() is None
+def test_console(spark, tmp_path, capsys):
+    path = str(tmp_path / "wide")
+    spark.createDataFrame([(f"{n:02d}" + "x" * 60,) for n in range(30)], "value string").coalesce(1).write.text(path)
+    print_rows(stream(spark, path), settings(tmp_path, "console")).awaitTermination()
+    lines = capsys.readouterr().out.splitlines()
+    assert len(lines) == 31 and all(len(line) == 62 for line in lines[1:])
+    job = settings(tmp_path, "console_few")
+    print_rows(stream(spark, path), job, limit=5, width=10).awaitTermination()
+    lines = capsys.readouterr().out.splitlines()
+    assert len(lines) == 6 and all(len(line) == 10 for line in lines[1:])
 
 
 def test_batch_limits():
-    assert batch_limit("kafka", 10_000) == {"maxOffsetsPerTrigger": "10000"}
-    assert batch_limit("text", 2) == {"maxFilesPerTrigger": "2"}
-    assert batch_limit("text", None) == {}
+    job = JobSettings("job", "unused", batch_rows=10_000, batch_files=2)
+    assert batch_limit("kafka", job) == {"maxOffsetsPerTrigger": "10000"}
+    assert batch_limit("text", job) == {"maxFilesPerTrigger": "2"}
+    assert batch_limit("text", None) == batch_limit("kafka", ONE_FILE) == {}
 
 
 def test_settings(tmp_path):
     path = tmp_path / "job.properties"
     path.write_text(
         "# trial\nname=enrich\ncheckpoint = /shared/ck\ninterval=10 seconds\n"
-        "batch_size=500\navailable_now=true\n"
+        "batch_rows=500\nbatch_files=2\nparallelism=10\navailable_now=true\n"
     )
     job = JobSettings.from_properties(str(path))
-    assert job == JobSettings("enrich", "/shared/ck", "10 seconds", True, 500)
-    beside = JobSettings("enrich_count", "/shared/ck_count", "10 seconds", True, 500)
+    assert job == JobSettings("enrich", "/shared/ck", "10 seconds", True, 500, 2, 10)
+    beside = JobSettings("enrich_count", "/shared/ck_count", "10 seconds", True, 500, 2, 10)
     assert job.beside("count") == beside
     path.write_text("name=a\ncheckpoint=b\ntopic=c\n")
     with pytest.raises(ValueError):
         JobSettings.from_properties(str(path))
     quick = small_batches("first", "/shared/first")
-    assert (quick.interval, quick.batch_size) == ("2 seconds", 10_000)
+    assert (quick.interval, quick.batch_rows, quick.batch_files) == ("2 seconds", 10_000, 1)
