@@ -123,37 +123,72 @@ def _matches(text: str, kind: Kind) -> str:
     return f"IF(contains({text}, {_quoted(kind.needs)}), {found}, CAST(array() AS array<string>))"
 
 
-def _spans(text: str, found: str, rank: int, kind: Kind) -> str:
-    """Spans of one kind: the texts between the matches give the positions."""
+# Places whose sums or maxima are taken together: what stands before a place is found
+# from its block and the blocks before, without a running list.
+_BLOCK = 128
+
+
+def _blocks(array: str, of_slice: str) -> str:
+    """SQL: ``of_slice`` of every block of an array; ``s`` stands for the block."""
+    block = of_slice.replace("(s,", f"(slice({array}, b * {_BLOCK} + 1, {_BLOCK}),").replace(
+        "(s)", f"(slice({array}, b * {_BLOCK} + 1, {_BLOCK}))"
+    )
+    return f"transform(sequence(0, (size({array}) - 1) div {_BLOCK}), b -> {block})"
+
+
+def _before(array: str, blocks: str) -> tuple[str, str]:
+    """SQL: the blocks before place ``i``, and the places of its own block before it."""
+    block = f"CAST(i div {_BLOCK} AS INT)"
+    return f"slice({blocks}, 1, {block})", f"slice({array}, {block} * {_BLOCK} + 1, i % {_BLOCK})"
+
+
+def _sum(array: str) -> str:
+    return f"aggregate({array}, 0, (a, n) -> a + n)"
+
+
+def _pairs(text: str, found: str, kind: Kind) -> str:
+    """Each match ``m`` with ``gap``, the text between it and the match before."""
+    gaps = f"slice(split({text}, {_quoted(kind.pattern)}, -1), 1, size({found}))"
+    pairs = f"zip_with({gaps}, {found}, (gap, m) -> named_struct('gap', gap, 'm', m))"
+    return f"IF(size({found}) = 0, NULL, {pairs})"
+
+
+def _spans(pairs: str, sizes: str, blocks: str, rank: int, kind: Kind) -> str:
+    """Spans of one kind: the lengths of what stands before a match give its place."""
     valid = kind.valid.replace("(m,", "(x.m,").replace("m rlike", "x.m rlike")
     near = f"lower(right(x.gap, {CONTEXT_CHARS})) rlike {_quoted(kind.context)}"
     score = f"CAST(least(1D, {kind.score}D + IF({near}, {CONTEXT_BONUS}D, 0D)) AS DOUBLE)"
     kept = valid if kind.base else f"({valid}) AND {score} >= {THRESHOLD}D"
-    start = "a.at + length(x.gap)"
+    start = " + ".join([*map(_sum, _before(sizes, blocks)), "length(x.gap)"])
     span = (
         f"named_struct('start', {start}, 'rank', {rank}, 'end', {start} + length(x.m),"
         f" 'kind', '{kind.name}', 'score', {score})"
     )
-    gaps = f"slice(split({text}, {_quoted(kind.pattern)}, -1), 1, size({found}))"
-    return f"""IF(size({found}) = 0, {_NO_SPANS}, aggregate(
-        zip_with({gaps}, {found}, (gap, m) -> named_struct('gap', gap, 'm', m)),
-        named_struct('at', 0, 'spans', {_NO_SPANS}),
-        (a, x) -> named_struct(
-            'at', {start} + length(x.m),
-            'spans', IF({kept}, concat(a.spans, array({span})), a.spans)),
-        a -> a.spans))"""
+    placed = f"transform({pairs}, (x, i) -> IF({kept}, {span}, NULL))"
+    return f"IF({pairs} IS NULL, {_NO_SPANS}, filter({placed}, x -> x IS NOT NULL))"
 
 
 def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``pii``: spans (start, rank of the kind, end, kind, score) by start, then kind."""
     given = docs.select(*(f"`{c}`" for c in without(docs.columns, ["pii"])))
-    made = [f"_found_{kind.name}" for kind in KINDS]
-    aside, back = set_aside(given, ["_pii_text", *made])
-    plain = aside.withColumn("_pii_text", F.coalesce(F.col(text), F.lit("")))
-    found = plain.select("*", *(F.expr(_matches("_pii_text", k)).alias(c) for k, c in zip(KINDS, made)))
-    each = [_spans("_pii_text", c, rank, k) for rank, (k, c) in enumerate(zip(KINDS, made))]
+    made = {step: [f"_{step}_{kind.name}" for kind in KINDS] for step in ("found", "pairs", "sizes", "blocks")}
+    aside, back = set_aside(given, ["_pii_text", *sum(made.values(), [])])
+    frame = aside.withColumn("_pii_text", F.coalesce(F.col(text), F.lit("")))
+
+    def step(frame: DataFrame, name: str, sql: list[str]) -> DataFrame:
+        # A projection of its own: what is used several times is made once.
+        return frame.select("*", *(F.expr(e).alias(c) for e, c in zip(sql, made[name])))
+
+    size = "x -> length(x.gap) + length(x.m)"
+    frame = step(frame, "found", [_matches("_pii_text", k) for k in KINDS])
+    frame = step(frame, "pairs", [_pairs("_pii_text", c, k) for c, k in zip(made["found"], KINDS)])
+    frame = step(frame, "sizes", [f"transform({c}, {size})" for c in made["pairs"]])
+    total = "aggregate(s, 0, (a, n) -> a + n)"
+    frame = step(frame, "blocks", [f"IF({c} IS NULL, NULL, {_blocks(c, total)})" for c in made["sizes"]])
+    columns = zip(made["pairs"], made["sizes"], made["blocks"], range(len(KINDS)), KINDS)
+    each = [_spans(*c) for c in columns]
     spans = F.expr(f"array_sort(concat({', '.join(each)}))")
-    return back(found.withColumn("pii", spans), "pii")
+    return back(frame.withColumn("pii", spans), "pii")
 
 
 def span_text(kinds: tuple[str, ...] | None = None) -> Column:
@@ -187,29 +222,26 @@ def _piece(chunks: str, begin: str, end: str) -> str:
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every span replaced by its kind in brackets; overlapping spans become one.
+    """Every span replaced by its kind in brackets; spans that overlap become one.
 
-    The columns stay the same. Texts without spans, null ones too, stay as they are.
+    The one has the kind of the first. The columns stay the same. Texts without spans,
+    null ones too, stay as they are.
     """
-    aside, back = set_aside(docs, ["pii", "_chunks", "_merged"])
-    merged = """aggregate(pii, CAST(array() AS array<struct<start:int,end:int,kind:string>>),
-        (a, x) -> IF(size(a) > 0 AND x.start < element_at(a, -1).end,
-            concat(slice(a, 1, size(a) - 1), array(named_struct(
-                'start', element_at(a, -1).start,
-                'end', greatest(element_at(a, -1).end, x.end),
-                'kind', element_at(a, -1).kind))),
-            concat(a, array(named_struct('start', x.start, 'end', x.end, 'kind', x.kind)))))"""
-    until = "IF(i = 0, 0, _merged[i - 1].end)"
-    rest = "element_at(_merged, -1).end"
-    cut = f"""concat(
-        array_join(transform(_merged, (s, i) -> concat(
-            {_piece("_chunks", until, "s.start")}, '[', upper(s.kind), ']')), ''),
-        {_piece("_chunks", rest, "length(`" + text + "`)")})"""
+    aside, back = set_aside(docs, ["pii", "_chunks", "_ends", "_tops"])
+    some = F.size("pii") > 0
     found = pii_spans(aside, text).select(
         "*",
-        F.expr(merged).alias("_merged"),
-        F.when(F.size("pii") > 0, F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _CHUNK), F.lit(0)))
-        .alias("_chunks"),
+        F.when(some, F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _CHUNK), F.lit(0))).alias("_chunks"),
+        F.when(some, F.transform("pii", lambda s: s["end"])).alias("_ends"),
     )
-    changed = F.when(F.size("pii") > 0, F.expr(cut)).otherwise(F.col(text))
-    return back(found.withColumn(text, changed))
+    tops = F.when(some, F.expr(_blocks("_ends", "array_max(s)")))
+    # How far the spans before a span reach: text goes on from there, and a span that
+    # begins before that belongs to an earlier one.
+    reached = ", ".join(f"coalesce(array_max({part}), 0)" for part in _before("_ends", "_tops"))
+    reached = f"greatest({reached})"
+    cut = f"""concat(
+        array_join(transform(pii, (s, i) -> IF(s.start < {reached}, '', concat(
+            {_piece("_chunks", reached, "s.start")}, '[', upper(s.kind), ']'))), ''),
+        {_piece("_chunks", "array_max(_tops)", "length(`" + text + "`)")})"""
+    changed = F.when(some, F.expr(cut)).otherwise(F.col(text))
+    return back(found.withColumn("_tops", tops).withColumn(text, changed))
