@@ -149,37 +149,34 @@ def _digits(pattern: np.ndarray) -> np.ndarray:
 # on bad documents; the lean weighs as much as this many documents, or this share of them
 # if more.
 LEAN = np.array([[0.29, 0.7, 0.01], [0.2, 0.5, 0.3]])
-PRIOR_GOOD = 0.85
 PRIOR_DOCUMENTS = 20.0
 PRIOR_SHARE = 0.05
-# Bounds of the estimates: a defect that goes with no other one would else be taken for
-# noise, and every document for bad or good.
+# A defect that goes with no other one would be taken for noise without this bound.
 MOST_FALSE_ALARMS = 0.01
-GOOD_RANGE = (0.7, 0.95)
+# Share of good documents: given, as rules that mostly abstain cannot tell it.
+PRIOR_GOOD = 0.85
 ROUNDS = 100
 
 
-def estimate(pattern: np.ndarray, count: np.ndarray) -> tuple[float, np.ndarray]:
-    """Prior of good and the chance of each vote by rule and class (good, bad)."""
+def estimate(pattern: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The chance of each vote by rule and class (good, bad)."""
     digits = _digits(pattern)
     weight = max(PRIOR_DOCUMENTS, PRIOR_SHARE * count.sum())
-    prior, chance = PRIOR_GOOD, np.repeat(LEAN[None], len(RULES), axis=0)
+    chance = np.repeat(LEAN[None], len(RULES), axis=0)
     for _ in range(ROUNDS):
-        share = posterior(digits, prior, chance)
+        share = posterior(digits, chance)
         mass = np.stack([count * share, count * (1 - share)])
-        prior = (mass[0].sum() + PRIOR_GOOD * weight) / (mass.sum() + weight)
-        prior = float(np.clip(prior, *GOOD_RANGE))
         for rule in range(len(RULES)):
             seen = np.stack([np.bincount(digits[:, rule], m, minlength=3) for m in mass])
             seen = seen + weight * LEAN
             chance[rule] = seen / seen.sum(axis=1, keepdims=True)
             chance[rule, 0, BAD] = min(chance[rule, 0, BAD], MOST_FALSE_ALARMS)
-    return prior, chance
+    return chance
 
 
-def posterior(digits: np.ndarray, prior: float, chance: np.ndarray) -> np.ndarray:
+def posterior(digits: np.ndarray, chance: np.ndarray) -> np.ndarray:
     """Chance of good for each pattern of votes. An abstention says nothing."""
-    odds = np.full(len(digits), np.log(prior) - np.log1p(-prior))
+    odds = np.full(len(digits), np.log(PRIOR_GOOD) - np.log1p(-PRIOR_GOOD))
     for rule in range(digits.shape[1]):
         ratio = np.log(chance[rule][0]) - np.log(chance[rule][1])
         ratio[ABSTAIN] = 0.0
@@ -206,8 +203,8 @@ def judged(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
     rows = kept(spark, aside.withColumn("pattern", votes()), "quality")
     counted = rows.groupBy("pattern").count().collect()
     pattern = np.array([r["pattern"] for r in counted], dtype=np.int64)
-    prior, chance = estimate(pattern, np.array([r["count"] for r in counted], dtype=float))
-    share = posterior(_digits(pattern), prior, chance)
+    chance = estimate(pattern, np.array([r["count"] for r in counted], dtype=float))
+    share = posterior(_digits(pattern), chance)
     known = spark.createDataFrame(
         list(zip(pattern.tolist(), share.tolist())), "pattern int, quality double"
     )
