@@ -44,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := _mark(edges)) != before:
         before = now
-        edges = kept(spark, _small_star(_large_star(edges).distinct()).distinct(), "links")
+        edges = kept(spark, _small_star(_large_star(edges)).distinct(), "links")
     star = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return kept(
         spark,

@@ -14,14 +14,18 @@ of their summed sizes.
    on a signature. A set with more is put into another variant of the instance as well,
    with other partitions; its partner either has fewer, or is put there too. After the
    last variant it gets one signature for being empty.
-4. Signatures held by many documents come from shared passages. A set whose ``extra``
-   also covers its frequent signatures leaves these out and still meets every partner.
-5. Documents that share a signature are compared with the smallest id among those that
-   do, then component by component: in a signature whose documents are not yet all in
-   one component, every document is compared with those of other components, a block of
-   documents at a time. A pair needs as many common signatures as its spare ``extra``
-   says. What is compared is compared exactly, on the sets. So no group is expanded into
-   all pairs, and no link between two components is missed.
+4. What a set has of ``extra`` to spare, a linked partner shares in signatures: of the
+   signatures that others hold too, a set leaves out as many as it can spare, the most
+   frequent first, in one order for all sets. The rarest signature of a linked pair is
+   left out by neither. So sets that have a passage in common, and no more, do not meet.
+5. A document is compared with the smallest id among those it meets most often, which
+   makes components. Then, in signatures whose documents are not all in one component,
+   documents of different components are held against each other by sketches: parities
+   of 512 ranges of the hashes, which differ in no more places than the sets do. Only
+   pairs whose sketches allow a link come out, and of these only those that also have
+   the common signatures a link needs are compared, exactly, on the sets. So no group is
+   expanded into all pairs, and no link between two components is missed. A signature of
+   very many documents is dealt out in chunks, so that tasks stay bounded.
 
 Documents without words have an empty set and link with nothing; null texts are empty. A
 null id gets a null component. Rows that repeat an id are one document, whose links are
@@ -47,10 +51,11 @@ BAND = 1.5
 EXTRA_SHARE = 0.25
 EXTRA_LEAST = 2
 VARIANTS = 5
-# Documents from which a signature counts as frequent.
-FREQUENT = 64
-# Documents of a signature that all its others are compared with in one round.
-BLOCK = 256
+# Ranges of a sketch, and documents of a signature that one group of rows holds.
+SKETCH_BITS = 512
+CHUNK = 2048
+# Documents held against all others of their group at a time.
+BLOCK = 32
 # Members that one task compares with a hub at a time.
 HUB_MEMBERS = 512
 # Rows of ids up to which a table is broadcast; a larger one is shuffled.
@@ -80,9 +85,14 @@ def _instances(size: int) -> np.ndarray:
     return np.flatnonzero((PERCENT * _LOW <= 100 * size) & (size <= _HIGH))
 
 
+def _difference(sizes: int) -> int:
+    """The most in which two linked sets of these summed sizes differ."""
+    return sizes * (100 - PERCENT) // (100 + PERCENT)
+
+
 def _geometry(band: int) -> tuple[int, int]:
     """Number of partitions and ``extra`` of an instance."""
-    k = 2 * int(_HIGH[band]) * (100 - PERCENT) // (100 + PERCENT)
+    k = _difference(2 * int(_HIGH[band]))
     if k == 0:
         return 1, 0
     extra = EXTRA_LEAST + int(EXTRA_SHARE * (k + 1))
@@ -113,8 +123,15 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(x.sum(dtype=np.uint64).astype(np.int64)) for x in halves)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the number of hashes in each of ``SKETCH_BITS`` ranges."""
+    shift = np.uint64(64 - (SKETCH_BITS - 1).bit_length())
+    counts = np.bincount((s >> shift).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits(counts & 1).tobytes()
+
+
 def signatures(s: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-    """Instance, spare ``extra`` (0 if none) and signatures of a set, for all its instances."""
+    """Instance, spare ``extra`` (below 0 if short of it) and signatures of a set, by instance."""
     out = []
     for band in _instances(len(s)):
         count, extra = _geometry(band)
@@ -131,7 +148,7 @@ def signatures(s: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
             if spare < 0 and variant == VARIANTS - 1:
                 empty = mixed(np.array([(instance << 40) + (1 << 39)], dtype=np.uint64))
                 found = np.append(found, empty)
-            out.append((instance, max(spare, 0), found))
+            out.append((instance, spare, found))
             if spare >= 0:
                 break
     return out
@@ -142,35 +159,38 @@ def _id_rows(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def _facts(rows: DataFrame) -> DataFrame:
-    """Size and digest of every document's set."""
+    """Size, digest and sketch of every document's set."""
 
     def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, one, two = [], [], []
+            size, one, two, marks = [], [], [], []
             for part in parts(batch.column("text")):
                 for s in shingle_sets(part):
                     digest = _digest(s)
                     size.append(len(s))
                     one.append(digest[0])
                     two.append(digest[1])
+                    marks.append(sketch(s))
             made = [pa.array(x, pa.int64()) for x in (size, one, two)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), *made], names=["doc", "n_shingles", "d1", "d2"]
+                [batch.column("doc"), *made, pa.array(marks, pa.binary())],
+                names=["doc", "n_shingles", "d1", "d2", "sketch"],
             )
 
-    return rows.mapInArrow(facts, "doc bigint, n_shingles bigint, d1 bigint, d2 bigint")
+    made = "n_shingles bigint, d1 bigint, d2 bigint, sketch binary"
+    return rows.mapInArrow(facts, f"doc bigint, {made}")
 
 
 def _copies(facts: DataFrame) -> DataFrame:
-    """Documents whose every row equals one of smaller id, and that smallest id."""
+    """Documents whose rows all have one set, that of a smaller id, and the smallest such id."""
     filled = facts.filter("n_shingles > 0 AND doc IS NOT NULL")
     classes = filled.groupBy("d1", "d2").agg(F.min("doc").alias("rep"), F.max("doc").alias("other"))
     several = classes.filter("rep != other").drop("other")
     joined = filled.join(several, ["d1", "d2"], "left").select(
         "doc", F.coalesce("rep", "doc").alias("rep")
     )
-    by_id = joined.groupBy("doc").agg(F.min("rep").alias("rep"), F.max("rep").alias("own"))
-    return by_id.filter("own != doc").select("doc", "rep")
+    by_id = joined.groupBy("doc").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
+    return by_id.filter("rep = last AND rep != doc").select("doc", "rep")
 
 
 def _only_if_small(frame: DataFrame) -> DataFrame:
@@ -178,8 +198,13 @@ def _only_if_small(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_IDS else frame
 
 
+# A tag holds the instance, the spare ``extra`` (moved to be above 0) and the size of a set.
+_SPARE_AT, _INSTANCE_AT = 31, 52
+_ZERO_SPARE = 1 << (_INSTANCE_AT - _SPARE_AT - 1)
+
+
 def _signature_rows(rows: DataFrame) -> DataFrame:
-    """(sig, doc, tag): the tag holds the instance and the spare ``extra``."""
+    """(sig, doc, tag) of all sets."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,52 +214,108 @@ def _signature_rows(rows: DataFrame) -> DataFrame:
                 for doc, s in zip(ids, shingle_sets(part)):
                     for instance, spare, each in signatures(s) if len(s) else ():
                         docs.append(doc)
-                        tags.append(instance << 20 | min(spare, (1 << 20) - 1))
+                        above = min(spare + _ZERO_SPARE, 2 * _ZERO_SPARE - 1)
+                        tags.append(instance << _INSTANCE_AT | above << _SPARE_AT | len(s))
                         found.append(each.astype(np.int64))
                 ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
                 flat = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(docs, pa.int64()),
-                        pa.array(tags, pa.int32()),
+                        pa.array(tags, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                     ],
                     names=["doc", "tag", "sigs"],
                 )
 
-    made = rows.mapInArrow(sign, "doc bigint, tag int, sigs array<bigint>")
+    made = rows.mapInArrow(sign, "doc bigint, tag bigint, sigs array<bigint>")
     return made.select(F.explode("sigs").alias("sig"), "doc", "tag")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Signatures of two or more documents, with the frequent ones left out where they may be.
+def _most(instance: str) -> str:
+    """SQL: ``k`` of an instance."""
+    each = ", ".join(str(_difference(2 * high)) for _, high in BANDS)
+    return f"array({each})[CAST({instance} div {VARIANTS} AS INT)]"
+
+
+def _tag_columns() -> list:
+    above = F.shiftright("tag", _SPARE_AT).bitwiseAND(F.lit(2 * _ZERO_SPARE - 1))
+    return [
+        F.shiftright("tag", _INSTANCE_AT).cast("int").alias("instance"),
+        F.col("tag").bitwiseAND(F.lit((1 << _SPARE_AT) - 1)).alias("size"),
+        (above - _ZERO_SPARE).alias("spare"),
+    ]
+
 
-    Adds the rank of the document in its signature, the signature's smallest document
-    and ``spare``, one less than the common signatures that a linked pair has at least.
+def _short(instance: str, size: str, other: str) -> str:
+    """SQL: what the sizes of a pair take off its allowed difference in the instance."""
+    return f"({_most(instance)} - ({size} + {other}) * {100 - PERCENT} div {100 + PERCENT})"
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """Signatures of two or more documents, with the number of those: sig, doc, tag, held."""
+    held = F.count("*").over(Window.partitionBy("sig"))
+    several = rows.withColumn("held", held).filter("held > 1")
+    return kept(rows.sparkSession, several, "signatures")
+
+
+def _meetings(several: DataFrame) -> DataFrame:
+    """Signatures without those that a set can spare; of two or more documents still.
+
+    ``rank`` is the document's place in its signature, ``hub`` the signature's smallest
+    document and ``many`` the number of its documents.
     """
-    spark = rows.sparkSession
-    same = Window.partitionBy("sig")
-    several = rows.withColumn("held", F.count("*").over(same)).filter("held > 1")
-    several = kept(spark, several, "signatures")
-    frequent = (F.col("held") > FREQUENT).cast("int")
-    of_set = Window.partitionBy("doc", "tag")
-    spare = F.col("tag").bitwiseAND(F.lit((1 << 20) - 1))
-    counted = several.distinct().withColumn("frequent", F.sum(frequent).over(of_set))
-    left_out = F.col("frequent") <= spare
-    stay = counted.filter(~left_out | (F.col("held") <= FREQUENT)).select(
+    highs = ", ".join(f"{high}L" for _, high in BANDS)
+    largest = f"least(array({highs})[CAST(instance div {VARIANTS} AS INT)], size * 100 div {PERCENT})"
+    of_set = Window.partitionBy("doc", "tag").orderBy(F.desc("held"), "sig")
+    once = several.repartition("doc", "tag").dropDuplicates(["doc", "tag", "sig"])
+    rare = (
+        once.withColumn("place", F.row_number().over(of_set))
+        .select("sig", "doc", "place", *_tag_columns())
+        .filter(F.expr(f"place > spare + {_short('instance', 'size', largest)}"))
+    )
+    same = Window.partitionBy("sig").orderBy("doc")
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = rare.select(
         "sig",
         "doc",
-        F.shiftright("tag", 20).alias("instance"),
-        F.when(left_out, spare - F.col("frequent")).otherwise(spare).alias("spare"),
-    )
-    whole = same.orderBy("doc").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = stay.select(
-        "*",
-        F.row_number().over(same.orderBy("doc")).alias("rank"),
+        "instance",
+        F.row_number().over(same).alias("rank"),
         F.first("doc").over(whole).alias("hub"),
-        F.last("doc").over(whole).alias("last"),
+        F.count("*").over(whole).alias("many"),
+    )
+    return kept(several.sparkSession, ranked.filter("many > 1"), "meetings")
+
+
+def _signature_lists(several: DataFrame, meetings: DataFrame) -> DataFrame:
+    """All signatures of each set that meets others, with what it can spare: doc, instance."""
+    lists = several.groupBy("doc", "tag").agg(F.collect_set("sig").alias("sigs"))
+    met = meetings.select("doc", "instance").distinct()
+    rows = lists.select("doc", "sigs", *_tag_columns()).join(met, ["doc", "instance"], "left_semi")
+    return kept(several.sparkSession, rows, "signature-lists")
+
+
+def _enough(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b, instance) that have the common signatures a link needs."""
+    one, two = (
+        lists.select(
+            F.col("doc").alias(name), "instance", *(F.col(c).alias(f"{c}_{name}") for c in ("sigs", "size", "spare"))
+        )
+        for name in ("a", "b")
     )
-    return kept(spark, ranked.filter("hub != last").drop("last"), "shared-signatures")
+    sizes = f"{PERCENT} * size_a <= 100 * size_b AND {PERCENT} * size_b <= 100 * size_a"
+    need = f"greatest(spare_a, spare_b) + {_short('instance', 'size_a', 'size_b')}"
+    both = pairs.join(one, ["a", "instance"]).join(two, ["b", "instance"])
+    enough = both.filter(f"{sizes} AND size(array_intersect(sigs_a, sigs_b)) > {need}")
+    return enough.select("a", "b").distinct()
+
+
+def _hub_pairs(meetings: DataFrame) -> DataFrame:
+    """For each document, the smallest document of its signatures that it meets most often."""
+    met = meetings.filter("doc != hub").groupBy("doc", "hub", "instance").count()
+    most = F.max(F.struct("count", (-F.col("hub")).alias("hub"), "instance")).alias("best")
+    nearest = met.groupBy("doc").agg(most)
+    return nearest.select((-F.col("best.hub")).alias("a"), F.col("doc").alias("b"), "best.instance")
 
 
 def _verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -304,37 +385,97 @@ def _verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return ordered.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _with_component(shared: DataFrame, found: DataFrame) -> DataFrame:
+def _open(meetings: DataFrame, found: DataFrame) -> DataFrame:
+    """Meetings in signatures whose documents are not all in one component, with it."""
     labels = found.select(F.col("node").alias("doc"), "component")
-    return shared.join(labels, "doc", "left").withColumn(
+    labelled = meetings.join(labels, "doc", "left").withColumn(
         "component", F.coalesce("component", "doc")
     )
-
-
-def _open(labelled: DataFrame, first: int) -> DataFrame:
-    """Signatures not all in one component that have documents of this rank or above."""
+    labelled = kept(meetings.sparkSession, labelled, "labelled")
     ends = labelled.groupBy("sig").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.max("rank").alias("most")
+        F.min("component").alias("low"), F.max("component").alias("high")
     )
-    return ends.filter((F.col("low") != F.col("high")) & (F.col("most") > first)).select("sig")
+    rows = labelled.join(ends.filter("low != high").select("sig"), "sig", "left_semi")
+    return kept(meetings.sparkSession, rows, "open-signatures")
+
+
+def _against(group: dict[str, np.ndarray], found: set) -> None:
+    """Pairs of a group (of one chunk, or of two) whose sketches allow a link."""
+    doc, component, size, chunk = (group[n] for n in ("doc", "component", "size", "chunk"))
+    marks, instance = group["sketch"], int(group["instance"][0])
+    cut = int(np.searchsorted(chunk, chunk[0], side="right"))
+    if component.min() == component.max():
+        return
+    # Of two chunks, the first against the second; of one, each against those after it.
+    for low in range(0, cut if cut < len(doc) else len(doc) - 1, BLOCK):
+        high = min(low + BLOCK, cut)
+        begin = cut if cut < len(doc) else low + 1
+        differ = np.bitwise_count(marks[low:high, None] ^ marks[None, begin:]).sum(axis=2, dtype=np.int64)
+        sizes = size[low:high, None] + size[None, begin:]
+        near = differ * (100 + PERCENT) <= sizes * (100 - PERCENT)
+        near &= component[low:high, None] != component[None, begin:]
+        one, two = np.nonzero(near)
+        one, two = one + low, two + begin
+        later = one < two
+        for a, b in zip(doc[one[later]].tolist(), doc[two[later]].tolist()):
+            found.add((a, b, instance) if a < b else (b, a, instance))
+
+
+def _candidates(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Pairs (a, b, instance) of different components that meet and may link by their sketches."""
+    marks = facts.select("doc", F.col("n_shingles").alias("size"), "sketch").distinct()
+    chunks = F.ceil(F.col("many") / CHUNK).cast("int")
+    chunk = F.floor((F.col("rank") - 1) / CHUNK).cast("int")
+    others = F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other")
+    dealt = rows.join(marks, "doc").select(
+        "sig", "doc", "component", "instance", "size", "sketch", chunk.alias("chunk"), others
+    )
+    dealt = dealt.withColumn("low", F.least("chunk", "other")).withColumn(
+        "high", F.greatest("chunk", "other")
+    )
+    key = ["sig", "low", "high"]
+    ordered = dealt.drop("other").repartition(*key).sortWithinPartitions(*key, "chunk")
+
+    def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in batch.schema.names if n != "sketch"}
+        body = b"".join(batch.column("sketch").to_pylist())
+        out["sketch"] = np.frombuffer(body, dtype=np.uint64).reshape(len(batch), -1)
+        return out
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # the last group of a batch may go on in the next
+        for batch in _and_none(batches):
+            now = arrays(batch) if batch is not None and len(batch) else None
+            if batch is not None and now is None:
+                continue
+            if now is not None and rest is not None:
+                now = {n: np.concatenate([rest[n], now[n]]) for n in now}
+            elif now is None:
+                now = rest
+            if now is None:
+                return
+            keys = np.stack([now[n] for n in key], axis=1)
+            ends = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+            begins = np.concatenate([[0], ends, [len(keys)]])
+            last = len(begins) - 1 if batch is None else len(begins) - 2
+            found = set()
+            for low, high in zip(begins[:last], begins[1 : last + 1]):
+                if high - low > 1:
+                    _against({n: v[low:high] for n, v in now.items()}, found)
+            rest = {n: v[begins[last] :] for n, v in now.items()} if batch is not None else None
+            columns = zip(*found) if found else ([], [], [])
+            types = pa.int64(), pa.int64(), pa.int32()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)], names=["a", "b", "instance"]
+            )
 
+    return ordered.mapInArrow(hold, "a bigint, b bigint, instance int").distinct()
 
-def _candidates(labelled: DataFrame, shared: DataFrame, first: int) -> DataFrame:
-    """Pairs of different components with enough common signatures, for one block of ranks."""
-    rows = labelled.join(_open(labelled, first), "sig")
-    one, two = rows.alias("one"), rows.alias("two")
-    block = one.filter(F.col("one.rank").between(first, first + BLOCK - 1))
-    met = block.join(two, F.col("one.sig") == F.col("two.sig")).filter(
-        "one.rank < two.rank AND one.component != two.component AND one.doc != two.doc"
-    )
-    pairs = met.select(F.col("one.doc").alias("a"), F.col("two.doc").alias("b")).distinct()
-    own = shared.select(F.col("doc").alias("a"), "sig", "instance", F.col("spare").alias("spare_a"))
-    other = shared.select(F.col("doc").alias("b"), "sig", F.col("spare").alias("spare_b"))
-    common = pairs.join(own, "a").join(other, ["b", "sig"]).groupBy("a", "b", "instance")
-    enough = common.agg(
-        F.count("*").alias("n"), F.min(F.least("spare_a", "spare_b")).alias("spare")
-    ).filter("n > spare")
-    return enough.select("a", "b").distinct()
+
+def _and_none(batches: Iterator) -> Iterator:
+    """All batches, and None once they have ended."""
+    yield from batches
+    yield None
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -345,31 +486,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     copies = kept(spark, _copies(facts), "copies")
     rows = rows.filter("doc IS NOT NULL")
     single = rows.join(_only_if_small(copies.select("doc")), "doc", "left_anti")
-    shared = _shared(_signature_rows(single))
-
-    hub_of = shared.filter("doc != hub").groupBy("doc", "hub").count()
-    nearest = hub_of.groupBy("doc").agg(F.max(F.struct("count", -F.col("hub"))).alias("best"))
-    pairs = nearest.select((-F.col("best.col2")).alias("a"), F.col("doc").alias("b"))
-    pairs = kept(spark, pairs, "pairs")
+    several = _several(_signature_rows(single))
+    meetings = _meetings(several)
+    lists = _signature_lists(several, meetings)
+    pairs = kept(spark, _enough(_hub_pairs(meetings), lists), "pairs")
     links = kept(spark, _verified(rows, pairs), "verified")
     found = components(links)
-    first = 1
-    while True:
-        labelled = kept(spark, _with_component(shared, found), "labelled")
-        if _open(labelled, first).isEmpty():
-            break
-        more = _candidates(labelled, shared, first).join(pairs, ["a", "b"], "left_anti")
-        more = kept(spark, more, "pairs")
-        new = kept(spark, _verified(rows, more), "verified")
-        pairs = pairs.unionAll(more)
-        if not new.isEmpty():
-            links = links.unionAll(new)
-            found = components(links)
-        first += BLOCK
+    more = _enough(_candidates(_open(meetings, found), facts), lists)
+    more = kept(spark, more.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    new = kept(spark, _verified(rows, more), "verified")
+    if not new.isEmpty():
+        found = components(links.unionAll(new))
 
     labels = found.select(F.col("node").alias("rep"), "component")
     return (
-        facts.join(copies, "doc", "left")
+        facts.select("doc", "n_shingles")
+        .join(copies, "doc", "left")
         .withColumn("rep", F.coalesce("rep", "doc"))
         .join(labels, "rep", "left")
         .select(
