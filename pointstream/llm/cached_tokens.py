@@ -1,45 +1,51 @@
-"""Token ids of whole texts, with a bounded cache of the pieces that texts are made of.
+"""Token ids of whole texts, with bounded caches of the pieces that texts are made of.
 
 The ids are those of the tokenizers library on the whole text. A text is cut only where
-the library's own rules always cut, so that the ids of the pieces, each encoded once by
-the library and cached, joined are the ids of the text. A text with a character for which
-that is not certain is encoded whole.
+the library's own rules always cut, so that the ids of the pieces, each made once by the
+library and cached, joined are the ids of the text. A text for which that is not certain
+is encoded whole.
+
+A text is first cut at single spaces and line feeds into chunks. A chunk that is not
+known is cut on into a word of Latin letters and the marks after it; a word that is not
+known goes to the library's model, anything else through the whole library.
 """
 
+import os
 import re
-from collections.abc import Callable, Iterable
+import sys
+from array import array
+from collections.abc import Iterable
 from functools import cache
 
-import numpy as np
-
 # Entries of each of the two generations of a cache, and the longest text that is cached.
-CACHED = 200_000
+CACHED = 120_000
 CACHED_CHARS = 48
-# Texts whose pieces are looked up together.
-TEXTS = 256
+# Texts whose chunks are looked up together, and pieces encoded together.
+TEXTS = 64
+ENCODED = 2048
 
-# Control characters, spaces other than the usual ones and joiners.
+# Control characters, spaces other than the usual ones, and joiners.
 _ODD = re.compile(
     r"[\x00-\x08\x0b-\x1f\x7f-\xa0\u034f\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
 )
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_MARK = r".,;:!?|*%$#&"
-
-# Byte-level rule: a token holds a space only as its first character, or is all white
-# space. So a cut is safe before white space that follows another character; around a
-# single line feed; and between a word of Latin letters and marks that end there.
-BYTE_LEVEL = re.compile(
-    rf" ?[{_LETTER}]+(?=[{_MARK}]*(?:[ \n]|\Z))"
-    rf"|(?<=[{_LETTER}])[{_MARK}]+(?=[ \n]|\Z)"
-    rf"|(?<=[^ \t\n])\n(?=[^ \t\n])"
-    r"|[ \t\n]*[^ \t\n]+|[ \t\n]+"
-)
-# Word rule: white space is dropped, and words end at it.
-WORD_LEVEL = re.compile(
-    rf"(?:(?<=[ \t\n])|\A)[{_LETTER}]+(?=[{_MARK}]*(?:[ \t\n]|\Z))"
-    rf"|(?<=[{_LETTER}])[{_MARK}]+(?=[ \t\n]|\Z)"
-    r"|[^ \t\n]+"
-)
+# White space that is not one space or one line feed between other characters.
+_WIDE = re.compile(r"[ \n][ \n]|\t|\A[ \n]|[ \n]\Z")
+# A word of Latin letters and the marks that end a chunk. The library always cuts between
+# the two; an apostrophe is not among the marks, as it may begin a piece of its own.
+_WORD = re.compile(r"(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?|*%$#&]*)")
+
+
+def _byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others in order for those from 256 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+_BYTES = _byte_characters()
 
 
 class Generations:
@@ -67,64 +73,158 @@ class Generations:
             self.young, self.old = {}, self.young
 
 
+def _little(ids: list[int]) -> bytes:
+    body = array("I", ids)
+    if sys.byteorder == "big":
+        body.byteswap()
+    return body.tobytes()
+
+
 class Encoder:
-    """Whole texts to little-endian 32-bit ids. ``cut`` is one of the rules above."""
+    """Whole texts to little-endian 32-bit ids."""
 
-    def __init__(self, path: str, cut: re.Pattern, fold: bool):
+    #: Whether spaces belong to the words after them; else white space is dropped.
+    spaced: bool
+
+    def __init__(self, path: str):
+        # The tasks of an executor are its parallelism.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut = cut
-        # Whether the tokenizer lower-cases: Latin-1 texts then share more pieces.
-        self.fold = fold
-        self.known = Generations()
+        self.model = self.tokenizer.model
+        self.chunks = Generations()
+        self.words = Generations()
 
     def vocabulary_size(self) -> int:
         return self.tokenizer.get_vocab_size()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """Texts through the whole library."""
+        out = []
+        for at in range(0, len(texts), ENCODED):
+            found = self.tokenizer.encode_batch_fast(
+                texts[at : at + ENCODED], add_special_tokens=False
+            )
+            out += [_little(f.ids) for f in found]
+        return out
 
-    def _pieces(self, text: str) -> list[str]:
-        if _ODD.search(text):
-            return [text]
-        if self.fold:
-            try:
-                text.encode("latin-1")
-                text = text.lower()
-            except UnicodeEncodeError:
-                pass
-        return self.cut.findall(text)
+    def _word(self, word: str) -> bytes:
+        """A word of letters through the model."""
+        if not word.isascii() or word[0] == " ":
+            word = word.encode().decode("latin-1").translate(_BYTES)
+        return _little([token.id for token in self.model.tokenize(word)])
+
+    def _cut(self, text: str) -> list[str] | None:
+        """Chunks of a text, or None where it must be encoded whole."""
+        raise NotImplementedError
+
+    def _text_of(self, chunk: str) -> str:
+        """What a chunk stands for in the text."""
+        return chunk
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not known."""
+        out, whole, fullmatch = {}, [], _WORD.fullmatch
+        young, old, make = self.words.young, self.words.old, self._word
+        for chunk in chunks:
+            found = fullmatch(chunk) if len(chunk) <= CACHED_CHARS else None
+            if found is None:
+                whole.append(chunk)
+                continue
+            feed, word, marks = found.groups()
+            if self.spaced and not feed:
+                word = " " + word
+            ids = young.get(word)
+            if ids is None:
+                ids = young[word] = old.get(word) or make(word)
+            out[chunk] = self._other(feed) + ids + self._other(marks) if feed or marks else ids
+        out.update(zip(whole, self._whole([self._text_of(c) for c in whole])))
+        self.words.turn()
+        return out
+
+    def _other(self, piece: str) -> bytes:
+        """A line feed or marks."""
+        if not piece:
+            return b""
+        words = self.words
+        ids = words.young.get(piece)
+        if ids is None:
+            ids = words.young[piece] = words.old.get(piece) or self._whole([piece])[0]
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), TEXTS):
-            cut = [self._pieces(t) for t in texts[at : at + TEXTS]]
-            new = self.known.missing(set().union(*cut))
-            ids = self._encode(new)
+            some = texts[at : at + TEXTS]
+            cut = [self._cut(t) for t in some]
+            new = self.chunks.missing(set().union(*(c for c in cut if c)))
             long = {}
-            for piece, body in zip(new, ids):
-                (self.known.young if len(piece) <= CACHED_CHARS else long)[piece] = body
-            look = self.known.young
-            for pieces in cut:
-                if long and not long.keys().isdisjoint(pieces):
-                    out.append(b"".join([long[p] if p in long else look[p] for p in pieces]))
+            for chunk, ids in self._learn(new).items():
+                (self.chunks.young if len(chunk) <= CACHED_CHARS else long)[chunk] = ids
+            look = self.chunks.young
+            for text, chunks in zip(some, cut):
+                if chunks is None:
+                    out += self._whole([text])
+                elif long and not long.keys().isdisjoint(chunks):
+                    out.append(b"".join([long[c] if c in long else look[c] for c in chunks]))
                 else:
-                    out.append(b"".join(map(look.__getitem__, pieces)))
-            self.known.turn()
+                    out.append(b"".join(map(look.__getitem__, chunks)))
+            self.chunks.turn()
         return out
 
 
+class ByteLevel(Encoder):
+    """A token holds a space only as its first character, or is all white space.
+
+    So a text is cut before each single space and around each single line feed. A chunk
+    is a word without its space, or a line feed and the word after it.
+    """
+
+    spaced = True
+
+    def _cut(self, text: str) -> list[str] | None:
+        if not text:
+            return []
+        if _ODD.search(text) or _WIDE.search(text):
+            return None
+        # The first word has no space: it is cut as if a line feed came before.
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return [self._FIRST + first, *rest]
+
+    #: Marks the first chunk of a text; not in a text that is cut.
+    _FIRST = "\x00"
+
+    def _text_of(self, chunk: str) -> str:
+        if chunk[0] == self._FIRST:
+            return chunk[1:]
+        return chunk if chunk[0] == "\n" else " " + chunk
+
+
+class WordLevel(Encoder):
+    """White space is dropped and words end at it; Latin text is lower-cased."""
+
+    spaced = False
+
+    def _cut(self, text: str) -> list[str] | None:
+        if _ODD.search(text):
+            return None
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.split()
+        return text.lower().split()
+
+    def _word(self, word: str) -> bytes:
+        return super()._word(word.lower())
+
+
 @cache
 def byte_level(path: str) -> Encoder:
-    return Encoder(path, BYTE_LEVEL, fold=False)
+    return ByteLevel(path)
 
 
 @cache
 def word_level(path: str) -> Encoder:
-    return Encoder(path, WORD_LEVEL, fold=True)
-
-
-EncoderOf = Callable[[str], Encoder]
+    return WordLevel(path)
