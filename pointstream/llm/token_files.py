@@ -34,8 +34,8 @@ from pointstream.llm.frames import kept
 from pointstream.llm.words import parts
 
 END = 0
-BLOCK_IDS = 1 << 16
-FILE_IDS = 1 << 21
+BLOCK_IDS = 1 << 14
+FILE_IDS = 1 << 18
 _MAGIC = b"TBP1"
 _NULL = -(1 << 63)
 
@@ -156,11 +156,9 @@ def read_documents(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
             shards, firsts = (batch.column(n).to_pylist() for n in ("shard", "first"))
             for shard, first, body in zip(shards, firsts, batch.column("body")):
                 file = TokenFile(body.as_py())
-                crcs = []
-                for begin, end in zip(file.starts[:-1], file.starts[1:]):
-                    crcs.append((int(begin), int(end)))
                 ids = file.ids(0, file.count)
-                crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in crcs]
+                ends = zip(file.starts[:-1], file.starts[1:])
+                crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in ends]
                 names = pa.array(file.documents, mask=file.documents == _NULL)
                 yield pa.RecordBatch.from_arrays(
                     [
