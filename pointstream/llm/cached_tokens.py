@@ -17,11 +17,13 @@ from array import array
 from collections.abc import Iterable
 from functools import cache
 
-# Entries of each of the two generations of a cache, and the longest text that is cached.
-CACHED = 120_000
+# Entries of each of the two generations of a cache of chunks, and of one of words; the
+# longest text that is cached.
+CACHED = 300_000
+CACHED_WORDS = 150_000
 CACHED_CHARS = 48
 # Texts whose chunks are looked up together, and pieces encoded together.
-TEXTS = 64
+TEXTS = 256
 ENCODED = 2048
 
 # Control characters, spaces other than the usual ones, and joiners.
@@ -95,7 +97,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.chunks = Generations()
-        self.words = Generations()
+        self.words = Generations(CACHED_WORDS)
 
     def vocabulary_size(self) -> int:
         return self.tokenizer.get_vocab_size()
@@ -228,3 +230,13 @@ def byte_level(path: str) -> Encoder:
 @cache
 def word_level(path: str) -> Encoder:
     return WordLevel(path)
+
+
+def release() -> None:
+    """Drop what this worker keeps for tokenizing.
+
+    For operators that need memory of their own: a worker may have served a tokenizing
+    stage before.
+    """
+    byte_level.cache_clear()
+    word_level.cache_clear()
