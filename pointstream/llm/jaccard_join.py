@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from pointstream.llm import cached_tokens
 from pointstream.llm.components import components
 from pointstream.llm.frames import free_name, kept
 from pointstream.llm.words import LOWER_WORDS, Part, constants, mixed, parts
@@ -162,6 +163,7 @@ def _facts(rows: DataFrame) -> DataFrame:
     """Size, digest and sketch of every document's set."""
 
     def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cached_tokens.release()
         for batch in batches:
             size, one, two, marks = [], [], [], []
             for part in parts(batch.column("text")):
@@ -207,6 +209,7 @@ def _signature_rows(rows: DataFrame) -> DataFrame:
     """(sig, doc, tag) of all sets."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cached_tokens.release()
         for batch in batches:
             for part in parts(batch.column("text")):
                 ids = batch.column("doc").slice(part.row, len(part)).to_pylist()

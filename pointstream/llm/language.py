@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from pointstream.llm import cached_tokens
 from pointstream.llm.frames import given_and_text, kept
 from pointstream.llm.words import Part, parts
 
@@ -214,6 +215,7 @@ def identified(
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cached_tokens.release()
         model = known.value
         for batch in batches:
             names, scores, rejected = [], [], []
