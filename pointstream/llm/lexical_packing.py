@@ -1,15 +1,22 @@
 """Packing by lexical retrieval: documents that share rare words share a sequence.
 
-Documents are tokenized once. Of a long one, full windows are sequences of their own; the
-rest of every document is dealt out at random, by row, to shards of about
-``SHARD_TOKENS`` tokens. A shard is an inverted index: for each token id the documents
+Documents are tokenized once. Of a long one, full windows are sequences of their own. The
+rests of all documents are sorted by content and cut into shards of ``SHARD_TOKENS``
+tokens. They are sorted by key: the first ``KEY_TERMS`` of a rest's token ids in a random
+order in which rare ids tend to come first, of those that another rest holds too. Two
+rests have the same first id by the chance that their weighted ids overlap, whatever the
+number of shards; a key of very many documents is split by its next ids and at last by
+row, and small ones share a shard. Neighbours whose keys differ may still lie in
+different shards.
+
+A shard is an inverted index: for each token id the documents
 that hold it, with BM25 weights from document frequencies over all documents. The longest
 unused document is the seed of a sequence; the index returns unused neighbours, best
 first, which fill the window. The last one is cut to fit and what is left of it is the
 next seed, so only a shard's last sequence is padded.
 
-A shard's size does not grow with the corpus, and its rows have no key in common, so a
-hot source or many copies do not gather in one.
+A shard's size does not grow with the corpus. Rows are dealt by ranges of key and row, so
+a hot source or many copies do not gather in one task.
 
 A null text is empty: one end token. Repeated rows are repeated documents; a null id is
 carried along. Equal scores go by row. An empty table gives an empty one; other columns
@@ -31,6 +38,10 @@ from pointstream.llm.words import parts
 END = 1
 WINDOW = 2048
 SHARD_TOKENS = 1 << 20
+# Shards that a task makes, one after the other.
+TASK_SHARDS = 4
+# Ids by which rests are sorted.
+KEY_TERMS = 4
 # Rarest tokens of a seed that are looked up.
 QUERY_TOKENS = 48
 # BM25 saturation and length normalisation.
@@ -112,6 +123,52 @@ def _document_frequencies(rows: DataFrame) -> dict[int, int]:
     return {r["id"]: r["n"] for r in counted.groupBy("id").agg(F.sum("n").alias("n")).collect()}
 
 
+_KEY = [f"key_{i}" for i in range(KEY_TERMS)]
+
+
+def _order(idf: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Places of all ids in one random order, in which rare ones tend to come first.
+
+    The first id of a document in this order is a min-hash weighted by squared IDF. Ids
+    that are not shared come last.
+    """
+    draw = np.random.default_rng(0).exponential(size=len(idf))
+    draw = np.where(shared, draw / np.maximum(idf.astype(float), 1e-9) ** 2, np.inf)
+    order = np.empty(len(idf), dtype=np.uint16 if len(idf) <= 1 << 16 else np.uint32)
+    order[np.argsort(draw, kind="stable")] = np.arange(len(idf))
+    return order
+
+
+def _key(ids: np.ndarray, order: np.ndarray, shared: int) -> list[int]:
+    """The first places that a document's shared ids have; -1 where there are no more."""
+    places = np.sort(order[ids], kind="stable")
+    places = places[: np.searchsorted(places, shared)]
+    first = places[:1].tolist()
+    while first and len(first) < KEY_TERMS:
+        at = np.searchsorted(places, first[-1], side="right")
+        if at == len(places):
+            break
+        first.append(int(places[at]))
+    return first + [-1] * (KEY_TERMS - len(first))
+
+
+def _keyed(rows: DataFrame, order, shared: int) -> DataFrame:
+    """Adds the key of each rest; ``order`` is broadcast."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            width = _width(batch)
+            bodies = [np.frombuffer(b, dtype=width) for b in batch.column("rest").to_pylist()]
+            keys = [_key(ids, order.value, shared) for ids in bodies]
+            made = np.array(keys, dtype=np.int32).reshape(-1, KEY_TERMS).T
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(np.ascontiguousarray(k)) for k in made)],
+                names=[*batch.schema.names, *_KEY],
+            )
+
+    return rows.mapInArrow(add, ", ".join([_TOKENIZED, *(f"{k} int" for k in _KEY)]))
+
+
 class Index:
     """Inverted index of a shard's documents, with BM25 weights."""
 
@@ -143,9 +200,12 @@ class Index:
         yield from found[np.argsort(-score[found], kind="stable")].tolist()
 
 
-def _pack(docs: list[tuple], index: Index | None, shard: int) -> list[tuple]:
-    """Pieces of a shard: document, start, length, crc, document's tokens, sequence, offset."""
-    out, sequence = [], shard << 32
+def _pack(docs: list[tuple], index: Index | None, sequence: int) -> list[tuple]:
+    """Pieces of a shard: document, start, length, crc, document's tokens, sequence, offset.
+
+    Sequences are numbered from the given one; the last piece has the highest number.
+    """
+    out = []
     for doc, size, full, _ in docs:
         for number, crc in enumerate(full):
             out.append((doc, number * WINDOW, WINDOW, crc, size, sequence, 0))
@@ -208,21 +268,43 @@ def packed(
     idf = np.log1p((documents - n + 0.5) / (n + 0.5)).astype(np.float32)
     known = spark.sparkContext.broadcast(idf)
     mean_length = max(1.0, held / documents)
-
-    def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by("row")
-        width = _width(table)
-        ids = [np.frombuffer(b, dtype=width) for b in table.column("rest").to_pylist()]
-        columns = [table.column(n).to_pylist() for n in ("doc", "size", "full")]
-        given = list(zip(*columns, ids))
-        index = Index(ids, known.value, mean_length) if any(map(len, ids)) else None
-        pieces = _pack(given, index, table.column("shard")[0].as_py())
-        types = [pa.int64()] * 7
-        names = [f.split()[0] for f in _PIECES.split(", ")]
-        return pa.table(
-            [pa.array(c, t) for c, t in zip(zip(*pieces), types)], names=names
-        )
-
-    shard = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
-    packed_rows = rows.withColumn("shard", shard).groupBy("shard").applyInArrow(pack, _PIECES)
+    # An id that one rest holds alone brings it to no other.
+    order = spark.sparkContext.broadcast(_order(idf, n >= 2))
+    shared = int((n >= 2).sum())
+    most = SHARD_TOKENS
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sequence = TaskContext.get().partitionId() << 44
+
+        def shard(given: list[tuple]) -> pa.RecordBatch:
+            nonlocal sequence
+            ids = [i for *_, i in given]
+            index = Index(ids, known.value, mean_length) if any(map(len, ids)) else None
+            pieces = _pack(given, index, sequence)
+            sequence = pieces[-1][5] + 1
+            types = [pa.int64()] * 7
+            names = [f.split()[0] for f in _PIECES.split(", ")]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*pieces), types)], names=names
+            )
+
+        given, size = [], 0
+        for batch in batches:
+            width = _width(batch)
+            columns = [batch.column(n).to_pylist() for n in ("doc", "size", "full", "rest")]
+            for doc, tokens, full, body in zip(*columns):
+                ids = np.frombuffer(body, dtype=width)
+                given.append((doc, tokens, full, ids))
+                size += len(ids) + len(full)
+                if size >= most:
+                    yield shard(given)
+                    given, size = [], 0
+        if given:
+            yield shard(given)
+
+    # Written, so that finding the ranges reads the keys only.
+    keyed = kept(spark, _keyed(rows, order, shared), "keyed")
+    by = [*_KEY, "row"]
+    dealt = keyed.repartitionByRange(-(-shards // TASK_SHARDS), *by)
+    packed_rows = dealt.sortWithinPartitions(*by).mapInArrow(pack, _PIECES)
     return packed_rows.withColumnRenamed("doc", id_column)

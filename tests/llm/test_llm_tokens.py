@@ -137,6 +137,39 @@ def test_neighbours_share_words(make):
     assert np.mean(mixed) < 2.5
 
 
+def test_neighbours_meet_in_many_shards(make, monkeypatch):
+    """Topics and near copies, dealt far apart: their documents still share shards."""
+    rng = random.Random(11)
+    common = [f"word{i}" for i in range(300)]
+    texts = []
+    for topic in range(60):
+        own = ["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(8)]
+        for _ in range(6):
+            texts.append(" ".join(rng.choices(common, k=60) + rng.choices(own, k=40)))
+    copies = []
+    for i in range(100):
+        words = [rng.choice(common) + "".join(rng.choices("aeiou", k=3)) for _ in range(120)]
+        for _ in range(2):
+            words[rng.randrange(120)] = rng.choice(common)
+            copies.append(" ".join(words))
+    order = list(range(len(texts) + len(copies)))
+    rng.shuffle(order)
+    group = [i // 6 if i < len(texts) else 60 + (i - len(texts)) // 2 for i in order]
+    monkeypatch.setattr(lexical_packing, "SHARD_TOKENS", 6000)
+    sequences = check_packing(make([(texts + copies)[i] for i in order]))
+    assert len(sequences) > 30
+    where = defaultdict(list)
+    for sequence, pieces in sequences.items():
+        for doc in {p.doc_id for p in pieces}:
+            where[group[doc]].append(sequence)
+    # A shard holds three sequences or four, numbered one after the other.
+    def met(group, least):
+        return any(sum(abs(s - t) < 4 for t in where[group]) >= least for s in where[group])
+
+    assert np.mean([met(g, 4) for g in range(60)]) > 0.8
+    assert np.mean([met(g, 2) for g in range(60, 160)]) > 0.6
+
+
 def test_counts_are_those_of_a_unigram_tokenizer(spark, make, odd_documents):
     pieces, fallback = token_counts.vocabulary(PIECES)
     assert fallback
