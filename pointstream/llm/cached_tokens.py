@@ -3,7 +3,7 @@
 The ids are those of the tokenizers library on the whole text. A text is cut only where
 the library's own rules always cut, so that the ids of the pieces, each made once by the
 library and cached, joined are the ids of the text. A text for which that is not certain
-is encoded whole.
+is encoded whole; so is one that holds the string of an added token.
 
 A text is first cut at single spaces and line feeds into chunks. A chunk that is not
 known is cut on into a word of Latin letters and the marks after it; a word that is not
@@ -83,18 +83,27 @@ def _little(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    """Whole texts to little-endian 32-bit ids."""
+    """Whole texts to little-endian 32-bit ids.
+
+    ``special`` tells whether the string of a special token in a text is that token, as
+    the library has it unless told otherwise, or ordinary text.
+    """
 
     #: Whether spaces belong to the words after them; else white space is dropped.
     spaced: bool
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         # The tasks of an executor are its parallelism.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        added = [t for t in added if special or not t.special]
+        self.added = [t.content for t in added]
+        # Strings that the library looks for in the normalized text.
+        self.normalized = any(t.normalized for t in added) and self.tokenizer.normalizer
         self.model = self.tokenizer.model
         self.chunks = Generations()
         self.words = Generations(CACHED_WORDS)
@@ -122,6 +131,15 @@ class Encoder:
         """Chunks of a text, or None where it must be encoded whole."""
         raise NotImplementedError
 
+    def _holds_added(self, text: str) -> bool:
+        """Whether the string of an added token is in the text."""
+        if any(a in text for a in self.added):
+            return True
+        if not self.normalized:
+            return False
+        plain, normal = self.normalized.normalize_str(text), self.normalized.normalize_str
+        return any(normal(a) in plain for a in self.added)
+
     def _text_of(self, chunk: str) -> str:
         """What a chunk stands for in the text."""
         return chunk
@@ -160,7 +178,7 @@ class Encoder:
         out = []
         for at in range(0, len(texts), TEXTS):
             some = texts[at : at + TEXTS]
-            cut = [self._cut(t) for t in some]
+            cut = [None if self._holds_added(t) else self._cut(t) for t in some]
             new = self.chunks.missing(set().union(*(c for c in cut if c)))
             long = {}
             for chunk, ids in self._learn(new).items():
@@ -223,13 +241,13 @@ class WordLevel(Encoder):
 
 
 @cache
-def byte_level(path: str) -> Encoder:
-    return ByteLevel(path)
+def byte_level(path: str, special: bool = False) -> Encoder:
+    return ByteLevel(path, special)
 
 
 @cache
-def word_level(path: str) -> Encoder:
-    return WordLevel(path)
+def word_level(path: str, special: bool = False) -> Encoder:
+    return WordLevel(path, special)
 
 
 def release() -> None:

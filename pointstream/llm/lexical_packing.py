@@ -62,7 +62,7 @@ def tokenized(docs: DataFrame, vocabulary: str, id_column: str, text: str) -> Da
     """
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_level(vocabulary)
+        encoder = word_level(vocabulary, special=True)
         width = "<u2" if encoder.vocabulary_size() <= 1 << 16 else "<u4"
         row = TaskContext.get().partitionId() << 40
         end = np.array([END], dtype="<u4").tobytes()

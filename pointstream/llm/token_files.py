@@ -114,7 +114,7 @@ def write_token_files(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_level(vocabulary)
+        encoder = byte_level(vocabulary, special=True)
         bits = bits_for(encoder.vocabulary_size())
         shard = TaskContext.get().partitionId()
         end = np.array([END], dtype="<u4").tobytes()

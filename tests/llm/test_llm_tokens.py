@@ -42,6 +42,27 @@ def test_cached_ids_are_those_of_the_library(path, encoder, monkeypatch):
         assert got == encoded(path, texts)
 
 
+SPECIAL = ["a <|endoftext|> b", "<|startoftext|>Word.\n<|endoftext|>", "x<|endoftext|>", "plain words, no more"]
+
+
+@pytest.mark.parametrize("path, encoder", [(BYTES, cached_tokens.byte_level), (WORDS, cached_tokens.word_level)])
+def test_special_tokens_in_texts_are_those_of_an_untouched_library(path, encoder):
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(SPECIAL, add_special_tokens=False)]
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in encoder.__wrapped__(path, special=True).encode(SPECIAL)]
+    assert got == expected
+
+
+def test_files_and_packing_read_special_tokens(make):
+    docs = make(SPECIAL)
+    for path, end, rows in (
+        (BYTES, 0, [(r.doc_id, r.n_tokens, r.ids_crc32) for r in read_back(docs)]),
+        (WORDS, 1, [(r.doc_id, r.doc_tokens, r.ids_crc32) for r in lexical_packing.packed(docs, WORDS).collect()]),
+    ):
+        found = Tokenizer.from_file(path).encode_batch(SPECIAL, add_special_tokens=False)
+        ids = [np.array(e.ids + [end], dtype="<u4") for e in found]
+        assert sorted(rows) == [(i, len(own), zlib.crc32(own.tobytes())) for i, own in enumerate(ids)]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, (1 << 17) - 1), max_size=300), st.integers(17, 24))
 def test_packing_of_bits_round_trips(ids, bits):
