@@ -52,6 +52,27 @@ _MOD97 = f"""aggregate(
            (a.r * 100 + ascii(substring(a.n, i, 1)) - 55) % 97) AS INT)),
     a -> a.r)"""
 
+# Countries by the length of their account numbers.
+_IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FO FI FK GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, countries: str) -> str:
+    """Pattern of account numbers of a length, in groups of four with or without spaces."""
+    fours, rest = divmod(length - 4, 4)
+    last = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{fours}}}{last}"
+
+
+# The length of a known country ends a match, so that it takes no word after the number.
+_ANY_IBAN = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+_IBAN = "|".join([*(_iban(n, c) for n, c in _IBAN_COUNTRIES.items()), _ANY_IBAN])
+
 # A lookbehind lets an attempt begin only where a run of its first class begins, or
 # where the match before ended: other starts cannot succeed, and trying them would
 # take quadratic time on a long run. Possessive repeats keep the matcher from
@@ -90,7 +111,7 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])",
         f"length({_PLAIN}) BETWEEN 15 AND 34 AND {_MOD97} = 1",
         0.6,
         "iban|account|konto|compte|cuenta|bank",

@@ -45,6 +45,16 @@ def test_checksums_and_context(make):
     assert score == pytest.approx(0.9)
 
 
+def test_account_numbers_before_other_words(make):
+    texts = [
+        "ES91 2100 0418 4502 0005 1332 BIC X",
+        "PL61 1090 1014 0000 0712 1981 2874 VAT 1",
+        "SE45 5000 0000 0583 9825 7466 2024",
+    ]
+    found = pii.pii_spans(make(texts)).orderBy("doc_id").select(pii.span_text()).collect()
+    assert [r[0] for r in found] == ["iban:0:29", "iban:0:34", "iban:0:29"]
+
+
 def test_redaction(make):
     long = "é" * 5000 + " a@b.cc " + "z" * 9000 + " 1.2.3.4 " + "y" * 100
     texts = ["no data", None, "", "a@b.cc", "call +1 (988) 555-2485 or 1.2.3.4!", "+12 1.2.3.4 5678901", long]
