@@ -2,17 +2,20 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pointstream.llm import (
     chat,
     decontaminate,
+    fingerprints,
     jaccard_join,
     language,
     lexical_packing,
     license_scan,
+    merkle,
     pii,
     quality,
+    spelling,
     token_counts,
     token_files,
 )
@@ -125,6 +128,36 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(docs, typos=spelling.one_in(199)))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = merkle.lower_cased(values)
+
+    def tampered(docs: DataFrame) -> Column:
+        chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+        return F.when(chosen, lowered(docs))
+
+    manifest = merkle.write_manifest(_table(spark, sf_dir, "documents"), values, changed=tampered)
+    found = merkle.versions(manifest).withColumn("folded_root", merkle.folded_root())
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_likeness(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -136,4 +169,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }

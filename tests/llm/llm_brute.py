@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -120,3 +121,96 @@ def measures(text):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+LETTERS = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def word_counts(rows, one_in):
+    """Counts of words of (id, text) rows, a letter lost in one of so many pairs."""
+    counts = Counter()
+    for i, text in rows:
+        for run in LETTERS.findall(text or ""):
+            word = run.translate(A_Z)
+            h = zlib.crc32(f"{'' if i is None else i}:{word}".encode())
+            if h % one_in == 0:
+                at = h % len(word)
+                word = word[:at] + word[at + 1 :]
+            counts[word] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def variants(counts):
+    """form, root, n, number of near words and form's n of each word."""
+    lost = defaultdict(set)
+    for w in counts:
+        for i in range(len(w)):
+            lost[i, w[:i], w[i + 1 :]].add(w)
+    near = defaultdict(set)
+    for same in lost.values():
+        for w in same:
+            near[w] |= same - {w}
+    for w in counts:
+        for i in range(len(w)):
+            if (short := w[:i] + w[i + 1 :]) in counts:
+                near[w].add(short)
+                near[short].add(w)
+    best = {w: min(near[w], key=lambda v: (-counts[v], v)) for w in counts if near[w]}
+    form = {w: v for w, v in best.items() if counts[v] >= 5 * counts[w]}
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (form.get(w), root(w), n, len(near[w]), counts.get(form.get(w))) for w, n in counts.items()}
+
+
+def _h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row, tampered=False):
+    values = [row[c] for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    if tampered and values[4] is not None:
+        values[4] = values[4].translate(A_Z)
+    return _h(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def levels(digests):
+    out = [digests]
+    while len(out[-1]) > 1:
+        out.append([_h(*out[-1][i : i + 8]) for i in range(0, len(out[-1]), 8)])
+    return out
+
+
+def merkle(rows):
+    """leaf, subroot, root, proof and folded root of each id; ids are unique."""
+    groups = defaultdict(list)
+    for row in sorted(rows, key=lambda r: r["doc_id"]):
+        groups[row["lang"]].append(row)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = [levels([leaf(r) for r in groups[g]]) for g in names]
+    top = levels([t[-1][0] for t in trees])
+
+    def siblings(tree, i):
+        for level in tree[:-1]:
+            begin = i // 8 * 8
+            yield level[begin:i], level[i + 1 : begin + 8]
+            i //= 8
+
+    found = {}
+    for g, (name, tree) in enumerate(zip(names, trees)):
+        for i, row in enumerate(groups[name]):
+            path = [*siblings(tree, i), *siblings(top, g)]
+            folded = leaf(row, zlib.crc32(str(row["doc_id"]).encode()) % 3 == 0)
+            for left, right in path:
+                folded = _h(*left, folded, *right)
+            proof = _h(*(d for left, right in path for d in left + right))
+            found[row["doc_id"]] = (tree[0][i], tree[-1][0], top[-1][0], proof, folded)
+    return found
+
+
+def pieces(text, size):
+    """Words of a text, long ones in pieces."""
+    return [w[i : i + size] for w in WORD.findall(text) for i in range(0, len(w), size)]

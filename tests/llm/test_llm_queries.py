@@ -18,6 +18,7 @@ COLUMNS = {
     "op7_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept quality",
     "op10_language_id": "doc_id lang_pred score rejected held_out",
+    "op13_document_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
 }
 
 
