@@ -39,6 +39,16 @@ def load_ledger(responses: DataFrame, run_date: str | Column) -> DataFrame:
     )
 
 
+def pulled_days(responses: DataFrame, run_date: str | Column) -> DataFrame:
+    """Days that responses with a ``result`` array are for, as ``cm``; also empty ones.
+
+    A response without a result tells nothing about its day, which then stays as it is.
+    """
+    day = F.lit(pull_day(run_date)) if isinstance(run_date, str) else pull_day_of(run_date)
+    whole = _with_elements(responses).filter(F.col("_elements").isNotNull())
+    return whole.select(day.alias("cm")).distinct()
+
+
 def ledger_rejects(responses: DataFrame) -> DataFrame:
     """Responses without a ``result`` array."""
     return (

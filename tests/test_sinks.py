@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pointstream.operators.ledger import load_ledger, pulled_days
 from pointstream.schemas import GENERATED, LEDGER
+from pointstream.sinks import tables as module
 from pointstream.sinks.tables import (
     LabelledWriter,
     append_batches,
@@ -10,6 +12,7 @@ from pointstream.sinks.tables import (
     write_day,
     write_days,
 )
+from pointstream.storage import put_new
 
 
 def pairs(spark, *ids):
@@ -57,9 +60,81 @@ def test_replay_after_compaction_adds_no_rows(spark, tmp_path):
     for part in (0, 1, 0):
         writer.compact(spark, "a", part)
     writer(pairs(spark, 7), 7)
-    rows = writer.read(spark).collect()
-    assert sorted(r.id for r in rows) == list(range(8))
-    assert {r.load_label for r in rows if r.id < 6} == {"job_a_part0", "job_a_part1"}
+    # A replay far back: its part is compacted, its rows are there.
+    writer(pairs(spark, 2), 2)
+    for _ in range(2):
+        rows = writer.read(spark).collect()
+        assert sorted((r.id, r.load_label) for r in rows) == [(i, f"job_a_{i}") for i in range(8)]
+        writer.remove_replaced(spark, "a")
+    found = sorted((r.load_run, r.load_batch, r.id) for r in writer.batches(spark).collect())
+    assert found == [("a", i, i) for i in range(8)]
+    with pytest.raises(ValueError):
+        writer.compact(spark, "a", 2)
+
+
+class Killed(Exception):
+    pass
+
+
+def killed_at(monkeypatch, name, call):
+    """Lets the call with that number, of a function of the module, end the program."""
+    calls, given = [], getattr(module, name)
+
+    def counted(*args):
+        calls.append(args)
+        if len(calls) == call:
+            raise Killed
+        return given(*args)
+
+    monkeypatch.setattr(module, name, counted)
+
+
+@pytest.mark.parametrize(("step", "call"), [("put_new", 1), ("remove", 1), ("remove", 2), ("remove", 3)])
+def test_compaction_broken_off_at_any_step(spark, tmp_path, monkeypatch, step, call):
+    writer = LabelledWriter(str(tmp_path / "t"), "job", GENERATED, run="a", part_batches=2)
+    for batch in range(6):
+        writer(pairs(spark, batch), batch)
+    writer.compact(spark, "a", 0)
+    with monkeypatch.context() as patch:
+        killed_at(patch, step, call)
+        with pytest.raises(Killed):
+            writer.compact(spark, "a", 1)
+            writer.remove_replaced(spark, "a")
+            # Two parts and a manifest are to be removed.
+            assert call == 3
+    assert sorted(r.id for r in writer.read(spark).collect()) == list(range(6))
+    writer.compact(spark, "a", 1)
+    writer.remove_replaced(spark, "a")
+    assert sorted(r.id for r in writer.read(spark).collect()) == list(range(6))
+    folder = tmp_path / "t" / "load_run=a"
+    assert sorted(p.name for p in folder.glob("load_part=*")) == ["load_part=2"]
+    kept = sorted(p.name.split("-")[0] for p in (folder / "_compacted").iterdir() if not p.name.startswith("."))
+    assert kept == ["manifest", "part", "part"]
+
+
+def test_a_manifest_that_is_cut_short_is_not_in_force(spark, tmp_path):
+    writer = LabelledWriter(str(tmp_path / "t"), "job", GENERATED, run="a", part_batches=1)
+    for batch in range(3):
+        writer(pairs(spark, batch), batch)
+    writer.compact(spark, "a", 0)
+    put_new(spark, f"{tmp_path}/t/load_run=a/_compacted/manifest-2", '{"0": "part')
+    assert sorted(r.id for r in writer.read(spark).collect()) == [0, 1, 2]
+    writer.remove_replaced(spark, "a")
+    writer.compact(spark, "a", 1)
+    writer.remove_replaced(spark, "a")
+    assert sorted(r.id for r in writer.read(spark).collect()) == [0, 1, 2]
+    with pytest.raises(Exception):
+        put_new(spark, f"{tmp_path}/t/load_run=a/_compacted/manifest-3", "{}")
+
+
+def test_readers_that_began_before_a_compaction(spark, tmp_path):
+    writer = LabelledWriter(str(tmp_path / "t"), "job", GENERATED, run="a", part_batches=1)
+    for batch in range(3):
+        writer(pairs(spark, batch), batch)
+    before = writer.read(spark)
+    writer.compact(spark, "a", 0)
+    writer.compact(spark, "a", 1)
+    assert sorted(r.id for r in before.collect()) == [0, 1, 2]
 
 
 def test_number_of_files_leaves_the_join_its_tasks(spark, tmp_path, plan_text, monkeypatch):
@@ -128,3 +203,21 @@ def test_a_hot_day_is_split_over_tasks(spark, tmp_path, session_conf):
     # Without the rebalance each of the 8 tasks would write to each of the 21 days.
     assert len(files) > 1 and len(everywhere) < 8 * 21 / 2
     assert spark.read.parquet(path).count() == 60_000
+
+
+def test_an_empty_pull_empties_its_day(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+
+    def pull(*responses):
+        rows = spark.createDataFrame(list(responses), "value string, run_date string")
+        rows = rows.withColumn("run_date", F.to_date("run_date"))
+        day = F.col("run_date")
+        write_days(load_ledger(rows, day), path, pulled=pulled_days(rows, day))
+
+    pull(('{"result":[{"a":1}]}', "2024-01-02"), ('{"result":[{"a":2}]}', "2024-01-03"))
+    assert [cm for cm, _ in read_days(spark, path)] == ["2024-01-01", "2024-01-02"]
+    # One day empty, one failed: the first goes, the second stays.
+    pull(('{"result":[]}', "2024-01-02"), ('{"code":500}', "2024-01-03"))
+    assert read_days(spark, path) == [("2024-01-02", '{"a":2}')]
+    pull(('{"result":[]}', "2024-01-03"), ('{"result":[{"a":3}]}', "2024-01-03"))
+    assert read_days(spark, path) == [("2024-01-02", '{"a":3}')]
