@@ -1,12 +1,16 @@
 """Lookup join of readings to a dimension, and its result projection."""
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, NumericType, StringType, StructType
 
 from pointstream.functions.times import milli_text
 
+if TYPE_CHECKING:
+    from pointstream.operators.keyed import KeyedDimension
+
 # Largest dimension to send whole to every executor, as measured row data.
 BROADCAST_BYTES = 128 << 20
 
@@ -52,7 +56,7 @@ def _broadcast_allowed(frame: DataFrame) -> bool:
 
 def lookup_join(
     fact: DataFrame,
-    dim: DataFrame | Dimension,
+    dim: "DataFrame | Dimension | KeyedDimension",
     fact_key: str = "id",
     dim_key: str = "point_id",
     broadcast_bytes: int | None = None,
@@ -67,8 +71,14 @@ def lookup_join(
     key stays spread over all scan tasks. A larger one is merged: both sides are
     shuffled on the key and adaptive execution splits a skewed partition.
     ``broadcast_bytes=0`` merges any dimension. The rows are the same either way.
+
+    Of a keyed dimension, only the buckets of the fact's own keys are read, and only the
+    rows that match are joined as a measured dimension. Its keys are read first, so the
+    fact must be a batch.
     """
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if not isinstance(dim, (DataFrame, Dimension)):
+        dim = dim.matching(fact, fact_key)
     side = (dim.frame if isinstance(dim, Dimension) else dim).alias("d")
     if isinstance(dim, Dimension) and dim.size_bytes <= limit and _broadcast_allowed(side):
         side = F.broadcast(side)

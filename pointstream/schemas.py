@@ -14,14 +14,15 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Datagram layout, device zone, sentinel day, lookup cache life
-# and the range of the generated ids.
+# Datagram layout, device zone, sentinel day, lookup cache life and
+# retries, and the range of the generated ids.
 HEADER_BYTES = 10
 RECORD_BYTES = 13
 BUFFER_BYTES = 1024
 DEVICE_ZONE = "Asia/Shanghai"
 SENTINEL_DAY = "1970-01-01"
 LOOKUP_TTL_SECONDS = 24 * 3600
+LOOKUP_RETRIES = 3
 GENERATED_LOW = 1
 GENERATED_HIGH = 10
 

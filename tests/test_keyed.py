@@ -1,0 +1,110 @@
+import pytest
+from pyspark.sql import functions as F
+
+from pointstream.operators import keyed
+from pointstream.operators.keyed import looked_up, write_keyed
+from pointstream.operators.lookup import lookup_join, measure
+
+BUCKETS = 50
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    rows = spark.range(5000).selectExpr(
+        "CAST(id % 4000 AS INT) AS point_id", "CONCAT('p', id) AS point_name"
+    )
+    # Keys from 4000 on come once, one key has a third of all rows, some have none.
+    hot = spark.range(2500).selectExpr("7 AS point_id", "CONCAT('hot', id) AS point_name")
+    none = spark.range(3).selectExpr("CAST(NULL AS INT) AS point_id", "'no key' AS point_name")
+    return rows.unionAll(hot).unionAll(none).cache()
+
+
+@pytest.fixture(scope="module")
+def copy(spark, points, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("keyed") / "points")
+    return write_keyed(measure(points), path, "point_id", BUCKETS)
+
+
+def facts(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "id int")
+
+
+def joined(fact, dim):
+    found = lookup_join(fact, dim).select("f.id", "d.point_id", "d.point_name")
+    return sorted(map(tuple, found.collect()))
+
+
+def folders(frame):
+    return {f.rpartition("/")[0].rpartition("/")[2] for f in frame.inputFiles()}
+
+
+def test_the_copy_holds_all_rows_with_a_key(points, copy):
+    expected = sorted(map(tuple, points.filter("point_id IS NOT NULL").collect()))
+    assert sorted(map(tuple, copy.read().collect())) == expected
+    assert len(copy.filled) == BUCKETS
+
+
+@pytest.mark.parametrize("ids", [(1,), (1, 2, 2, 3999, None), (7, 7, 8), (-5, 100_000), (None,), ()])
+def test_rows_are_those_of_a_plain_join(spark, points, copy, ids):
+    fact = facts(spark, *ids)
+    assert joined(fact, copy) == joined(fact, points)
+
+
+def test_only_the_buckets_of_the_batch_are_read(spark, copy):
+    fact = facts(spark, 1, 2, 3, 3, 3)
+    found = copy.matching(fact, "id")
+    assert found.rows == 6 and found.size_bytes < copy.size_bytes / 100
+    some = copy.read([3, 11])
+    assert folders(some) == {"key_bucket=3", "key_bucket=11"}
+    asked = fact.select(keyed._bucket("id", BUCKETS).alias("b")).distinct().collect()
+    assert len(asked) <= 3
+    read = copy.read([r["b"] for r in asked])
+    assert len(folders(read)) == len(asked) and read.filter("point_id <> 7").count() < copy.rows / 10
+
+
+def test_the_dimension_is_not_shuffled(spark, copy, plan_text, monkeypatch, session_conf):
+    """Neither by the search for the batch's rows nor by the join to them."""
+    session_conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    plans, written = [], keyed._written
+
+    def seen(frame, path):
+        plans.append(plan_text(frame))
+        return written(frame, path)
+
+    monkeypatch.setattr(keyed, "_written", seen)
+    found = copy.matching(facts(spark, *range(0, 4000, 97)), "id")
+    search = plans[1]
+    assert "BroadcastHashJoin" in search and "Exchange hash" not in search and "Sort" not in search
+    # The bounds of the keys reach the scan, whose files are sorted by key.
+    assert "PushedFilters: [IsNotNull(point_id), GreaterThanOrEqual(point_id,0), LessThanOrEqual(point_id,3977)]" in search
+    session_conf(spark__sql__autoBroadcastJoinThreshold="10MB")
+    join = plan_text(lookup_join(facts(spark, 1), found))
+    assert "BroadcastHashJoin" in join and "Exchange hash" not in join
+
+
+def test_many_keys_are_merged(spark, points, copy, monkeypatch):
+    monkeypatch.setattr(keyed, "BROADCAST_BYTES", 10)
+    fact = points.select(F.col("point_id").alias("id")).distinct()
+    assert joined(fact, copy) == joined(fact, points)
+
+
+def test_files_are_sorted_and_a_hot_key_is_split(spark, points, tmp_path, session_conf):
+    session_conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB")
+    small = write_keyed(measure(points), str(tmp_path / "small"), "point_id", 5)
+    for folder in (tmp_path / "small").glob("key_bucket=*"):
+        for file in folder.glob("*.parquet"):
+            keys = [r.point_id for r in spark.read.parquet(str(file)).collect()]
+            assert keys == sorted(keys)
+    hot = [f for f in (tmp_path / "small").glob("*/*.parquet") if spark.read.parquet(str(f)).filter("point_id = 7").count()]
+    assert len(hot) > 1 and small.read().count() == 7500
+
+
+def test_what_a_batch_found_is_removed(spark, copy, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "shared_folder", lambda _, purpose: str(tmp_path / purpose))
+    with looked_up(copy, facts(spark, 1, 2), "id") as (rows, dim):
+        assert dim.rows == 4 and rows.count() == 2 and (tmp_path / "matching" / "found").exists()
+    assert not (tmp_path / "matching").exists()
+    with pytest.raises(ZeroDivisionError):
+        with looked_up(copy, facts(spark, 1), "id"):
+            1 / 0
+    assert not (tmp_path / "matching").exists()
