@@ -1,0 +1,92 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pointstream.operators.ledger import load_ledger
+from pointstream.operators.pieces import load_large_ledger, response_elements
+from pointstream.sources.ledgers import read_response_pieces, read_responses
+
+
+def land(tmp_path, *texts):
+    folder = tmp_path / "responses"
+    folder.mkdir(exist_ok=True)
+    for i, text in enumerate(texts):
+        (folder / f"r{i:03d}.json").write_text(text)
+    return str(folder)
+
+
+def elements(spark, path):
+    rows = response_elements(read_response_pieces(spark, path)).orderBy("file", "place").collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.file.rpartition("/")[2], []).append(json.loads(r.element))
+    return found
+
+
+ODD = ['a,b', '],[', '"', '\\', '\\"', '{"x":[', "}", "é\n\t", "", ',"result":[', "\\\\\","]
+
+
+def made_up(rng, depth=0):
+    kind = rng.randrange(6 if depth < 3 else 3)
+    if kind == 0:
+        return rng.choice(ODD) + rng.choice(ODD)
+    if kind == 1:
+        return rng.choice([0, -1.5, 1e30, True, None])
+    if kind == 2:
+        return rng.choice(ODD)
+    if kind == 3:
+        return [made_up(rng, depth + 1) for _ in range(rng.randrange(4))]
+    return {rng.choice(ODD) + str(i): made_up(rng, depth + 1) for i in range(rng.randrange(4))}
+
+
+def made_up_response(rng):
+    result = [made_up(rng) for _ in range(rng.randrange(12))]
+    members = [("code", made_up(rng)), ("note", {"result": [made_up(rng)]}), ("result", result), ("end", made_up(rng))]
+    if rng.random() < 0.3:
+        members = [members[2], *members[:2], members[3]]
+    if rng.random() < 0.3:
+        members = [m for m in members if m[0] != "end"]
+    return result, json.dumps(dict(members), ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, None, 2]))
+
+
+@pytest.mark.parametrize("size", ["64b", "1k", "1m"])
+def test_elements_of_made_up_responses(spark, tmp_path, session_conf, size):
+    """Cut at any byte, also within texts, the elements are those of the whole text."""
+    session_conf(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="0")
+    rng = random.Random(4)
+    made = [made_up_response(rng) for _ in range(60)]
+    found = elements(spark, land(tmp_path, *(text for _, text in made)))
+    assert found == {f"r{i:03d}.json": result for i, (result, _) in enumerate(made) if result}
+
+
+def test_responses_without_elements(spark, tmp_path):
+    path = land(tmp_path, '{"result":[]}', '{"result" : [ \n ], "a":1}', '{"code":1}', '{"a":{"result":[1]}}', '{"result":{"a":[1,2]}}', "")
+    assert elements(spark, path) == {}
+
+
+def test_rows_equal_the_whole_file_form(spark, tmp_path):
+    rng = random.Random(7)
+    results = [{"no": i, "text": rng.choice(ODD), "figure": i / 7} for i in range(500)]
+    path = land(tmp_path, json.dumps({"code": 200, "result": results}))
+    large = load_large_ledger(read_response_pieces(spark, path), "2024-01-16")
+    whole = load_ledger(read_responses(spark, path), "2024-01-16")
+    assert sorted(map(tuple, large.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_a_large_response_is_parsed_by_many_tasks(spark, tmp_path, session_conf):
+    session_conf(spark__sql__files__maxPartitionBytes="1m")
+    body = ",".join('{"no":%d,"text":"a,]}"}' % i for i in range(200_000))
+    pieces = read_response_pieces(spark, land(tmp_path, '{"code":200,"result":[' + body + "]}"))
+    assert pieces.select("block").distinct().count() > 3 and pieces.rdd.getNumPartitions() > 3
+    rows = load_large_ledger(pieces, "2024-01-16")
+    numbers = rows.select(F.get_json_object("content", "$.no").cast("int").alias("no"))
+    found = numbers.agg(F.count("*"), F.sum("no"), F.countDistinct("no")).first()
+    assert tuple(found) == (200_000, sum(range(200_000)), 200_000)
+
+
+def test_a_broken_response_fails_the_job(spark, tmp_path):
+    path = land(tmp_path, '{"result":[{"a":1},{"b":}]}')
+    with pytest.raises(Exception):
+        load_large_ledger(read_response_pieces(spark, path), "2024-01-16").collect()
