@@ -145,6 +145,15 @@ _LEDGER = """SELECT strftime(ts, '%Y-%m-%d') AS cm, event_id AS no, CAST(i AS IN
 FROM events, range(2) r(i)
 WHERE event_id % 5 <> 4 AND i < event_id % 3"""
 
+# Totals before and after micro-batches of events by event_id % 3.
+_CHANGES = """SELECT batch, CAST(coalesce(sum(n) OVER (
+         ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before,
+       CAST(sum(n) OVER (ORDER BY batch) AS BIGINT) AS after
+FROM (SELECT event_id % 3 AS batch,
+             count(*) FILTER (WHERE user_id % 2 = 0 AND user_id IN (
+               SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey)) AS n
+      FROM events GROUP BY event_id % 3) counted"""
+
 ORACLES: dict[str, str] = {
     "lookup_enrich": _enriched(_NOT_SENTINEL),
     "lookup_enrich_unfiltered": _enriched(),
@@ -273,4 +282,16 @@ FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_
 WHERE c_custkey % 2 = 0""",
     "stream_datagen": _DATAGEN,
     "sink_replay": _enriched(_NOT_SENTINEL),
+    "stream_dimension_bucketed": _enriched(_NOT_SENTINEL, _whole_second),
+    "stream_dimension_retried": _enriched(_NOT_SENTINEL, _whole_second),
+    "sink_compacted": _enriched(_NOT_SENTINEL),
+    "sink_label_log": _enriched(_NOT_SENTINEL, _whole_second),
+    "stream_count_changes": _CHANGES,
+    "stream_count_changelog": f"""SELECT batch, '+I' AS kind, after AS total FROM ({_CHANGES}) c WHERE batch = 0
+UNION ALL SELECT batch, '-U', before FROM ({_CHANGES}) c WHERE batch > 0 AND before <> after
+UNION ALL SELECT batch, '+U', after FROM ({_CHANGES}) c WHERE batch > 0 AND before <> after""",
+    "stream_bounded_rows": f"SELECT *, TRUE AS within_bound FROM ({_enriched('TRUE', _whole_second)}) rows_found",
+    "ledger_large": f"""SELECT cm, no, part, kind || '],"}}\\ {{' AS kind, user FROM ({_LEDGER}) rows_found""",
+    "ledger_emptied_day": f"""SELECT * FROM ({_LEDGER}) rows_found
+WHERE day(CAST(cm AS DATE) + INTERVAL 1 DAY) % 2 = 1""",
 }

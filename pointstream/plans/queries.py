@@ -22,7 +22,7 @@ from pointstream.functions.times import (
     second_text,
 )
 from pointstream.operators.decode import BUFFER, decode_frames, frame_rejects
-from pointstream.operators.ledger import ledger_rejects, load_ledger
+from pointstream.operators.ledger import ledger_rejects, load_ledger, pulled_days
 from pointstream.operators.lookup import described, enriched, lookup_join, total_count
 from pointstream.operators.messages import (
     QUARANTINE,
@@ -34,17 +34,29 @@ from pointstream.operators.messages import (
     to_messages,
     to_readings,
 )
+from pointstream.operators.pieces import load_large_ledger
 from pointstream.plans import tables as t
 from pointstream.schemas import COUNT, ENRICHED, GENERATED, HEADER_BYTES, MESSAGE, RECORD_BYTES
+from pointstream.sinks.logged import LoggedAppends
 from pointstream.sinks.messages import write_messages
-from pointstream.sinks.tables import LabelledWriter, bind_by_position, write_day, write_days
+from pointstream.sinks.tables import (
+    BATCH,
+    LABEL,
+    LabelledWriter,
+    append_rows,
+    bind_by_position,
+    write_day,
+    write_days,
+)
 from pointstream.sources.captures import read_captures
 from pointstream.sources.dimension import DimSnapshot, read_dimension
 from pointstream.sources.generated import generated_ids
-from pointstream.sources.ledgers import read_responses
-from pointstream.sources.messages import read_messages
+from pointstream.sources.ledgers import read_response_pieces, read_responses
+from pointstream.sources.messages import bounded_files, read_messages
 from pointstream.storage import shared_folder
 from pointstream.streaming.jobs import (
+    change_rows,
+    running_changes,
     running_total,
     start_count,
     start_enrich,
@@ -609,6 +621,143 @@ def sink_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writer.read(spark).select(*ENRICHED.names)
 
 
+def stream_dimension_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension kept by key: each micro-batch reads the buckets of its own keys."""
+    path, settings = shared_folder(spark, "messages"), _settings(spark, "stream_bucketed")
+    _land_messages(spark, sf_dir, path)
+    writer = LabelledWriter(shared_folder(spark, "bucketed"), "bucketed", ENRICHED)
+    snapshot = DimSnapshot(
+        lambda session: t.point_dim(session, sf_dir), key="point_id", keyed_beyond=0, buckets=64
+    )
+    _enrich_landed(spark, path, snapshot, writer, settings)
+    return writer.read(spark).select(*ENRICHED.names)
+
+
+def stream_dimension_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension store that fails twice at first, and for good once a copy is there."""
+    path, settings = shared_folder(spark, "messages"), _settings(spark, "stream_retried")
+    _land_messages(spark, sf_dir, path)
+    writer = LabelledWriter(shared_folder(spark, "retried"), "retried", ENRICHED)
+    calls = []
+
+    def loader(session: SparkSession) -> DataFrame:
+        calls.append(len(calls))
+        if calls[-1] != 2:
+            raise OSError("the dimension store is down")
+        return t.point_dim(session, sf_dir)
+
+    snapshot = DimSnapshot(loader, ttl=0, pause=0.01, max_age=3600)
+    _enrich_landed(spark, path, snapshot, writer, settings)
+    return writer.read(spark).select(*ENRICHED.names)
+
+
+def sink_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of a run compacted part by part, then a batch of a compacted part again."""
+    writer = LabelledWriter(
+        shared_folder(spark, "compacted"), "job", ENRICHED, run="trial", part_batches=2
+    )
+    rows = lookup_enrich(spark, sf_dir)
+    parts = FILES + 2
+    for batch in range(parts):
+        writer(rows.filter(F.pmod(F.col("point_id"), F.lit(parts)) == batch), batch)
+    for part in range(parts // 2):
+        writer.compact(spark, "trial", part)
+    writer.remove_replaced(spark, "trial")
+    writer(rows.filter(F.pmod(F.col("point_id"), F.lit(parts)) == 0), 0)
+    return writer.read(spark).select(*ENRICHED.names)
+
+
+def sink_label_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream into a target that takes plain appends, every batch handed over twice."""
+    path, settings = shared_folder(spark, "messages"), _settings(spark, "sink_label_log")
+    _land_messages(spark, sf_dir, path)
+    target = shared_folder(spark, "target")
+    once_each = LoggedAppends(
+        shared_folder(spark, "label-log"), "job", lambda rows: append_rows(rows, "parquet", path=target)
+    )
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        once_each(batch, batch_id)
+        once_each(batch, batch_id)
+
+    snapshot = DimSnapshot(lambda session: t.point_dim(session, sf_dir))
+    _enrich_landed(spark, path, snapshot, twice, settings)
+    return spark.read.schema(ENRICHED).parquet(target)
+
+
+def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of a running count over messages that come file by file: by event_id % FILES."""
+    path, settings = shared_folder(spark, "messages"), _settings(spark, "stream_changes")
+    events = _events(spark, sf_dir)
+    for number in range(FILES):
+        own = to_messages(t.as_records(events.filter(F.col("event_id") % FILES == number)))
+        own.coalesce(1).write.mode("append").text(path)
+    counts = LabelledWriter(shared_folder(spark, "changes"), "count", COUNT, part_batches=2)
+    start_count(
+        parse_messages(_landed_stream(spark, path, settings)),
+        DimSnapshot(lambda session: _even_points(t.point_dim(session, sf_dir))),
+        counts,
+        settings,
+    ).awaitTermination()
+    return running_changes(counts.batches(spark), block=2)
+
+
+def stream_count_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The total before and after each micro-batch."""
+    changes = _stream_counts(spark, sf_dir)
+    return changes.select(F.col(BATCH).alias("batch"), "before", "after")
+
+
+def stream_count_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as rows of a changelog: totals taken back and put in."""
+    rows = change_rows(_stream_counts(spark, sf_dir))
+    return rows.select(F.col(BATCH).alias("batch"), "kind", "total")
+
+
+def stream_bounded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file of many messages, cut so that no micro-batch has more than a tenth of them.
+
+    Rows with the largest batch's share of the bound, which must not be above 1.
+    """
+    path, landing = shared_folder(spark, "large"), shared_folder(spark, "bounded")
+    events = _events(spark, sf_dir)
+    to_messages(t.as_records(events)).coalesce(1).write.text(path)
+    bound = events.count() // 10 + 1
+    cutting = dataclasses.replace(_settings(spark, "bounded_cut"), batch_rows=bound)
+    bounded_files(spark, path, landing, cutting).awaitTermination()
+    settings = _settings(spark, "stream_bounded")
+    writer = LabelledWriter(shared_folder(spark, "bounded-rows"), "bounded", ENRICHED)
+    snapshot = DimSnapshot(lambda session: t.point_dim(session, sf_dir))
+    start_enrich(
+        _landed_stream(spark, landing, settings), snapshot, writer, settings, sentinel=None
+    ).awaitTermination()
+    rows = writer.read(spark)
+    within = rows.groupBy(LABEL).agg((F.count("*") <= bound).alias("within_bound"))
+    return rows.join(within, LABEL).select(*ENRICHED.names, "within_bound")
+
+
+def ledger_emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days loaded, then every other day pulled again, without a single element."""
+    path = shared_folder(spark, "ledger")
+    responses = t.as_responses(_events(spark, sf_dir))
+    day = F.col("run_date")
+    write_days(load_ledger(responses, day), path, pulled=pulled_days(responses, day))
+    again = responses.filter(F.dayofmonth("run_date") % 2 == 0)
+    empty = again.withColumn("value", F.lit('{"code":200,"result":[]}'))
+    write_days(load_ledger(empty, day), path, pulled=pulled_days(empty, day))
+    return _content_fields(spark.read.schema("content string, cm string").parquet(path))
+
+
+def ledger_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response per day with all its elements, parsed in blocks of the files."""
+    path = shared_folder(spark, "large-responses")
+    lines = t.day_responses(_events(spark, sf_dir)).repartition("run_date")
+    ordered = lines.sortWithinPartitions("run_date", "place").select("run_date", "line")
+    ordered.write.partitionBy("run_date").text(path)
+    rows = load_large_ledger(read_response_pieces(spark, path), F.col("run_date"))
+    return _content_fields(rows)
+
+
 QUERIES: dict[str, Query] = {
     "lookup_enrich": lookup_enrich,
     "lookup_enrich_unfiltered": lookup_enrich_unfiltered,
@@ -657,4 +806,13 @@ QUERIES: dict[str, Query] = {
     "stream_datagen": stream_datagen,
     "sink_replay": sink_replay,
     "sink_new_checkpoint": sink_new_checkpoint,
+    "stream_dimension_bucketed": stream_dimension_bucketed,
+    "stream_dimension_retried": stream_dimension_retried,
+    "sink_compacted": sink_compacted,
+    "sink_label_log": sink_label_log,
+    "stream_count_changes": stream_count_changes,
+    "stream_count_changelog": stream_count_changelog,
+    "stream_bounded_rows": stream_bounded_rows,
+    "ledger_emptied_day": ledger_emptied_day,
+    "ledger_large": ledger_large,
 }

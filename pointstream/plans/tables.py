@@ -4,7 +4,7 @@ Every view is row-local: one event becomes one reading, one frame, one message
 or one response, so no view needs a shuffle or gathers a group.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pointstream.functions.binary import swap32
 from pointstream.functions.once import once
@@ -234,6 +234,36 @@ def as_responses(events: DataFrame) -> DataFrame:
     )
 
 
+def day_responses(events: DataFrame) -> DataFrame:
+    """The elements of all events of a day as lines of one response: (run_date, place, line).
+
+    Texts with commas, brackets, quotation marks and backslashes stand in it.
+    """
+    parts = F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int") - 1)
+    some = events.filter("event_id % 5 <> 4 AND event_id % 3 > 0")
+    each = some.select("*", F.explode(parts).alias("part")).select(
+        F.date_add(F.to_date(F.substring(F.col("ts").cast("string"), 1, 10)), 1).alias("run_date"),
+        (F.col("event_id") * 4 + F.col("part")).alias("place"),
+        F.to_json(
+            F.struct(
+                F.col("event_id").alias("no"),
+                F.col("part"),
+                F.concat(F.col("event_type"), F.lit('],"}\\ {')).alias("kind"),
+                F.struct(F.col("user_id").alias("user"), F.array("part", "part").alias("more")).alias("by"),
+            )
+        ).alias("line"),
+    )
+    order = Window.partitionBy("run_date").orderBy("place")
+    lines = each.withColumn("first", F.row_number().over(order) == 1).select(
+        "run_date", "place", F.concat(F.when(F.col("first"), "").otherwise(","), "line").alias("line")
+    )
+    days = each.select("run_date").distinct()
+    head = F.lit('{"code":200,"note":{"result":[1,2]},"result" : [')
+    heads = days.select("run_date", F.lit(-1).cast("bigint").alias("place"), head.alias("line"))
+    tails = days.select("run_date", F.lit(1 << 62).alias("place"), F.lit(']\n,"end":[3,{"result":[4]}]}').alias("line"))
+    return lines.unionAll(heads).unionAll(tails)
+
+
 def number_responses(events: DataFrame) -> DataFrame:
     """One response per event with figures that a double cannot hold.
 

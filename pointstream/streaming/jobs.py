@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pointstream.operators.keyed import looked_up
 from pointstream.operators.lookup import described, enriched, lookup_join, total_count
 from pointstream.operators.messages import (
     FAIL,
@@ -16,11 +17,15 @@ from pointstream.operators.messages import (
     parse_messages,
 )
 from pointstream.schemas import LOOKUP_TTL_SECONDS, SENTINEL_DAY
+from pointstream.sinks.tables import BATCH, LABEL, RUN
 from pointstream.sources.dimension import DimSnapshot, Loader
 from pointstream.streaming.settings import JobSettings
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+# Batches whose counts are added up in one task.
+CHANGE_BLOCK = 1000
+
 
 def start_lookup(
     facts: DataFrame,
@@ -40,9 +45,9 @@ def start_lookup(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        dim = snapshot.current(batch.sparkSession)
         rows = settings.dealt(batch)
-        writer(project(lookup_join(rows, dim, fact_key, dim_key, broadcast_bytes)), batch_id)
+        with looked_up(snapshot.current(batch.sparkSession), rows, fact_key) as (rows, dim):
+            writer(project(lookup_join(rows, dim, fact_key, dim_key, broadcast_bytes)), batch_id)
 
     return settings.start(facts.writeStream.foreachBatch(handle))
 
@@ -74,9 +79,9 @@ def start_enrich(
         try:
             rejects(marked_rejects(marked), batch_id)
             readings = settings.dealt(drop_sentinel(marked_readings(marked), sentinel))
-            dim = snapshot.current(batch.sparkSession)
-            joined = lookup_join(readings, dim, broadcast_bytes=broadcast_bytes)
-            writer(enriched(joined), batch_id)
+            with looked_up(snapshot.current(batch.sparkSession), readings, "id") as (rows, dim):
+                joined = lookup_join(rows, dim, broadcast_bytes=broadcast_bytes)
+                writer(enriched(joined), batch_id)
         finally:
             marked.unpersist()
 
@@ -114,6 +119,44 @@ def running_total(counts: DataFrame) -> DataFrame:
     return counts.agg(F.coalesce(F.sum("total"), F.lit(0)).cast("bigint").alias("total"))
 
 
+def running_changes(counts: DataFrame, block: int = CHANGE_BLOCK) -> DataFrame:
+    """How the running total of each run changed, batch by batch.
+
+    ``counts`` are the rows of ``LabelledWriter.batches``. Columns: the run, the batch,
+    its label, and the total ``before`` and ``after`` it. Rows that a replay wrote again
+    have replaced the earlier ones, so the changes stay the same. Sums are taken within
+    blocks of batches and over the blocks, so that the batches of a long run are added up
+    in many tasks; one row per block meets in one.
+    """
+    each = counts.groupBy(RUN, BATCH, LABEL).agg(F.sum("total").alias("total"))
+    each = each.withColumn("block", F.expr(f"{BATCH} div {block}"))
+    inside = Window.partitionBy(RUN, "block").orderBy(BATCH)
+    earlier = Window.partitionBy(RUN).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = each.groupBy(RUN, "block").agg(F.sum("total").alias("total"))
+    offsets = sums.select(RUN, "block", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
+    after = F.col("offset") + F.sum("total").over(inside)
+    found = each.join(offsets, [RUN, "block"]).withColumn("after", after)
+    return found.select(
+        RUN, BATCH, LABEL, (F.col("after") - F.col("total")).alias("before"), "after"
+    )
+
+
+def change_rows(changes: DataFrame) -> DataFrame:
+    """Changes as rows of a changelog: the old total taken back, the new one put in.
+
+    Column ``kind`` is ``+I`` for a run's first total, then ``-U`` and ``+U``; batches that
+    change nothing give no rows, but for the first.
+    """
+    firsts = changes.groupBy(RUN).agg(F.min(BATCH).alias("first_batch"))
+    first = F.col(BATCH) == F.col("first_batch")
+    row = lambda kind, total: F.struct(F.lit(kind).alias("kind"), F.col(total).alias("total"))
+    rows = F.when(F.col("first"), F.array(row("+I", "after"))).otherwise(
+        F.array(row("-U", "before"), row("+U", "after"))
+    )
+    found = changes.join(firsts, RUN).withColumn("first", first).filter(F.col("first") | (F.col("before") != F.col("after")))
+    return found.select(RUN, BATCH, LABEL, F.explode(rows).alias("row")).select(RUN, BATCH, LABEL, "row.*")
+
+
 def start_trial(
     ids: DataFrame,
     loader: Loader,

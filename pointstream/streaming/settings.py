@@ -14,7 +14,7 @@ class JobSettings:
 
     ``interval`` is the time between micro-batches, and so between checkpoints
     and flushes. ``available_now`` handles what is there and stops. ``batch_rows``
-    bounds a micro-batch of a topic, ``batch_files`` one of a folder;
+    bounds a micro-batch of a topic, ``batch_files`` or ``batch_bytes`` one of a folder;
     ``read_messages`` applies them at the source. ``parallelism`` is the number of
     tasks that look up and write a micro-batch; without it, those that read it do.
     """
@@ -26,6 +26,7 @@ class JobSettings:
     batch_rows: int | None = None
     batch_files: int | None = None
     parallelism: int | None = None
+    batch_bytes: int | None = None
 
     @classmethod
     def from_properties(cls, path: str) -> "JobSettings":
@@ -43,7 +44,7 @@ class JobSettings:
         values: dict = dict(pairs)
         if "available_now" in values:
             values["available_now"] = values["available_now"].lower() == "true"
-        for name in ("batch_rows", "batch_files", "parallelism"):
+        for name in ("batch_rows", "batch_files", "batch_bytes", "parallelism"):
             if name in values:
                 values[name] = int(values[name])
         return cls(**values)

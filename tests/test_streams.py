@@ -10,10 +10,13 @@ from pointstream.plans import tables as t
 from pointstream.schemas import COUNT, ENRICHED, GENERATED
 from pointstream.sinks.messages import print_rows, stream_messages
 from pointstream.sinks.tables import LABEL, NO_QUERY, LabelledWriter
+from pointstream.sources.captures import land_datagrams, read_captures
 from pointstream.sources.dimension import DimSnapshot
 from pointstream.sources.generated import generate_batch, generate_stream, generated_id
-from pointstream.sources.messages import batch_limit, read_messages
+from pointstream.sources.messages import batch_limit, bounded_files, read_messages
 from pointstream.streaming.jobs import (
+    change_rows,
+    running_changes,
     running_total,
     start_count,
     start_enrich,
@@ -334,3 +337,123 @@ def test_settings(tmp_path):
         JobSettings.from_properties(str(path))
     quick = small_batches("first", "/shared/first")
     assert (quick.interval, quick.batch_rows, quick.batch_files) == ("2 seconds", 10_000, 1)
+
+
+def counted(spark, tmp_path, *totals, run="a", part_batches=3):
+    """A table of counts, written batch by batch."""
+    counts = LabelledWriter(str(tmp_path / "counts"), "c", COUNT, run=run, part_batches=part_batches)
+    for batch, total in enumerate(totals):
+        counts(spark.createDataFrame([(total,)], COUNT), batch)
+    return counts
+
+
+def changes(spark, counts, block):
+    found = running_changes(counts.batches(spark), block)
+    return sorted((r.load_run, r.load_batch, r.before, r.after) for r in found.collect())
+
+
+def test_changes_of_the_total(spark, tmp_path):
+    totals = [4, 0, 7, 1, 0, 0, 3, 5]
+    counts = counted(spark, tmp_path, *totals)
+    counted(spark, tmp_path, 10, 20, run="b")
+    expected = [("a", i, sum(totals[:i]), sum(totals[: i + 1])) for i in range(8)]
+    expected += [("b", 0, 0, 10), ("b", 1, 10, 30)]
+    for block in (1, 2, 3, 1000):
+        assert changes(spark, counts, block) == expected
+    counts.compact(spark, "a", 0)
+    counts.remove_replaced(spark, "a")
+    # A replay with another count: later totals follow.
+    counts(spark.createDataFrame([(6,)], COUNT), 7)
+    expected[7] = ("a", 7, 15, 21)
+    assert changes(spark, counts, 2) == expected
+
+
+def test_rows_of_the_changelog(spark, tmp_path):
+    counts = counted(spark, tmp_path, 0, 2, 0, 3)
+    found = change_rows(running_changes(counts.batches(spark), 2))
+    rows = [(r.load_batch, r.kind, r.total) for r in found.collect()]
+    assert sorted(rows) == [(0, "+I", 0), (1, "+U", 2), (1, "-U", 0), (3, "+U", 5), (3, "-U", 2)]
+
+
+def test_blocks_are_added_up_in_many_tasks(spark, tmp_path, plan_text):
+    counts = counted(spark, tmp_path, 1, 2)
+    plan = plan_text(running_changes(counts.batches(spark), 2))
+    assert "SinglePartition" not in plan and plan.count("Window") >= 2
+
+
+def test_a_large_file_gives_many_bounded_batches(spark, tmp_path):
+    source, landing = str(tmp_path / "in"), str(tmp_path / "cut")
+    spark.range(1000).selectExpr("CAST(id AS STRING) AS value").coalesce(1).write.text(source)
+    cut = settings(tmp_path, "cut", batch_rows=90)
+    bounded_files(spark, source, landing, cut).awaitTermination()
+    seen = []
+    reading = settings(tmp_path, "reading", batch_files=1)
+    rows = stream(spark, landing, reading)
+
+    def run():
+        reading.start(rows.writeStream.foreachBatch(lambda b, _: seen.append(b.count()))).awaitTermination()
+
+    run()
+    assert sum(seen) == 1000 and max(seen) <= 90 and len(seen) >= 12
+    # More rows later, and nothing twice.
+    spark.range(100).selectExpr("CAST(id AS STRING) AS value").write.mode("append").text(source)
+    bounded_files(spark, source, landing, cut).awaitTermination()
+    run()
+    assert sum(seen) == 1100 and max(seen) <= 90
+    with pytest.raises(ValueError):
+        bounded_files(spark, source, landing, settings(tmp_path, "unbounded"))
+
+
+def test_batches_are_bounded_by_bytes(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.range(0, 800, 1, 8).selectExpr("CAST(id + 1000 AS STRING) AS value").write.text(source)
+    seen = []
+    by_bytes = settings(tmp_path, "bytes", batch_bytes=1000)
+    rows = stream(spark, source, by_bytes)
+    by_bytes.start(rows.writeStream.foreachBatch(lambda b, _: seen.append(b.count()))).awaitTermination()
+    # Files of 500 bytes: two to a batch.
+    assert seen == [200] * 4
+    assert batch_limit("text", by_bytes) == {"maxBytesPerTrigger": "1000"}
+    assert JobSettings.from_properties(_properties(tmp_path, "batch_bytes=1000")).batch_bytes == 1000
+
+
+def _properties(tmp_path, *lines):
+    path = tmp_path / "job.properties"
+    path.write_text("\n".join(["name=job", "checkpoint=/ck", *lines]))
+    return str(path)
+
+
+def test_datagram_files_are_landed_once_and_cleared(spark, tmp_path):
+    source, landing, archive = (tmp_path / n for n in ("in", "captures", "archive"))
+    source.mkdir()
+    job = settings(tmp_path, "landing", batch_files=2)
+
+    def arrive(*numbers):
+        for n in numbers:
+            (source / f"{n}.bin").write_bytes(b"h" * 10 + bytes([n]) * 13)
+
+    def land(**how):
+        land_datagrams(spark, str(source), str(landing), job, **how).awaitTermination()
+        rows = read_captures(spark, str(landing)).collect()
+        assert len({r.frame_id for r in rows}) == len(rows)
+        return sorted(bytes(r.payload)[10] for r in rows)
+
+    arrive(1, 2, 3)
+    assert land(archive=str(archive)) == [1, 2, 3]
+    assert land(archive=str(archive)) == [1, 2, 3]
+    arrive(4, 5)
+    assert land(archive=str(archive)) == [1, 2, 3, 4, 5]
+    for _ in range(50):
+        if len(list(archive.rglob("*.bin"))) >= 3:
+            break
+        time.sleep(0.1)
+    # The last batch's files stay until the next one.
+    assert {p.name for p in archive.rglob("*.bin")} >= {"1.bin", "2.bin", "3.bin"}
+    assert not (source / "1.bin").exists()
+    frames = read_captures(spark, str(landing), stream=True)
+    seen = []
+    read = settings(tmp_path, "read")
+    read.start(frames.writeStream.foreachBatch(lambda b, _: seen.append(b.count()))).awaitTermination()
+    assert sum(seen) == 5
+    arrive(6)
+    assert land(delete=True) == [1, 2, 3, 4, 5, 6]
