@@ -1,37 +1,49 @@
-"""Token ids of whole texts, with bounded caches of the pieces that texts are made of.
+"""Token ids of whole texts, with a bounded cache of the words that texts are made of.
 
 The ids are those of the tokenizers library on the whole text. A text is cut only where
 the library's own rules always cut, so that the ids of the pieces, each made once by the
 library and cached, joined are the ids of the text. A text for which that is not certain
 is encoded whole; so is one that holds the string of an added token.
 
-A text is first cut at single spaces and line feeds into chunks. A chunk that is not
-known is cut on into a word of Latin letters and the marks after it; a word that is not
-known goes to the library's model, anything else through the whole library.
+The texts of a part are cut at single spaces and line feeds into chunks, and each
+distinct chunk is looked at once: a column at a time, without a Python string per word of
+the texts. A chunk is cut on into a word of Latin letters and the marks after it; a word
+that is not known goes to the library's model, anything else through the whole library.
+Very long texts are cut like others, in memory in proportion to the text.
 """
 
 import os
 import re
 import sys
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import cache
 
-# Entries of each of the two generations of a cache of chunks, and of one of words; the
-# longest text that is cached.
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from pointstream.llm.frames import give_back
+
+# Entries of each of the two generations of a cache of parts, and the longest part that
+# is cached.
 CACHED = 300_000
-CACHED_WORDS = 150_000
 CACHED_CHARS = 48
-# Texts whose chunks are looked up together, and pieces encoded together.
-TEXTS = 256
+# Bytes that each of the two generations of the cache of words may hold, as Python counts
+# them: with what a dictionary needs for an entry.
+CACHED_BYTES = 48 << 20
+_ENTRY_BYTES = 180
+# Bytes of text that are encoded together, and pieces that go to the library together.
+PART_BYTES = 8 << 20
 ENCODED = 2048
 
 # Control characters, spaces other than the usual ones, and joiners.
-_ODD = re.compile(
-    r"[\x00-\x08\x0b-\x1f\x7f-\xa0\u034f\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
+_ODD = (
+    r"[\x00-\x08\x0b-\x1f\x7f-\x{a0}\x{34f}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}"
+    r"\x{205f}-\x{206f}\x{3000}\x{feff}]"
 )
 # White space that is not one space or one line feed between other characters.
-_WIDE = re.compile(r"[ \n][ \n]|\t|\A[ \n]|[ \n]\Z")
+_WIDE = r"[ \n][ \n]|\t|\A[ \n]|[ \n]\z"
 # A word of Latin letters and the marks that end a chunk. The library always cuts between
 # the two; an apostrophe is not among the marks, as it may begin a piece of its own.
 _WORD = re.compile(r"(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?|*%$#&]*)")
@@ -48,6 +60,7 @@ def _byte_characters() -> dict[int, int]:
 
 
 _BYTES = _byte_characters()
+_SPACE = chr(_BYTES[ord(" ")])
 
 
 class Generations:
@@ -75,6 +88,25 @@ class Generations:
             self.young, self.old = {}, self.young
 
 
+class Words:
+    """Ids of words, bounded in bytes: what was not used for a whole generation is forgotten."""
+
+    def __init__(self, limit: int = CACHED_BYTES):
+        self.limit = limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def put(self, word: str, ids: bytes) -> bytes:
+        self.young[word] = ids
+        self.held += len(word) + len(ids) + _ENTRY_BYTES
+        return ids
+
+    def turn(self) -> None:
+        if self.held > self.limit:
+            self.young, self.old, self.held = {}, self.young, 0
+
+
 def _little(ids: list[int]) -> bytes:
     body = array("I", ids)
     if sys.byteorder == "big":
@@ -105,8 +137,7 @@ class Encoder:
         # Strings that the library looks for in the normalized text.
         self.normalized = any(t.normalized for t in added) and self.tokenizer.normalizer
         self.model = self.tokenizer.model
-        self.chunks = Generations()
-        self.words = Generations(CACHED_WORDS)
+        self.words = Words()
 
     def vocabulary_size(self) -> int:
         return self.tokenizer.get_vocab_size()
@@ -123,12 +154,18 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """A word of letters through the model."""
-        if not word.isascii() or word[0] == " ":
+        if not word.isascii():
             word = word.encode().decode("latin-1").translate(_BYTES)
+        if self.spaced and word[0] == " ":
+            word = _SPACE + word[1:]
         return _little([token.id for token in self.model.tokenize(word)])
 
-    def _cut(self, text: str) -> list[str] | None:
-        """Chunks of a text, or None where it must be encoded whole."""
+    def _cut(self, column: pa.Array) -> pa.ListArray:
+        """Chunks of texts that can be cut."""
+        raise NotImplementedError
+
+    def _uncut(self, column: pa.Array) -> pa.Array:
+        """Whether a text must be encoded whole, apart from added tokens."""
         raise NotImplementedError
 
     def _holds_added(self, text: str) -> bool:
@@ -144,23 +181,25 @@ class Encoder:
         """What a chunk stands for in the text."""
         return chunk
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not known."""
-        out, whole, fullmatch = {}, [], _WORD.fullmatch
-        young, old, make = self.words.young, self.words.old, self._word
-        for chunk in chunks:
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks."""
+        out, whole, fullmatch = [], [], _WORD.fullmatch
+        young, old, put, make = self.words.young, self.words.old, self.words.put, self._word
+        for at, chunk in enumerate(chunks):
             found = fullmatch(chunk) if len(chunk) <= CACHED_CHARS else None
             if found is None:
-                whole.append(chunk)
+                whole.append(at)
+                out.append(b"")
                 continue
             feed, word, marks = found.groups()
             if self.spaced and not feed:
                 word = " " + word
             ids = young.get(word)
             if ids is None:
-                ids = young[word] = old.get(word) or make(word)
-            out[chunk] = self._other(feed) + ids + self._other(marks) if feed or marks else ids
-        out.update(zip(whole, self._whole([self._text_of(c) for c in whole])))
+                ids = put(word, old.get(word) or make(word))
+            out.append(self._other(feed) + ids + self._other(marks) if feed or marks else ids)
+        for at, ids in zip(whole, self._whole([self._text_of(chunks[at]) for at in whole])):
+            out[at] = ids
         self.words.turn()
         return out
 
@@ -171,27 +210,48 @@ class Encoder:
         words = self.words
         ids = words.young.get(piece)
         if ids is None:
-            ids = words.young[piece] = words.old.get(piece) or self._whole([piece])[0]
+            ids = words.put(piece, words.old.get(piece) or self._whole([piece])[0])
         return ids
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(texts), TEXTS):
-            some = texts[at : at + TEXTS]
-            cut = [None if self._holds_added(t) else self._cut(t) for t in some]
-            new = self.chunks.missing(set().union(*(c for c in cut if c)))
-            long = {}
-            for chunk, ids in self._learn(new).items():
-                (self.chunks.young if len(chunk) <= CACHED_CHARS else long)[chunk] = ids
-            look = self.chunks.young
-            for text, chunks in zip(some, cut):
-                if chunks is None:
-                    out += self._whole([text])
-                elif long and not long.keys().isdisjoint(chunks):
-                    out.append(b"".join([long[c] if c in long else look[c] for c in chunks]))
-                else:
-                    out.append(b"".join(map(look.__getitem__, chunks)))
-            self.chunks.turn()
+    def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        """Ids of each text; a null one is empty."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        return [ids for _, found in self.encode_parts(column) for ids in found]
+
+    def encode_parts(self, column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """The same part by part: the first row of a part, and the ids of its texts."""
+        column = pc.fill_null(column, "")
+        begin, size = 0, 0
+        for at, length in enumerate(pc.binary_length(column).to_pylist()):
+            size += length
+            if size >= PART_BYTES:
+                yield begin, self._encode(column.slice(begin, at + 1 - begin))
+                begin, size = at + 1, 0
+        if begin < len(column):
+            yield begin, self._encode(column.slice(begin))
+
+    def _encode(self, column: pa.Array) -> list[np.ndarray]:
+        texts = column.to_pylist()
+        uncut = self._uncut(column).to_numpy(zero_copy_only=False)
+        uncut |= np.fromiter(map(self._holds_added, texts), bool, len(texts))
+        cut = self._cut(pc.if_else(pa.array(uncut), "", column) if uncut.any() else column)
+        first = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        words = pc.dictionary_encode(cut.flatten())
+        bodies = self._chunk_ids(words.dictionary.to_pylist())
+        known = np.frombuffer(b"".join(bodies), dtype="<u4")
+        counts = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
+        begins = np.cumsum(counts) - counts
+        # The ids of every chunk of the texts, one after the other.
+        which = words.indices.to_numpy()
+        each = counts[which]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = known[np.repeat(begins[which] - (ends - each), each) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[first]
+        out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        odd = np.flatnonzero(uncut).tolist()
+        for at, body in zip(odd, self._whole([texts[at] for at in odd])):
+            out[at] = np.frombuffer(body, dtype="<u4")
         return out
 
 
@@ -204,18 +264,17 @@ class ByteLevel(Encoder):
 
     spaced = True
 
-    def _cut(self, text: str) -> list[str] | None:
-        if not text:
-            return []
-        if _ODD.search(text) or _WIDE.search(text):
-            return None
-        # The first word has no space: it is cut as if a line feed came before.
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [self._FIRST + first, *rest]
-
-    #: Marks the first chunk of a text; not in a text that is cut.
+    #: Marks the first chunk of a text, which has no space; not in a text that is cut.
     _FIRST = "\x00"
 
+    def _uncut(self, column: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(column, f"{_ODD}|{_WIDE}")
+
+    def _cut(self, column: pa.Array) -> pa.ListArray:
+        feeds = pc.replace_substring(column, "\n", " \n")
+        marked = pc.binary_join_element_wise(pa.scalar(self._FIRST), feeds, pa.scalar(""))
+        return pc.split_pattern(marked, " ")
+
     def _text_of(self, chunk: str) -> str:
         if chunk[0] == self._FIRST:
             return chunk[1:]
@@ -227,14 +286,11 @@ class WordLevel(Encoder):
 
     spaced = False
 
-    def _cut(self, text: str) -> list[str] | None:
-        if _ODD.search(text):
-            return None
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.split()
-        return text.lower().split()
+    def _uncut(self, column: pa.Array) -> pa.Array:
+        return pc.match_substring_regex(column, _ODD)
+
+    def _cut(self, column: pa.Array) -> pa.ListArray:
+        return pc.ascii_split_whitespace(column)
 
     def _word(self, word: str) -> bytes:
         return super()._word(word.lower())
@@ -251,10 +307,10 @@ def word_level(path: str, special: bool = False) -> Encoder:
 
 
 def release() -> None:
-    """Drop what this worker keeps for tokenizing.
+    """Drop what this worker keeps for tokenizing, and hand the memory back.
 
-    For operators that need memory of their own: a worker may have served a tokenizing
-    stage before.
+    For the end of a task: a worker serves other stages after it.
     """
     byte_level.cache_clear()
     word_level.cache_clear()
+    give_back()

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from pointstream.llm.frames import kept, set_aside, without
+from pointstream.llm.frames import kept, set_aside, tidied, without
 from pointstream.llm.words import ALNUM_WORDS, Part, Tokens, lowered, parts
 
 WINDOW = 10
@@ -78,7 +78,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
     item = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
     rows = benchmark.select(item.alias("item"), "text")
-    return rows.mapInArrow(windows, "item string, size int, hash bigint, words binary").distinct()
+    return rows.mapInArrow(tidied(windows), "item string, size int, hash bigint, words binary").distinct()
 
 
 class WindowSet:
@@ -153,7 +153,7 @@ def _scan(docs: DataFrame, text: str, known: Broadcast, first: bool) -> DataFram
             )
 
     given = [f for f in docs.schema.fields if first or f.name not in _FOUND.names]
-    return docs.mapInArrow(scan, T.StructType(given + _FOUND.fields))
+    return docs.mapInArrow(tidied(scan), T.StructType(given + _FOUND.fields))
 
 
 def contamination(
@@ -215,4 +215,4 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = aside.columns
-    return back(found.mapInArrow(cut, aside.schema))
+    return back(found.mapInArrow(tidied(cut), aside.schema))

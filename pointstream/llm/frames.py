@@ -1,8 +1,10 @@
 """Small helpers on DataFrames that the operators share."""
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pointstream.storage import shared_folder
@@ -67,6 +69,30 @@ def kept(spark: SparkSession, frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hand freed memory of this worker back to the system.
+
+    Workers serve one stage after another, and what a stage has freed would else stay
+    with the process beside what the next one takes.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that hands freed memory back at the end of its task."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def importable(spark: SparkSession) -> None:
     """Lets Python workers import this package from the path that the driver has it in.
 

@@ -39,9 +39,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pointstream.llm import cached_tokens
 from pointstream.llm.components import components
-from pointstream.llm.frames import free_name, kept
+from pointstream.llm.frames import free_name, kept, tidied
 from pointstream.llm.words import LOWER_WORDS, Part, constants, mixed, parts
 
 SHINGLE = 5
@@ -163,7 +162,6 @@ def _facts(rows: DataFrame) -> DataFrame:
     """Size, digest and sketch of every document's set."""
 
     def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cached_tokens.release()
         for batch in batches:
             size, one, two, marks = [], [], [], []
             for part in parts(batch.column("text")):
@@ -180,7 +178,7 @@ def _facts(rows: DataFrame) -> DataFrame:
             )
 
     made = "n_shingles bigint, d1 bigint, d2 bigint, sketch binary"
-    return rows.mapInArrow(facts, f"doc bigint, {made}")
+    return rows.mapInArrow(tidied(facts), f"doc bigint, {made}")
 
 
 def _copies(facts: DataFrame) -> DataFrame:
@@ -209,7 +207,6 @@ def _signature_rows(rows: DataFrame) -> DataFrame:
     """(sig, doc, tag) of all sets."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cached_tokens.release()
         for batch in batches:
             for part in parts(batch.column("text")):
                 ids = batch.column("doc").slice(part.row, len(part)).to_pylist()
@@ -231,7 +228,7 @@ def _signature_rows(rows: DataFrame) -> DataFrame:
                     names=["doc", "tag", "sigs"],
                 )
 
-    made = rows.mapInArrow(sign, "doc bigint, tag bigint, sigs array<bigint>")
+    made = rows.mapInArrow(tidied(sign), "doc bigint, tag bigint, sigs array<bigint>")
     return made.select(F.explode("sigs").alias("sig"), "doc", "tag")
 
 
@@ -356,7 +353,7 @@ def _verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
                     names=["a", "part", "doc", "members"],
                 )
 
-    sent = given.mapInArrow(send, "a bigint, part int, doc bigint, members binary")
+    sent = given.mapInArrow(tidied(send), "a bigint, part int, doc bigint, members binary")
     ordered = sent.repartition("a", "part").sortWithinPartitions(
         "a", "part", (F.col("doc") != F.col("a")).cast("int")
     )
@@ -385,7 +382,7 @@ def _verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
                 [pa.array(c, pa.int64()) for c in columns], names=["a", "b"]
             )
 
-    return ordered.mapInArrow(compare, "a bigint, b bigint")
+    return ordered.mapInArrow(tidied(compare), "a bigint, b bigint")
 
 
 def _open(meetings: DataFrame, found: DataFrame) -> DataFrame:
@@ -472,7 +469,7 @@ def _candidates(rows: DataFrame, facts: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types)], names=["a", "b", "instance"]
             )
 
-    return ordered.mapInArrow(hold, "a bigint, b bigint, instance int").distinct()
+    return ordered.mapInArrow(tidied(hold), "a bigint, b bigint, instance int").distinct()
 
 
 def _and_none(batches: Iterator) -> Iterator:

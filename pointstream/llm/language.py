@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from pointstream.llm import cached_tokens
-from pointstream.llm.frames import given_and_text, kept
+from pointstream.llm.frames import given_and_text, kept, tidied
 from pointstream.llm.words import Part, parts
 
 UNDETERMINED = "und"
@@ -143,7 +142,7 @@ def train(
                 yield pa.RecordBatch.from_arrays([langs, pa.array(rows)], ["lang", "counts"])
 
     sample = _sample(given)
-    rows = kept(spark, sample.mapInArrow(vectors, "lang string, counts binary"), "language-sample")
+    rows = kept(spark, sample.mapInArrow(tidied(vectors), "lang string, counts binary"), "language-sample")
 
     def matrix(column: pa.Array) -> np.ndarray:
         joined = b"".join(column.to_pylist())
@@ -159,7 +158,7 @@ def train(
         counts = np.append(seen, n)
         yield pa.RecordBatch.from_arrays([pa.array(features), pa.array(counts)], ["f", "n"])
 
-    seen = rows.select("counts").mapInArrow(frequencies, "f bigint, n bigint")
+    seen = rows.select("counts").mapInArrow(tidied(frequencies), "f bigint, n bigint")
     seen = {r["f"]: r["n"] for r in seen.groupBy("f").agg(F.sum("n").alias("n")).collect()}
     total = seen.get(-1, 0)
     idf = np.array([np.log((1 + total) / (1 + seen.get(f, 0))) + 1 for f in range(SIZE)])
@@ -215,7 +214,6 @@ def identified(
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cached_tokens.release()
         model = known.value
         for batch in batches:
             names, scores, rejected = [], [], []
@@ -245,5 +243,5 @@ def identified(
             )
 
     fields = [f for f in given.schema.fields if f.name in keep]
-    found = given.mapInArrow(predict, T.StructType(fields + made.fields))
+    found = given.mapInArrow(tidied(predict), T.StructType(fields + made.fields))
     return back(found, *made.names)

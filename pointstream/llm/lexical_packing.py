@@ -3,14 +3,15 @@
 Documents are tokenized once. Of a long one, full windows are sequences of their own. The
 rests of all documents are sorted by content and cut into shards of ``SHARD_TOKENS``
 tokens. They are sorted by key: the first ``KEY_TERMS`` of a rest's token ids in a random
-order in which rare ids tend to come first, of those that another rest holds too. Two
+order in which rare ids tend to come first, of those that another document holds too. Two
 rests have the same first id by the chance that their weighted ids overlap, whatever the
 number of shards; a key of very many documents is split by its next ids and at last by
 row, and small ones share a shard. Neighbours whose keys differ may still lie in
 different shards.
 
 A shard is an inverted index: for each token id the documents
-that hold it, with BM25 weights from document frequencies over all documents. The longest
+that hold it, with BM25 weights from document frequencies and the mean length over all
+documents, whole ones; a seed's own ids are all looked up. The longest
 unused document is the seed of a sequence; the index returns unused neighbours, best
 first, which fill the window. The last one is cut to fit and what is left of it is the
 next seed, so only a shard's last sequence is padded.
@@ -18,7 +19,8 @@ next seed, so only a shard's last sequence is padded.
 A shard's size does not grow with the corpus. Rows are dealt by ranges of key and row, so
 a hot source or many copies do not gather in one task.
 
-A null text is empty: one end token. Repeated rows are repeated documents; a null id is
+A very long text is tokenized whole, and only its rest, less than a window, goes on to a
+shard. A null text is empty: one end token. Repeated rows are repeated documents; a null id is
 carried along. Equal scores go by row. An empty table gives an empty one; other columns
 are ignored.
 """
@@ -31,9 +33,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from pointstream.llm.cached_tokens import word_level
-from pointstream.llm.frames import kept
-from pointstream.llm.words import parts
+from pointstream.llm.cached_tokens import release, word_level
+from pointstream.llm.frames import kept, tidied
 
 END = 1
 WINDOW = 2048
@@ -42,8 +43,6 @@ SHARD_TOKENS = 1 << 20
 TASK_SHARDS = 4
 # Ids by which rests are sorted.
 KEY_TERMS = 4
-# Rarest tokens of a seed that are looked up.
-QUERY_TOKENS = 48
 # BM25 saturation and length normalisation.
 K1, B = 1.2, 0.75
 
@@ -58,43 +57,55 @@ def _crc(ids: np.ndarray) -> int:
 def tokenized(docs: DataFrame, vocabulary: str, id_column: str, text: str) -> DataFrame:
     """Per row: ids' number, crc32 of each full window, and the ids of the rest.
 
-    The rest is kept in 16 bits where the vocabulary allows it; ``held`` is its tokens.
+    The rest is kept in 16 bits where the vocabulary allows it; ``held`` is its tokens. A
+    task's last row is none of a document: its ``full`` has the ids that the task's
+    documents hold, each followed by the number of those documents; ``row`` is null.
     """
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_level(vocabulary, special=True)
-        width = "<u2" if encoder.vocabulary_size() <= 1 << 16 else "<u4"
+        size = encoder.vocabulary_size()
+        width = "<u2" if size <= 1 << 16 else "<u4"
         row = TaskContext.get().partitionId() << 40
-        end = np.array([END], dtype="<u4").tobytes()
-        for batch in batches:
-            for part in parts(batch.column("text")):
-                given = batch.slice(part.row, len(part))
-                texts = [t or "" for t in given.column("text").to_pylist()]
-                sizes, full, rest, held = [], [], [], []
-                for body in encoder.encode(texts):
-                    ids = np.frombuffer(body + end, dtype="<u4")
-                    whole = len(ids) // WINDOW * WINDOW
-                    sizes.append(len(ids))
-                    full.append([_crc(ids[a : a + WINDOW]) for a in range(0, whole, WINDOW)])
-                    rest.append(ids[whole:].astype(width).tobytes())
-                    held.append(len(ids) - whole)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        given.column("doc"),
-                        pa.array(np.arange(row, row + len(part))),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(full, pa.list_(pa.int64())),
-                        pa.array(rest, pa.binary()),
-                        pa.array(held, pa.int32()),
-                    ],
-                    names=["doc", "row", "size", "full", "rest", "held"],
-                )
-                row += len(part)
+        end = np.array([END], dtype="<u4")
+        seen = np.zeros(size, dtype=np.int64)
+        try:
+            for batch in batches:
+                for at, found in encoder.encode_parts(batch.column("text")):
+                    sizes, full, rest, held = [], [], [], []
+                    for body in found:
+                        ids = np.concatenate([body, end])
+                        seen[np.unique(ids)] += 1
+                        whole = len(ids) // WINDOW * WINDOW
+                        sizes.append(len(ids))
+                        full.append([_crc(ids[a : a + WINDOW]) for a in range(0, whole, WINDOW)])
+                        rest.append(ids[whole:].astype(width).tobytes())
+                        held.append(len(ids) - whole)
+                    rows = np.arange(row, row + len(found))
+                    yield _rows(batch.column("doc").slice(at, len(found)), rows, sizes, full, rest, held)
+                    row += len(found)
+            ids = np.flatnonzero(seen)
+            pairs = np.stack([ids, seen[ids]], axis=1).ravel()
+            yield _rows(pa.nulls(1, pa.int64()), [None], [0], [pairs], [b""], [0])
+        finally:
+            release()
 
     given = docs.select(F.col(id_column).cast("bigint").alias("doc"), F.col(text).alias("text"))
     return given.mapInArrow(tokenize, _TOKENIZED)
 
 
+def _rows(docs: pa.Array, rows, sizes: list, full: list, rest: list, held: list) -> pa.RecordBatch:
+    columns = [
+        docs,
+        pa.array(rows, pa.int64()),
+        pa.array(sizes, pa.int64()),
+        pa.array(full, pa.list_(pa.int64())),
+        pa.array(rest, pa.binary()),
+        pa.array(held, pa.int32()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["doc", "row", "size", "full", "rest", "held"])
+
+
 def _width(table) -> str:
     """Type of the ids of the rests, from their sizes."""
     body, held = table.column("rest"), table.column("held")
@@ -106,21 +117,11 @@ def _width(table) -> str:
 
 def _document_frequencies(rows: DataFrame) -> dict[int, int]:
     """Documents that hold each token id; at most one entry per id of the vocabulary."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 16, dtype=np.int64)
-        for batch in batches:
-            width = _width(batch)
-            for body in batch.column("rest"):
-                ids = np.unique(np.frombuffer(body.as_py(), dtype=width))
-                if len(ids) and ids[-1] >= len(seen):
-                    seen = np.append(seen, np.zeros(int(ids[-1]) + 1 - len(seen), dtype=np.int64))
-                seen[ids] += 1
-        ids = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(seen[ids])], ["id", "n"])
-
-    counted = rows.select("rest", "held").mapInArrow(count, "id bigint, n bigint")
-    return {r["id"]: r["n"] for r in counted.groupBy("id").agg(F.sum("n").alias("n")).collect()}
+    pairs = F.transform(F.sequence(F.lit(0), F.size("full") - 1, F.lit(2)), lambda i: F.struct(
+        F.get("full", i).alias("id"), F.get("full", i + 1).alias("n")
+    ))
+    each = rows.filter("row IS NULL AND size(full) > 0").select(F.inline(pairs))
+    return {r["id"]: r["n"] for r in each.groupBy("id").agg(F.sum("n").alias("n")).collect()}
 
 
 _KEY = [f"key_{i}" for i in range(KEY_TERMS)]
@@ -166,7 +167,7 @@ def _keyed(rows: DataFrame, order, shared: int) -> DataFrame:
                 names=[*batch.schema.names, *_KEY],
             )
 
-    return rows.mapInArrow(add, ", ".join([_TOKENIZED, *(f"{k} int" for k in _KEY)]))
+    return rows.mapInArrow(tidied(add), ", ".join([_TOKENIZED, *(f"{k} int" for k in _KEY)]))
 
 
 class Index:
@@ -188,10 +189,8 @@ class Index:
         self.free = np.ones(len(ids), dtype=bool)
 
     def neighbours(self, seed: int) -> Iterator[int]:
-        """Unused documents that share a rare token with the seed, best first."""
-        terms = self.terms[seed]
-        rare = terms[np.argsort(-self.idf[terms], kind="stable")[:QUERY_TOKENS]]
-        places = [slice(self.begin[t], self.begin[t + 1]) for t in rare]
+        """Unused documents that share a token with the seed, best first."""
+        places = [slice(self.begin[t], self.begin[t + 1]) for t in self.terms[seed]]
         doc = np.concatenate([self.doc[p] for p in places])
         weight = np.concatenate([self.weight[p] for p in places])
         score = np.bincount(doc, weight, minlength=len(self.free))
@@ -258,17 +257,20 @@ def packed(
 ) -> DataFrame:
     """Pieces of all documents in sequences of at most ``WINDOW`` tokens."""
     spark = docs.sparkSession
-    rows = kept(spark, tokenized(docs, vocabulary, id_column, text), "tokenized")
-    total = rows.agg(F.sum("held").alias("held"), F.count("*").alias("n")).first()
+    every = kept(spark, tokenized(docs, vocabulary, id_column, text), "tokenized")
+    seen = _document_frequencies(every)
+    rows = every.filter("row IS NOT NULL")
+    total = rows.agg(
+        F.sum("held").alias("held"), F.sum("size").alias("size"), F.count("*").alias("n")
+    ).first()
     held, documents = total["held"] or 0, max(1, total["n"])
     shards = max(1, -(-held // SHARD_TOKENS))
-    seen = _document_frequencies(rows)
     n = np.zeros(max(seen, default=0) + 1)
     n[list(seen)] = list(seen.values())
     idf = np.log1p((documents - n + 0.5) / (n + 0.5)).astype(np.float32)
     known = spark.sparkContext.broadcast(idf)
-    mean_length = max(1.0, held / documents)
-    # An id that one rest holds alone brings it to no other.
+    mean_length = max(1.0, (total["size"] or 0) / documents)
+    # An id that one document holds alone brings it to no other.
     order = spark.sparkContext.broadcast(_order(idf, n >= 2))
     shared = int((n >= 2).sum())
     most = SHARD_TOKENS
@@ -306,5 +308,5 @@ def packed(
     keyed = kept(spark, _keyed(rows, order, shared), "keyed")
     by = [*_KEY, "row"]
     dealt = keyed.repartitionByRange(-(-shards // TASK_SHARDS), *by)
-    packed_rows = dealt.sortWithinPartitions(*by).mapInArrow(pack, _PIECES)
+    packed_rows = dealt.sortWithinPartitions(*by).mapInArrow(tidied(pack), _PIECES)
     return packed_rows.withColumnRenamed("doc", id_column)

@@ -29,9 +29,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pointstream.llm.cached_tokens import byte_level
-from pointstream.llm.frames import kept
-from pointstream.llm.words import parts
+from pointstream.llm.cached_tokens import byte_level, release
+from pointstream.llm.frames import kept, tidied
 
 END = 0
 BLOCK_IDS = 1 << 14
@@ -63,10 +62,10 @@ def unpacked(body: bytes, bits: int, count: int) -> np.ndarray:
     return out.view(">u4").reshape(-1).astype("<u4")
 
 
-def file_of(documents: list[int | None], ids: list[bytes], bits: int) -> bytes:
-    """A file of some documents and their ids (little-endian, 32 bits each)."""
-    starts = np.cumsum([0] + [len(i) // 4 for i in ids]).astype("<u8")
-    flat = np.frombuffer(b"".join(ids), dtype="<u4")
+def file_of(documents: list[int | None], ids: list[np.ndarray], bits: int) -> bytes:
+    """A file of some documents and their ids."""
+    starts = np.cumsum([0] + [len(i) for i in ids]).astype("<u8")
+    flat = np.concatenate([*ids, np.zeros(0, dtype="<u4")])
     blocks = [packed(flat[a : a + BLOCK_IDS], bits) for a in range(0, len(flat), BLOCK_IDS)]
     names = np.array([_NULL if d is None else d for d in documents], dtype="<i8")
     head = 4 + 16 + 8 + 8 * (len(blocks) + 1) + 8 * len(names) + 8 * len(starts)
@@ -117,7 +116,7 @@ def write_token_files(
         encoder = byte_level(vocabulary, special=True)
         bits = bits_for(encoder.vocabulary_size())
         shard = TaskContext.get().partitionId()
-        end = np.array([END], dtype="<u4").tobytes()
+        end = np.array([END], dtype="<u4")
         names, bodies, size, number, first = [], [], 0, 0, 0
 
         def row() -> pa.RecordBatch:
@@ -129,20 +128,22 @@ def write_token_files(
                 names=["shard", "file", "first", "ids", "body"],
             )
 
-        for batch in batches:
-            for part in parts(batch.column("text")):
-                rows = batch.slice(part.row, len(part))
-                texts = [t or "" for t in rows.column("text").to_pylist()]
-                for doc, ids in zip(rows.column("doc").to_pylist(), encoder.encode(texts)):
-                    names.append(doc)
-                    bodies.append(ids + end)
-                    size += len(ids) // 4 + 1
-                    if size >= FILE_IDS:
-                        yield row()
-                        first, number = first + size, number + 1
-                        names, bodies, size = [], [], 0
-        if names:
-            yield row()
+        try:
+            for batch in batches:
+                for at, found in encoder.encode_parts(batch.column("text")):
+                    rows = batch.column("doc").slice(at, len(found)).to_pylist()
+                    for doc, ids in zip(rows, found):
+                        names.append(doc)
+                        bodies.append(np.concatenate([ids, end]))
+                        size += len(ids) + 1
+                        if size >= FILE_IDS:
+                            yield row()
+                            first, number = first + size, number + 1
+                            names, bodies, size = [], [], 0
+            if names:
+                yield row()
+        finally:
+            release()
 
     files = ordered.mapInArrow(write, "shard int, file int, first bigint, ids bigint, body binary")
     return kept(docs.sparkSession, files, "token-files")
@@ -172,7 +173,7 @@ def read_documents(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
                 )
 
     found = files.select("shard", "first", "body").mapInArrow(
-        read, f"shard int, `{id_column}` bigint, at bigint, n_tokens bigint, ids_crc32 bigint"
+        tidied(read), f"shard int, `{id_column}` bigint, at bigint, n_tokens bigint, ids_crc32 bigint"
     )
     # One row per shard, that is, per partition of the writing job.
     sizes = files.groupBy("shard").agg(F.sum("ids").alias("ids"))

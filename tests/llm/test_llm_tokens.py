@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -34,12 +35,23 @@ def test_cached_ids_are_those_of_the_library(path, encoder, monkeypatch):
     rng = random.Random(4)
     texts = ["".join(rng.choices(ALPHABET, k=rng.randrange(60))) for _ in range(3000)]
     texts += ["Word.\nNext, it's 'the don't  two\n\nlines <|endoftext|> x" * 3, " lead", "trail ", "\n", "a" * 500]
-    monkeypatch.setattr(cached_tokens, "TEXTS", 50)
+    monkeypatch.setattr(cached_tokens, "PART_BYTES", 2000)
     own = encoder.__wrapped__(path)
-    own.chunks.size = own.words.size = 500  # so that generations turn
+    own.words.limit = 50_000  # so that generations turn
+    expected = encoded(path, texts)
     for _ in range(2):
-        got = [np.frombuffer(b, dtype="<u4").tolist() for b in own.encode(texts)]
-        assert got == encoded(path, texts)
+        assert [ids.tolist() for ids in own.encode(texts)] == expected
+        assert own.words.held <= 60_000
+    assert [ids.tolist() for ids in own.encode(["", None, "\n"])][:2] == [[], []]
+    column = pa.array([None, *texts[:20]])
+    assert [ids.tolist() for ids in own.encode(column.slice(3))] == expected[2:20]
+
+
+@pytest.mark.parametrize("path, encoder", [(BYTES, cached_tokens.byte_level), (WORDS, cached_tokens.word_level)])
+def test_ids_of_all_documents_are_those_of_the_library(spark, path, encoder):
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    texts += [chr(n) + " a" + chr(n) + "b " + chr(n) for n in (*range(0x500), *range(0x1680, 0x3100, 3), 0xFEFF)]
+    assert [ids.tolist() for ids in encoder.__wrapped__(path).encode(texts)] == encoded(path, texts)
 
 
 SPECIAL = ["a <|endoftext|> b", "<|startoftext|>Word.\n<|endoftext|>", "x<|endoftext|>", "plain words, no more"]
@@ -48,7 +60,7 @@ SPECIAL = ["a <|endoftext|> b", "<|startoftext|>Word.\n<|endoftext|>", "x<|endof
 @pytest.mark.parametrize("path, encoder", [(BYTES, cached_tokens.byte_level), (WORDS, cached_tokens.word_level)])
 def test_special_tokens_in_texts_are_those_of_an_untouched_library(path, encoder):
     expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(SPECIAL, add_special_tokens=False)]
-    got = [np.frombuffer(b, dtype="<u4").tolist() for b in encoder.__wrapped__(path, special=True).encode(SPECIAL)]
+    got = [ids.tolist() for ids in encoder.__wrapped__(path, special=True).encode(SPECIAL)]
     assert got == expected
 
 
@@ -77,7 +89,7 @@ def test_files_give_any_range(monkeypatch):
     rng = np.random.default_rng(0)
     docs = [rng.integers(0, 1000, n).astype("<u4") for n in (0, 1, 7, 30, 2)]
     for bits in (10, 16):
-        body = token_files.file_of([5, None, 7, 8, 9], [d.tobytes() for d in docs], bits)
+        body = token_files.file_of([5, None, 7, 8, 9], docs, bits)
         file, flat = token_files.TokenFile(body), np.concatenate(docs)
         for _ in range(100):
             a, b = sorted(rng.integers(0, len(flat) + 1, 2))
@@ -285,3 +297,39 @@ def test_plain_version_of_the_centroid_rule(spark, make):
     assert [r.lang_pred for r in got[:3]] == ["en", "de", "fr"] and got[0].score == pytest.approx(1, abs=1e-5)
     none = language.train(docs.limit(0))
     assert {(r.lang_pred, r.score, r.rejected) for r in language.identified(docs, none).collect()} == {("und", 0.0, True)}
+
+
+def test_neighbours_are_in_the_order_of_their_scores():
+    """Against BM25 taken pair by pair, over every id of the seed."""
+    rng = np.random.default_rng(3)
+    docs = [rng.zipf(1.4, rng.integers(1, 120)) % 200 for _ in range(60)]
+    idf = rng.random(200).astype(np.float32) * 5
+    index = lexical_packing.Index(docs, idf, 40.0)
+    k1, b = lexical_packing.K1, lexical_packing.B
+
+    def score(seed, doc):
+        norm = k1 * (1 - b + b * len(doc) / 40.0)
+        tf = {t: int((doc == t).sum()) for t in set(seed.tolist()) & set(doc.tolist())}
+        return sum(idf[t] * n * (k1 + 1) / (n + norm) for t, n in tf.items())
+
+    for seed in range(60):
+        index.free[:] = True
+        index.free[[seed, (seed + 1) % 60]] = False
+        found = list(index.neighbours(seed))
+        expected = {i: score(docs[seed], docs[i]) for i in range(60) if index.free[i]}
+        assert set(found) == {i for i, s in expected.items() if s > 0}
+        scores = [expected[i] for i in found]
+        assert all(x >= y - 1e-3 for x, y in zip(scores, scores[1:]))
+
+
+def test_frequencies_are_of_whole_documents(spark, make):
+    """Also of the full windows of long ones."""
+    texts = ["alpha " * 5000 + "beta", "beta gamma", None, "alpha"]
+    rows = lexical_packing.tokenized(make(texts).coalesce(1), WORDS, "doc_id", "text").cache()
+    tokenizer = Tokenizer.from_file(WORDS)
+    expected = defaultdict(int)
+    for t in texts:
+        for i in {*tokenizer.encode(t or "", add_special_tokens=False).ids, lexical_packing.END}:
+            expected[i] += 1
+    assert lexical_packing._document_frequencies(rows) == expected
+    assert rows.filter("row IS NULL").count() == 1 and rows.filter("row IS NOT NULL").count() == 4
