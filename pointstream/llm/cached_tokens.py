@@ -34,7 +34,7 @@ CACHED_CHARS = 48
 CACHED_BYTES = 48 << 20
 _ENTRY_BYTES = 180
 # Bytes of text that are encoded together, and pieces that go to the library together.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 ENCODED = 2048
 
 # Control characters, spaces other than the usual ones, and joiners.
@@ -61,6 +61,9 @@ def _byte_characters() -> dict[int, int]:
 
 _BYTES = _byte_characters()
 _SPACE = chr(_BYTES[ord(" ")])
+# Before the name of a word without its space, or of marks, in the cache; not in a chunk
+# that is a word.
+_BARE = "\x01"
 
 
 class Generations:
@@ -183,34 +186,38 @@ class Encoder:
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks."""
-        out, whole, fullmatch = [], [], _WORD.fullmatch
-        young, old, put, make = self.words.young, self.words.old, self.words.put, self._word
-        for at, chunk in enumerate(chunks):
+        words, other = self.words, self._other
+        young, old, put = words.young, words.old, words.put
+        out = list(map(young.get, chunks))
+        missed = [at for at, ids in enumerate(out) if ids is None]
+        whole, fullmatch, make = [], _WORD.fullmatch, self._word
+        for at in missed:
+            chunk = chunks[at]
             found = fullmatch(chunk) if len(chunk) <= CACHED_CHARS else None
             if found is None:
                 whole.append(at)
-                out.append(b"")
                 continue
             feed, word, marks = found.groups()
-            if self.spaced and not feed:
-                word = " " + word
-            ids = young.get(word)
+            # A word alone is known as the chunk that it is; after a line feed it has no
+            # space, and a name of its own.
+            name = _BARE + word if feed else word
+            ids = young.get(name)
             if ids is None:
-                ids = put(word, old.get(word) or make(word))
-            out.append(self._other(feed) + ids + self._other(marks) if feed or marks else ids)
+                ids = put(name, old.get(name) or make(word if feed or not self.spaced else " " + word))
+            out[at] = other(feed) + ids + other(marks) if feed or marks else ids
         for at, ids in zip(whole, self._whole([self._text_of(chunks[at]) for at in whole])):
             out[at] = ids
-        self.words.turn()
+        words.turn()
         return out
 
     def _other(self, piece: str) -> bytes:
         """A line feed or marks."""
         if not piece:
             return b""
-        words = self.words
-        ids = words.young.get(piece)
+        words, name = self.words, _BARE + piece
+        ids = words.young.get(name)
         if ids is None:
-            ids = words.put(piece, words.old.get(piece) or self._whole([piece])[0])
+            ids = words.put(name, words.old.get(name) or self._whole([piece])[0])
         return ids
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
@@ -246,7 +253,10 @@ class Encoder:
         each = counts[which]
         ends = np.cumsum(each)
         total = int(ends[-1]) if len(ends) else 0
-        ids = known[np.repeat(begins[which] - (ends - each), each) + np.arange(total)]
+        kind = np.int32 if max(total, len(known)) < 1 << 31 else np.int64
+        places = np.repeat((begins[which] - (ends - each)).astype(kind), each)
+        places += np.arange(total, dtype=kind)
+        ids = known[places]
         bounds = np.concatenate([[0], ends])[first]
         out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         odd = np.flatnonzero(uncut).tolist()

@@ -93,11 +93,20 @@ def tidied(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return run
 
 
+# Rows of an Arrow batch: a batch of the usual 10,000 rows of long texts takes hundreds of
+# megabytes in the executor and as much in its worker.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_BATCH_ROWS = 2048
+
+
 def importable(spark: SparkSession) -> None:
     """Lets Python workers import this package from the path that the driver has it in.
 
     A cluster whose machines do not have that path gets the package by ``--py-files``.
+    Unless the session says how many rows an Arrow batch has, it has ``MOST_BATCH_ROWS``.
     """
+    if spark.conf.get(BATCH_ROWS, None) is None:
+        spark.conf.set(BATCH_ROWS, str(MOST_BATCH_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")

@@ -43,6 +43,9 @@ SHARD_TOKENS = 1 << 20
 TASK_SHARDS = 4
 # Ids by which rests are sorted.
 KEY_TERMS = 4
+# An id that one of so many of a shard's documents holds has a full row, if there are not
+# more such ids than that; the others have lists.
+COMMON, MOST_ROWS = 8, 1024
 # BM25 saturation and length normalisation.
 K1, B = 1.2, 0.75
 
@@ -68,14 +71,16 @@ def tokenized(docs: DataFrame, vocabulary: str, id_column: str, text: str) -> Da
         width = "<u2" if size <= 1 << 16 else "<u4"
         row = TaskContext.get().partitionId() << 40
         end = np.array([END], dtype="<u4")
-        seen = np.zeros(size, dtype=np.int64)
+        seen, mark = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=bool)
         try:
             for batch in batches:
                 for at, found in encoder.encode_parts(batch.column("text")):
                     sizes, full, rest, held = [], [], [], []
                     for body in found:
                         ids = np.concatenate([body, end])
-                        seen[np.unique(ids)] += 1
+                        mark[ids] = True
+                        seen += mark
+                        mark[ids] = False
                         whole = len(ids) // WINDOW * WINDOW
                         sizes.append(len(ids))
                         full.append([_crc(ids[a : a + WINDOW]) for a in range(0, whole, WINDOW)])
@@ -142,15 +147,14 @@ def _order(idf: np.ndarray, shared: np.ndarray) -> np.ndarray:
 
 def _key(ids: np.ndarray, order: np.ndarray, shared: int) -> list[int]:
     """The first places that a document's shared ids have; -1 where there are no more."""
-    places = np.sort(order[ids], kind="stable")
-    places = places[: np.searchsorted(places, shared)]
-    first = places[:1].tolist()
-    while first and len(first) < KEY_TERMS:
-        at = np.searchsorted(places, first[-1], side="right")
-        if at == len(places):
+    places, key = order[ids], []
+    while len(key) < KEY_TERMS:
+        places = places[places < shared]
+        if not len(places):
             break
-        first.append(int(places[at]))
-    return first + [-1] * (KEY_TERMS - len(first))
+        key.append(int(places.min()))
+        places = places[places != key[-1]]
+    return key + [-1] * (KEY_TERMS - len(key))
 
 
 def _keyed(rows: DataFrame, order, shared: int) -> DataFrame:
@@ -171,29 +175,63 @@ def _keyed(rows: DataFrame, order, shared: int) -> DataFrame:
 
 
 class Index:
-    """Inverted index of a shard's documents, with BM25 weights."""
+    """Inverted index of a shard's documents, with BM25 weights.
+
+    The postings of ids that many of the documents hold are kept as full rows, a weight
+    for every document, so that those of a seed are added up at once.
+    """
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean_length: float):
         held = [np.unique(i, return_counts=True) for i in ids]
-        self.idf = idf
         self.terms = [t for t, _ in held]
         term = np.concatenate(self.terms)
-        doc = np.repeat(np.arange(len(ids)), [len(t) for t in self.terms])
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(t) for t in self.terms])
         tf = np.concatenate([n for _, n in held]).astype(np.float32)
         length = np.array([len(i) for i in ids], dtype=np.float32)
         norm = K1 * (1 - B + B * length / mean_length)
-        order = np.argsort(term, kind="stable")
-        self.doc = doc[order]
-        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm[doc]))[order].astype(np.float32)
-        self.begin = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        weight = (idf[term] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32)
+        holders = np.bincount(term, minlength=len(idf))
+        common = np.flatnonzero(holders * COMMON >= len(ids))[:MOST_ROWS]
+        self.row = np.full(len(idf), -1, dtype=np.int32)
+        self.row[common] = np.arange(len(common))
+        rows = self.row[term]
+        full = rows >= 0
+        self.full = np.zeros((len(common), len(ids)), dtype=np.float32)
+        self.full[rows[full], doc[full]] = weight[full]
+        #: Documents of the full rows' columns.
+        self.columns = np.arange(len(ids))
+        order = np.flatnonzero(~full)
+        order = order[np.argsort(term[order], kind="stable")]
+        self.term, self.doc, self.weight = term[order], doc[order], weight[order]
+        self.ids = np.arange(len(idf) + 1)
+        self.begin = np.searchsorted(self.term, self.ids).tolist()
         self.free = np.ones(len(ids), dtype=bool)
 
+    def _shrunk(self) -> None:
+        """Take used documents out of the postings, once a quarter of them are used."""
+        if 4 * int(self.free.sum()) > 3 * len(self.columns):
+            return
+        stay = self.free[self.doc]
+        self.term, self.doc, self.weight = self.term[stay], self.doc[stay], self.weight[stay]
+        self.begin = np.searchsorted(self.term, self.ids).tolist()
+        stay = self.free[self.columns]
+        self.full, self.columns = self.full[:, stay], self.columns[stay]
+
     def neighbours(self, seed: int) -> Iterator[int]:
         """Unused documents that share a token with the seed, best first."""
-        places = [slice(self.begin[t], self.begin[t + 1]) for t in self.terms[seed]]
-        doc = np.concatenate([self.doc[p] for p in places])
-        weight = np.concatenate([self.weight[p] for p in places])
-        score = np.bincount(doc, weight, minlength=len(self.free))
+        self._shrunk()
+        terms, begin = self.terms[seed], self.begin
+        rows = self.row[terms]
+        asked = np.zeros(len(self.full), dtype=np.float32)
+        asked[rows[rows >= 0]] = 1
+        rare = terms[rows < 0].tolist()
+        places = [slice(begin[t], begin[t + 1]) for t in rare if begin[t] < begin[t + 1]]
+        score = np.zeros(len(self.free))
+        if places:
+            doc = np.concatenate([self.doc[p] for p in places])
+            weight = np.concatenate([self.weight[p] for p in places])
+            score = np.bincount(doc, weight, minlength=len(self.free))
+        score[self.columns] += asked @ self.full
         score[~self.free] = 0
         found = np.flatnonzero(score)
         yield from found[np.argsort(-score[found], kind="stable")].tolist()
