@@ -2,7 +2,8 @@
 
 Everything is a DataFrame expression. Offsets are code points, ends exclusive.
 
-A null text counts as empty and has no spans. Rows are independent of each other, so
+A null text counts as empty and has no spans. Very long texts are read whole, and what
+stands around a match is taken from chunks of them. Rows are independent of each other, so
 repeated rows give repeated results, and an empty table gives an empty one. Other columns
 stay; one named ``pii`` gives way to the result of ``pii_spans``, and stays in ``redact``.
 """
@@ -21,8 +22,9 @@ class Kind:
     ``pattern`` is a Java expression, ``valid`` a SQL condition on ``m``, the matched
     text. A match that is not valid is dropped, without a retry inside it. ``score`` is
     raised by ``CONTEXT_BONUS`` where one of the ``context`` words stands in the
-    ``CONTEXT_CHARS`` before the match. ``base`` spans stay whatever their score.
-    ``needs`` is a text without which the pattern cannot match.
+    ``CONTEXT_CHARS`` before the match or after it, other matches between or not. ``base``
+    spans stay whatever their score. ``needs`` is a text, and ``needs_like`` a quicker
+    pattern, without which the pattern cannot match.
     """
 
     name: str
@@ -32,6 +34,7 @@ class Kind:
     context: str
     base: bool = True
     needs: str | None = None
+    needs_like: str | None = None
 
 
 CONTEXT_CHARS = 40
@@ -116,6 +119,7 @@ KINDS = (
         0.6,
         "iban|account|konto|compte|cuenta|bank",
         base=False,
+        needs_like=r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[\x20A-Z0-9]",
     ),
     Kind(
         "ssn",
@@ -139,9 +143,13 @@ def _quoted(text: str) -> str:
 
 def _matches(text: str, kind: Kind) -> str:
     found = f"regexp_extract_all({text}, {_quoted(kind.pattern)}, 0)"
-    if kind.needs is None:
+    if kind.needs is not None:
+        may = f"contains({text}, {_quoted(kind.needs)})"
+    elif kind.needs_like is not None:
+        may = f"{text} rlike {_quoted(kind.needs_like)}"
+    else:
         return found
-    return f"IF(contains({text}, {_quoted(kind.needs)}), {found}, CAST(array() AS array<string>))"
+    return f"IF({may}, {found}, CAST(array() AS array<string>))"
 
 
 # Places whose sums or maxima are taken together: what stands before a place is found
@@ -174,26 +182,44 @@ def _pairs(text: str, found: str, kind: Kind) -> str:
     return f"IF(size({found}) = 0, NULL, {pairs})"
 
 
-def _spans(pairs: str, sizes: str, blocks: str, rank: int, kind: Kind) -> str:
-    """Spans of one kind: the lengths of what stands before a match give its place."""
+def _placed(pairs: str, sizes: str, blocks: str, kind: Kind) -> str:
+    """Places of the valid matches of one kind: the lengths of what stands before give them."""
     valid = kind.valid.replace("(m,", "(x.m,").replace("m rlike", "x.m rlike")
-    near = f"lower(right(x.gap, {CONTEXT_CHARS})) rlike {_quoted(kind.context)}"
-    score = f"CAST(least(1D, {kind.score}D + IF({near}, {CONTEXT_BONUS}D, 0D)) AS DOUBLE)"
-    kept = valid if kind.base else f"({valid}) AND {score} >= {THRESHOLD}D"
     start = " + ".join([*map(_sum, _before(sizes, blocks)), "length(x.gap)"])
+    place = f"named_struct('start', {start}, 'size', length(x.m))"
+    placed = f"transform({pairs}, (x, i) -> IF({valid}, {place}, NULL))"
+    # All are mentioned twice, so that the optimizer does not make them anew in the lambda.
+    none = " OR ".join(f"{c} IS NULL" for c in (pairs, sizes, blocks))
+    return f"IF({none}, NULL, filter({placed}, x -> x IS NOT NULL))"
+
+
+def _spans(placed: str, length: str, chunks: str, rank: int, kind: Kind) -> str:
+    """Spans of one kind, scored by the text around them."""
+    end = "(p.start + p.size)"
+    before = _piece(chunks, f"greatest(0, p.start - {CONTEXT_CHARS})", "p.start")
+    after = _piece(chunks, end, f"least({length}, {end} + {CONTEXT_CHARS})")
+    near = f"lower(concat({before}, '\n', {after})) rlike {_quoted(kind.context)}"
+    score = f"CAST(least(1D, {kind.score}D + IF({near}, {CONTEXT_BONUS}D, 0D)) AS DOUBLE)"
     span = (
-        f"named_struct('start', {start}, 'rank', {rank}, 'end', {start} + length(x.m),"
+        f"named_struct('start', p.start, 'rank', {rank}, 'end', {end},"
         f" 'kind', '{kind.name}', 'score', {score})"
     )
-    placed = f"transform({pairs}, (x, i) -> IF({kept}, {span}, NULL))"
-    return f"IF({pairs} IS NULL, {_NO_SPANS}, filter({placed}, x -> x IS NOT NULL))"
+    spans = f"transform({placed}, p -> {span})"
+    if not kind.base:
+        spans = f"filter({spans}, s -> s.score >= {THRESHOLD}D)"
+    return f"IF({placed} IS NULL, {_NO_SPANS}, {spans})"
+
+
+def _chunks(text: str) -> str:
+    return f"regexp_extract_all({text}, '(?s).{{1,{_CHUNK}}}', 0)"
 
 
 def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``pii``: spans (start, rank of the kind, end, kind, score) by start, then kind."""
     given = docs.select(*(f"`{c}`" for c in without(docs.columns, ["pii"])))
-    made = {step: [f"_{step}_{kind.name}" for kind in KINDS] for step in ("found", "pairs", "sizes", "blocks")}
-    aside, back = set_aside(given, ["_pii_text", *sum(made.values(), [])])
+    steps = ("found", "pairs", "sizes", "blocks", "placed")
+    made = {step: [f"_{step}_{kind.name}" for kind in KINDS] for step in steps}
+    aside, back = set_aside(given, ["_pii_text", "_pii_length", "_pii_chunks", *sum(made.values(), [])])
     frame = aside.withColumn("_pii_text", F.coalesce(F.col(text), F.lit("")))
 
     def step(frame: DataFrame, name: str, sql: list[str]) -> DataFrame:
@@ -206,8 +232,16 @@ def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     frame = step(frame, "sizes", [f"transform({c}, {size})" for c in made["pairs"]])
     total = "aggregate(s, 0, (a, n) -> a + n)"
     frame = step(frame, "blocks", [f"IF({c} IS NULL, NULL, {_blocks(c, total)})" for c in made["sizes"]])
-    columns = zip(made["pairs"], made["sizes"], made["blocks"], range(len(KINDS)), KINDS)
-    each = [_spans(*c) for c in columns]
+    columns = zip(made["pairs"], made["sizes"], made["blocks"], KINDS)
+    frame = step(frame, "placed", [_placed(*c) for c in columns])
+    some = " OR ".join(f"size({c}) > 0" for c in made["placed"])
+    frame = frame.select(
+        "*",
+        F.expr(f"IF({some}, {_chunks('_pii_text')}, NULL)").alias("_pii_chunks"),
+        F.expr(f"IF({some}, length(_pii_text), 0)").alias("_pii_length"),
+    )
+    columns = zip(made["placed"], range(len(KINDS)), KINDS)
+    each = [_spans(c, "_pii_length", "_pii_chunks", rank, kind) for c, rank, kind in columns]
     spans = F.expr(f"array_sort(concat({', '.join(each)}))")
     return back(frame.withColumn("pii", spans), "pii")
 
@@ -252,7 +286,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     some = F.size("pii") > 0
     found = pii_spans(aside, text).select(
         "*",
-        F.when(some, F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _CHUNK), F.lit(0))).alias("_chunks"),
+        F.when(some, F.expr(_chunks(f"`{text}`"))).alias("_chunks"),
         F.when(some, F.transform("pii", lambda s: s["end"])).alias("_ends"),
     )
     tops = F.when(some, F.expr(_blocks("_ends", "array_max(s)")))

@@ -45,6 +45,25 @@ def test_checksums_and_context(make):
     assert score == pytest.approx(0.9)
 
 
+def test_context_is_on_both_sides_and_beyond_other_matches(make):
+    filler = "x" * 5000
+    texts = [
+        "SSN: 123-45-6789, 987-65-4321",
+        "123-45-6789 is the SSN",
+        "123-45-6789 and, much later on in this very text, a remark on security",
+        f"{filler} 123-45-6789 {filler}",
+        f"{filler} social 123-45-6789 {filler}",
+        filler[:4090] + " 123-45-6789 is for insurance " + filler,
+        "insurance " + "y" * 30 + "123-45-6789, 987-65-4321",
+    ]
+    found = pii.pii_spans(make(texts)).orderBy("doc_id").select(pii.span_text()).collect()
+    assert [r[0] for r in found] == [
+        "ssn:5:16,ssn:18:29", "ssn:0:11", "", "", "ssn:5008:5019", "ssn:4091:4102", "ssn:40:51"
+    ]
+    got = [r.text for r in pii.redact(make(texts[:2])).orderBy("doc_id").collect()]
+    assert got == ["SSN: [SSN], [SSN]", "[SSN] is the SSN"]
+
+
 def test_account_numbers_before_other_words(make):
     texts = [
         "ES91 2100 0418 4502 0005 1332 BIC X",
