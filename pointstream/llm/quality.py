@@ -3,16 +3,20 @@
 Each rule looks at a few measures of a text and votes good, bad or abstains. Over all
 documents the votes are counted by pattern (at most ``3 ** len(RULES)`` of them, whatever
 the corpus); expectation-maximisation on these counts estimates how often each rule votes
-how on good and on bad documents, without labels. A document's posterior chance of being
-good follows from its pattern.
+how on good and on bad documents, and which share of all is good, without labels. A document's posterior chance
+of being good follows from its pattern: a vote counts for as much as its rule has proved
+to tell, and one bad vote of a rule that often errs is outweighed by the good ones. The
+rules overlap on purpose, as only agreement shows which of them is right.
 
-A null or empty text has no words: all measures are 0 and it fails the base rule. Measures
+A null or empty text has no words: all measures are 0 and it fails the base rule. Very
+long texts are measured whole. Measures
 of a document do not depend on other rows, so repeated rows give repeated results; an
 empty table gives an empty one. Other columns stay; one named like a result gives way to
 it.
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -116,18 +120,17 @@ def _per(name: str, of: str) -> str:
     return f"({name} / greatest({of}, 1))"
 
 
-# Votes from the measures. Most rules know one defect only: they vote bad where they see
-# it and abstain elsewhere, as its absence says little.
+# Votes from the measures: bad beyond a wide bound, good well inside it, else none.
 RULES = {
     "length": _rule("n_words", "< 30", ">= 100"),
-    "word_length": _rule(_per("word_chars", "n_words"), "NOT BETWEEN 3 AND 14"),
-    "symbols": _rule(_per("n_symbols", "n_words"), "> 0.2"),
+    "word_length": _rule(_per("word_chars", "n_words"), "NOT BETWEEN 4 AND 7", "BETWEEN 4.2 AND 6.5"),
+    "symbols": _rule(_per("n_symbols", "n_words"), "> 0.2", "< 0.02"),
     # In a short text one line said twice is no defect.
-    "dup_lines": _rule("(n_dup_lines / greatest(n_lines, 10))", "> 0.3"),
-    "repeats": _rule(_per("n_repeat_words", "n_words"), "> 0.3"),
-    "capitals": _rule(_per("n_upper", "n_letters"), "> 0.5"),
-    "letters": _rule(_per("n_letters", "word_chars"), "< 0.6"),
-    "sentences": _rule(_per("n_stops", "n_words"), "> 0.6"),
+    "dup_lines": _rule("(n_dup_lines / greatest(n_lines, 10))", "> 0.3", "< 0.05"),
+    "repeats": _rule(_per("n_repeat_words", "n_words"), "> 0.2", "< 0.05"),
+    "capitals": _rule(_per("n_upper", "n_letters"), "> 0.3", "< 0.05"),
+    "letters": _rule(_per("n_letters", "word_chars"), "< 0.92", "> 0.95"),
+    "sentences": _rule(_per("n_stops", "n_words"), "NOT BETWEEN 0.01 AND 0.4", "BETWEEN 0.02 AND 0.2"),
 }
 PATTERNS = 3 ** len(RULES)
 
@@ -146,39 +149,43 @@ def _digits(pattern: np.ndarray) -> np.ndarray:
 
 
 # EM starts from, and leans to, these chances of a vote (abstain, good, bad) on good and
-# on bad documents; the lean weighs as much as this many documents, or this share of them
-# if more.
-LEAN = np.array([[0.29, 0.7, 0.01], [0.2, 0.5, 0.3]])
-PRIOR_DOCUMENTS = 20.0
-PRIOR_SHARE = 0.05
-# A defect that goes with no other one would be taken for noise without this bound.
-MOST_FALSE_ALARMS = 0.01
-# Share of good documents: given, as rules that mostly abstain cannot tell it.
-PRIOR_GOOD = 0.85
-ROUNDS = 100
-
-
-def estimate(pattern: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The chance of each vote by rule and class (good, bad)."""
+# on bad documents, and this share of good ones. The leans weigh as much as so many
+# documents, whatever the size of the corpus.
+LEAN = np.array([[0.2, 0.75, 0.05], [0.2, 0.4, 0.4]])
+PRIOR_DOCUMENTS = 200.0
+PRIOR_GOOD, SHARE_DOCUMENTS = 0.8, 10.0
+ROUNDS = 200
+
+
+@dataclass(frozen=True)
+class Estimate:
+    """The chance of each vote by rule and class (good, bad), and the share of good documents."""
+
+    chance: np.ndarray
+    good: float
+
+
+def estimate(pattern: np.ndarray, count: np.ndarray, good: float | None = None) -> Estimate:
+    """Chances and share by expectation-maximisation; the share stays as it is if given."""
     digits = _digits(pattern)
-    weight = max(PRIOR_DOCUMENTS, PRIOR_SHARE * count.sum())
-    chance = np.repeat(LEAN[None], len(RULES), axis=0)
+    chance, share = np.repeat(LEAN[None], len(RULES), axis=0), PRIOR_GOOD if good is None else good
     for _ in range(ROUNDS):
-        share = posterior(digits, chance)
-        mass = np.stack([count * share, count * (1 - share)])
+        likely = posterior(digits, Estimate(chance, share))
+        mass = np.stack([count * likely, count * (1 - likely)])
+        if good is None:
+            share = (mass[0].sum() + SHARE_DOCUMENTS * PRIOR_GOOD) / (mass.sum() + SHARE_DOCUMENTS)
         for rule in range(len(RULES)):
             seen = np.stack([np.bincount(digits[:, rule], m, minlength=3) for m in mass])
-            seen = seen + weight * LEAN
+            seen = seen + PRIOR_DOCUMENTS * LEAN
             chance[rule] = seen / seen.sum(axis=1, keepdims=True)
-            chance[rule, 0, BAD] = min(chance[rule, 0, BAD], MOST_FALSE_ALARMS)
-    return chance
+    return Estimate(chance, float(share))
 
 
-def posterior(digits: np.ndarray, chance: np.ndarray) -> np.ndarray:
+def posterior(digits: np.ndarray, known: Estimate) -> np.ndarray:
     """Chance of good for each pattern of votes. An abstention says nothing."""
-    odds = np.full(len(digits), np.log(PRIOR_GOOD) - np.log1p(-PRIOR_GOOD))
+    odds = np.full(len(digits), np.log(known.good) - np.log1p(-known.good))
     for rule in range(digits.shape[1]):
-        ratio = np.log(chance[rule][0]) - np.log(chance[rule][1])
+        ratio = np.log(known.chance[rule][0]) - np.log(known.chance[rule][1])
         ratio[ABSTAIN] = 0.0
         odds += ratio[digits[:, rule]]
     return 1 / (1 + np.exp(-odds))
@@ -190,10 +197,17 @@ def base_failed() -> Column:
     return (words < 50) | (100 * F.col("n_repeat_words") > 50 * words)
 
 
-def judged(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def judged(
+    docs: DataFrame,
+    text: str = "text",
+    keep: list[str] | None = None,
+    good: float | None = None,
+    threshold: float = 0.5,
+) -> DataFrame:
     """Adds measures, ``quality`` (posterior chance of good), ``base_failed`` and ``kept``.
 
-    The measures are written once to the shared folder; counting patterns and judging
+    ``good`` is the share of good documents, estimated unless given; kept are documents of
+    at least the ``threshold`` that do not fail the base rule. The measures are written once to the shared folder; counting patterns and judging
     read that table.
     """
     spark = docs.sparkSession
@@ -203,12 +217,12 @@ def judged(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
     rows = kept(spark, aside.withColumn("pattern", votes()), "quality")
     counted = rows.groupBy("pattern").count().collect()
     pattern = np.array([r["pattern"] for r in counted], dtype=np.int64)
-    chance = estimate(pattern, np.array([r["count"] for r in counted], dtype=float))
-    share = posterior(_digits(pattern), chance)
+    known = estimate(pattern, np.array([r["count"] for r in counted], dtype=float), good)
+    share = posterior(_digits(pattern), known)
     known = spark.createDataFrame(
         list(zip(pattern.tolist(), share.tolist())), "pattern int, quality double"
     )
     # At most PATTERNS rows.
     joined = rows.join(F.broadcast(known), "pattern").withColumn("base_failed", base_failed())
-    good = ~F.col("base_failed") & (F.col("quality") >= 0.5)
-    return back(joined.withColumn("kept", good), *verdict)
+    passed = ~F.col("base_failed") & (F.col("quality") >= threshold)
+    return back(joined.withColumn("kept", passed), *verdict)
