@@ -7,9 +7,11 @@ centroids, found by clustering its training vectors; a text takes the language o
 centroid with the greatest cosine, and is rejected if it is farther from it than the
 language's training texts are, by a margin.
 
-Training uses a bounded sample: about ``SAMPLE_PER_LANGUAGE`` rows of each language,
-chosen by a hash of the id, for at most ``MAX_LANGUAGES`` languages (the most frequent).
-Prediction reads the whole text and nothing else.
+Training clusters a bounded sample: about ``SAMPLE_PER_LANGUAGE`` rows of each language,
+chosen by a hash of id and text, rows equal in both once. Every language is learned, and
+document frequencies are counted over all training rows. A model takes ``CENTROIDS *
+SIZE`` numbers a language (48 KB), and is broadcast. Prediction reads the whole text, very
+long ones too, and nothing else.
 
 A text that is null or has no letter is ``und`` with score 0. With no training rows every
 text is ``und``. Equal cosines go to the language first in order of name. Rows are
@@ -33,7 +35,6 @@ SIZE = 4096
 GRAM = 3
 CENTROIDS = 3
 SAMPLE_PER_LANGUAGE = 600
-MAX_LANGUAGES = 256
 # Texts of one matrix.
 ROWS = 256
 # A text of fewer 3-grams is too short to be rejected for its distance.
@@ -113,13 +114,13 @@ class Model:
 
 def _sample(labelled: DataFrame) -> DataFrame:
     """Rows (_id, _text, _lang) of the sample."""
-    counts = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang")
-    counts = counts.limit(MAX_LANGUAGES).collect()
-    rows = [(r["_lang"], min(1.0, SAMPLE_PER_LANGUAGE / r["count"])) for r in counts]
-    shares = labelled.sparkSession.createDataFrame(rows, "_lang string, _share double")
-    draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1e6
-    # At most MAX_LANGUAGES rows.
-    return labelled.join(F.broadcast(shares), "_lang").filter(draw < F.col("_share"))
+    counts = labelled.groupBy("_lang").agg(F.count("*").alias("_n"))
+    shares = counts.select("_lang", F.least(F.lit(1.0), F.lit(SAMPLE_PER_LANGUAGE) / F.col("_n")).alias("_share"))
+    # Written, so that its size is known: a row per language.
+    shares = kept(labelled.sparkSession, shares, "language-shares")
+    draw = F.pmod(F.xxhash64("_id", "_text"), F.lit(1_000_000)) / 1e6
+    drawn = labelled.join(shares, "_lang").filter(draw < F.col("_share"))
+    return drawn.select("_id", "_text", "_lang").distinct()
 
 
 def train(
@@ -151,14 +152,15 @@ def train(
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(SIZE, dtype=np.int64), 0
         for batch in batches:
-            x = matrix(batch.column("counts"))
-            seen += (x > 0).sum(axis=0)
-            n += len(x)
+            for part in parts(batch.column("_text"), ROWS):
+                x = _counts(part)
+                seen += (x > 0).sum(axis=0)
+                n += len(x)
         features = np.append(np.arange(SIZE), -1)
         counts = np.append(seen, n)
         yield pa.RecordBatch.from_arrays([pa.array(features), pa.array(counts)], ["f", "n"])
 
-    seen = rows.select("counts").mapInArrow(tidied(frequencies), "f bigint, n bigint")
+    seen = given.select("_text").mapInArrow(tidied(frequencies), "f bigint, n bigint")
     seen = {r["f"]: r["n"] for r in seen.groupBy("f").agg(F.sum("n").alias("n")).collect()}
     total = seen.get(-1, 0)
     idf = np.array([np.log((1 + total) / (1 + seen.get(f, 0))) + 1 for f in range(SIZE)])

@@ -288,6 +288,66 @@ def test_languages_of_held_out_documents(spark, odd_documents):
     assert language.identified(odd_documents.limit(0), model).count() == 0
 
 
+def test_every_language_is_learned(make):
+    """300 languages, each with words of its own."""
+    rng = random.Random(8)
+    rows = []
+    for number in range(300):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(30)]
+        rows += [(len(rows) + i, " ".join(rng.choices(words, k=60)), f"l{number:03d}", "s", 0) for i in range(4)]
+    docs = make(rows)
+    model = language.train(docs.filter("doc_id % 4 != 0"))
+    assert len(model.languages) == 300
+    found = language.identified(docs.filter("doc_id % 4 = 0"), model).collect()
+    assert np.mean([r.lang == r.lang_pred for r in found]) > 0.97
+
+
+def test_rows_of_one_id_are_drawn_apart(spark, make, monkeypatch):
+    """An id that all rows share does not make the sample all or none; equal rows come once."""
+    monkeypatch.setattr(language, "SAMPLE_PER_LANGUAGE", 100)
+    rows = [(None, f"some words of text {i % 1500}", "en", "s", 0) for i in range(3000)]
+    given = make(rows).selectExpr("CAST(doc_id AS STRING) AS _id", "text AS _text", "lang AS _lang")
+    assert 20 < language._sample(given).count() < 100
+
+
+def plain_counts(text):
+    """Byte 3-grams of a text by feature, one by one."""
+    data, codes = text.encode(), []
+    for at, byte in enumerate(data):
+        code = byte if byte >= 128 else ord(chr(byte).lower()) if chr(byte).isalpha() else 32
+        if at and data[at - 1] == 0xC3 and 0x80 <= byte <= 0x9E:
+            code += 0x20
+        if not (code == 32 and codes and codes[-1] == 32):
+            codes.append(code)
+    counts = defaultdict(int)
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        counts[((a * 65_537 + b * 257 + c) * 2_654_435_761 >> 15) % language.SIZE] += 1
+    return counts
+
+
+def test_predictions_match_brute_force(spark, make):
+    """Weights, cosines and the nearest centroid, one by one."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = [r.text or "" for r in docs.collect() if r.lang is not None and r.text is not None]
+    model = language.train(docs)
+    held = defaultdict(int)
+    for text in texts:
+        for feature in plain_counts(text):
+            held[feature] += 1
+    idf = [np.log((1 + len(texts)) / (1 + held[f])) + 1 for f in range(language.SIZE)]
+    assert np.allclose(idf, model.idf, atol=1e-5)
+    odd = ["Ünd ÉTÉ là", "a", "ab", "  x  y  ", "日本語 text", "ÀÉÎÕÜ"]
+    rows = language.identified(make(texts[:60] + odd), model).orderBy("doc_id").collect()
+    for text, row in zip(texts[:60] + odd, rows):
+        weights = {f: np.log1p(n) * idf[f] for f, n in plain_counts(text).items()}
+        length = np.sqrt(sum(w * w for w in weights.values())) or 1.0
+        cosine = [sum(w * c[f] for f, w in weights.items()) / length for c in model.centroids.astype(float)]
+        best = max(cosine)
+        if any(map(str.isalpha, text)):
+            near = {model.languages[model.language[i]] for i, c in enumerate(cosine) if c > best - 1e-4}
+            assert row.lang_pred in near and row.score == pytest.approx(max(best, 0), abs=1e-3)
+
+
 def test_plain_version_of_the_centroid_rule(spark, make):
     texts = ["the cat and the dog " * 5, "der hund und die katze " * 5, "les chats et le chien " * 5, "x"]
     docs = make([(i, t, l, "s", 0) for i, (t, l) in enumerate(zip(texts, ["en", "de", "fr", None]))])
