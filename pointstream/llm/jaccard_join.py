@@ -515,24 +515,24 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without those of a group but its smallest id; columns unchanged.
 
-    Of several rows with one id one stays, the first by text. Rows without an id stay.
+    Rows are documents of their own: those that share an id, or have none, go only where
+    their texts are linked. Of a group's rows the one of smallest id stays, one without an
+    id only if all are, and of equal ids the first by a hash of the text.
     """
-    found = near_duplicates(docs, id_column, text)
-    spark = docs.sparkSession
-    found = kept(spark, found, "near-duplicates")
-    ids = F.col(id_column).cast("bigint")
-    gone = found.filter(F.col(id_column) != F.col("component_id"))
-    gone_id, again_id = free_name(docs, "_gone"), free_name(docs, "_again")
-    gone = gone.select(F.col(id_column).alias(gone_id)).distinct()
-    stay = docs.join(_only_if_small(gone), ids == F.col(gone_id), "left_anti")
-    again = found.filter(F.col(id_column).isNotNull()).groupBy(id_column).count().filter("count > 1")
-    again = kept(spark, again.select(F.col(id_column).alias(again_id)), "repeated-ids")
-    if again.isEmpty():
-        return stay
-    again = _only_if_small(again)
-    once = stay.join(again, ids == F.col(again_id), "left_anti")
-    several = stay.join(again, ids == F.col(again_id), "left_semi")
-    number = F.row_number().over(Window.partitionBy(id_column).orderBy(text))
-    place = free_name(docs, "_place")
-    several = several.withColumn(place, number).filter(F.col(place) == 1).drop(place)
-    return once.unionByName(several)
+    spark, ids = docs.sparkSession, F.col(f"`{id_column}`").cast("bigint")
+    shared = docs.groupBy(ids.alias("id")).agg(F.count("*").alias("n"))
+    if shared.filter("id IS NULL OR n > 1").isEmpty():
+        # Each id is a row.
+        found = kept(spark, near_duplicates(docs, id_column, text), "near-duplicates")
+        gone_id = free_name(docs, "_gone")
+        gone = found.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias(gone_id))
+        return docs.join(_only_if_small(gone), ids == F.col(gone_id), "left_anti")
+    row = free_name(docs, "_row")
+    numbered = kept(spark, docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    texts = numbered.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text"))
+    found = kept(spark, near_duplicates(texts, "row", "text"), "near-duplicates")
+    order = F.struct(ids.isNull().alias("none"), ids.alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(row).alias("row"))
+    places = numbered.select(F.col(row).alias("row"), order.alias("place"))
+    least = places.join(found, "row").groupBy("component_id").agg(F.min("place").alias("least"))
+    least = kept(spark, least.select(F.col("least.row").alias("_stays")), "stay")
+    return numbered.join(least, F.col(row) == F.col("_stays"), "left_semi").drop(row)

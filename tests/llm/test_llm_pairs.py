@@ -167,6 +167,18 @@ def test_join_of_odd_rows(odd_documents):
     assert jaccard_join.one_of_each(odd_documents.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_but_not_a_text_stay(make):
+    one, two = "a b c d e f g h i j", "k l m n o p q r s t"
+    rows = [(1, one), (1, two), (2, one), (None, one), (None, "u v w x y z"), (3, None), (3, None), (5, two), (5, two + " u")]
+    stay = jaccard_join.one_of_each(make([(i, t, "en", "s", 0) for i, t in rows]))
+    found = sorted(((r.doc_id, r.text) for r in stay.collect()), key=str)
+    assert found == sorted([(1, one), (1, two), (None, "u v w x y z"), (3, None), (3, None)], key=str)
+    # With an id for each row, the same rows of the same groups stay.
+    numbered = [(i, t) for i, (_, t) in enumerate(rows)]
+    stay = jaccard_join.one_of_each(make([(i, t, "en", "s", 0) for i, t in numbered]))
+    assert sorted(r.doc_id for r in stay.collect()) == [0, 1, 4, 5, 6]
+
+
 def test_rows_of_one_id_are_one_document(make):
     texts = ["a b c d e f g h i j", "k l m n o p q r s t"]
     rows = [(1, texts[0]), (2, texts[1]), (3, texts[0]), (3, texts[1])]
