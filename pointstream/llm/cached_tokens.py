@@ -121,13 +121,21 @@ class Encoder:
     """Whole texts to little-endian 32-bit ids.
 
     ``special`` tells whether the string of a special token in a text is that token, as
-    the library has it unless told otherwise, or ordinary text.
+    the library has it unless told otherwise, or ordinary text. ``cache_bytes`` and
+    ``part_bytes`` bound what it holds (``CACHED_BYTES`` and ``PART_BYTES`` unless given):
+    with less it makes more words anew, and the same ids.
     """
 
     #: Whether spaces belong to the words after them; else white space is dropped.
     spaced: bool
 
-    def __init__(self, path: str, special: bool = False):
+    def __init__(
+        self,
+        path: str,
+        special: bool = False,
+        cache_bytes: int | None = None,
+        part_bytes: int | None = None,
+    ):
         # The tasks of an executor are its parallelism.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -140,7 +148,8 @@ class Encoder:
         # Strings that the library looks for in the normalized text.
         self.normalized = any(t.normalized for t in added) and self.tokenizer.normalizer
         self.model = self.tokenizer.model
-        self.words = Words()
+        self.words = Words(CACHED_BYTES if cache_bytes is None else cache_bytes)
+        self.part_bytes = part_bytes
 
     def vocabulary_size(self) -> int:
         return self.tokenizer.get_vocab_size()
@@ -228,10 +237,10 @@ class Encoder:
     def encode_parts(self, column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
         """The same part by part: the first row of a part, and the ids of its texts."""
         column = pc.fill_null(column, "")
-        begin, size = 0, 0
+        begin, size, most = 0, 0, self.part_bytes or PART_BYTES
         for at, length in enumerate(pc.binary_length(column).to_pylist()):
             size += length
-            if size >= PART_BYTES:
+            if size >= most:
                 yield begin, self._encode(column.slice(begin, at + 1 - begin))
                 begin, size = at + 1, 0
         if begin < len(column):
@@ -307,13 +316,13 @@ class WordLevel(Encoder):
 
 
 @cache
-def byte_level(path: str, special: bool = False) -> Encoder:
-    return ByteLevel(path, special)
+def byte_level(path: str, special: bool = False, **memory: int | None) -> Encoder:
+    return ByteLevel(path, special, **memory)
 
 
 @cache
-def word_level(path: str, special: bool = False) -> Encoder:
-    return WordLevel(path, special)
+def word_level(path: str, special: bool = False, **memory: int | None) -> Encoder:
+    return WordLevel(path, special, **memory)
 
 
 def release() -> None:

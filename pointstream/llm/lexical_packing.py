@@ -57,7 +57,9 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def tokenized(docs: DataFrame, vocabulary: str, id_column: str, text: str) -> DataFrame:
+def tokenized(
+    docs: DataFrame, vocabulary: str, id_column: str, text: str, **memory: int | None
+) -> DataFrame:
     """Per row: ids' number, crc32 of each full window, and the ids of the rest.
 
     The rest is kept in 16 bits where the vocabulary allows it; ``held`` is its tokens. A
@@ -66,7 +68,7 @@ def tokenized(docs: DataFrame, vocabulary: str, id_column: str, text: str) -> Da
     """
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_level(vocabulary, special=True)
+        encoder = word_level(vocabulary, special=True, **memory)
         size = encoder.vocabulary_size()
         width = "<u2" if size <= 1 << 16 else "<u4"
         row = TaskContext.get().partitionId() << 40
@@ -291,11 +293,21 @@ def _pack(docs: list[tuple], index: Index | None, sequence: int) -> list[tuple]:
 
 
 def packed(
-    docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    vocabulary: str,
+    id_column: str = "doc_id",
+    text: str = "text",
+    cache_bytes: int | None = None,
+    part_bytes: int | None = None,
 ) -> DataFrame:
-    """Pieces of all documents in sequences of at most ``WINDOW`` tokens."""
+    """Pieces of all documents in sequences of at most ``WINDOW`` tokens.
+
+    ``cache_bytes`` and ``part_bytes`` bound what a worker holds for tokenizing.
+    """
     spark = docs.sparkSession
-    every = kept(spark, tokenized(docs, vocabulary, id_column, text), "tokenized")
+    every = kept(spark, tokenized(
+        docs, vocabulary, id_column, text, cache_bytes=cache_bytes, part_bytes=part_bytes
+    ), "tokenized")
     seen = _document_frequencies(every)
     rows = every.filter("row IS NOT NULL")
     total = rows.agg(
