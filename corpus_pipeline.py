@@ -6,7 +6,8 @@ stage's result to the shared folder and reads it back for the next.
 
 Null or empty texts have no letter and go in the first stage; an empty table gives an
 empty result; further columns are carried up to the last stage. Of repeated rows one
-stays.
+stays; rows that share an id, or have none, are documents of their own, and go only where
+their texts are linked. Very long texts are read whole in every stage.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +16,11 @@ from pointstream.llm import decontaminate, jaccard_join, language, lexical_packi
 from pointstream.llm.frames import importable, kept, set_aside
 
 
+# What a worker may hold for tokenizing, less than the operator's own bounds: executors
+# that have run the other stages have less to spare.
+CACHE_BYTES, PART_BYTES = 12 << 20, 1 << 20
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found; a missing ``lang`` is filled with it."""
     importable(spark)
@@ -48,7 +54,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     importable(spark)
-    return lexical_packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return lexical_packing.packed(
+        docs, public_tokenizers.path("word_bpe_49k.json"), cache_bytes=CACHE_BYTES, part_bytes=PART_BYTES
+    )
 
 
 STAGES = [
