@@ -12,6 +12,7 @@ that is not known goes to the library's model, anything else through the whole l
 Very long texts are cut like others, in memory in proportion to the text.
 """
 
+import gc
 import os
 import re
 import sys
@@ -29,12 +30,14 @@ from pointstream.llm.frames import give_back
 # is cached.
 CACHED = 300_000
 CACHED_CHARS = 48
-# Bytes that each of the two generations of the cache of words may hold, as Python counts
-# them: with what a dictionary needs for an entry.
+# Bytes that each of the two generations of the cache of words may hold before it turns,
+# and what an entry takes at most on average: words are short (``CACHED_CHARS`` at most).
 CACHED_BYTES = 48 << 20
-_ENTRY_BYTES = 180
-# Bytes of text that are encoded together, and pieces that go to the library together.
+_ENTRY_BYTES = 200
+# Bytes and rows of text that are encoded together, and pieces that go to the library
+# together.
 PART_BYTES = 8 << 20
+PART_ROWS = 1 << 15
 ENCODED = 2048
 
 # Control characters, spaces other than the usual ones, and joiners.
@@ -98,21 +101,24 @@ class Words:
         self.limit = limit
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.held = 0
-
-    def put(self, word: str, ids: bytes) -> bytes:
-        self.young[word] = ids
-        self.held += len(word) + len(ids) + _ENTRY_BYTES
-        return ids
 
     def turn(self) -> None:
-        if self.held > self.limit:
-            self.young, self.old, self.held = {}, self.young, 0
+        """For the end of a part: an entry is taken for ``_ENTRY_BYTES``."""
+        if len(self.young) * _ENTRY_BYTES > self.limit:
+            self.young, self.old = {}, self.young
+
+
+def _strings(column: pa.Array) -> list[str]:
+    """Strings of a column without nulls, several times as fast as one by one."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+_IS_LITTLE = sys.byteorder == "little"
 
 
 def _little(ids: list[int]) -> bytes:
     body = array("I", ids)
-    if sys.byteorder == "big":
+    if not _IS_LITTLE:
         body.byteswap()
     return body.tobytes()
 
@@ -128,6 +134,8 @@ class Encoder:
 
     #: Whether spaces belong to the words after them; else white space is dropped.
     spaced: bool
+    #: Whether words are lower-cased.
+    lower = False
 
     def __init__(
         self,
@@ -164,13 +172,12 @@ class Encoder:
             out += [_little(f.ids) for f in found]
         return out
 
-    def _word(self, word: str) -> bytes:
-        """A word of letters through the model."""
+    def _word(self, word: str, spaced: bool) -> bytes:
+        """A word of letters, with a space before it or not, through the model."""
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(_BYTES)
-        if self.spaced and word[0] == " ":
-            word = _SPACE + word[1:]
-        return _little([token.id for token in self.model.tokenize(word)])
+        ids = [token.id for token in self.model.tokenize(_SPACE + word if spaced else word)]
+        return array("I", ids).tobytes() if _IS_LITTLE else _little(ids)
 
     def _cut(self, column: pa.Array) -> pa.ListArray:
         """Chunks of texts that can be cut."""
@@ -196,24 +203,33 @@ class Encoder:
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks."""
         words, other = self.words, self._other
-        young, old, put = words.young, words.old, words.put
+        young, old = words.young, words.old
         out = list(map(young.get, chunks))
         missed = [at for at, ids in enumerate(out) if ids is None]
         whole, fullmatch, make = [], _WORD.fullmatch, self._word
+        spaced, lower = self.spaced, self.lower
         for at in missed:
             chunk = chunks[at]
-            found = fullmatch(chunk) if len(chunk) <= CACHED_CHARS else None
-            if found is None:
-                whole.append(at)
-                continue
-            feed, word, marks = found.groups()
+            size = len(chunk)
+            if size <= CACHED_CHARS and chunk.isascii() and chunk.isalpha():
+                feed, word, marks = "", chunk, ""
+            else:
+                found = fullmatch(chunk) if size <= CACHED_CHARS else None
+                if found is None:
+                    whole.append(at)
+                    continue
+                feed, word, marks = found.groups()
+            if lower:
+                word = word.lower()
             # A word alone is known as the chunk that it is; after a line feed it has no
             # space, and a name of its own.
             name = _BARE + word if feed else word
             ids = young.get(name)
             if ids is None:
-                ids = put(name, old.get(name) or make(word if feed or not self.spaced else " " + word))
-            out[at] = other(feed) + ids + other(marks) if feed or marks else ids
+                ids = young[name] = old.get(name) or make(word, spaced and not feed)
+            if marks:
+                ids += other(marks)
+            out[at] = other(feed) + ids if feed else ids
         for at, ids in zip(whole, self._whole([self._text_of(chunks[at]) for at in whole])):
             out[at] = ids
         words.turn()
@@ -226,7 +242,7 @@ class Encoder:
         words, name = self.words, _BARE + piece
         ids = words.young.get(name)
         if ids is None:
-            ids = words.put(name, words.old.get(name) or self._whole([piece])[0])
+            ids = words.young[name] = words.old.get(name) or self._whole([piece])[0]
         return ids
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
@@ -240,20 +256,30 @@ class Encoder:
         begin, size, most = 0, 0, self.part_bytes or PART_BYTES
         for at, length in enumerate(pc.binary_length(column).to_pylist()):
             size += length
-            if size >= most:
-                yield begin, self._encode(column.slice(begin, at + 1 - begin))
+            if size >= most or at + 1 - begin >= PART_ROWS:
+                yield begin, self._unswept(column.slice(begin, at + 1 - begin))
                 begin, size = at + 1, 0
         if begin < len(column):
-            yield begin, self._encode(column.slice(begin))
+            yield begin, self._unswept(column.slice(begin))
+
+    def _unswept(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of a part, without searching for cycles meanwhile: it makes many objects, and none."""
+        swept = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(column)
+        finally:
+            if swept:
+                gc.enable()
 
     def _encode(self, column: pa.Array) -> list[np.ndarray]:
-        texts = column.to_pylist()
+        texts = _strings(column)
         uncut = self._uncut(column).to_numpy(zero_copy_only=False)
         uncut |= np.fromiter(map(self._holds_added, texts), bool, len(texts))
         cut = self._cut(pc.if_else(pa.array(uncut), "", column) if uncut.any() else column)
         first = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         words = pc.dictionary_encode(cut.flatten())
-        bodies = self._chunk_ids(words.dictionary.to_pylist())
+        bodies = self._chunk_ids(_strings(words.dictionary))
         known = np.frombuffer(b"".join(bodies), dtype="<u4")
         counts = np.fromiter(map(len, bodies), np.int64, len(bodies)) // 4
         begins = np.cumsum(counts) - counts
@@ -303,7 +329,7 @@ class ByteLevel(Encoder):
 class WordLevel(Encoder):
     """White space is dropped and words end at it; Latin text is lower-cased."""
 
-    spaced = False
+    spaced, lower = False, True
 
     def _uncut(self, column: pa.Array) -> pa.Array:
         return pc.match_substring_regex(column, _ODD)
@@ -311,9 +337,6 @@ class WordLevel(Encoder):
     def _cut(self, column: pa.Array) -> pa.ListArray:
         return pc.ascii_split_whitespace(column)
 
-    def _word(self, word: str) -> bytes:
-        return super()._word(word.lower())
-
 
 @cache
 def byte_level(path: str, special: bool = False, **memory: int | None) -> Encoder:

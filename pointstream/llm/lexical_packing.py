@@ -73,21 +73,25 @@ def tokenized(
         width = "<u2" if size <= 1 << 16 else "<u4"
         row = TaskContext.get().partitionId() << 40
         end = np.array([END], dtype="<u4")
-        seen, mark = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=bool)
+        seen = np.zeros(size, dtype=np.int64)
+        # Of the documents of a part, which are fewer than 16 bits can count.
+        some, mark = np.zeros(size, dtype=np.uint16), np.zeros(size, dtype=np.uint16)
         try:
             for batch in batches:
                 for at, found in encoder.encode_parts(batch.column("text")):
                     sizes, full, rest, held = [], [], [], []
                     for body in found:
                         ids = np.concatenate([body, end])
-                        mark[ids] = True
-                        seen += mark
-                        mark[ids] = False
+                        mark[ids] = 1
+                        some += mark
+                        mark[ids] = 0
                         whole = len(ids) // WINDOW * WINDOW
                         sizes.append(len(ids))
                         full.append([_crc(ids[a : a + WINDOW]) for a in range(0, whole, WINDOW)])
                         rest.append(ids[whole:].astype(width).tobytes())
                         held.append(len(ids) - whole)
+                    seen += some
+                    some[:] = 0
                     rows = np.arange(row, row + len(found))
                     yield _rows(batch.column("doc").slice(at, len(found)), rows, sizes, full, rest, held)
                     row += len(found)
