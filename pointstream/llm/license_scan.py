@@ -1,24 +1,29 @@
 """Licence scan by a positional rare-token index.
 
-All words of the licence texts below form one vocabulary; postings give, for a word, the
-templates and positions where it stands. One scan of the documents keeps, per file, the
-positions of vocabulary words only. Document frequencies over all files give each word's
-IDF. Per file, the rarest words of each template are looked up in the postings; places
-where two or more of them agree on the relative position (one is enough for a base
-phrase) are candidates. A candidate counts when all mandatory key phrases stand
-consecutively within the template's place.
+The licence texts (``licence_texts.py``, and those a caller adds) are templates. Their
+words form one vocabulary; postings give, for a word, the templates and positions where
+it stands. One scan of the documents keeps, per file, the positions of vocabulary words
+only. Document frequencies over all files give each word's IDF. Per file, its words of
+highest IDF are looked up: those that a template cannot all miss and still reach
+``LEAST_SCORE``. Where one stands, the template's postings of all words are intersected
+with the file by relative position. Words may be put in or left out: positions agree if
+they lie within one band of shifts, as wide as a tenth to a fifth of the template
+(``Template.slack``). A place counts when the words in its band weigh at least
+``LEAST_SCORE`` of the template's IDF and all mandatory key phrases stand consecutively
+within the place. No posting and no candidate is left out.
 
 A word is a run of ASCII letters (lower-cased), digits and non-ASCII characters. A base
 phrase counts at every place where its words stand consecutively.
 
 A null or empty text has no words, no labels and score 0. Rows are independent; repeated
-rows give repeated results. An empty table gives an empty one. Other columns stay;
-one named like a result gives way to it.
+rows give repeated results. Of equal scores all labels count. Very long texts are scanned
+whole. An empty table gives an empty one. Other columns stay; one named like a result
+gives way to it.
 """
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from pointstream.llm.frames import given_and_text, kept
+from pointstream.llm.licence_texts import licences
 from pointstream.llm.words import ALNUM_WORDS, lowered, parts, tokens
 
 # Phrases whose every place counts, and their labels.
@@ -36,33 +42,15 @@ BASE_PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Label, notice or licence text, and the phrases it must hold.
-TEMPLATES = [
-    ("agpl-3.0", "licensed under the gnu affero general public license version 3", ["gnu affero general public license"]),
-    ("apache-2.0", "licensed under the apache license version 2 0", ["apache license version 2 0"]),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", ["apache org licenses license 2 0"]),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["redistribution", "source", "binary forms", "conditions"]),
-    ("cc-by-4.0", "licensed under cc by 4 0", ["cc by 4 0"]),
-    ("cc-by-nc-4.0", "licensed under cc by nc 4 0", ["cc by nc 4 0"]),
-    ("cc-by-sa-4.0", "licensed under cc by sa 4 0", ["cc by sa 4 0"]),
-    ("cc-by-sa-4.0", "this work is licensed under a creative commons attribution sharealike 4 0 international license", ["creative commons attribution sharealike 4 0"]),
-    ("cc0-1.0", "to the extent possible under law the author has dedicated all copyright to the public domain cc0 1 0 universal", ["cc0 1 0 universal"]),
-    ("gpl-2.0", "this program is free software you can redistribute it under the terms of the gnu general public license version 2", ["gnu general public license version 2"]),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ["gnu general public license version 3"]),
-    ("isc", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted", ["permission", "hereby granted", "without fee"]),
-    ("lgpl-3.0", "licensed under the gnu lesser general public license version 3", ["gnu lesser general public license"]),
-    ("mit", "released under the mit license", ["mit license"]),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ["hereby granted free", "obtaining", "associated documentation files"]),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license v 2 0"]),
-]
-
 # Function words, left out of the index where no phrase needs them.
 FUNCTION_WORDS = "a an and any are as at be code for has in is it may not of on or other that the this to use with you".split()
 
-# Rare words looked up for each template, and the share of its IDF that must agree.
-ANCHORS = 4
+# The share of a template's IDF that must agree.
 LEAST_SCORE = 0.6
 
+# Label, words and key phrases of a licence text.
+Licence = tuple[str, str, list[str]]
+
 
 @dataclass(frozen=True)
 class Template:
@@ -71,23 +59,31 @@ class Template:
     keys: list[list[str]]
     base: bool
 
+    @property
+    def slack(self) -> int:
+        """How far apart the shifts of a place's words may lie."""
+        n = len(self.words)
+        return 0 if self.base else max(n // 10, min(4, n // 5))
+
 
-def templates() -> list[Template]:
+def templates(more: Sequence[Licence] = ()) -> list[Template]:
     base = [Template(label, p.split(), [p.split()], True) for p, label in BASE_PHRASES.items()]
-    rest = [Template(label, t.split(), [k.split() for k in keys], False) for label, t, keys in TEMPLATES]
+    rest = [Template(label, t.split(), [k.split() for k in keys], False) for label, t, keys in [*licences(), *more]]
     return base + rest
 
 
-def vocabulary() -> list[str]:
-    needed = {w for t in templates() for key in t.keys for w in key}
-    return sorted(needed | ({w for t in templates() for w in t.words} - set(FUNCTION_WORDS)))
+def vocabulary(known: list[Template]) -> list[str]:
+    needed = {w for t in known for key in t.keys for w in key}
+    return sorted(needed | ({w for t in known for w in t.words} - set(FUNCTION_WORDS)))
 
 
-def _vocabulary_hashes() -> tuple[np.ndarray, np.ndarray]:
+def _vocabulary_hashes(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the vocabulary and the word each belongs to."""
-    words = [w.encode() for w in vocabulary()]
-    offsets = np.cumsum([0] + [len(w) for w in words])
-    found = tokens(np.frombuffer(b"".join(words), dtype=np.uint8), offsets, ALNUM_WORDS)
+    words = [w.encode() for w in vocabulary]
+    offsets = np.cumsum([0] + [len(w) + 1 for w in words])
+    found = tokens(np.frombuffer(b"".join(w + b" " for w in words), dtype=np.uint8), offsets, ALNUM_WORDS)
+    if len(found.hash) != len(words):
+        raise ValueError("licence texts are words of letters and digits, parted by spaces")
     order = np.argsort(found.hash)
     return found.hash[order], order
 
@@ -95,16 +91,16 @@ def _vocabulary_hashes() -> tuple[np.ndarray, np.ndarray]:
 _PLACES = "n_words bigint, at array<int>, word array<int>"
 
 
-def _licence_words(given: DataFrame, text: str, keep: list[str]) -> DataFrame:
+def _licence_words(given: DataFrame, text: str, keep: list[str], vocabulary: list[str]) -> DataFrame:
     """The columns to keep, the number of words, and the vocabulary words.
 
-    ``at`` are word positions from 0, ``word`` numbers in ``vocabulary()``.
+    ``at`` are word positions from 0, ``word`` numbers in ``vocabulary``.
     """
     made = T.StructType.fromDDL(_PLACES)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, numbers = _vocabulary_hashes()
-        words = [w.encode() for w in vocabulary()]
+        hashes, numbers = _vocabulary_hashes(vocabulary)
+        words = [w.encode() for w in vocabulary]
         for batch in batches:
             counts, places, which = [], [], []
             for part in parts(batch.column(text)):
@@ -135,48 +131,95 @@ def _licence_words(given: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 
 class Index:
-    """Postings of each template's rarest words, and what its words weigh."""
-
-    def __init__(self, idf: dict[int, float]):
-        number = {w: i for i, w in enumerate(vocabulary())}
-        self.templates = templates()
-        self.postings = defaultdict(list)
-        self.body, self.keys, self.least = [], [], []
-        for t, template in enumerate(self.templates):
+    """Postings of all templates' words, and what the words weigh."""
+
+    def __init__(self, known: list[Template], idf: list[float]):
+        number = {w: i for i, w in enumerate(vocabulary(known))}
+        self.templates, self.idf = known, idf
+        self.body, self.total, self.keys = [], [], []
+        # Word -> template -> positions; and the words that are looked up first.
+        self.postings = defaultdict(lambda: defaultdict(list))
+        self.anchors = defaultdict(list)
+        for t, template in enumerate(known):
             body = [(p, number[w]) for p, w in enumerate(template.words) if w in number]
-            rare = sorted(body, key=lambda pw: (-idf[pw[1]], pw[0]))
-            anchors = rare[: 1 if template.base else ANCHORS]
-            for p, w in anchors:
-                self.postings[w].append((t, p))
-            self.body.append([(p, w, idf[w]) for p, w in body])
+            for p, w in body:
+                self.postings[w][t].append(p)
+            total = math.fsum(idf[w] for _, w in body)
+            self.body.append(body)
+            self.total.append(total)
             self.keys.append([[number[w] for w in key] for key in template.keys])
-            self.least.append(1 if template.base else min(2, len(anchors)))
-
-    def places(self, at: list[int], word: list[int]) -> list[tuple[int, int, float]]:
+            # The rest of the words would weigh too little without one of these.
+            need, had = (1.0 if template.base else LEAST_SCORE), 0.0
+            for p, w in sorted(body, key=lambda pw: (-idf[pw[1]], pw[0])):
+                self.anchors[w].append((t, p))
+                had += idf[w]
+                if had > (1 - need) * total * (1 + 1e-9):
+                    break
+        self.looked_up = np.isin(np.arange(len(idf)), list(self.anchors))
+
+    def places(self, at: np.ndarray, word: np.ndarray) -> list[tuple[int, int, float]]:
         """Template, first word and score of every verified place in a file."""
-        votes = defaultdict(int)
-        for p, w in zip(at, word):
-            for t, q in self.postings.get(w, ()):
-                votes[t, p - q] += 1
-        if not votes:
+        rare = np.flatnonzero(self.looked_up[word])
+        if not len(rare):
             return []
-        there = dict(zip(at, word))
+        seen = defaultdict(set)
+        for p, w in zip(at[rare].tolist(), word[rare].tolist()):
+            for t, q in self.anchors[w]:
+                seen[t].add(p - q)
+        there = dict(zip(at.tolist(), word.tolist()))
         found = []
-        for (t, shift), n in sorted(votes.items()):
-            if n < self.least[t] or not self._keys_stand(t, shift, there):
+        for t in sorted(seen):
+            shifts = sorted(seen[t])
+            if self.templates[t].base:
+                found += [(t, s, 1.0) for s in shifts if self._keys_stand(t, s, there)]
                 continue
-            total = sum(weight for _, _, weight in self.body[t])
-            same = sum(weight for p, w, weight in self.body[t] if there.get(shift + p) == w)
-            score = same / total if total else 1.0
-            if self.templates[t].base or score >= LEAST_SCORE:
-                found.append((t, shift, score))
+            slack = self.templates[t].slack
+            begin = 0
+            for i, s in enumerate(shifts):
+                if i + 1 == len(shifts) or shifts[i + 1] - s > 2 * slack:
+                    found += self._bands(t, shifts[begin] - slack, s, at, word, there)
+                    begin = i + 1
+        return found
+
+    def _bands(
+        self, t: int, low: int, high: int, at: np.ndarray, word: np.ndarray, there: dict[int, int]
+    ) -> list[tuple[int, int, float]]:
+        """Verified places of a template whose bands begin between two shifts."""
+        template = self.templates[t]
+        slack = template.slack
+        i, j = np.searchsorted(at, [low, high + slack + len(template.words)])
+        hits = [
+            (p - q, q, self.idf[w])
+            for p, w in zip(at[i:j].tolist(), word[i:j].tolist())
+            for q in self.postings[w].get(t, ())
+            if low <= p - q <= high + slack
+        ]
+        hits.sort()
+        counted, weight, end, found = defaultdict(int), 0.0, 0, []
+        for n, (shift, q, idf) in enumerate(hits):
+            if shift > high:
+                break
+            while end < len(hits) and hits[end][0] <= shift + slack:
+                weight += hits[end][2] if not counted[hits[end][1]] else 0.0
+                counted[hits[end][1]] += 1
+                end += 1
+            if n == 0 or hits[n - 1][0] != shift:  # the band holds all hits of its first shift
+                score = self._score(t, counted) if weight > 0.99 * LEAST_SCORE * self.total[t] else 0
+                if score >= LEAST_SCORE and self._keys_stand(t, shift, there):
+                    found.append((t, shift, score))
+            counted[q] -= 1
+            weight -= idf if not counted[q] else 0.0
         return found
 
+    def _score(self, t: int, counted: dict[int, int]) -> float:
+        """The share of a template's weight at the positions that are counted, without drift."""
+        return math.fsum(self.idf[w] for p, w in self.body[t] if counted[p]) / self.total[t]
+
     def _keys_stand(self, t: int, shift: int, there: dict[int, int]) -> bool:
-        words = len(self.templates[t].words)
+        end = shift + len(self.templates[t].words) + self.templates[t].slack
 
         def stands(key: list[int]) -> bool:
-            starts = range(shift, shift + words - len(key) + 1)
+            starts = range(shift, end - len(key) + 1)
             return any(all(there.get(s + i) == w for i, w in enumerate(key)) for s in starts)
 
         return all(map(stands, self.keys[t]))
@@ -185,29 +228,38 @@ class Index:
 _RESULT = "n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double"
 
 
-def licence_scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns to keep, ``n_words``, base places and all labels with the best score."""
+def licence_scan(
+    docs: DataFrame, text: str = "text", keep: list[str] | None = None, more: Sequence[Licence] = ()
+) -> DataFrame:
+    """The columns to keep, ``n_words``, base places and all labels with the best score.
+
+    ``more`` are further licence texts: label, lower-cased words and key phrases, each
+    parted by spaces.
+    """
+    known = templates(more)
+    words = vocabulary(known)
     made = T.StructType.fromDDL(_RESULT)
     given, text, keep, back = given_and_text(
         docs, text, keep, ["n_words", *made.names], ["at", "word"]
     )
     spark = docs.sparkSession
-    rows = kept(spark, _licence_words(given, text, keep), "licence-words")
+    rows = kept(spark, _licence_words(given, text, keep, words), "licence-words")
     files = rows.count()
     seen = rows.select(F.explode(F.array_distinct("word")).alias("word")).groupBy("word").count()
     df = {r["word"]: r["count"] for r in seen.collect()}  # one row per vocabulary word at most
-    idf = {
-        w: math.log1p((files - df.get(w, 0) + 0.5) / (df.get(w, 0) + 0.5))
-        for w in range(len(vocabulary()))
-    }
+    idf = [
+        math.log1p((max(files, 1) - held + 0.5) / (held + 0.5))
+        for held in (df.get(w, 1) for w in range(len(words)))  # as if one file held a word that none does
+    ]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(idf)
+        index = Index(known, idf)
         for batch in batches:
             out = []
-            columns = batch.column("at").to_pylist(), batch.column("word").to_pylist()
-            for at, word in zip(*columns):
-                found = index.places(at, word)
+            columns = [batch.column(n) for n in ("at", "word")]
+            for r in range(batch.num_rows):
+                at, word = (c[r].values.to_numpy(zero_copy_only=False) for c in columns)
+                found = index.places(at, word) if len(at) else []
                 base = [f for f in found if index.templates[f[0]].base]
                 names = lambda fs: ",".join(sorted({index.templates[f[0]].label for f in fs}))
                 out.append(

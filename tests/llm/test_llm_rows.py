@@ -1,7 +1,9 @@
 """Operators that work row by row against brute force: personal data, quality, licences."""
 
+import math
 import random
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 import llm_brute as brute
 from llm_cases import SF_DIR, make, odd_documents, workers_find_the_package  # noqa: F401
-from pointstream.llm import license_scan, pii, quality
+from pointstream.llm import licence_texts, license_scan, pii, quality
 
 
 def spans(frame):
@@ -231,3 +233,99 @@ def test_every_template_is_found_where_it_stands(make):
     n = len(templates)
     assert found[n].labels == "cc-by,cc-by-nc-4.0" and found[n].score == 1.0
     assert [found[n + i].labels for i in (1, 3, 4)] == ["", "", ""]
+
+
+def brute_licences(texts):
+    """Labels and best score of each text: every shift of every template, all words compared."""
+    known = license_scan.templates()
+    vocabulary = set(license_scan.vocabulary(known))
+    files = [brute.alnum_words(t) for t in texts]
+    df = Counter(w for words in files for w in set(words) & vocabulary)
+    held = {w: max(df[w], 1) for w in vocabulary}
+    idf = {w: math.log1p((len(files) - n + 0.5) / (n + 0.5)) for w, n in held.items()}
+
+    def place(t, words, s):
+        n, slack = len(t.words), t.slack
+        keys = all(
+            any(words[i : i + len(k)] == k for i in range(max(s, 0), s + n + slack - len(k) + 1)) for k in t.keys
+        )
+        if not keys:
+            return 0.0
+        body = [(q, w) for q, w in enumerate(t.words) if w in vocabulary]
+        same = [w for q, w in body if w in words[max(s + q, 0) : max(s + q + slack + 1, 0)]]
+        return sum(idf[w] for w in same) / sum(idf[w] for _, w in body)
+
+    out = []
+    for words in files:
+        best = {}
+        for t in known:
+            shifts = {p - q for p, w in enumerate(words) for q, v in enumerate(t.words) if v == w and w in vocabulary}
+            scores = [place(t, words, s) for s in shifts]
+            least = 1.0 if t.base else license_scan.LEAST_SCORE
+            if max(scores, default=0.0) >= least - 1e-12:
+                best[t.label] = max(best.get(t.label, 0.0), max(scores))
+        out.append((",".join(sorted(best)), max(best.values(), default=0.0)))
+    return out
+
+
+def test_alignment_matches_brute_force(make):
+    rng = random.Random(5)
+    known = [t for t in license_scan.templates() if not t.base]
+    texts = []
+    for t in known * 3:
+        words = list(t.words)
+        for _ in range(rng.randrange(1 + len(words) // 4)):
+            i = rng.randrange(len(words))
+            words[i : i + rng.randrange(2)] = rng.choice([[], ["and"], ["license", "version"], ["word"] * 3])
+        texts.append(" ".join(["before", "the"] * rng.randrange(3) + words + rng.choice(known).words[:6]))
+    texts += ["nothing of the kind here"] * 100
+    found = check_licences(make(texts))
+    for i, (labels, score) in enumerate(brute_licences(texts)):
+        assert found[i].labels == labels, texts[i]
+        assert found[i].score == pytest.approx(min(score, 1.0))
+    assert sum(1 for i in range(len(known) * 3) if found[i].labels) > 2 * len(known)
+
+
+def test_versions_headers_and_usual_wordings(make):
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+        "or (at your option) any later version."
+    )
+    isc = (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+        "is hereby granted, provided that the above copyright notice appear in all copies."
+    )
+    kernel = (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License version 2 as published by the Free Software Foundation."
+    )
+    lesser = gpl.replace("GNU General", "GNU Lesser General").replace("version 2 of", "version 2.1 of")
+    whole = {label: text for label, text, _ in licence_texts.WHOLE_TEXTS}
+    expected = {
+        "Licensed under the GNU Affero General Public License, version 1": "agpl-1.0,gpl",
+        "Licensed under the GNU Lesser General Public License, version 2.1": "gpl,lgpl-2.1",
+        gpl: "gpl,gpl-2.0",
+        gpl.replace("version 2", "version 3"): "gpl,gpl-3.0",
+        kernel: "gpl,gpl-2.0",
+        lesser: "gpl,lgpl-2.1",
+        isc: "isc",
+        "// SPDX-License-Identifier: MIT": "mit",
+        "# SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3.0",
+        whole["bsd-2-clause"]: "bsd,bsd-2-clause",
+        whole["bsd-3-clause"]: "bsd,bsd-3-clause",
+        whole["mit"].replace("the software", "the material"): "mit",
+        "a version of the software under some license": "",
+        "GNU General Public License": "gpl",
+    }
+    found = check_licences(make([*expected, *["plain words only"] * 100]))
+    assert [found[i].labels for i in range(len(expected))] == list(expected.values())
+
+
+def test_licence_texts_can_be_added(make):
+    house = ("house", "you may read this text in this house only on rainy days", ["rainy days"])
+    frame = make(["You may read this text in our house, on rainy days.", "on sunny days"])
+    rows = license_scan.licence_scan(frame, more=[house]).orderBy("doc_id").collect()
+    assert [r["labels"] for r in rows] == ["house", ""]
+    with pytest.raises(ValueError, match="words"):
+        license_scan._vocabulary_hashes(["two words"])
