@@ -27,6 +27,10 @@ of their summed sizes.
    expanded into all pairs, and no link between two components is missed. A signature of
    very many documents is dealt out in chunks, so that tasks stay bounded.
 
+Hot keys are split. A sample tells which signatures are held by very many documents; their
+rows are dealt out by document, counted and ranked in two steps. It decides where rows go,
+not what comes out. Classes of very many copies are few, and are joined by broadcast.
+
 Documents without words have an empty set and link with nothing; null texts are empty. A
 null id gets a null component. Rows that repeat an id are one document, whose links are
 those of all its rows. Ties cannot occur: the smallest id names the component. Empty
@@ -58,8 +62,13 @@ CHUNK = 2048
 BLOCK = 32
 # Members that one task compares with a hub at a time.
 HUB_MEMBERS = 512
-# Rows of ids up to which a table is broadcast; a larger one is shuffled.
+# Ids up to which a table is broadcast; a larger one is shuffled.
 BROADCAST_IDS = 1_000_000
+# A key is hot with so many rows, and so large a share of all that there are few such keys.
+HOT_ROWS = 2048
+HOT_KEYS = 10_000
+# One document in so many is asked which signatures are hot.
+HOT_SAMPLE = 64
 
 
 def _bands() -> list[tuple[int, int]]:
@@ -181,21 +190,30 @@ def _facts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(tidied(facts), f"doc bigint, {made}")
 
 
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join to a table of one row a key. Hot keys, of which there are few, go by broadcast."""
+    counts = left.groupBy(*keys).count()
+    total = left.count()
+    hot = counts.filter(F.col("count") >= max(HOT_ROWS, total / HOT_KEYS)).select(*keys)
+    hot = kept(left.sparkSession, hot.join(right, keys), "hot-keys")
+    cold = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right, keys, "left")
+    return cold.unionByName(left.join(F.broadcast(hot), keys))
+
+
 def _copies(facts: DataFrame) -> DataFrame:
     """Documents whose rows all have one set, that of a smaller id, and the smallest such id."""
-    filled = facts.filter("n_shingles > 0 AND doc IS NOT NULL")
+    filled = facts.filter("n_shingles > 0 AND doc IS NOT NULL").select("doc", "d1", "d2")
     classes = filled.groupBy("d1", "d2").agg(F.min("doc").alias("rep"), F.max("doc").alias("other"))
     several = classes.filter("rep != other").drop("other")
-    joined = filled.join(several, ["d1", "d2"], "left").select(
-        "doc", F.coalesce("rep", "doc").alias("rep")
-    )
+    joined = _joined(filled, several, ["d1", "d2"]).select("doc", F.coalesce("rep", "doc").alias("rep"))
     by_id = joined.groupBy("doc").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
     return by_id.filter("rep = last AND rep != doc").select("doc", "rep")
 
 
-def _only_if_small(frame: DataFrame) -> DataFrame:
-    """Marked for broadcast if its rows, of a few ids each, are at most ``BROADCAST_IDS``."""
-    return F.broadcast(frame) if frame.count() <= BROADCAST_IDS else frame
+def _only_if_small(frame: DataFrame, ids: str = "1") -> DataFrame:
+    """Marked for broadcast if its rows, of ``ids`` ids each, hold at most ``BROADCAST_IDS``."""
+    held = frame.agg(F.sum(F.expr(ids))).first()[0] or 0
+    return F.broadcast(frame) if held <= BROADCAST_IDS else frame
 
 
 # A tag holds the instance, the spare ``extra`` (moved to be above 0) and the size of a set.
@@ -252,17 +270,44 @@ def _short(instance: str, size: str, other: str) -> str:
     return f"({_most(instance)} - ({size} + {other}) * {100 - PERCENT} div {100 + PERCENT})"
 
 
-def _several(rows: DataFrame) -> DataFrame:
-    """Signatures of two or more documents, with the number of those: sig, doc, tag, held."""
-    held = F.count("*").over(Window.partitionBy("sig"))
-    several = rows.withColumn("held", held).filter("held > 1")
-    return kept(rows.sparkSession, several, "signatures")
+def _hot_signatures(rows: DataFrame) -> DataFrame:
+    """Signatures that a sample holds very often, and the ``salts`` to deal each to.
+
+    At most ``HOT_KEYS`` signatures, of as many salts in all and one more each.
+    """
+    sampled = rows.filter(F.pmod(F.xxhash64("doc"), F.lit(HOT_SAMPLE)) == 0)
+    counts = _signature_rows(sampled).groupBy("sig").count()
+    counts = kept(rows.sparkSession, counts, "signature-sample")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    most = max(HOT_ROWS / HOT_SAMPLE, total / HOT_KEYS)
+    hot = counts.filter(F.col("count") >= most)
+    return hot.select("sig", F.ceil(F.col("count") / most).cast("int").alias("salts"))
+
+
+def _several(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Signatures of two or more documents, with their number: sig, doc, tag, salt, held.
+
+    ``salt`` is 0 but for hot signatures, which are counted by partial aggregation.
+    """
+    spark = rows.sparkSession
+    salt = F.pmod(F.xxhash64("doc", "tag"), F.col("salts")).cast("int") + 1
+    salted = rows.join(F.broadcast(hot), "sig", "left").select(
+        "sig", "doc", "tag", F.coalesce(salt, F.lit(0)).alias("salt")
+    )
+    held = F.count("*").over(Window.partitionBy("sig", "salt"))
+    several = salted.withColumn("held", held).filter("held > 1 OR salt > 0")
+    several = kept(spark, several, "signatures")
+    all_held = several.filter("salt > 0").groupBy("sig").agg(F.count("*").alias("all_held"))
+    all_held = kept(spark, all_held, "hot-signatures")
+    whole = several.join(F.broadcast(all_held), "sig", "left")
+    held = F.coalesce("all_held", "held").alias("held")
+    return whole.select("sig", "doc", "tag", "salt", held).filter("held > 1")
 
 
 def _meetings(several: DataFrame) -> DataFrame:
     """Signatures without those that a set can spare; of two or more documents still.
 
-    ``rank`` is the document's place in its signature, ``hub`` the signature's smallest
+    ``rank`` is the document's place among those of its signature, ``hub`` the signature's smallest
     document and ``many`` the number of its documents.
     """
     highs = ", ".join(f"{high}L" for _, high in BANDS)
@@ -271,20 +316,48 @@ def _meetings(several: DataFrame) -> DataFrame:
     once = several.repartition("doc", "tag").dropDuplicates(["doc", "tag", "sig"])
     rare = (
         once.withColumn("place", F.row_number().over(of_set))
-        .select("sig", "doc", "place", *_tag_columns())
+        .select("sig", "doc", "salt", "place", *_tag_columns())
         .filter(F.expr(f"place > spare + {_short('instance', 'size', largest)}"))
     )
-    same = Window.partitionBy("sig").orderBy("doc")
+    same = Window.partitionBy("sig", "salt").orderBy("doc")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = rare.select(
         "sig",
         "doc",
         "instance",
+        "salt",
         F.row_number().over(same).alias("rank"),
         F.first("doc").over(whole).alias("hub"),
         F.count("*").over(whole).alias("many"),
     )
-    return kept(several.sparkSession, ranked.filter("many > 1"), "meetings")
+    spark = several.sparkSession
+    ranked = kept(spark, ranked.filter("many > 1 OR salt > 0"), "meetings")
+    # A hot signature's ranks go on from salt to salt.
+    salts = ranked.filter("salt > 0").groupBy("sig", "salt").agg(
+        F.min("doc").alias("low"), F.count("*").alias("n")
+    )
+    of_sig = Window.partitionBy("sig")
+    earlier = of_sig.orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    salts = salts.select(
+        "sig",
+        "salt",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+        F.min("low").over(of_sig).alias("all_hub"),
+        F.sum("n").over(of_sig).alias("all_many"),
+    )
+    salts = kept(spark, salts, "hot-meetings")
+    return (
+        ranked.join(F.broadcast(salts), ["sig", "salt"], "left")
+        .select(
+            "sig",
+            "doc",
+            "instance",
+            (F.col("rank") + F.coalesce("before", F.lit(0))).alias("rank"),
+            F.coalesce("all_hub", "hub").alias("hub"),
+            F.coalesce("all_many", "many").alias("many"),
+        )
+        .filter("many > 1")
+    )
 
 
 def _signature_lists(several: DataFrame, meetings: DataFrame) -> DataFrame:
@@ -335,7 +408,7 @@ def _verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     by_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("a", "part")).alias("at"))
     by_doc = kept(rows.sparkSession, by_doc, "compared")
-    given = rows.join(_only_if_small(by_doc), "doc")
+    given = rows.join(_only_if_small(by_doc, "size(at)"), "doc")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -486,7 +559,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     copies = kept(spark, _copies(facts), "copies")
     rows = rows.filter("doc IS NOT NULL")
     single = rows.join(_only_if_small(copies.select("doc")), "doc", "left_anti")
-    several = _several(_signature_rows(single))
+    several = _several(_signature_rows(single), _hot_signatures(single))
     meetings = _meetings(several)
     lists = _signature_lists(several, meetings)
     pairs = kept(spark, _enough(_hub_pairs(meetings), lists), "pairs")
@@ -499,16 +572,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         found = components(links.unionAll(new))
 
     labels = found.select(F.col("node").alias("rep"), "component")
-    return (
-        facts.select("doc", "n_shingles")
-        .join(copies, "doc", "left")
-        .withColumn("rep", F.coalesce("rep", "doc"))
-        .join(labels, "rep", "left")
-        .select(
-            F.col("doc").alias(id_column),
-            "n_shingles",
-            F.coalesce("component", "rep").alias("component_id"),
-        )
+    reps = facts.select("doc", "n_shingles").join(copies, "doc", "left")
+    reps = reps.withColumn("rep", F.coalesce("rep", "doc"))
+    return _joined(reps, labels, ["rep"]).select(
+        F.col("doc").alias(id_column),
+        "n_shingles",
+        F.coalesce("component", "rep").alias("component_id"),
     )
 
 

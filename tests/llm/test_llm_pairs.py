@@ -97,15 +97,44 @@ def family_texts(seed):
     return texts
 
 
-@pytest.mark.parametrize("chunk, ids", [(2048, 1_000_000), (3, 100)])
-def test_families_match_brute_force_in_chunks_of_any_size(make, monkeypatch, chunk, ids):
+@pytest.mark.parametrize("chunk, ids, hot, sample", [(2048, 1_000_000, 2048, 64), (3, 100, 2, 1), (3, 100, 4, 2)])
+def test_families_match_brute_force_in_chunks_of_any_size(make, monkeypatch, chunk, ids, hot, sample):
     monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
     monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", ids)
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", hot)
+    monkeypatch.setattr(jaccard_join, "HOT_SAMPLE", sample)
     texts = family_texts(chunk)
     got, _ = near(make(texts))
     assert got == brute.components(enumerate(texts))
 
 
+def test_hot_signatures_are_counted_and_ranked_over_their_salts(spark, monkeypatch):
+    rows = [(sig, doc, 5 << jaccard_join._INSTANCE_AT | jaccard_join._ZERO_SPARE << jaccard_join._SPARE_AT | 9)
+            for sig, docs in ((1, range(40, 10, -1)), (2, [7, 8]), (3, [9]), (4, [50])) for doc in docs]
+    rows = spark.createDataFrame(rows, "sig bigint, doc bigint, tag bigint")
+    hot = spark.createDataFrame([(1, 6), (4, 2)], "sig bigint, salts int")
+    several = jaccard_join._several(rows, hot)
+    held = {(r.sig, r.held) for r in several.collect()}
+    assert held == {(1, 30), (2, 2)}
+    assert several.filter("sig = 1").select("salt").distinct().count() > 2
+    # A place beyond what a set may spare: every row stays.
+    monkeypatch.setattr(jaccard_join, "_short", lambda *sizes: "-1 - 2000000")
+    met = jaccard_join._meetings(several).collect()
+    one = [r for r in met if r.sig == 1]
+    assert sorted(r["rank"] for r in one) == list(range(1, 31))
+    assert {(r.hub, r.many) for r in one} == {(11, 30)} and len({r.doc for r in one}) == 30
+    assert sorted((r.doc, r["rank"], r.hub, r.many) for r in met if r.sig == 2) == [(7, 1, 7, 2), (8, 2, 7, 2)]
+
+
+@pytest.mark.parametrize("least", [2, 1000])
+def test_hot_keys_join_by_broadcast_with_the_same_rows(spark, monkeypatch, least):
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", least)
+    left = spark.createDataFrame([(k, v) for k in (1, 2, 3, None) for v in range(5 if k == 1 else 1)], "k int, v int")
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
+    got = sorted(jaccard_join._joined(left, right, ["k"]).select("k", "v", "name").collect(), key=str)
+    assert got == sorted(left.join(right, "k", "left").select("k", "v", "name").collect(), key=str)
+
+
 def test_signatures_meet_for_all_linked_pairs():
     import numpy as np
 
