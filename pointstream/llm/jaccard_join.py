@@ -285,23 +285,26 @@ def _hot_signatures(rows: DataFrame) -> DataFrame:
 
 
 def _several(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """Signatures of two or more documents, with their number: sig, doc, tag, salt, held.
+    """Signatures of two or more documents, with their number: key, sig, hot, doc, tag, held.
 
-    ``salt`` is 0 but for hot signatures, which are counted by partial aggregation.
+    Rows are counted by ``key``: the signature, or one of a hot signature's salts. One
+    column sorts faster than two. Hot signatures are counted by partial aggregation; should
+    a salt's hash meet another signature, that counts as more frequent for all its sets.
     """
     spark = rows.sparkSession
-    salt = F.pmod(F.xxhash64("doc", "tag"), F.col("salts")).cast("int") + 1
+    salt = F.pmod(F.xxhash64("doc", "tag"), F.col("salts"))
+    key = F.when(F.col("salts").isNull(), F.col("sig")).otherwise(F.xxhash64("sig", salt))
     salted = rows.join(F.broadcast(hot), "sig", "left").select(
-        "sig", "doc", "tag", F.coalesce(salt, F.lit(0)).alias("salt")
+        key.alias("key"), F.when(F.col("salts").isNotNull(), F.col("sig")).alias("hot"), "doc", "tag"
     )
-    held = F.count("*").over(Window.partitionBy("sig", "salt"))
-    several = salted.withColumn("held", held).filter("held > 1 OR salt > 0")
+    held = F.count("*").over(Window.partitionBy("key"))
+    several = salted.withColumn("held", held).filter("held > 1 OR hot IS NOT NULL")
     several = kept(spark, several, "signatures")
-    all_held = several.filter("salt > 0").groupBy("sig").agg(F.count("*").alias("all_held"))
+    all_held = several.filter("hot IS NOT NULL").groupBy("hot").agg(F.count("*").alias("all_held"))
     all_held = kept(spark, all_held, "hot-signatures")
-    whole = several.join(F.broadcast(all_held), "sig", "left")
-    held = F.coalesce("all_held", "held").alias("held")
-    return whole.select("sig", "doc", "tag", "salt", held).filter("held > 1")
+    whole = several.join(F.broadcast(all_held), "hot", "left")
+    sig, held = F.coalesce("hot", "key").alias("sig"), F.coalesce("all_held", "held").alias("held")
+    return whole.select("key", sig, "hot", "doc", "tag", held).filter("held > 1")
 
 
 def _meetings(several: DataFrame) -> DataFrame:
@@ -316,40 +319,40 @@ def _meetings(several: DataFrame) -> DataFrame:
     once = several.repartition("doc", "tag").dropDuplicates(["doc", "tag", "sig"])
     rare = (
         once.withColumn("place", F.row_number().over(of_set))
-        .select("sig", "doc", "salt", "place", *_tag_columns())
+        .select("key", "sig", "hot", "doc", "place", *_tag_columns())
         .filter(F.expr(f"place > spare + {_short('instance', 'size', largest)}"))
     )
-    same = Window.partitionBy("sig", "salt").orderBy("doc")
+    same = Window.partitionBy("key").orderBy("doc")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = rare.select(
-        "sig",
+        "key",
+        "hot",
         "doc",
         "instance",
-        "salt",
         F.row_number().over(same).alias("rank"),
         F.first("doc").over(whole).alias("hub"),
         F.count("*").over(whole).alias("many"),
     )
     spark = several.sparkSession
-    ranked = kept(spark, ranked.filter("many > 1 OR salt > 0"), "meetings")
+    ranked = kept(spark, ranked.filter("many > 1 OR hot IS NOT NULL"), "meetings")
     # A hot signature's ranks go on from salt to salt.
-    salts = ranked.filter("salt > 0").groupBy("sig", "salt").agg(
+    salts = ranked.filter("hot IS NOT NULL").groupBy("hot", "key").agg(
         F.min("doc").alias("low"), F.count("*").alias("n")
     )
-    of_sig = Window.partitionBy("sig")
-    earlier = of_sig.orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    of_sig = Window.partitionBy("hot")
+    earlier = of_sig.orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     salts = salts.select(
-        "sig",
-        "salt",
+        "hot",
+        "key",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
         F.min("low").over(of_sig).alias("all_hub"),
         F.sum("n").over(of_sig).alias("all_many"),
     )
     salts = kept(spark, salts, "hot-meetings")
     return (
-        ranked.join(F.broadcast(salts), ["sig", "salt"], "left")
+        ranked.join(F.broadcast(salts), ["hot", "key"], "left")
         .select(
-            "sig",
+            F.coalesce("hot", "key").alias("sig"),
             "doc",
             "instance",
             (F.col("rank") + F.coalesce("before", F.lit(0))).alias("rank"),

@@ -116,7 +116,7 @@ def test_hot_signatures_are_counted_and_ranked_over_their_salts(spark, monkeypat
     several = jaccard_join._several(rows, hot)
     held = {(r.sig, r.held) for r in several.collect()}
     assert held == {(1, 30), (2, 2)}
-    assert several.filter("sig = 1").select("salt").distinct().count() > 2
+    assert several.filter("sig = 1").select("key").distinct().count() > 2
     # A place beyond what a set may spare: every row stays.
     monkeypatch.setattr(jaccard_join, "_short", lambda *sizes: "-1 - 2000000")
     met = jaccard_join._meetings(several).collect()
