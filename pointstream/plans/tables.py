@@ -253,15 +253,23 @@ def day_responses(events: DataFrame) -> DataFrame:
             )
         ).alias("line"),
     )
+    # A day's lines, its head and its tail come out of one shuffle by the day. A union of them
+    # counts as dealt by the day as well, but adaptive execution may coalesce its sides apart.
     order = Window.partitionBy("run_date").orderBy("place")
-    lines = each.withColumn("first", F.row_number().over(order) == 1).select(
-        "run_date", "place", F.concat(F.when(F.col("first"), "").otherwise(","), "line").alias("line")
+    first, last = F.lag("place").over(order).isNull(), F.lead("place").over(order).isNull()
+
+    def row(place: Column, line: Column) -> Column:
+        return F.struct(place.cast("bigint").alias("place"), line.alias("line"))
+
+    head = row(F.lit(-1), F.lit('{"code":200,"note":{"result":[1,2]},"result" : ['))
+    tail = row(F.lit(1 << 62), F.lit(']\n,"end":[3,{"result":[4]}]}'))
+    own = row(F.col("place"), F.concat(F.when(F.col("first"), "").otherwise(","), "line"))
+    rows = F.array(F.when(F.col("first"), head), own, F.when(F.col("last"), tail))
+    return (
+        each.withColumn("first", first)
+        .withColumn("last", last)
+        .select("run_date", F.inline(F.filter(rows, lambda r: r.isNotNull())))
     )
-    days = each.select("run_date").distinct()
-    head = F.lit('{"code":200,"note":{"result":[1,2]},"result" : [')
-    heads = days.select("run_date", F.lit(-1).cast("bigint").alias("place"), head.alias("line"))
-    tails = days.select("run_date", F.lit(1 << 62).alias("place"), F.lit(']\n,"end":[3,{"result":[4]}]}').alias("line"))
-    return lines.unionAll(heads).unionAll(tails)
 
 
 def number_responses(events: DataFrame) -> DataFrame:

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointstream.operators.ledger import load_ledger
+from conftest import SF_DIR
 from pointstream.operators.pieces import load_large_ledger, response_elements
+from pointstream.plans.queries import ledger_large
 from pointstream.sources.ledgers import read_response_pieces, read_responses
 
 
@@ -90,3 +92,15 @@ def test_a_broken_response_fails_the_job(spark, tmp_path):
     path = land(tmp_path, '{"result":[{"a":1},{"b":}]}')
     with pytest.raises(Exception):
         load_large_ledger(read_response_pieces(spark, path), "2024-01-16").collect()
+
+
+def test_a_day_is_one_file_whatever_adaptive_execution_coalesces(spark, session_conf):
+    session_conf(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4096",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="1024",
+        spark__sql__adaptive__coalescePartitions__parallelismFirst="false",
+    )
+    rows = ledger_large(spark, SF_DIR)
+    found = rows.select("no", "part").collect()
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").filter("event_id % 5 <> 4")
+    assert len(found) == len(set(found)) == events.selectExpr("sum(event_id % 3)").first()[0]
