@@ -25,6 +25,9 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 # Batches whose counts are added up in one task.
 CHANGE_BLOCK = 1000
+# Largest dimension that a stream broadcasts. Each micro-batch gathers it at the driver
+# anew, so the limit is lower than that of a single join; larger ones are merged.
+BATCH_BROADCAST_BYTES = 16 << 20
 
 
 def start_lookup(
@@ -35,7 +38,7 @@ def start_lookup(
     settings: JobSettings,
     fact_key: str = "id",
     dim_key: str = "point_id",
-    broadcast_bytes: int | None = None,
+    broadcast_bytes: int = BATCH_BROADCAST_BYTES,
 ) -> StreamingQuery:
     """Join each micro-batch to the snapshot of its time and write the result.
 
@@ -59,7 +62,7 @@ def start_enrich(
     settings: JobSettings,
     sentinel: str | None = SENTINEL_DAY,
     on_error: str = FAIL,
-    broadcast_bytes: int | None = None,
+    broadcast_bytes: int = BATCH_BROADCAST_BYTES,
     rejects: BatchWriter | None = None,
 ) -> StreamingQuery:
     """JSON messages to enriched rows: parse, drop sentinel days, look up, write.
@@ -102,7 +105,7 @@ def start_count(
     settings: JobSettings,
     fact_key: str = "id",
     dim_key: str = "point_id",
-    broadcast_bytes: int | None = None,
+    broadcast_bytes: int = BATCH_BROADCAST_BYTES,
 ) -> StreamingQuery:
     """Number of looked-up rows of each micro-batch, a row ``total`` under its label.
 
@@ -174,7 +177,9 @@ def start_trial(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         dim = snapshot.current(batch.sparkSession)
-        rows = described(lookup_join(settings.dealt(batch), dim, dim_key="id")).persist()
+        rows = described(
+            lookup_join(settings.dealt(batch), dim, dim_key="id", broadcast_bytes=BATCH_BROADCAST_BYTES)
+        ).persist()
         try:
             writer(rows, batch_id)
             counts(total_count(rows), batch_id)

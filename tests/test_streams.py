@@ -4,7 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from pointstream.operators.lookup import described, enriched, lookup_join
+from pointstream.operators.lookup import Dimension, described, enriched, lookup_join
 from pointstream.operators.messages import drop_sentinel, parse_messages, to_messages
 from pointstream.plans import tables as t
 from pointstream.schemas import COUNT, ENRICHED, GENERATED
@@ -14,6 +14,7 @@ from pointstream.sources.captures import land_datagrams, read_captures
 from pointstream.sources.dimension import DimSnapshot
 from pointstream.sources.generated import generate_batch, generate_stream, generated_id
 from pointstream.sources.messages import batch_limit, bounded_files, read_messages
+from pointstream.streaming import jobs
 from pointstream.streaming.jobs import (
     change_rows,
     running_changes,
@@ -196,6 +197,27 @@ def test_large_dimension_is_shuffled_and_planned_adaptively(
     assert all(plan.count("Exchange hashpartitioning") == 2 for plan in plans)
 
 
+def test_a_stream_does_not_broadcast_a_large_dimension_for_each_batch(
+    spark, landed, tmp_path, plan_text
+):
+    inner = LabelledWriter(str(tmp_path / "out"), "large", ENRICHED)
+    table, plans = points(spark).current(spark).frame, []
+
+    class Large:
+        def current(self, spark):
+            return Dimension(table, 5000, jobs.BATCH_BROADCAST_BYTES + 1)
+
+    def keep_plan(batch, batch_id):
+        plans.append(plan_text(batch, "simple"))
+        inner(batch, batch_id)
+
+    start_enrich(
+        stream(spark, landed), Large(), keep_plan, settings(tmp_path, "large"), t.TRIAL_SENTINEL
+    ).awaitTermination()
+    assert as_set(inner.read(spark)) == batch_rows(spark, landed)
+    assert plans and all("SortMergeJoin" in plan for plan in plans)
+
+
 def test_malformed_message_fails_or_goes_aside(spark, landed, tmp_path):
     spark.createDataFrame([("{bad",)], "value string").write.mode("append").text(landed)
     good = LabelledWriter(str(tmp_path / "good"), "good", ENRICHED)
