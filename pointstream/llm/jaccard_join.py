@@ -23,7 +23,9 @@ of their summed sizes.
    documents of different components are held against each other by sketches: parities
    of 512 ranges of the hashes, which differ in no more places than the sets do. Only
    pairs whose sketches allow a link come out, and of these only those that also have
-   the common signatures a link needs are compared, exactly, on the sets. So no group is
+   the common signatures a link needs are compared, exactly, on the sets. A pair with many
+   common signatures comes out of the first of them: a signature leaves out pairs that have
+   an earlier one in common, as far as the few first ones of each set tell. So no group is
    expanded into all pairs, and no link between two components is missed. A signature of
    very many documents is dealt out in chunks, so that tasks stay bounded.
 
@@ -60,6 +62,9 @@ SKETCH_BITS = 512
 CHUNK = 2048
 # Documents held against all others of their group at a time.
 BLOCK = 32
+# Signatures of a set that its rows carry, by which a pair comes out of one signature only.
+FIRST = 8
+_NO_SIGNATURE = (1 << 63) - 1
 # Members that one task compares with a hub at a time.
 HUB_MEMBERS = 512
 # Ids up to which a table is broadcast; a larger one is shuffled.
@@ -475,6 +480,14 @@ def _open(meetings: DataFrame, found: DataFrame) -> DataFrame:
     return kept(meetings.sparkSession, rows, "open-signatures")
 
 
+def _met_before(first: np.ndarray, sig: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Of pairs of rows, those whose first signatures have one before ``sig`` in common."""
+    met = np.zeros(len(one), dtype=bool)
+    for mine in first[one].T:
+        met |= (mine < sig) & (first[two] == mine[:, None]).any(axis=1)
+    return met
+
+
 def _against(group: dict[str, np.ndarray], found: set) -> None:
     """Pairs of a group (of one chunk, or of two) whose sketches allow a link."""
     doc, component, size, chunk = (group[n] for n in ("doc", "component", "size", "chunk"))
@@ -493,7 +506,11 @@ def _against(group: dict[str, np.ndarray], found: set) -> None:
         one, two = np.nonzero(near)
         one, two = one + low, two + begin
         later = one < two
-        for a, b in zip(doc[one[later]].tolist(), doc[two[later]].tolist()):
+        one, two = one[later], two[later]
+        if "first" in group:
+            new = ~_met_before(group["first"], group["sig"][0], one, two)
+            one, two = one[new], two[new]
+        for a, b in zip(doc[one].tolist(), doc[two].tolist()):
             found.add((a, b, instance) if a < b else (b, a, instance))
 
 
@@ -503,8 +520,10 @@ def _candidates(rows: DataFrame, facts: DataFrame) -> DataFrame:
     chunks = F.ceil(F.col("many") / CHUNK).cast("int")
     chunk = F.floor((F.col("rank") - 1) / CHUNK).cast("int")
     others = F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other")
-    dealt = rows.join(marks, "doc").select(
-        "sig", "doc", "component", "instance", "size", "sketch", chunk.alias("chunk"), others
+    padded = F.concat(F.array_sort(F.collect_set("sig")), F.array_repeat(F.lit(_NO_SIGNATURE), FIRST))
+    firsts = rows.groupBy("doc", "instance").agg(F.slice(padded, 1, FIRST).alias("first"))
+    dealt = rows.join(firsts, ["doc", "instance"]).join(marks, "doc").select(
+        "sig", "doc", "component", "instance", "size", "sketch", "first", chunk.alias("chunk"), others
     )
     dealt = dealt.withColumn("low", F.least("chunk", "other")).withColumn(
         "high", F.greatest("chunk", "other")
@@ -513,7 +532,9 @@ def _candidates(rows: DataFrame, facts: DataFrame) -> DataFrame:
     ordered = dealt.drop("other").repartition(*key).sortWithinPartitions(*key, "chunk")
 
     def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in batch.schema.names if n != "sketch"}
+        plain = [n for n in batch.schema.names if n not in ("sketch", "first")]
+        out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in plain}
+        out["first"] = batch.column("first").flatten().to_numpy().reshape(len(batch), FIRST)
         body = b"".join(batch.column("sketch").to_pylist())
         out["sketch"] = np.frombuffer(body, dtype=np.uint64).reshape(len(batch), -1)
         return out

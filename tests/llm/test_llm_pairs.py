@@ -184,6 +184,26 @@ def test_sketches_hold_all_pairs_of_a_group_that_may_link(chunks):
             assert met or (a, b, 5) not in found
 
 
+def test_a_pair_comes_out_of_the_first_of_its_signatures():
+    import numpy as np
+
+    none = jaccard_join._NO_SIGNATURE
+    lists = [[-7, 3, 9, none], [3, 9, 11, none], [9, 11, none, none], [-7, 11, none, none]]
+    found = {}
+    for sig in (-7, 3, 9, 11):
+        docs = np.array([d for d, own in enumerate(lists) if sig in own])
+        group = {
+            "doc": docs, "component": docs, "size": np.full(len(docs), 50), "chunk": 0 * docs,
+            "instance": 0 * docs + 5, "sketch": np.zeros((len(docs), 8), dtype=np.uint64),
+            "sig": 0 * docs + sig, "first": np.array(lists)[docs],
+        }
+        found[sig] = set()
+        jaccard_join._against(group, found[sig])
+    assert found == {
+        -7: {(0, 3, 5)}, 3: {(0, 1, 5)}, 9: {(0, 2, 5), (1, 2, 5)}, 11: {(1, 3, 5), (2, 3, 5)}
+    }
+
+
 def test_join_of_odd_rows(odd_documents):
     got, rows = near(odd_documents)
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8}
