@@ -1,6 +1,7 @@
 """The registered queries: each takes a session and a data folder."""
 
 import dataclasses
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -67,8 +68,10 @@ from pointstream.streaming.settings import JobSettings, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Files that trial inputs are landed in, one to a micro-batch.
+# Parts that trial inputs are landed in, one to a micro-batch, and the rows of a part's file
+# that make it several files.
 FILES = 3
+FILE_ROWS = 250_000
 # What a changed dimension has behind its names.
 CHANGED = "#2"
 LEDGERS = ("entrance", "furnace")
@@ -78,6 +81,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.table(spark, sf_dir, "events")
 
 
+def _part_files(rows: DataFrame, parts: int = FILES) -> int:
+    """Files of each of the parts that rows are landed in: one task writes a file."""
+    return max(1, math.ceil(rows.count() / (parts * FILE_ROWS)))
+
+
 def _even_points(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col("point_id") % 2 == 0)
 
@@ -231,7 +239,8 @@ def frame_over_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 def captures_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Datagrams landed as capture files and decoded from there."""
     path = shared_folder(spark, "captures")
-    t.as_frames(_events(spark, sf_dir)).repartition(FILES).write.parquet(path)
+    events = _events(spark, sf_dir)
+    t.as_frames(events).repartition(FILES * _part_files(events)).write.parquet(path)
     return _record_text(decode_frames(read_captures(spark, path)))
 
 
@@ -424,11 +433,15 @@ def _settings(spark: SparkSession, name: str, **how) -> JobSettings:
     return JobSettings(name, checkpoint, available_now=True, **{"batch_files": 1, **how})
 
 
-def _land_messages(spark: SparkSession, sf_dir: str, path: str, where: str = "TRUE") -> None:
-    """Messages of the events as text files, several of them."""
+def _land_messages(
+    spark: SparkSession, sf_dir: str, path: str, settings: JobSettings, where: str = "TRUE"
+) -> JobSettings:
+    """Messages of the events as text files; settings to read them in ``FILES`` micro-batches."""
     events = _events(spark, sf_dir).filter(where)
     messages = to_messages(t.as_records(events))
-    messages.repartition(FILES).write.mode("append").text(path)
+    files = _part_files(events)
+    messages.repartition(FILES * files).write.mode("append").text(path)
+    return dataclasses.replace(settings, batch_files=files)
 
 
 def _landed_stream(spark: SparkSession, path: str, settings: JobSettings) -> DataFrame:
@@ -447,7 +460,7 @@ def _stream_enrich(
     spark: SparkSession, sf_dir: str, settings: JobSettings, ttl: float = 24 * 3600, **how
 ) -> DataFrame:
     path = shared_folder(spark, "messages")
-    _land_messages(spark, sf_dir, path)
+    settings = _land_messages(spark, sf_dir, path, settings)
     writer = LabelledWriter(shared_folder(spark, settings.name), settings.name, ENRICHED)
     snapshot = DimSnapshot(lambda session: t.point_dim(session, sf_dir), ttl)
     _enrich_landed(spark, path, snapshot, writer, settings, **how)
@@ -483,8 +496,8 @@ def _stream_changed_dimension(spark: SparkSession, sf_dir: str, name: str, ttl:
 
     snapshot = DimSnapshot(loader, ttl)
     for half, suffix[0] in enumerate(("", CHANGED)):
-        _land_messages(spark, sf_dir, path, f"event_id % 2 = {half}")
-        _enrich_landed(spark, path, snapshot, writer, settings)
+        landed = _land_messages(spark, sf_dir, path, settings, f"event_id % 2 = {half}")
+        _enrich_landed(spark, path, snapshot, writer, landed)
     return writer.read(spark).select(*ENRICHED.names)
 
 
@@ -525,8 +538,9 @@ def _stream_quarantine(spark: SparkSession, sf_dir: str) -> tuple[LabelledWriter
     """Good and malformed messages of one stream, split in the same micro-batches."""
     path, settings = shared_folder(spark, "spoiled"), _settings(spark, "stream_quarantine")
     spoiled = _spoiled(spark, sf_dir)
-    spoiled.repartition(FILES).write.parquet(path)
-    reader = spark.readStream.schema(spoiled.schema).option("maxFilesPerTrigger", 1)
+    files = _part_files(_events(spark, sf_dir))
+    spoiled.repartition(FILES * files).write.parquet(path)
+    reader = spark.readStream.schema(spoiled.schema).option("maxFilesPerTrigger", files)
     stream = reader.parquet(path)
     rejects = LabelledWriter(
         shared_folder(spark, "quarantine"), "quarantine", message_rejects(spoiled).schema
@@ -553,7 +567,7 @@ def stream_quarantine_good(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A running count over several micro-batches, with a dimension too large to broadcast."""
     path, settings = shared_folder(spark, "messages"), _settings(spark, "stream_count")
-    _land_messages(spark, sf_dir, path)
+    settings = _land_messages(spark, sf_dir, path, settings)
     counts = LabelledWriter(shared_folder(spark, "counts"), "count", COUNT)
     start_count(
         parse_messages(_landed_stream(spark, path, settings)),
@@ -569,8 +583,9 @@ def trial_two_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Looked-up ids and their count from one stream: both numbers of rows."""
     path, settings = shared_folder(spark, "events"), _settings(spark, "trial")
     events = _events(spark, sf_dir)
-    events.repartition(FILES).write.parquet(path)
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    files = _part_files(events)
+    events.repartition(FILES * files).write.parquet(path)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
     rows = LabelledWriter(shared_folder(spark, "trial"), "trial", GENERATED)
     counts = LabelledWriter(shared_folder(spark, "trial-counts"), "count", COUNT)
     start_trial(
@@ -613,18 +628,19 @@ def sink_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs under one label prefix, the second from a new checkpoint: both stay."""
     path = shared_folder(spark, "messages")
-    _land_messages(spark, sf_dir, path)
+    files = _land_messages(spark, sf_dir, path, _settings(spark, "files")).batch_files
     writer = LabelledWriter(shared_folder(spark, "runs"), "job", ENRICHED, part_batches=2)
     snapshot = DimSnapshot(lambda session: t.point_dim(session, sf_dir))
     for _ in range(2):
-        _enrich_landed(spark, path, snapshot, writer, _settings(spark, "sink_new_checkpoint"))
+        run = _settings(spark, "sink_new_checkpoint", batch_files=files)
+        _enrich_landed(spark, path, snapshot, writer, run)
     return writer.read(spark).select(*ENRICHED.names)
 
 
 def stream_dimension_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension kept by key: each micro-batch reads the buckets of its own keys."""
     path, settings = shared_folder(spark, "messages"), _settings(spark, "stream_bucketed")
-    _land_messages(spark, sf_dir, path)
+    settings = _land_messages(spark, sf_dir, path, settings)
     writer = LabelledWriter(shared_folder(spark, "bucketed"), "bucketed", ENRICHED)
     snapshot = DimSnapshot(
         lambda session: t.point_dim(session, sf_dir), key="point_id", keyed_beyond=0, buckets=64
@@ -636,7 +652,7 @@ def stream_dimension_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dimension_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension store that fails twice at first, and for good once a copy is there."""
     path, settings = shared_folder(spark, "messages"), _settings(spark, "stream_retried")
-    _land_messages(spark, sf_dir, path)
+    settings = _land_messages(spark, sf_dir, path, settings)
     writer = LabelledWriter(shared_folder(spark, "retried"), "retried", ENRICHED)
     calls = []
 
@@ -670,7 +686,7 @@ def sink_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_label_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream into a target that takes plain appends, every batch handed over twice."""
     path, settings = shared_folder(spark, "messages"), _settings(spark, "sink_label_log")
-    _land_messages(spark, sf_dir, path)
+    settings = _land_messages(spark, sf_dir, path, settings)
     target = shared_folder(spark, "target")
     once_each = LoggedAppends(
         shared_folder(spark, "label-log"), "job", lambda rows: append_rows(rows, "parquet", path=target)
@@ -689,9 +705,12 @@ def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of a running count over messages that come file by file: by event_id % FILES."""
     path, settings = shared_folder(spark, "messages"), _settings(spark, "stream_changes")
     events = _events(spark, sf_dir)
-    for number in range(FILES):
-        own = to_messages(t.as_records(events.filter(F.col("event_id") % FILES == number)))
-        own.coalesce(1).write.mode("append").text(path)
+    parts = [events.filter(F.col("event_id") % FILES == number) for number in range(FILES)]
+    files = max(_part_files(part, 1) for part in parts)
+    settings = dataclasses.replace(settings, batch_files=files)
+    for part in parts:
+        own = to_messages(t.as_records(part))
+        own.repartition(files).write.mode("append").text(path)
     counts = LabelledWriter(shared_folder(spark, "changes"), "count", COUNT, part_batches=2)
     start_count(
         parse_messages(_landed_stream(spark, path, settings)),

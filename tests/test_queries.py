@@ -1,8 +1,9 @@
 import pytest
 
 import __spark_entry__ as driver
-from compare import compare, oracle_connection
+from compare import bag, compare, oracle_connection
 from conftest import SF_DIR
+from pointstream.plans import queries
 from pointstream.plans.oracles import ORACLES
 from pointstream.plans.queries import QUERIES
 
@@ -45,3 +46,17 @@ def test_no_query_uses_python_workers_or_a_cross_join(spark, plan_text):
             if (name, operator) != ("ledger_large", "Window"):
                 assert operator not in plan, (name, operator)
         assert name != "ledger_large" or "SinglePartition" not in plan
+
+
+def test_parts_of_many_rows_are_landed_in_several_files(spark, monkeypatch, oracle):
+    """A task writes a bounded file; the number of micro-batches stays."""
+    monkeypatch.setattr(queries, "FILE_ROWS", 100)
+    settings = queries._settings(spark, "files")
+    path = queries.shared_folder(spark, "files")
+    settings = queries._land_messages(spark, SF_DIR, path, settings)
+    landed = spark.read.text(path).inputFiles()
+    assert settings.batch_files == 4 and len(landed) == queries.FILES * 4
+    for name in ("stream_quarantine", "stream_quarantine_good", "stream_count_changes"):
+        rows, expected = QUERIES[name](spark, SF_DIR), oracle.execute(ORACLES[name])
+        names = [column[0] for column in expected.description]
+        assert bag(rows.columns, rows.collect()) == bag(names, expected.fetchall())
