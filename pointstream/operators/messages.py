@@ -50,7 +50,8 @@ def non_finite_rejects(records: DataFrame) -> DataFrame:
 
 def through_json(value: Column) -> Column:
     """FLOAT to DOUBLE as its JSON text would give it (0.1, not 0.10000000149)."""
-    return value.cast("string").cast("double")
+    # Zero, of either sign, is itself in both widths: padding needs no text.
+    return F.when(value == 0, value.cast("double")).otherwise(value.cast("string").cast("double"))
 
 
 def to_readings(records: DataFrame) -> DataFrame:

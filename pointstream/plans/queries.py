@@ -18,6 +18,7 @@ from pointstream.functions.once import once
 from pointstream.functions.times import (
     day_text,
     in_pull_window,
+    local_time,
     milli_text,
     pull_day,
     second_text,
@@ -72,6 +73,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # that make it several files.
 FILES = 3
 FILE_ROWS = 250_000
+# Frames that a task decodes whole receive buffers of.
+TASK_FRAMES = 20_000
 # What a changed dimension has behind its names.
 CHANGED = "#2"
 LEDGERS = ("entrance", "furnace")
@@ -145,8 +148,20 @@ def count_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Frames
 
 
+def _dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in tasks of ``TASK_FRAMES``: of a receive buffer come 78 records, padding too.
+
+    The scan has a task per row group, few for so many records.
+    """
+    events = _events(spark, sf_dir)
+    tasks = math.ceil(events.count() / TASK_FRAMES)
+    return events.repartition(tasks) if tasks > 1 else events
+
+
 def _record_text(records: DataFrame) -> DataFrame:
     """Decoded records with their times as text and the value in both widths."""
+    # Padding and unset clocks have the time 0, whose text is a constant.
+    unset, real_time = local_time(F.lit(0)), F.col("real_time")
     return records.select(
         "frame_id",
         "record_seq",
@@ -154,7 +169,9 @@ def _record_text(records: DataFrame) -> DataFrame:
         "id",
         through_json(F.col("point_value")).alias("point_value"),
         F.col("point_value").cast("double").alias("point_value_bits"),
-        second_text("real_time").alias("real_time"),
+        F.when(real_time == unset, second_text(unset))
+        .otherwise(second_text(real_time))
+        .alias("real_time"),
         "status",
     )
 
@@ -196,11 +213,12 @@ def frame_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frame_decode_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records of the receive buffer, those that are padding too."""
-    return _record_text(decode_frames(t.as_frames(_events(spark, sf_dir)), padding=BUFFER))
+    frames = t.as_frames(_dealt_events(spark, sf_dir))
+    return _record_text(decode_frames(frames, padding=BUFFER))
 
 
 def frame_decode_padded_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = decode_frames(t.as_frames(_events(spark, sf_dir)), padding=BUFFER)
+    records = decode_frames(t.as_frames(_dealt_events(spark, sf_dir)), padding=BUFFER)
     return _record_text(drop_sentinel(records))
 
 

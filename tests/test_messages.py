@@ -11,6 +11,7 @@ from pointstream.operators.messages import (
     message_rejects,
     non_finite_rejects,
     parse_messages,
+    through_json,
     to_messages,
     to_readings,
 )
@@ -153,3 +154,9 @@ def test_messages_to_text_files(spark, tmp_path):
     write_messages(to_messages(records(spark, 36.6, 1.5)), "text", path=path)
     back = parse_messages(spark.read.text(path))
     assert sorted(r.point_value for r in back.collect()) == [1.5, 36.6]
+
+
+def test_zero_keeps_its_sign_from_float_to_double(spark):
+    values = spark.sql("SELECT CAST(v AS FLOAT) AS v FROM VALUES ('0'), ('-0.0'), ('0.1'), (NULL) AS t(v)")
+    rows = values.select(through_json(F.col("v")).alias("v")).collect()
+    assert [str(r.v) for r in rows] == ["0.0", "-0.0", "0.1", "None"]

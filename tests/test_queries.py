@@ -60,3 +60,13 @@ def test_parts_of_many_rows_are_landed_in_several_files(spark, monkeypatch, orac
         rows, expected = QUERIES[name](spark, SF_DIR), oracle.execute(ORACLES[name])
         names = [column[0] for column in expected.description]
         assert bag(rows.columns, rows.collect()) == bag(names, expected.fetchall())
+
+
+@pytest.mark.parametrize("name", ["frame_decode_padded", "frame_decode_padded_filtered"])
+def test_whole_buffers_are_decoded_in_many_tasks(spark, monkeypatch, oracle, name, session_conf):
+    session_conf(spark__sql__adaptive__enabled="false")
+    monkeypatch.setattr(queries, "TASK_FRAMES", 100)
+    assert QUERIES[name](spark, SF_DIR).rdd.getNumPartitions() == 10
+    rows, expected = QUERIES[name](spark, SF_DIR), oracle.execute(ORACLES[name])
+    names = [column[0] for column in expected.description]
+    assert bag(rows.columns, rows.collect()) == bag(names, expected.fetchall())
